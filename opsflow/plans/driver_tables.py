@@ -315,7 +315,7 @@ def q_dated_scan(spark, sf_dir):
     ev = _t(spark, sf_dir, "events")
     (ev.withColumns({"year": F.date_format("ts", "yyyy"), "month": F.date_format("ts", "MM"),
                      "day": F.date_format("ts", "dd")})
-     .write.partitionBy("year", "month", "day").parquet(path))
+     .hint("rebalance", "year", "month", "day").write.partitionBy("year", "month", "day").parquet(path))
     return files.read_dated(spark, "parquet", path, "d", DATED_DAY)
 
 
@@ -356,16 +356,17 @@ def _log_fields(ev: DataFrame) -> list[Column]:
 
 
 def land_logs(spark, sf_dir) -> str:
-    """One log folder per process: a ``~#~`` line per event, plus a completion
-    line for purchase events."""
+    """One log folder per process (event type and day of month): a ``~#~`` line
+    per event, plus a completion line for large purchase and click events."""
     path = scratch_path(spark, "logs")
     ev = _t(spark, sf_dir, "events")
-    process = F.concat(F.lit("p~cc~table"), F.col("user_id").cast("string"), F.lit("~M"))
+    process = F.concat(F.lit("p~cc~"), F.col("event_type"), F.lit("_"), F.date_format("ts", "dd"), F.lit("~M"))
     lines = ev.select(process.alias("process"), F.concat_ws(C.LOG_SEPARATOR, *_log_fields(ev)).alias("value"))
-    done = ev.filter(F.col("event_type") == "purchase").select(
+    done = ev.filter(F.col("event_type").isin("purchase", "click") & (F.col("value") >= 150)).select(
         process.alias("process"),
         F.concat(F.lit(C.COMPLETION_MARKER), F.lit("table"), F.col("user_id").cast("string")).alias("value"))
-    lines.unionByName(done).write.partitionBy("process").text(path)
+    # rebalance: about one file per process, while AQE still splits a hot process
+    lines.unionByName(done).hint("rebalance", "process").write.partitionBy("process").text(path)
     return path
 
 

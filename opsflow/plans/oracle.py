@@ -260,7 +260,8 @@ SELECT {LOG_FIELDS[0]} AS log_id, {LOG_FIELDS[1]} AS source, {LOG_FIELDS[4]} AS
        concat_ws('~', {', '.join(LOG_FIELDS)}) AS export_line
 FROM events""",
     "completed_processes": """
-SELECT DISTINCT 'p~cc~table' || CAST(user_id AS VARCHAR) || '~M' AS process FROM events WHERE event_type = 'purchase'""",
+SELECT DISTINCT 'p~cc~' || event_type || '_' || strftime(ts, '%d') || '~M' AS process FROM events
+WHERE event_type IN ('purchase', 'click') AND value >= 150""",
     "process_key": """
 WITH k AS (
   SELECT p_partkey, lower(substr(p_type, 1, 2)) || '~cc~table' || CAST(p_partkey AS VARCHAR)
