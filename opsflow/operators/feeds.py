@@ -9,7 +9,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from .. import config as C
 
@@ -53,13 +53,19 @@ def sign_flag(amount: str | Column) -> Column:
     return F.when(a < 0, F.lit(1)).otherwise(F.lit(0))
 
 
+def _amount(df: DataFrame, amount_col: str) -> Column:
+    """The amount as a number; text amounts are read leniently (bad text is null)."""
+    c = F.col(amount_col)
+    return c.try_cast("decimal(38,10)") if isinstance(df.schema[amount_col].dataType, StringType) else c
+
+
 def pad_columns(df: DataFrame, feed: str, amount_col: str = "amount") -> DataFrame:
     """Add the empty columns a feed lacks, and the sign flag ``amtId``."""
     pads: dict[str, Column] = {}
     if feed == "C":
         pads.update({c: F.lit("") for c in C.FEED_C_MISSING})
     pads.update({c: F.lit("") for c in C.BATCH_PAD})
-    pads["amtId"] = sign_flag(amount_col)
+    pads["amtId"] = sign_flag(_amount(df, amount_col))
     return df.withColumns(pads)
 
 
@@ -76,7 +82,7 @@ def default_category(df: DataFrame, amount_col: str = "amount", keep_struct: boo
 
     out = df.withColumn(
         "catStruct",
-        F.when(F.col(amount_col) < 0, cat(C.DEFAULT_CAT_NEGATIVE)).otherwise(cat(C.DEFAULT_CAT_OTHER)),
+        F.when(_amount(df, amount_col) < 0, cat(C.DEFAULT_CAT_NEGATIVE)).otherwise(cat(C.DEFAULT_CAT_OTHER)),
     ).withColumns({k: F.lit(v) for k, v in C.FEED_B_PAD.items()})
     out = out.select("*", "catStruct.*")
     return out if keep_struct else out.drop("catStruct")
