@@ -36,9 +36,23 @@ def pending(wanted: DataFrame, completed: DataFrame, key: str) -> DataFrame:
     return wanted.select(key).distinct().join(completed.select(key).distinct(), key, "left_anti")
 
 
-def pending_all(wanted: DataFrame, completed: DataFrame, key: str) -> DataFrame:
-    """List difference keeping repeats: each completed entry cancels one wanted entry."""
-    return wanted.select(key).exceptAll(completed.select(key))
+def pending_all(wanted: DataFrame, completed: DataFrame, key: str, chunk: int = 10_000) -> DataFrame:
+    """List difference keeping repeats: each completed entry cancels one wanted entry
+    (the multiset difference of ``EXCEPT ALL``).
+
+    Counts per key are combined map-side, so a hot key costs one row per task
+    up to the final count.  The surviving copies are then produced in chunks of
+    at most ``chunk`` rows that are spread over the cluster before expansion,
+    so no task emits all copies of a hot key.
+    """
+    counts = (wanted.select(key, F.lit(1).alias("_d"))
+              .unionByName(completed.select(key, F.lit(-1).alias("_d")))
+              .groupBy(key).agg(F.sum("_d").alias("_n"))
+              .filter(F.col("_n") > 0))
+    chunks = counts.select(key, "_n", F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / chunk))).alias("_c"))
+    size = F.least(F.lit(chunk), F.col("_n") - F.col("_c") * chunk)
+    spread = chunks.repartition(key, "_c")
+    return spread.select(key, F.explode(F.array_repeat(F.lit(True), size.cast("int"))).alias("_x")).drop("_x")
 
 
 def numbered(df: DataFrame, order: list[str | Column], name_col: str, out: str = "line") -> DataFrame:

@@ -52,8 +52,10 @@ def finished_today(audit: DataFrame, load_date: Column, table_col: str = "TableN
 
 def load_gate(manifest: DataFrame, audit: DataFrame, load_date: Column, table_col: str = "DEST_TABLE_NAME",
               audit_table_col: str = "TableName") -> DataFrame:
-    """Manifest rows whose table has no finished audit row for the day (left anti join)."""
-    done = finished_today(audit, load_date, audit_table_col)
+    """Manifest rows whose table has no finished audit row for the day (left anti join).
+    The audit side is reduced to distinct table names first (partial aggregate),
+    so a table with many audit rows is not a hot join key."""
+    done = finished_today(audit, load_date, audit_table_col).distinct()
     return manifest.join(done, manifest[table_col] == done[audit_table_col], "left_anti")
 
 

@@ -79,3 +79,11 @@ def test_logs_parse_and_completed(spark):
     assert r["export_line"].startswith("7~BB~~~t1~")
     proc = F.regexp_extract("file_path", "process=([^/]+)", 1)
     assert rows(runs.completed_processes(logs, proc)) == [("p1",)]
+
+
+def test_pending_all_chunked_hot_key_equals_except_all(spark):
+    wanted = spark.range(0, 3000).select((F.when(F.col("id") < 1000, F.lit(0)).otherwise(F.col("id") % 50)).alias("k"))
+    done = spark.range(0, 700).select((F.col("id") % 60).alias("k"))
+    want = sorted(wanted.exceptAll(done).collect())
+    got = sorted(runs.pending_all(wanted, done, "k", chunk=7).collect())
+    assert got == want
