@@ -37,3 +37,33 @@ def number_rows(df: DataFrame, order: list[str | Column], name: str = "position"
         *[c for c in df.columns],
         (F.col("_off") + F.col("_loc") + 1).alias(name),
     )
+
+
+def number_within_groups(df: DataFrame, group_cols: list[str], order: list[str | Column],
+                         name: str = "position") -> DataFrame:
+    """Add a 1-based position within each group following ``order``.
+
+    Same idea as ``number_rows``: one global range-partitioned sort by
+    (group, order), so a hot group is spread over many partitions; per
+    (partition, group) counts give each group's offset in each partition.  The
+    offset table has at most one row per (group, partition) pair, and the join
+    back is keyed by partition and group, so no task holds a whole group.
+    """
+    checkpoint_root(df.sparkSession)
+    tagged = (df.orderBy(*[F.col(g) for g in group_cols], *order)
+              .withColumn("_rid", F.monotonically_increasing_id()).checkpoint(eager=True))
+    tagged = tagged.select(
+        "*",
+        F.shiftright("_rid", _LOCAL_BITS).alias("_pid"),
+        F.col("_rid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)).alias("_loc"),
+    )
+    gk = [f"_g{i}" for i in range(len(group_cols))]
+    per = tagged.groupBy("_pid", *[F.col(g).alias(k) for g, k in zip(group_cols, gk)]).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_loc").alias("_first"))
+    before = Window.partitionBy(*gk).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.select(F.col("_pid").alias("_ppid"), *gk, "_first",
+                     F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    cond = [tagged["_pid"] == per["_ppid"]] + [tagged[g].eqNullSafe(per[k]) for g, k in zip(group_cols, gk)]
+    out = tagged.join(per, cond)
+    return out.select(*[tagged[c] for c in df.columns],
+                      (F.col("_off") + F.col("_loc") - F.col("_first") + 1).alias(name))

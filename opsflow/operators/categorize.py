@@ -14,6 +14,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from .. import config as C
 from ..functions import arrays, text
+from ..functions.ranking import number_within_groups
 
 DECISION_SCHEMA = StructType([StructField("catIdEdit", StringType()), StructField("accOfDec", StringType())])
 SCORE_SCHEMA = StructType([StructField("catId", StringType()), StructField("score", StringType())])
@@ -105,6 +106,17 @@ def decision_list(df: DataFrame, group_cols: list[str], id_col: str = "udId", ac
     return grouped.withColumn(out, ordered).drop("_items")
 
 
+def decision_positions(df: DataFrame, group_cols: list[str], id_col: str = "udId", acc_col: str = "udAcc",
+                       tie_col: str | None = None, numeric: bool = False, out: str = "position") -> DataFrame:
+    """Long form of ``decision_list``: one row per non-null decision with its
+    1-based position in the group's list (same order).  Skew-safe: no group is
+    gathered into one task or one value, so it suits groups of any size."""
+    acc = F.col(acc_col).cast("double") if numeric else F.col(acc_col)
+    order = [acc.desc_nulls_last()] + ([F.col(tie_col).asc_nulls_first()] if tie_col else [])
+    kept = df.filter(F.col(id_col).isNotNull())
+    return number_within_groups(kept, group_cols, order, out)
+
+
 def running_decision_count(df: DataFrame, group_cols: list[str], id_col: str = "udId", acc_col: str = "udAcc",
                            out: str = "running_len") -> DataFrame:
     """Length of the running decision list at each row.

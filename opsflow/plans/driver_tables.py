@@ -198,6 +198,11 @@ def q_decision_list(spark, sf_dir):
     return lists.select("c_custkey", F.array_join("usDecCatId", ",").alias("usDecCatId"))
 
 
+def q_decision_positions(spark, sf_dir):
+    g = guarded_decisions(spark, sf_dir).select("event_id", "user_id", "udId", "udAcc")
+    return cat.decision_positions(g, ["user_id"], tie_col="event_id")
+
+
 def q_running_list(spark, sf_dir):
     g = guarded_decisions(spark, sf_dir).select("event_id", "user_id", "udId", "udAcc")
     return cat.running_decision_count(g, ["user_id"]).select("event_id", "user_id", "udAcc", "running_len")

@@ -167,6 +167,11 @@ SELECT c.c_custkey,
                                 FILTER (WHERE g.udId IS NOT NULL), ','), '') AS usDecCatId
 FROM customer c LEFT JOIN g ON c.c_custkey = g.user_id
 GROUP BY c.c_custkey""",
+    "decision_positions": f"""
+WITH {DM}
+SELECT event_id, user_id, udId, udAcc,
+       row_number() OVER (PARTITION BY user_id ORDER BY udAcc DESC NULLS LAST, event_id ASC NULLS FIRST) AS position
+FROM g WHERE udId IS NOT NULL""",
     "running_list": f"""
 WITH {DM}
 SELECT event_id, user_id, udAcc,

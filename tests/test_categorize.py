@@ -135,3 +135,17 @@ def test_categorize_end_to_end(spark):
     assert got["T1"]["usDecCatId"] == ["3", "2"]     # split category ids first, then decisions by accuracy
     assert got["T2"]["counP_Name_TT"] == "C3" and got["T2"]["usDecCatId"] == []
     assert got["T3"]["Var"] == 0 and got["T3"]["catN"] is None
+
+
+def test_decision_positions_match_list_with_hot_group(spark):
+    df = spark.range(0, 3000).select(
+        F.when(F.col("id") < 2000, F.lit(0)).otherwise(F.col("id") % 9).alias("g"),
+        F.when(F.col("id") % 17 == 0, F.lit(None)).otherwise(F.col("id").cast("string")).alias("udId"),
+        (F.col("id") % 23).cast("string").alias("udAcc"), F.col("id").alias("t"))
+    pos = cat.decision_positions(df.repartition(5), ["g"], tie_col="t")
+    lists = {r["g"]: r["usDecCatId"] for r in cat.decision_list(df, ["g"], tie_col="t").collect()}
+    rebuilt = {}
+    for r in pos.collect():
+        rebuilt.setdefault(r["g"], []).append((r["position"], r["udId"]))
+    assert {g: [i for _, i in sorted(v)] for g, v in rebuilt.items()} == {g: v for g, v in lists.items() if v}
+    assert all(sorted(p for p, _ in v) == list(range(1, len(v) + 1)) for v in rebuilt.values())
