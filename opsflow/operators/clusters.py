@@ -50,6 +50,12 @@ def with_runtime(clusters: DataFrame, now: Column) -> DataFrame:
     return clusters.withColumn("runtime", rt)
 
 
+def runtime_order(clusters: DataFrame, tie_cols: list[str] | None = None) -> DataFrame:
+    """``position`` by run time descending, nulls last (ties by ``tie_cols``)."""
+    order = [F.col("runtime").desc_nulls_last()] + [F.col(c) for c in (tie_cols or ["ClusterId"])]
+    return number_rows(clusters, order, "position")
+
+
 def idle_windows(points: DataFrame, now: Column, clusters: DataFrame | None = None, id_col: str = "ClusterId",
                  ts_col: str = "Timestamp", value_col: str = "IsIdle") -> DataFrame:
     """Average idle value per cluster over its lifetime, the last 12 h and the last 3 h

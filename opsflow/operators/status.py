@@ -77,7 +77,8 @@ def history_unpivot(wide: DataFrame, key_cols: list[str], date_cols: list[str])
     """Wide history back to long rows; blank cells are dropped."""
     long = wide.unpivot(key_cols, date_cols, "day_col", "category")
     return (long.filter(F.col("category").isNotNull())
-            .withColumn("report_date", F.to_date(F.substring("day_col", 2, 8), "yyyyMMdd")).drop("day_col"))
+            .withColumn("report_date", F.to_date(F.regexp_extract("day_col", "(\\d{8})", 1), "yyyyMMdd"))
+            .drop("day_col"))
 
 
 def dashboard_order(rows: DataFrame, freq_col: str = "FREQ", mtd_col: str = "mtd",

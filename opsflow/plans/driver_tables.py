@@ -465,13 +465,21 @@ def nation_master(spark, sf_dir) -> DataFrame:
 
 
 def q_daily_status(spark, sf_dir):
+    """Master and raw rows landed as header-less CSV and read by field position."""
     ev = _t(spark, sf_dir, "events").filter(F.to_date("ts") == F.lit(RAW_DAY))
     cu = _t(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = _t(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     raw = (ev.join(cu, ev["user_id"] == cu["c_custkey"]).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
-           .select("event_id", F.when(F.col("event_id") % 2 == 0, F.lower("n_name")).otherwise(F.col("n_name")).alias("usecase"),
-                   event_code().alias("category")))
-    return status.daily_status(nation_master(spark, sf_dir), raw, "usecase", "category", "event_id")
+           .select(F.when(F.col("event_id") % 2 == 0, F.lower("n_name")).otherwise(F.col("n_name")).alias("uc"),
+                   F.lit("10:00"), F.lit("DLY"), F.date_format("ts", "yyyy-MM-dd"), F.date_format("ts", "HH:mm:ss"),
+                   F.col("event_id").cast("string"), F.lit("-"), event_code().alias("category")))
+    master_path, raw_path = scratch_path(spark, "uc_master"), scratch_path(spark, "uc_raw")
+    nation_master(spark, sf_dir).write.option("header", "false").csv(master_path)
+    raw.write.option("header", "false").csv(raw_path)
+    master = files.read_positional_csv(spark, master_path, {"usecase": 1, "SLA": 2, "FREQ": 3})
+    raw_rows = files.read_positional_csv(spark, raw_path, {"usecase": 1, "line_no": 6, "category": 8}) \
+        .withColumn("line_no", F.col("line_no").cast("bigint"))
+    return status.daily_status(master, raw_rows, "usecase", "category", "line_no")
 
 
 def q_code_tally(spark, sf_dir):
@@ -492,7 +500,16 @@ def q_status_matrix(spark, sf_dir):
 
 
 def q_history_unpivot(spark, sf_dir):
-    return status.history_unpivot(matrix(spark, sf_dir), ["usecase"], [status.day_column(d) for d in MATRIX_DAYS])
+    """The wide history file (usecase, SLA, FREQ, MTD, MTD-DL, one column per day,
+    newest first) landed as headered CSV, read back and turned long."""
+    mtd = status.mtd_success(status_long(spark, sf_dir), ["usecase"], RUN_DATE)
+    wide = matrix(spark, sf_dir).join(mtd, "usecase", "left").select(
+        "usecase", F.lit("10:00").alias("SLA"), F.lit("DLY").alias("FREQ"), F.col("mtd").alias("MTD"),
+        F.col("mtd_dl").alias("MTD-DL"), *[F.col(status.day_column(d)).alias(d.strftime("%Y%m%d")) for d in MATRIX_DAYS])
+    path = scratch_path(spark, "history_wide")
+    wide.write.option("header", "true").csv(path)
+    landed = files.read_wide_history(spark, path)
+    return status.history_unpivot(landed, ["usecase"], landed.columns[5:])
 
 
 def user_master(spark, sf_dir) -> DataFrame:
@@ -583,7 +600,8 @@ def q_creator_extract(spark, sf_dir):
 
 
 def q_cluster_runtime(spark, sf_dir):
-    return cl.with_runtime(landed_clusters(spark, sf_dir), _ts(NOW_CLUSTERS)).select("ClusterId", "runtime")
+    rt = cl.with_runtime(landed_clusters(spark, sf_dir), _ts(NOW_CLUSTERS)).select("ClusterId", "runtime")
+    return cl.runtime_order(rt)
 
 
 def q_idle_windows(spark, sf_dir):

@@ -383,10 +383,11 @@ SELECT Username,
             ELSE COALESCE(json_extract_string(doc, '$.responseElements.jobFlowId'), '') END AS ClusterId
 FROM d""",
     "cluster_runtime": f"""
-WITH {CLUSTERS}
-SELECT ClusterId, CASE WHEN ReadyDateTime IS NOT NULL
-                       THEN date_diff('second', ReadyDateTime, COALESCE(EndDateTime, TIMESTAMP '2001-08-01 00:00:00')) END AS runtime
-FROM cd""",
+WITH {CLUSTERS},
+r AS (SELECT ClusterId, CASE WHEN ReadyDateTime IS NOT NULL
+                  THEN date_diff('second', ReadyDateTime, COALESCE(EndDateTime, TIMESTAMP '2001-08-01 00:00:00')) END AS runtime
+      FROM cd)
+SELECT *, row_number() OVER (ORDER BY runtime DESC NULLS LAST, ClusterId ASC NULLS FIRST) AS position FROM r""",
     "idle_windows": IDLE.format(cid="user_id"),
     "cluster_report": f"""
 WITH idle AS ({IDLE.format(cid="'j-' || CAST(user_id AS VARCHAR)")}),

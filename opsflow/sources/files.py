@@ -55,6 +55,20 @@ def read_dated(spark: SparkSession, fmt: str, base: str, indicator: str | None,
     return df.filter(day).drop("year", "month", "day")
 
 
+def read_positional_csv(spark: SparkSession, path: str, fields: dict[str, int], sep: str = ",") -> DataFrame:
+    """Header-less delimited rows, columns picked by 1-based position
+    (``{"usecase": 1, "category": 8}``); missing positions are null."""
+    df = spark.read.option("header", "false").option("sep", sep).csv(path)
+    width = len(df.columns)
+    return df.select(*[(F.col(f"_c{pos - 1}") if pos <= width else F.lit(None).cast("string")).alias(name)
+                       for name, pos in fields.items()])
+
+
+def read_wide_history(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
+    """The wide status history: a header, fixed columns, then one column per day."""
+    return spark.read.option("header", "true").option("sep", sep).csv(path)
+
+
 def read_logs(spark: SparkSession, path: str) -> DataFrame:
     """Log lines with the file they came from (``file_path``, ``file_name``)."""
     return spark.read.text(path).select(

@@ -26,3 +26,8 @@ def overwrite_partitions(df: DataFrame, folder: str, partition_col: str) -> None
     """Replace only the partitions present in ``df``: re-running a day is idempotent."""
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(folder))
+
+
+def export_log_lines(parsed: DataFrame, folder: str, run_date: str, line_col: str = "export_line") -> None:
+    """Append the ``~``-separated export form of the log lines to the run date's folder."""
+    parsed.select(F.col(line_col).alias("value")).write.mode("append").text(f"{folder}/run_date={run_date}")

@@ -59,3 +59,9 @@ def test_idle_windows_and_report(spark):
     assert rep.filter("ClusterId = 'j-1'").first()["ApproxCost"] == 4.0
     none = cl.cluster_report(flat, creators)
     assert none.filter("ClusterId = 'j-2'").first()["idle_pct"] is None
+
+
+def test_runtime_order(spark):
+    flat = cl.with_runtime(_clusters(spark), now())
+    got = [r["ClusterId"] for r in cl.runtime_order(flat).orderBy("position").collect()]
+    assert got == ["j-1", "j-2", ""]          # longest first, never-ready last
