@@ -176,15 +176,15 @@ def enrich_with_tree(df: DataFrame, tree: DataFrame, key: str = "catId") -> Data
     return df.join(tree, [key], "left")
 
 
-def categorize(batch: DataFrame, decisions: DataFrame, tree: DataFrame, txn_keys: list[str],
-               join_key: str, decision_key: str | None = None, tie_col: str | None = None) -> DataFrame:
+def categorize(batch: DataFrame, decisions: DataFrame, tree: DataFrame, join_key: str,
+               decision_key: str | None = None, tie_col: str | None = None) -> DataFrame:
     """Full categorization of one batch of transactions.
 
     ``decisions`` is the raw decision map (``udCat`` JSON, ``cat_id``, optional
     ``dec_cat`` / ``decCatId`` / ``nextBestCat`` / ``nextBest_catId``); it is joined to
-    the valid transactions on ``join_key`` (left), one decision list is built per
-    transaction (``txn_keys``), scores are exploded, the tree is joined, and the
-    set-aside rows are appended.
+    the valid transactions on ``join_key`` (left) after one decision list is built
+    per key, scores are exploded, the tree is joined, and the set-aside rows are
+    appended.
     """
     flagged = completeness(batch)
     valid, invalid = split_valid(flagged)
@@ -192,16 +192,13 @@ def categorize(batch: DataFrame, decisions: DataFrame, tree: DataFrame, txn_keys
     dm = prepare_decision_map(decisions)
     dm = dm.withColumn("udId", guard_decision("udId", "cat_id"))
     dkey = decision_key or join_key
-    dm = dm.withColumnRenamed(dkey, "_dkey")
-    keys = valid.select(*txn_keys, join_key)
-    pairs = keys.join(dm, keys[join_key].eqNullSafe(dm["_dkey"]), "left")
-    extra = [c for c in ("cat_id", "dec_cat", "decCatId", "nextBestCat", "nextBest_catId") if c in pairs.columns]
-    lists = decision_list(pairs, txn_keys, tie_col=tie_col,
-                          extra_aggs=[F.first(c, ignorenulls=True).alias(c) for c in extra])
-    lists = lists.select(*[F.col(k).alias(f"_t{i}") for i, k in enumerate(txn_keys)],
-                         *[c for c in lists.columns if c not in txn_keys])
-    cond = [valid[k].eqNullSafe(lists[f"_t{i}"]) for i, k in enumerate(txn_keys)]
-    per_txn = valid.join(lists, cond, "left").drop(*[f"_t{i}" for i in range(len(txn_keys))])
+    # A transaction's list depends only on the map rows of its key: build one list
+    # per key first, then join many-to-one (no transaction x decision pairs).
+    extra = [c for c in ("cat_id", "dec_cat", "decCatId", "nextBestCat", "nextBest_catId") if c in dm.columns]
+    per_key = decision_list(dm.withColumnRenamed(dkey, "_dkey"), ["_dkey"], tie_col=tie_col,
+                            extra_aggs=[F.first(c, ignorenulls=True).alias(c) for c in extra])
+    per_txn = valid.join(per_key, valid[join_key].eqNullSafe(per_key["_dkey"]), "left").drop("_dkey")
+    per_txn = per_txn.withColumn("usDecCatId", arrays.empty_if_null(F.col("usDecCatId")))
     if "cat_id" not in per_txn.columns:
         per_txn = per_txn.withColumn("cat_id", F.lit(None).cast("string"))
     cands = candidate_set(per_txn)

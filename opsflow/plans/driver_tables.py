@@ -191,11 +191,11 @@ def q_decision_guard(spark, sf_dir):
 
 
 def q_decision_list(spark, sf_dir):
+    """Lists built once per user, then every customer joined to its list (many-to-one)."""
     cu = _t(spark, sf_dir, "customer").select("c_custkey")
-    g = guarded_decisions(spark, sf_dir)
-    j = cu.join(g, cu["c_custkey"] == g["user_id"], "left")
-    lists = cat.decision_list(j, ["c_custkey"], tie_col="event_id")
-    return lists.select("c_custkey", F.array_join("usDecCatId", ",").alias("usDecCatId"))
+    lists = cat.decision_list(guarded_decisions(spark, sf_dir), ["user_id"], tie_col="event_id")
+    j = cu.join(lists, cu["c_custkey"] == lists["user_id"], "left")
+    return j.select("c_custkey", F.coalesce(F.array_join("usDecCatId", ","), F.lit("")).alias("usDecCatId"))
 
 
 def q_decision_positions(spark, sf_dir):

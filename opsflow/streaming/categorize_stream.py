@@ -37,7 +37,7 @@ def batch_processor(feed: feeds.FeedConfig, sink: Callable[[DataFrame, int], Non
             kept = latest.latest_messages(batch, keys, order)
             if feed.categorized:
                 decisions, tree = load_masters(batch.sparkSession)
-                out = cat.categorize(kept, decisions, tree, txn_keys=keys, join_key=join_key)
+                out = cat.categorize(kept, decisions, tree, join_key=join_key)
                 out = feeds.rename_output(out)
             else:
                 out = feeds.default_category(kept, "amount")

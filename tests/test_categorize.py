@@ -129,7 +129,7 @@ def test_categorize_end_to_end(spark):
         ("T1", '{"catIdEdit": "3", "accOfDec": "95"}', "3", ['{"catId": "3", "score": "1"}']),
     ], "tranI string, udCat string, cat_id string, dec_cat array<string>")
     tree = spark.createDataFrame([("3", "Food")], "catId string, catN string")
-    out = cat.categorize(batch, dm, tree, txn_keys=["tranI"], join_key="tranI")
+    out = cat.categorize(batch, dm, tree, join_key="tranI")
     got = {r["tranI"]: r for r in out.collect()}
     assert got["T1"]["counP_Name_TT"] == "SHOP" and got["T1"]["catN"] == "Food"
     assert got["T1"]["usDecCatId"] == ["3", "2"]     # split category ids first, then decisions by accuracy
