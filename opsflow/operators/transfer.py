@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..functions import wall_clock
 from ..sources import files, jdbc
 
 
@@ -108,7 +109,7 @@ def transfer_table(spark: SparkSession, row, dest: Destination, process_name: st
     src = files.read_dated(spark, row.SOURCE_TYPE, row.STORAGE_LOCATION, row.M_INDICATOR, run_date)
     out = project(spark, src, row.COLUMN_LIST, row.WHERE_CLAUSE)
     one = spark.range(1).select(F.lit(row.DEST_TABLE_NAME).alias("TableName"), F.lit(process_name).alias("p"))
-    ts = F.lit(processed_at).cast("timestamp_ntz")
+    ts = wall_clock(processed_at)
     for status in (C.AUDIT_STARTED,):
         jdbc.write_table(audit_rows(one, status, load_date, ts), dest.url, row.DEST_AUDIT_TABLENAME, "append",
                          options=dest.options)

@@ -1,8 +1,7 @@
 """Independent SQL for each bound query (DuckDB dialect, tables as views).
 
 Each statement restates the query's semantics directly on the driver tables;
-column names and types match the Spark result.  Queries absent here are
-checked by row count only (see README).
+column names and types match the Spark result.
 """
 
 from __future__ import annotations
@@ -124,7 +123,7 @@ FROM (SELECT *, rank() OVER (PARTITION BY trim(CAST(user_id AS VARCHAR)), trim(e
                              ORDER BY CAST(ts AS DATE) DESC) AS r FROM events)
 WHERE r = 1""",
     # ---------------------------------------------------------------- categorization
-    "completeness": f"WITH {TXN} SELECT o_orderkey, tranI, Var FROM t",
+    "completeness": f"WITH {TXN} SELECT o_orderkey, Var FROM t",
     "invalid_union": f"""
 WITH {TXN}
 SELECT t.o_orderkey, t.Var, CAST(c.c_nationkey AS VARCHAR) AS catId, n.n_name AS catN
@@ -211,6 +210,13 @@ SELECT CAST(user_id AS VARCHAR) AS key,
        '{"event_id":' || CAST(event_id AS VARCHAR) || ',"ts":"' || strftime(ts, '%Y-%m-%d %H:%M:%S.%f')
        || '","user_id":' || CAST(user_id AS VARCHAR) || ',"event_type":"' || event_type
        || '","value":' || CAST(value AS VARCHAR) || ',"props":' || props || '}' AS value
+FROM events""",
+    "envelope_structured": """
+SELECT CAST(user_id AS VARCHAR) AS key,
+       '{"event_id":' || CAST(event_id AS VARCHAR) || ',"ts":"' || strftime(ts, '%Y-%m-%d %H:%M:%S.%f')
+       || '","user_id":' || CAST(user_id AS VARCHAR) || ',"event_type":"' || event_type
+       || '","value":' || CAST(value AS VARCHAR) || ',"props":{"k":'
+       || COALESCE(CAST(CAST(json_extract(props, '$.k') AS INTEGER) AS VARCHAR), 'null') || '}}' AS value
 FROM events""",
     # ---------------------------------------------------------------- streams
     "stream_latest": """

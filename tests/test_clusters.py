@@ -1,3 +1,4 @@
+from opsflow.functions import wall_clock
 import datetime as dt
 
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ T = dt.datetime
 
 
 def now():
-    return F.lit(T(2024, 1, 30)).cast("timestamp_ntz")
+    return wall_clock(T(2024, 1, 30))
 
 
 def _clusters(spark):

@@ -1,3 +1,4 @@
+from opsflow.functions import wall_clock
 import datetime as dt
 
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ def test_two_batches_do_not_deduplicate_across_batches(spark):
         (1, T(2024, 1, 1, 10), 7, "click", 1.0, "{}"), (2, T(2024, 1, 2, 10), 7, "click", 1.0, "{}"),
         (3, T(2024, 1, 20, 10), 7, "click", 1.0, "{}"), (4, T(2024, 1, 20, 11), 7, "click", 1.0, "{}"),
     ], "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string")
-    out = cs.run_file_stream_latest(spark, ev, F.lit(T(2024, 1, 16)).cast("timestamp_ntz"))
+    out = cs.run_file_stream_latest(spark, ev, wall_clock(T(2024, 1, 16)))
     got = sorted((r["event_id"], r["batch_id"]) for r in out.collect())
     assert got == [(2, 0), (3, 1), (4, 1)]      # same key kept again in the later batch; ties by day kept
 

@@ -1,3 +1,4 @@
+from opsflow.functions import wall_clock
 import datetime as dt
 import os
 import tempfile
@@ -87,7 +88,7 @@ def test_transfer_table_with_derby(spark):
 
 def test_audit_and_error_rows(spark):
     t = spark.createDataFrame([("tbl", "p")], "TableName string, p string")
-    a = transfer.audit_rows(t, "Started", F.lit(dt.date(2024, 1, 1)), F.lit(dt.datetime(2024, 1, 1, 1)).cast("timestamp_ntz"),
+    a = transfer.audit_rows(t, "Started", F.lit(dt.date(2024, 1, 1)), wall_clock(dt.datetime(2024, 1, 1, 1)),
                             process_col="p")
     assert a.columns == ["TableName", "process_name", "LoadDate", "Status", "ProcessDateTime"]
     e = spark.createDataFrame([("t", "it's \"bad\"")], "t string, m string").withColumn("ts", F.current_timestamp())
