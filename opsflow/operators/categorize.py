@@ -181,7 +181,8 @@ def categorize(batch: DataFrame, decisions: DataFrame, tree: DataFrame, join_key
     """Full categorization of one batch of transactions.
 
     ``decisions`` is the raw decision map (``udCat`` JSON, ``cat_id``, optional
-    ``dec_cat`` / ``decCatId`` / ``nextBestCat`` / ``nextBest_catId``); it is joined to
+    ``dec_cat`` / ``decCatId`` / ``nextBestCat`` / ``nextBest_catId`` /
+    ``nextBest0`` + ``catWt0``); it is joined to
     the valid transactions on ``join_key`` (left) after one decision list is built
     per key, scores are exploded, the tree is joined, and the set-aside rows are
     appended.
@@ -193,15 +194,18 @@ def categorize(batch: DataFrame, decisions: DataFrame, tree: DataFrame, join_key
     dm = dm.withColumn("udId", guard_decision("udId", "cat_id"))
     dkey = decision_key or join_key
     # A transaction's list depends only on the map rows of its key: build one list
-    # per key first, then join many-to-one (no transaction x decision pairs).
-    extra = [c for c in ("cat_id", "dec_cat", "decCatId", "nextBestCat", "nextBest_catId") if c in dm.columns]
-    per_key = decision_list(dm.withColumnRenamed(dkey, "_dkey"), ["_dkey"], tie_col=tie_col,
-                            extra_aggs=[F.first(c, ignorenulls=True).alias(c) for c in extra])
+    # per key first, then join many-to-one (no transaction x decision pairs).  Map
+    # attributes (category ids, score arrays) belong to the key, so they group too.
+    attrs = [c for c in ("cat_id", "dec_cat", "decCatId", "nextBestCat", "nextBest_catId", "nextBest0", "catWt0")
+             if c in dm.columns]
+    per_key = decision_list(dm.withColumnRenamed(dkey, "_dkey"), ["_dkey", *attrs], tie_col=tie_col)
     per_txn = valid.join(per_key, valid[join_key].eqNullSafe(per_key["_dkey"]), "left").drop("_dkey")
     per_txn = per_txn.withColumn("usDecCatId", arrays.empty_if_null(F.col("usDecCatId")))
     if "cat_id" not in per_txn.columns:
         per_txn = per_txn.withColumn("cat_id", F.lit(None).cast("string"))
     cands = candidate_set(per_txn)
+    if {"nextBest0", "catWt0"} <= set(cands.columns):
+        cands = cands.withColumn("nextBest0", score_json("nextBest0", "catWt0"))
     if "dec_cat" in cands.columns:
         cands = explode_scores(cands)
     enriched = enrich_with_tree(cands.withColumn("catId", F.col("cat_id")), tree, "catId")

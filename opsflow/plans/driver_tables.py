@@ -34,6 +34,7 @@ DATED_DAY = dt.date(2024, 1, 15)                       # day read from the dated
 STREAM_SPLIT = dt.datetime(2024, 1, 16)                # first / second stream batch
 NOW_CLUSTERS = dt.datetime(2001, 8, 1, 0, 0, 0)        # "now" for cluster documents
 AUDIT_TS = dt.datetime(2024, 1, 30, 23, 30, 0)
+TXN_SPLIT = dt.datetime(1998, 6, 1)                    # first / second transaction batch
 MATRIX_DAYS = [RUN_DATE - dt.timedelta(days=i) for i in range(7)]   # newest first
 WANTED_PROCESS = "P~CC~BRAND2"
 COST_RATE = 0.25
@@ -256,6 +257,52 @@ def q_tree_enrich(spark, sf_dir):
     return cat.enrich_with_tree(cu, tree, "catId").select("c_custkey", "catId", "catN", "catRegion")
 
 
+def categorize_inputs(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Transactions (orders left-joined to events, some incomplete), the decision
+    map from events keyed by user (category = the user's nation), and the nation
+    tree."""
+    o = _t(spark, sf_dir, "orders")
+    e = _t(spark, sf_dir, "events")
+    txn = o.join(e, o["o_orderkey"] == e["event_id"], "left").select(
+        F.col("o_orderkey"), F.col("o_custkey").alias("accIdent"), F.col("o_orderdate").alias("tranDt"),
+        F.col("o_totalprice").alias("cost"), F.col("event_id").alias("tranI"),
+        F.concat(F.col("event_type"), F.lit("/"), F.col("o_orderpriority"), F.lit("~"), F.col("props")).alias("tranT"),
+        F.when(F.col("o_orderpriority").startswith("2"), F.lit("Bill")).otherwise(F.lit("Others")).alias("payType"))
+    cu = _t(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    dm = decision_map(spark, sf_dir).drop("cat_id")
+    dm = dm.join(cu, dm["user_id"] == cu["c_custkey"]).select(
+        "event_id", "user_id", "udCat", "m_c", F.col("c_nationkey").cast("string").alias("cat_id"))
+    tree = _t(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("string").alias("catId"),
+                                               F.col("n_name").alias("catN"))
+    return txn, dm, tree
+
+
+def categorized_view(out: DataFrame) -> DataFrame:
+    return out.select("o_orderkey", "Var", "TT_0", "counP_Name_TT",
+                      F.array_join("usDecCatId", ",").alias("usDecCatId"),
+                      arrays.sorted_text(F.col("setNext")).alias("setNext"), "catId", "catN")
+
+
+def q_categorize_batch(spark, sf_dir):
+    txn, dm, tree = categorize_inputs(spark, sf_dir)
+    out = cat.categorize(txn, dm, tree, join_key="accIdent", decision_key="user_id", tie_col="event_id")
+    return categorized_view(out)
+
+
+def q_stream_categorize(spark, sf_dir):
+    """Transactions arrive in two micro-batches (orders before / from mid-1998)."""
+    txn, _, _ = categorize_inputs(spark, sf_dir)
+
+    def masters(s):
+        _, dm, tree = categorize_inputs(s, sf_dir)
+        return dm, tree
+
+    return categorize_stream.run_file_stream_categorize(
+        spark, txn, _ts(TXN_SPLIT), masters, keys=["tranI", "cost", "tranT"], order="tranDt",
+        join_key="accIdent", decision_key="user_id", tie_col="event_id",
+        project=lambda out: categorized_view(out))
+
+
 # ============================================================ envelope
 def q_envelope(spark, sf_dir):
     ev = _t(spark, sf_dir, "events")

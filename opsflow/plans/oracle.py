@@ -410,3 +410,67 @@ SELECT *, row_number() OVER (ORDER BY NormalizedInstanceHours DESC NULLS LAST, C
                              Username ASC NULLS FIRST) AS position
 FROM r""",
 }
+
+
+def _categorize_sql(latest: bool) -> str:
+    """The categorization pipeline on orders left-joined to events; with
+    ``latest``, rows arrive in two batches and the latest message per key is kept
+    per batch first."""
+    batch = "CAST(CASE WHEN o.o_orderdate < TIMESTAMP '1998-06-01' THEN 0 ELSE 1 END AS BIGINT)"
+    src = f"""base AS (
+  SELECT o.o_orderkey, o.o_custkey AS accIdent, o.o_orderdate AS tranDt, o.o_totalprice AS cost, e.event_id AS tranI,
+         e.event_type || '/' || o.o_orderpriority || '~' || e.props AS tranT1,
+         CASE WHEN starts_with(o.o_orderpriority, '2') THEN 'Bill' ELSE 'Others' END AS payType,
+         {batch} AS batch_id
+  FROM orders o LEFT JOIN events e ON o.o_orderkey = e.event_id),"""
+    if latest:
+        src += """
+lt AS (SELECT * FROM (SELECT *, rank() OVER (PARTITION BY batch_id, trim(CAST(tranI AS VARCHAR)),
+                                            trim(CAST(cost AS VARCHAR)), trim(tranT1) ORDER BY tranDt DESC) AS r
+                      FROM base) WHERE r = 1),"""
+    rows = "lt" if latest else "base"
+    extra = ", batch_id" if latest else ""
+    return f"""
+WITH {src}
+t AS (
+  SELECT *, CASE WHEN accIdent IS NULL OR tranDt IS NULL OR cost IS NULL OR tranI IS NULL OR tranT1 IS NULL
+                 THEN 0 ELSE 1 END AS Var
+  FROM {rows}),
+v AS (SELECT *, regexp_replace(upper(tranT1), '\\s+', ' ', 'g') AS tranT FROM t WHERE Var = 1),
+w AS (SELECT *, string_split_regex(tranT, '/|~') AS ws FROM v),
+tt AS (SELECT *, ws[1] AS TT_0, ws[2] AS TT_1, ws[3] AS TT_2, ws[4] AS TT_3 FROM w),
+cp AS (
+  SELECT *, CASE WHEN regexp_matches(TT_0, '^U') THEN ''
+                 WHEN regexp_matches(TT_0, '^A') THEN TT_1
+                 WHEN regexp_matches(TT_0, '^M') THEN TT_3
+                 WHEN regexp_matches(TT_0, '^E') THEN TT_2
+                 WHEN regexp_matches(TT_0, '^C') THEN TT_1
+                 WHEN regexp_matches(TT_0, '^B') THEN TT_1
+                 WHEN regexp_matches(TT_0, '^N') THEN TT_2
+                 WHEN regexp_matches(TT_0, '^I') THEN TT_3
+                 WHEN regexp_matches(lower(payType), '^remit') THEN ''
+                 WHEN lower(payType) = 'bill' AND TT_1 = 'AP' THEN TT_3
+                 WHEN lower(payType) = 'others' AND regexp_matches(tranT, '^(C|I|S)') THEN TT_0
+                 ELSE '' END AS counP_Name_TT
+  FROM tt),
+m AS (
+  SELECT e.event_id, e.user_id, json_extract_string(e.props, '$.k') AS k,
+         CAST(CAST(round(e.value) AS INTEGER) AS VARCHAR) AS udAcc, CAST(c.c_nationkey AS VARCHAR) AS cat_id
+  FROM events e JOIN customer c ON e.user_id = c.c_custkey),
+g AS (SELECT *, CASE WHEN k IN {OTHERS} OR ((k IN {IN_CAT}) <> (cat_id IN {IN_CAT})) THEN NULL ELSE k END AS udId FROM m),
+l AS (
+  SELECT user_id, cat_id,
+         COALESCE(list(udId ORDER BY udAcc DESC NULLS LAST, event_id) FILTER (WHERE udId IS NOT NULL), []) AS lst
+  FROM g GROUP BY user_id, cat_id),
+d AS (SELECT user_id, cat_id, list_concat([cat_id], lst) AS cand, list_distinct(list_concat([cat_id], lst)) AS dset FROM l)
+SELECT cp.o_orderkey, cp.Var, cp.TT_0, cp.counP_Name_TT,
+       COALESCE(array_to_string(list_filter(d.cand, lambda x, i: list_position(d.cand, x) = i), ','), '') AS usDecCatId,
+       COALESCE(array_to_string(list_sort(d.dset), ','), '') AS setNext,
+       d.cat_id AS catId, n.n_name AS catN{extra.replace('batch_id', 'cp.batch_id')}
+FROM cp LEFT JOIN d ON cp.accIdent = d.user_id LEFT JOIN nation n ON d.cat_id = CAST(n.n_nationkey AS VARCHAR)
+UNION ALL
+SELECT o_orderkey, Var, NULL, NULL, NULL, NULL, NULL, NULL{extra} FROM t WHERE Var = 0"""
+
+
+SQL["categorize_batch"] = _categorize_sql(latest=False)
+SQL["stream_categorize"] = _categorize_sql(latest=True)

@@ -69,13 +69,14 @@ def partition_sink(folder: str) -> Callable[[DataFrame, int], None]:
 
 
 def _run_two_batches(spark: SparkSession, events: DataFrame, split: Column,
-                     per_batch: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Land events in two steps and run an ``availableNow`` file stream after each,
-    so the two halves arrive as two micro-batches of one query."""
+                     per_batch: Callable[[DataFrame], DataFrame], time_col: str = "ts") -> DataFrame:
+    """Land rows in two steps (before / from ``split`` on ``time_col``) and run an
+    ``availableNow`` file stream after each, so the two halves arrive as two
+    micro-batches of one query."""
     root = scratch_path(spark, "stream")
     src, out, ckpt = f"{root}/in", f"{root}/out", f"{root}/ckpt"
     sink = partition_sink(out)
-    for part in (events.filter(F.col("ts") < split), events.filter(F.col("ts") >= split)):
+    for part in (events.filter(F.col(time_col) < split), events.filter(F.col(time_col) >= split)):
         part.write.mode("append").parquet(src)
         stream = messages.read_file_stream(spark, src, events.schema, glob="part-*.parquet")
         q = (stream.writeStream.option("checkpointLocation", ckpt).trigger(availableNow=True)
@@ -103,3 +104,17 @@ def run_file_stream_enrich(spark: SparkSession, events: DataFrame, split: Column
         j = kept.join(accounts, kept["user_id"] == accounts["c_custkey"], "left").drop("c_custkey")
         return cat.enrich_with_tree(j, tree, "catId").select("event_id", "user_id", "event_type", "catId", "catN")
     return _run_two_batches(spark, events, split, per_batch)
+
+
+def run_file_stream_categorize(spark: SparkSession, transactions: DataFrame, split: Column,
+                               load_masters: Callable[[SparkSession], tuple[DataFrame, DataFrame]],
+                               keys: list[str], order: str, join_key: str, decision_key: str,
+                               tie_col: str | None, project: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Per micro-batch: latest message per transaction key, then the full
+    categorization with masters re-read for the batch; ``project`` shapes the output."""
+    def per_batch(df: DataFrame) -> DataFrame:
+        decisions, tree = load_masters(df.sparkSession)
+        kept = latest.latest_messages(df, keys, order)
+        out = cat.categorize(kept, decisions, tree, join_key=join_key, decision_key=decision_key, tie_col=tie_col)
+        return project(out)
+    return _run_two_batches(spark, transactions, split, per_batch, time_col=order)
