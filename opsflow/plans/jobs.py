@@ -114,11 +114,11 @@ def transfer_ready(spark: SparkSession, state: DataFrame, manifest_path: str, de
     """Transfer the manifest rows of every pending, ready process; returns the
     tables loaded.  The chosen manifest rows are configuration and are read to
     the driver; each table is its own Spark job."""
-    ready = [r["process_key"] for r in state.filter(F.col("pending") & F.col("ready")).select("process_key").collect()]
+    ready = state.filter(F.col("pending") & F.col("ready")).select(F.lower("process_key").alias("_p"), "process_key")
     manifest = files.read_manifest(spark, manifest_path)
+    chosen = manifest.join(ready, F.lower(F.col("PROCESS_NAME")) == F.col("_p")).drop("_p")
     loaded = []
-    for process in ready:
-        for row in transfer.select_process(manifest, process).collect():
-            if transfer.transfer_table(spark, row, dest, process, today, processed_at, previous_day_processes):
-                loaded.append(row.DEST_TABLE_NAME)
+    for row in chosen.orderBy("process_key", "DEST_TABLE_NAME").collect():     # configuration rows, one collect
+        if transfer.transfer_table(spark, row, dest, row.process_key, today, processed_at, previous_day_processes):
+            loaded.append(row.DEST_TABLE_NAME)
     return loaded
