@@ -82,7 +82,7 @@ def readiness(wanted: DataFrame, markers: DataFrame, marker_col: str = "marker")
     found = (m.select(F.explode(F.transform(cuts, lambda n: F.left(F.col("_m"), n))).alias("_prefix"))
              .distinct().withColumn("_hit", F.lit(True)))
     joined = w.join(found, "_prefix", "left")
-    needs = F.lower(F.coalesce(F.col("indicator"), F.lit(""))) == C.READY_ON_MARKER_INDICATOR
+    needs = F.coalesce(F.col("indicator"), F.lit("")) == C.READY_ON_MARKER_INDICATOR     # exact case
     ready = F.when(needs, F.coalesce(F.col("_hit"), F.lit(False))).otherwise(F.lit(True))
     return joined.withColumn("ready", ready).drop("_prefix", "_hit")
 

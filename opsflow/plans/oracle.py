@@ -294,7 +294,7 @@ m AS (
   FROM lineitem JOIN part ON l_partkey = p_partkey
   WHERE l_shipdate >= TIMESTAMP '1998-01-01' AND l_shipdate < TIMESTAMP '1998-02-01')
 SELECT p_partkey, process_key, indicator,
-       CASE WHEN lower(COALESCE(indicator, '')) = 't'
+       CASE WHEN COALESCE(indicator, '') = 't'
             THEN EXISTS (SELECT 1 FROM m WHERE starts_with(m.marker, w.prefix)) ELSE TRUE END AS ready
 FROM w""",
     "pending": """

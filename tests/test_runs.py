@@ -16,13 +16,14 @@ def test_parse_process_key(spark):
 
 def test_readiness_prefix_semantics(spark):
     wanted = spark.createDataFrame([("p", "cc", "table1", "t"), ("p", "cc", "table2", "t"), ("p", "cc", "table3", "M"),
-                                    ("p", "cc", "table4", None), ("q", "cc", "table1", "T")],
+                                    ("p", "cc", "table4", None), ("q", "cc", "table1", "T"),
+                                    ("q", "cc", "table5", "T")],
                                    "src string, db string, tbl string, indicator string")
     markers = spark.createDataFrame([("success-p-cc-table10-20240101",), ("success-q-cc-table1",), ("other",)],
                                     "marker string")
     out = rows(runs.readiness(wanted, markers), "src", "tbl", "ready")
     assert out == [("p", "table1", True), ("p", "table2", False), ("p", "table3", True), ("p", "table4", True),
-                   ("q", "table1", True)]
+                   ("q", "table1", True), ("q", "table5", True)]      # only lower-case t waits for a marker
 
 
 def test_list_markers_reads_names_only(spark):
