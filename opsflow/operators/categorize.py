@@ -208,5 +208,6 @@ def categorize(batch: DataFrame, decisions: DataFrame, tree: DataFrame, join_key
         cands = cands.withColumn("nextBest0", score_json("nextBest0", "catWt0"))
     if "dec_cat" in cands.columns:
         cands = explode_scores(cands)
-    enriched = enrich_with_tree(cands.withColumn("catId", F.col("cat_id")), tree, "catId")
+    # the category id is the tree key (the output rename of cat_id -> catId is then a no-op)
+    enriched = enrich_with_tree(cands.withColumnRenamed("cat_id", "catId"), tree, "catId")
     return union_invalid(enriched, invalid)

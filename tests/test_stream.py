@@ -25,3 +25,40 @@ def test_batch_processor_feed_b(spark):
                                   "tranId string, amount string, tranText string, msg_time int, accId string")
     proc(batch, 0)
     assert len(seen[0]) == 1 and '"catId":"956"' in seen[0][0]["value"] and seen[0][0]["key"] == "acc1"
+
+
+def test_feed_a_stream_end_to_end(spark):
+    import json
+
+    from opsflow.operators.feeds import FeedConfig
+    from opsflow.session import scratch_path
+    from opsflow.sources import messages
+
+    T = dt.datetime
+    schema = ("tranId string, amount string, tranText string, msg_time timestamp_ntz, accId string, "
+              "accIdent string, tranDt string, cost string, tranT string, tranI string, payType string")
+    rows = [
+        ("t1", "10", "CX/shop", T(2024, 1, 1, 9), "acc1", "acc1", "d", "10", "CX/shop/x", "T1", "others"),
+        ("t1", "10", "CX/shop", T(2024, 1, 1, 10), "acc1", "acc1", "d", "10", "CX/shop/y", "T1", "others"),  # later copy
+        ("t2", "-5", "MX", T(2024, 1, 1, 9), "acc2", None, "d", "-5", "MX/a/b/c", "T2", "bill"),          # incomplete
+    ]
+    root = scratch_path(spark, "t_feedA")
+    spark.createDataFrame(rows, schema).write.parquet(f"{root}/in")
+
+    def masters(s):
+        dm = s.createDataFrame([("T1", '{"catIdEdit": "3", "accOfDec": "9"}', "3")], "tranI string, udCat string, cat_id string")
+        tree = s.createDataFrame([("3", "Food")], "catId string, catN string")
+        return dm, tree
+
+    sink = cs.partition_sink(f"{root}/out")
+    proc = cs.batch_processor(FeedConfig("A", "i", "o", "g"), sink, masters, keys=["tranId", "amount", "tranText"],
+                              join_key="tranI")
+    q = (messages.read_file_stream(spark, f"{root}/in", schema, glob="part-*.parquet").writeStream
+         .option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True).foreachBatch(proc).start())
+    q.awaitTermination()
+    out = {r["key"]: json.loads(r["value"]) for r in spark.read.parquet(f"{root}/out").collect()}
+    assert set(out) == {"acc1", "acc2"}
+    a = out["acc1"]
+    assert a["tranT1"] == "CX/shop/y" and a["catN"] == "Food" and a["counP_Name_TT"] == "SHOP"
+    assert a["isCat"] == 1 and a["catId"] == "3" and a["merchN"] == "" and a["usDecCatId"] == ["3"]
+    assert out["acc2"]["isCat"] == 0 and out["acc2"]["catN"] is None
