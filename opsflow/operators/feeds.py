@@ -14,6 +14,18 @@ from pyspark.sql.types import StringType, StructType
 from .. import config as C
 
 
+# Message schemas per feed (our own: the source's schema module is absent).
+# Feed C lacks the six columns of ``config.FEED_C_MISSING``; they are padded.
+_COMMON = ("tranId string, tranText string, accId string, amount decimal(18,2), accIdent string, tranDt string, "
+           "cost string, tranT string, tranI string, payType string")
+_PAPER = "paperNum string, due string, jour string, merch string, location string, bCode string"
+FEED_SCHEMAS = {
+    "A": f"{_COMMON}, {_PAPER}",
+    "B": f"{_COMMON}, {_PAPER}",
+    "C": _COMMON,
+}
+
+
 @dataclass(frozen=True)
 class FeedConfig:
     """One feed: its input topic, output topic, consumer group and schema."""
@@ -24,6 +36,10 @@ class FeedConfig:
     group_id: str
     schema: StructType | str | None = None
 
+    @property
+    def message_schema(self) -> StructType | str:
+        return self.schema if self.schema is not None else FEED_SCHEMAS[self.name]
+
     @property
     def categorized(self) -> bool:
         """Feeds A and C go through categorization; B gets the default category."""

@@ -52,7 +52,7 @@ def start_feed(spark: SparkSession, feed: feeds.FeedConfig, servers: str, sink:
                load_masters, checkpoint: str | None = None) -> StreamingQuery:
     """Kafka feed: parse, pad, then the batch processor; a checkpoint is required."""
     raw = feeds.raw_messages(messages.read_kafka_stream(spark, servers, feed.input_topic, feed.group_id))
-    parsed = feeds.pad_columns(feeds.parse_messages(raw, feed.schema), feed.name)
+    parsed = feeds.pad_columns(feeds.parse_messages(raw, feed.message_schema), feed.name)
     return (parsed.writeStream.outputMode("append")
             .option("checkpointLocation", checkpoint or scratch_path(spark, f"ckpt-{feed.name}"))
             .foreachBatch(batch_processor(feed, sink, load_masters)).start())

@@ -48,3 +48,16 @@ def test_route(spark):
     out = feeds.route(df, F.col("f"), cfg)
     assert rows(out, "f", "output_topic", "branch") == [
         ("A", "A_out", "categorize"), ("B", "B_out", "default"), ("C", "C_out", "categorize"), (None, None, None)]
+
+
+def test_feed_schemas_parse_and_pad(spark):
+    from opsflow.operators.feeds import FeedConfig
+    msg = ('{"tranId": "t1", "tranText": "x", "accId": "a1", "amount": -12.5, "accIdent": "a1", "tranDt": "d", '
+           '"cost": "1", "tranT": "CX/y", "tranI": "i1", "payType": "others"}')
+    raw = spark.createDataFrame([("2024-01-01 10:00:00", msg)], "msg_time string, val_str string")
+    for name in "ABC":
+        fc = FeedConfig(name, "i", "o", "g")
+        out = feeds.pad_columns(feeds.parse_messages(raw, fc.message_schema), name)
+        r = out.first()
+        assert r["amtId"] == 1 and r["tranT"] == "CX/y" and str(r["amount"]) == "-12.50"
+        assert set(C.FEED_C_MISSING) <= set(out.columns)
