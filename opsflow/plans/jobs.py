@@ -91,13 +91,22 @@ def cluster_report_run(spark: SparkSession, clusters_path: str, events_path: str
     return report
 
 
+def _process_of(file_path: str = "file_path", file_name: str = "file_name"):
+    """Process key of a log file: a ``process=<key>`` folder, else the file name
+    without extension."""
+    from_dir = F.url_decode(F.regexp_extract(F.col(file_path), "process=([^/]+)", 1))
+    return F.when(from_dir != "", from_dir).otherwise(F.regexp_extract(F.col(file_name), "^([^.]+)", 1))
+
+
 def transfer_round(spark: SparkSession, wanted: DataFrame, log_folder: str, marker_folder: str | None,
                    past_deadline: bool) -> tuple[DataFrame, DataFrame]:
     """(per-process state, run status).  ``wanted`` holds ``process_key`` rows;
     completed processes come from the logs, readiness from the marker files."""
-    logs = files.read_logs(spark, log_folder)
-    done = runs.completed_processes(logs, F.regexp_extract("file_name", "^([^.]+)", 1)).withColumnRenamed(
-        "process", "process_key")
+    try:
+        logs = files.read_logs(spark, log_folder)
+        done = runs.completed_processes(logs, _process_of()).withColumnRenamed("process", "process_key")
+    except Exception:  # noqa: BLE001 - no log folder yet: nothing completed
+        done = spark.createDataFrame([], "process_key string")
     pend = runs.pending(wanted, done, "process_key").withColumn("pending", F.lit(True))
     state = wanted.select("process_key").distinct().join(pend, "process_key", "left").select(
         "process_key", F.coalesce("pending", F.lit(False)).alias("pending"), *runs.parse_process_key("process_key"))
@@ -108,17 +117,49 @@ def transfer_round(spark: SparkSession, wanted: DataFrame, log_folder: str, mark
     return state, summary
 
 
+def _log_line(log_id: str, source: str, table: str, stage: str, status_: str, message: str,
+              at: dt.datetime) -> str:
+    fields = [log_id, source, "", "", table, stage, status_, "", message,
+              at.strftime("%Y-%m-%d %H:%M:%S"), at.strftime("%Y-%m-%d")]
+    return C.LOG_SEPARATOR.join(fields)
+
+
 def transfer_ready(spark: SparkSession, state: DataFrame, manifest_path: str, dest: transfer.Destination,
-                   today: dt.date, processed_at: dt.datetime,
-                   previous_day_processes: tuple[str, ...] = ()) -> list[str]:
-    """Transfer the manifest rows of every pending, ready process; returns the
-    tables loaded.  The chosen manifest rows are configuration and are read to
-    the driver; each table is its own Spark job."""
+                   today: dt.date, processed_at: dt.datetime, previous_day_processes: tuple[str, ...] = (),
+                   log_folder: str | None = None, error_folder: str | None = None,
+                   log_id: str = "0", source: str = "BB") -> tuple[list[str], list[str]]:
+    """Transfer the manifest rows of every pending, ready process.
+
+    Returns (tables loaded, tables failed).  The chosen manifest rows are
+    configuration and are read to the driver once; each table is its own Spark
+    job.  A failure is recorded as an error row (``error_folder/<run date>``)
+    and the other tables go on.  With ``log_folder``, ``~#~`` log lines and the
+    completion marker are appended per process, so the next round sees the
+    process as completed.
+    """
     ready = state.filter(F.col("pending") & F.col("ready")).select(F.lower("process_key").alias("_p"), "process_key")
     manifest = files.read_manifest(spark, manifest_path)
     chosen = manifest.join(ready, F.lower(F.col("PROCESS_NAME")) == F.col("_p")).drop("_p")
-    loaded = []
+    loaded, failed, lines, errors = [], [], [], []
     for row in chosen.orderBy("process_key", "DEST_TABLE_NAME").collect():     # configuration rows, one collect
-        if transfer.transfer_table(spark, row, dest, row.process_key, today, processed_at, previous_day_processes):
-            loaded.append(row.DEST_TABLE_NAME)
-    return loaded
+        table = row.DEST_TABLE_NAME
+        try:
+            done = transfer.transfer_table(spark, row, dest, row.process_key, today, processed_at,
+                                           previous_day_processes)
+            if done:
+                loaded.append(table)
+                lines.append((row.process_key, _log_line(log_id, source, table, "Data Transfer", "SUCCESS",
+                                                         "Data Transfer Completed", processed_at)))
+            lines.append((row.process_key, f"{C.COMPLETION_MARKER}{table}"))
+        except Exception as e:  # noqa: BLE001 - recorded, then the next table
+            failed.append(table)
+            errors.append((table, processed_at, str(e)[:2000]))
+            lines.append((row.process_key, _log_line(log_id, source, table, "Data Transfer", "FAILED",
+                                                     str(e).splitlines()[0][:500] if str(e) else "error", processed_at)))
+    if log_folder and lines:
+        (spark.createDataFrame(lines, "process string, value string")
+         .write.mode("append").partitionBy("process").text(log_folder))
+    if error_folder and errors:
+        err = spark.createDataFrame(errors, "TableName string, start_time timestamp_ntz, error string")
+        sinks.append_parquet(err, f"{error_folder}/{today.strftime('%Y%m%d')}")
+    return loaded, failed

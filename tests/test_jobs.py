@@ -82,6 +82,33 @@ def test_transfer_round_and_ready_loads(spark):
                            ("p~cc~t3~t", "d", "parquet", "OUT3", "append", "AUDIT", "M", src, None, None)],
                           ", ".join(f"{c} string" for c in cols)).write.option("header", "true").option("delimiter", "|").csv(mpath)
     dest = transfer.Destination(url, opts, scratch_path(spark, "t_tr_audit"))
-    loaded = jobs.transfer_ready(spark, state, mpath, dest, dt.date(2024, 1, 30), dt.datetime(2024, 1, 30, 23, 30))
-    assert loaded == ["OUT2"]                       # t3 is not ready, t4 has no manifest row
+    logs2, errs = scratch_path(spark, "t_tr_logs"), scratch_path(spark, "t_tr_err")
+    loaded, failed = jobs.transfer_ready(spark, state, mpath, dest, dt.date(2024, 1, 30), dt.datetime(2024, 1, 30, 23, 30),
+                                         log_folder=logs2, error_folder=errs)
+    assert loaded == ["OUT2"] and failed == []      # t3 is not ready, t4 has no manifest row
     assert sorted(r[0] for r in jdbc.read_table(spark, url, "OUT2", opts).collect()) == [3, 4]
+    # next round: the completion line marks t2 as done
+    state2, summary2 = jobs.transfer_round(spark, wanted.filter("process_key = 'p~cc~t2~t'"), logs2, None, False)
+    assert summary2.first()["status"] == "SUCCESS"
+
+
+def test_transfer_ready_records_errors(spark):
+    state = spark.createDataFrame([("p~cc~bad~M", True, True)], "process_key string, pending boolean, ready boolean")
+    mpath = scratch_path(spark, "t_err_manifest")
+    cols = transfer.C.MANIFEST_COLUMNS
+    spark.createDataFrame([("p~cc~bad~M", "d", "parquet", "OUTX", "append", "AUDIT", "M", "/nonexistent/x", None, None)],
+                          ", ".join(f"{c} string" for c in cols)).write.option("header", "true").option("delimiter", "|").csv(mpath)
+    db = os.path.join(tempfile.mkdtemp(prefix="opsflow-derby-"), "db")
+    url, opts = f"jdbc:derby:{db};create=true", {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    jdbc.write_table(spark.createDataFrame([], "TableName string, LoadDate date, Status string, ProcessDateTime timestamp"),
+                     url, "AUDIT", "overwrite",
+                     options={**opts, "createTableColumnTypes": "TableName VARCHAR(128), Status VARCHAR(32)"})
+    errs, logs = scratch_path(spark, "t_err_out"), scratch_path(spark, "t_err_logs")
+    loaded, failed = jobs.transfer_ready(spark, state, mpath, transfer.Destination(url, opts, scratch_path(spark, "t_err_a")),
+                                         dt.date(2024, 1, 30), dt.datetime(2024, 1, 30, 23, 30), log_folder=logs,
+                                         error_folder=errs)
+    assert loaded == [] and failed == ["OUTX"]
+    err = spark.read.parquet(f"{errs}/20240130").first()
+    assert err["TableName"] == "OUTX" and err["error"]
+    _, summary = jobs.transfer_round(spark, state.select("process_key"), logs, None, False)
+    assert summary.first()["status"] == "RUNNING"     # a failed table is still pending
