@@ -76,11 +76,19 @@ def _run_two_batches(spark: SparkSession, events: DataFrame, split: Column,
     root = scratch_path(spark, "stream")
     src, out, ckpt = f"{root}/in", f"{root}/out", f"{root}/ckpt"
     sink = partition_sink(out)
+
+    def run_batch(df: DataFrame, epoch_id: int) -> None:
+        df.persist()                     # the batch is read several times (H2)
+        try:
+            sink(per_batch(df), epoch_id)
+        finally:
+            df.unpersist()
+
     for part in (events.filter(F.col(time_col) < split), events.filter(F.col(time_col) >= split)):
         part.write.mode("append").parquet(src)
         stream = messages.read_file_stream(spark, src, events.schema, glob="part-*.parquet")
         q = (stream.writeStream.option("checkpointLocation", ckpt).trigger(availableNow=True)
-             .foreachBatch(lambda df, eid: sink(per_batch(df), eid)).start())
+             .foreachBatch(run_batch).start())
         q.awaitTermination()
         if q.exception() is not None:
             raise q.exception()
