@@ -198,7 +198,11 @@ def categorize(batch: DataFrame, decisions: DataFrame, tree: DataFrame, join_key
     # attributes (category ids, score arrays) belong to the key, so they group too.
     attrs = [c for c in ("cat_id", "dec_cat", "decCatId", "nextBestCat", "nextBest_catId", "nextBest0", "catWt0")
              if c in dm.columns]
-    per_key = decision_list(dm.withColumnRenamed(dkey, "_dkey"), ["_dkey", *attrs], tie_col=tie_col)
+    dm = dm.withColumnRenamed(dkey, "_dkey")
+    # only the map rows of keys present in this batch (a micro-batch touches few keys)
+    keys = valid.select(F.col(join_key).alias("_bkey")).distinct()
+    dm = dm.join(keys, dm["_dkey"].eqNullSafe(keys["_bkey"]), "left_semi")
+    per_key = decision_list(dm, ["_dkey", *attrs], tie_col=tie_col)
     per_txn = valid.join(per_key, valid[join_key].eqNullSafe(per_key["_dkey"]), "left").drop("_dkey")
     per_txn = per_txn.withColumn("usDecCatId", arrays.empty_if_null(F.col("usDecCatId")))
     if "cat_id" not in per_txn.columns:
