@@ -16,6 +16,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,7 +56,7 @@ def dashboard_run(spark: SparkSession, master_path: str, raw_path: str, history_
     try:
         history = spark.read.parquet(history_folder).filter(F.col("report_date") != F.lit(report_date))
         long = history.select("usecase", "report_date", "category").unionByName(today)
-    except Exception:  # noqa: BLE001 - first run: no history folder yet
+    except AnalysisException:            # first run: no history folder yet
         long = today
     dates = [report_date - dt.timedelta(days=i) for i in range(days)]
     mtd = status.mtd_success(long, ["usecase"], report_date, scope)
@@ -105,7 +106,7 @@ def transfer_round(spark: SparkSession, wanted: DataFrame, log_folder: str, mark
     try:
         logs = files.read_logs(spark, log_folder)
         done = runs.completed_processes(logs, _process_of()).withColumnRenamed("process", "process_key")
-    except Exception:  # noqa: BLE001 - no log folder yet: nothing completed
+    except AnalysisException:            # no log folder yet: nothing completed
         done = spark.createDataFrame([], "process_key string")
     pend = runs.pending(wanted, done, "process_key").withColumn("pending", F.lit(True))
     state = wanted.select("process_key").distinct().join(pend, "process_key", "left").select(
