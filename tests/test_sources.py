@@ -47,3 +47,11 @@ def test_kafka_options():
     o = messages.kafka_source_options("h:9092", "topicA", "g1")
     assert o == {"kafka.bootstrap.servers": "h:9092", "subscribe": "topicA", "startingOffsets": "latest",
                  "kafka.group.id": "g1", "failOnDataLoss": "false"}
+
+
+def test_cluster_settings_sizes_partitions():
+    from opsflow.session import cluster_settings
+    s = cluster_settings(100 * (1 << 40), total_cores=3000)           # 100 TB on 3000 cores
+    assert int(s["spark.sql.shuffle.partitions"]) == 409600           # 256 MB each
+    small = cluster_settings(1 << 30, total_cores=3000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 9000         # three waves of cores
