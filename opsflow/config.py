@@ -90,6 +90,8 @@ COMPLETION_MARKER = "Data Transfer Successful :"
 MARKER_PREFIX = "success"
 READY_ON_MARKER_INDICATOR = "t"
 BASE_PATH_INDICATOR = "m"
+# Processes that read yesterday's dated folder instead of today's.
+PREVIOUS_DAY_PROCESSES = ("ON~CC~30",)
 AUDIT_STARTED = "Started"
 AUDIT_FINISHED = "Finished"
 

@@ -27,7 +27,8 @@ def resolved_location(run_date: Column, base: str = "STORAGE_LOCATION", indicato
     return F.when(ind.isNull() | (F.lower(ind) == C.BASE_PATH_INDICATOR), F.col(base)).otherwise(dated)
 
 
-def run_date_for(process_name: str, today: dt.date, previous_day_processes: tuple[str, ...] = ()) -> dt.date:
+def run_date_for(process_name: str, today: dt.date,
+                 previous_day_processes: tuple[str, ...] = C.PREVIOUS_DAY_PROCESSES) -> dt.date:
     """Named processes read yesterday's folder, all others today's."""
     upper = {p.upper() for p in previous_day_processes}
     return today - dt.timedelta(days=1) if process_name.upper() in upper else today
@@ -94,7 +95,8 @@ class Destination:
 
 
 def transfer_table(spark: SparkSession, row, dest: Destination, process_name: str, today: dt.date,
-                   processed_at: dt.datetime, previous_day_processes: tuple[str, ...] = ()) -> bool:
+                   processed_at: dt.datetime,
+                   previous_day_processes: tuple[str, ...] = C.PREVIOUS_DAY_PROCESSES) -> bool:
     """Run one manifest row: gate, read, project, audit Started, write, audit Finished.
 
     Returns False when the table was already finished today.  The gate is a

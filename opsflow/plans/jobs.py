@@ -126,7 +126,8 @@ def _log_line(log_id: str, source: str, table: str, stage: str, status_: str, me
 
 
 def transfer_ready(spark: SparkSession, state: DataFrame, manifest_path: str, dest: transfer.Destination,
-                   today: dt.date, processed_at: dt.datetime, previous_day_processes: tuple[str, ...] = (),
+                   today: dt.date, processed_at: dt.datetime,
+                   previous_day_processes: tuple[str, ...] = C.PREVIOUS_DAY_PROCESSES,
                    log_folder: str | None = None, error_folder: str | None = None,
                    log_id: str = "0", source: str = "BB") -> tuple[list[str], list[str]]:
     """Transfer the manifest rows of every pending, ready process.

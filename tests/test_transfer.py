@@ -33,6 +33,7 @@ def test_manifest_lookup_and_location(spark):
 def test_run_date_for():
     assert transfer.run_date_for("on~cc~30", dt.date(2024, 3, 1), ("ON~CC~30",)) == dt.date(2024, 2, 29)
     assert transfer.run_date_for("x", dt.date(2024, 3, 1), ("ON~CC~30",)) == dt.date(2024, 3, 1)
+    assert transfer.run_date_for("On~cc~30", dt.date(2024, 1, 1)) == dt.date(2023, 12, 31)     # default list
 
 
 def test_project_null_columns_and_filter(spark):
