@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from opsflow.operators import runs, status
 from opsflow.session import scratch_path
 from opsflow.sources import files, messages, sinks
