@@ -88,3 +88,13 @@ def test_pending_all_chunked_hot_key_equals_except_all(spark):
     want = sorted(wanted.exceptAll(done).collect())
     got = sorted(runs.pending_all(wanted, done, "k", chunk=7).collect())
     assert got == want
+
+
+def test_number_within_groups_null_keys_and_empty(spark):
+    from opsflow.functions.ranking import number_within_groups
+    df = spark.createDataFrame([(None, 3), (None, 1), ("a", 2), ("a", 5), ("b", 1)], "g string, v int")
+    got = sorted((r["g"] or "", r["v"], r["p"]) for r in number_within_groups(df.repartition(3), ["g"], [F.col("v")], "p").collect())
+    assert got == [("", 1, 1), ("", 3, 2), ("a", 2, 1), ("a", 5, 2), ("b", 1, 1)]
+    empty = spark.createDataFrame([], "g string, v int")
+    assert number_within_groups(empty, ["g"], [F.col("v")]).count() == 0
+    assert number_rows(empty, [F.col("v")]).count() == 0
