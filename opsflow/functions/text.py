@@ -45,8 +45,3 @@ def counterparty(tokens: list[str | Column], pay_type: str | Column, text: str |
     chain = reduce(lambda acc, r: acc.when(r[0], r[1]), rules[1:], F.when(first_cond, first_val))
     return chain.otherwise(F.lit(""))
 
-
-def whole_word(c: str | Column, word: str, ignore_case: bool = True) -> Column:
-    """True when ``word`` occurs in ``c`` as a whole word."""
-    flag = "(?i)" if ignore_case else ""
-    return _col(c).rlike(f"{flag}(^|[^A-Za-z0-9_]){word}([^A-Za-z0-9_]|$)")

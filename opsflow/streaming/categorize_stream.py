@@ -48,14 +48,25 @@ def batch_processor(feed: feeds.FeedConfig, sink: Callable[[DataFrame, int], Non
     return process
 
 
-def start_feed(spark: SparkSession, feed: feeds.FeedConfig, servers: str, sink: Callable[[DataFrame, int], None],
-               load_masters, checkpoint: str | None = None) -> StreamingQuery:
-    """Kafka feed: parse, pad, then the batch processor; a checkpoint is required."""
+def kafka_sink(servers: str, topic: str) -> Callable[[DataFrame, int], None]:
+    """Sink writing each batch's ``key``/``value`` rows to the output topic."""
+
+    def sink(df: DataFrame, epoch_id: int) -> None:
+        messages.write_kafka(df, servers, topic)
+
+    return sink
+
+
+def start_feed(spark: SparkSession, feed: feeds.FeedConfig, servers: str, load_masters,
+               sink: Callable[[DataFrame, int], None] | None = None, checkpoint: str | None = None) -> StreamingQuery:
+    """Kafka feed: parse, pad, then the batch processor; the output goes to the
+    feed's output topic unless another sink is given.  A checkpoint is always set."""
     raw = feeds.raw_messages(messages.read_kafka_stream(spark, servers, feed.input_topic, feed.group_id))
     parsed = feeds.pad_columns(feeds.parse_messages(raw, feed.message_schema), feed.name)
     return (parsed.writeStream.outputMode("append")
             .option("checkpointLocation", checkpoint or scratch_path(spark, f"ckpt-{feed.name}"))
-            .foreachBatch(batch_processor(feed, sink, load_masters)).start())
+            .foreachBatch(batch_processor(feed, sink or kafka_sink(servers, feed.output_topic), load_masters))
+            .start())
 
 
 def partition_sink(folder: str) -> Callable[[DataFrame, int], None]:
