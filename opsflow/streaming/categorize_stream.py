@@ -28,7 +28,8 @@ TXN_KEYS = ["tranId", "amount", "tranText"]
 def batch_processor(feed: feeds.FeedConfig, sink: Callable[[DataFrame, int], None],
                     load_masters: Callable[[SparkSession], tuple[DataFrame, DataFrame]] | None = None,
                     keys: list[str] = TXN_KEYS, order: str = "msg_time", account_col: str = "accId",
-                    join_key: str = "tranId") -> Callable[[DataFrame, int], None]:
+                    join_key: str = "tranId", decision_key: str | None = None,
+                    tie_col: str | None = None) -> Callable[[DataFrame, int], None]:
     """The function given to ``foreachBatch`` for one feed."""
 
     def process(batch: DataFrame, epoch_id: int) -> None:
@@ -37,7 +38,8 @@ def batch_processor(feed: feeds.FeedConfig, sink: Callable[[DataFrame, int], Non
             kept = latest.latest_messages(batch, keys, order)
             if feed.categorized:
                 decisions, tree = load_masters(batch.sparkSession)
-                out = cat.categorize(kept, decisions, tree, join_key=join_key)
+                out = cat.categorize(kept, decisions, tree, join_key=join_key, decision_key=decision_key,
+                                     tie_col=tie_col)
                 out = feeds.rename_output(out)
             else:
                 out = feeds.default_category(kept, "amount")
@@ -58,15 +60,23 @@ def kafka_sink(servers: str, topic: str) -> Callable[[DataFrame, int], None]:
 
 
 def start_feed(spark: SparkSession, feed: feeds.FeedConfig, servers: str, load_masters,
-               sink: Callable[[DataFrame, int], None] | None = None, checkpoint: str | None = None) -> StreamingQuery:
-    """Kafka feed: parse, pad, then the batch processor; the output goes to the
-    feed's output topic unless another sink is given.  A checkpoint is always set."""
-    raw = feeds.raw_messages(messages.read_kafka_stream(spark, servers, feed.input_topic, feed.group_id))
-    parsed = feeds.pad_columns(feeds.parse_messages(raw, feed.message_schema), feed.name)
-    return (parsed.writeStream.outputMode("append")
-            .option("checkpointLocation", checkpoint or scratch_path(spark, f"ckpt-{feed.name}"))
-            .foreachBatch(batch_processor(feed, sink or kafka_sink(servers, feed.output_topic), load_masters))
-            .start())
+               sink: Callable[[DataFrame, int], None] | None = None, checkpoint: str | None = None,
+               source: DataFrame | None = None, trigger: dict | None = None, **processor_opts) -> StreamingQuery:
+    """A feed end to end: raw messages (``timestamp``, ``value``) from the feed's
+    Kafka topic, or from ``source`` (any streaming frame with those columns),
+    parsed with the feed schema and padded, then the batch processor; the output
+    goes to the feed's output topic unless another sink is given.  A checkpoint
+    is always set; ``trigger`` is passed to ``DataStreamWriter.trigger`` and
+    ``processor_opts`` (keys, order, join keys) to ``batch_processor``."""
+    src = source if source is not None else messages.read_kafka_stream(spark, servers, feed.input_topic, feed.group_id)
+    parsed = feeds.pad_columns(feeds.parse_messages(feeds.raw_messages(src), feed.message_schema), feed.name)
+    writer = (parsed.writeStream.outputMode("append")
+              .option("checkpointLocation", checkpoint or scratch_path(spark, f"ckpt-{feed.name}"))
+              .foreachBatch(batch_processor(feed, sink or kafka_sink(servers, feed.output_topic), load_masters,
+                                            **processor_opts)))
+    if trigger:
+        writer = writer.trigger(**trigger)
+    return writer.start()
 
 
 def partition_sink(folder: str) -> Callable[[DataFrame, int], None]:

@@ -94,3 +94,37 @@ def test_failed_batch_replays_without_duplicates(spark):
     q2.awaitTermination()
     out = spark.read.parquet(f"{root}/out")
     assert out.count() == 100 and out.select("batch_id").distinct().count() == 1
+
+
+def test_start_feed_c_from_raw_payloads(spark):
+    import json
+
+    from opsflow.operators.feeds import FeedConfig
+    from opsflow.session import scratch_path
+    from opsflow.sources import messages
+
+    T = dt.datetime
+    msgs = [
+        {"tranId": "t1", "tranText": "x", "accId": "a1", "amount": 12.5, "accIdent": "a1", "tranDt": "d", "cost": "1",
+         "tranT": "SX/shop", "tranI": "T1", "payType": "others"},
+        {"tranId": "t2", "tranText": "y", "accId": "a2", "amount": -3, "accIdent": None, "tranDt": "d", "cost": "1",
+         "tranT": "AX/b", "tranI": "T2", "payType": "bill"},
+    ]
+    root = scratch_path(spark, "t_feedC")
+    spark.createDataFrame([(T(2024, 1, 1, 10), json.dumps(m)) for m in msgs] + [(T(2024, 1, 1, 11), "{broken")],
+                          "timestamp timestamp_ntz, value string").write.parquet(f"{root}/in")
+
+    def masters(s):
+        return (s.createDataFrame([], "tranI string, udCat string, cat_id string"),
+                s.createDataFrame([("X", "none")], "catId string, catN string"))
+
+    src = messages.read_file_stream(spark, f"{root}/in", "timestamp timestamp_ntz, value string", glob="part-*.parquet")
+    q = cs.start_feed(spark, FeedConfig("C", "C_in", "C_out", "C_g"), "unused:9092", masters,
+                      sink=cs.partition_sink(f"{root}/out"), checkpoint=f"{root}/ckpt", source=src,
+                      trigger={"availableNow": True}, join_key="tranI")
+    q.awaitTermination()
+    out = [json.loads(r["value"]) for r in spark.read.parquet(f"{root}/out").collect()]
+    by_id = {o["tranId"]: o for o in out}
+    assert by_id["t1"]["counP_Name_TT"] == "SX" and by_id["t1"]["paperNum"] == "" and by_id["t1"]["amtId"] == 0
+    assert by_id["t2"]["isCat"] == 0 and by_id["t2"]["amtId"] == 1     # incomplete: set aside, still sent
+    assert len(out) == 3                                               # the malformed payload is kept as all-null
