@@ -177,41 +177,61 @@ def enrich_with_tree(df: DataFrame, tree: DataFrame, key: str = "catId") -> Data
 
 
 def categorize(batch: DataFrame, decisions: DataFrame, tree: DataFrame, join_key: str,
-               decision_key: str | None = None, tie_col: str | None = None) -> DataFrame:
+               decision_key: str | None = None, tie_col: str | None = None,
+               cut_map_to_batch: bool = False) -> DataFrame:
     """Full categorization of one batch of transactions.
 
     ``decisions`` is the raw decision map (``udCat`` JSON, ``cat_id``, optional
     ``dec_cat`` / ``decCatId`` / ``nextBestCat`` / ``nextBest_catId`` /
-    ``nextBest0`` + ``catWt0``); it is joined to
-    the valid transactions on ``join_key`` (left) after one decision list is built
-    per key, scores are exploded, the tree is joined, and the set-aside rows are
-    appended.
+    ``nextBest0`` + ``catWt0``); it is joined to the valid transactions on
+    ``join_key`` (left) after one decision list is built per key, scores are
+    exploded and the tree is joined.
+
+    Rows that fail the completeness check keep their input columns and get
+    nulls in every derived column, exactly as the split + ``unionByName`` of
+    the source job gives, but in one pass: the rules and joins apply only where
+    ``Var = 1`` (conditional columns and a conditional join predicate), so the
+    input is computed once instead of once per branch.
+
+    ``cut_map_to_batch``: first keep only the map rows whose key occurs in the
+    batch (a semi join on the batch's distinct keys).  Worth it when the batch
+    is persisted and small next to the map (micro-batches); for a one-shot
+    batch it would compute the input a second time.
     """
     flagged = completeness(batch)
-    valid, invalid = split_valid(flagged)
-    valid = add_counterparty(tokens(normalize(valid)))
-    dm = prepare_decision_map(decisions)
-    dm = dm.withColumn("udId", guard_decision("udId", "cat_id"))
+    ok = F.col("Var") == 1
     dkey = decision_key or join_key
-    # A transaction's list depends only on the map rows of its key: build one list
-    # per key first, then join many-to-one (no transaction x decision pairs).  Map
-    # attributes (category ids, score arrays) belong to the key, so they group too.
+    if dkey not in decisions.columns or join_key not in flagged.columns:
+        raise ValueError(f"join keys not found: transactions need {join_key!r}, the decision map {dkey!r}")
+
+    # text rules (valid rows only; set-aside rows keep their text)
+    norm = text.normalize_text("tranT")
+    flagged = flagged.withColumns({"tranT1": F.when(ok, F.col("tranT")),
+                                   "tranT": F.when(ok, norm).otherwise(F.col("tranT"))})
+    parts = F.split(F.col("tranT"), C.TOKEN_SPLIT_PATTERN)
+    flagged = flagged.withColumns({f"TT_{i}": F.when(ok, F.get(parts, i)) for i in range(5)})
+    flagged = flagged.withColumn("counP_Name_TT", F.when(ok, text.counterparty(
+        [f"TT_{i}" for i in range(5)], "payType", "tranT")))
+
+    # decisions: cut to the batch's keys, one list per key, many-to-one join
+    dm = prepare_decision_map(decisions)
+    dm = dm.withColumn("udId", guard_decision("udId", "cat_id")).withColumnRenamed(dkey, "_dkey")
+    if cut_map_to_batch:
+        keys = flagged.filter(ok).select(F.col(join_key).alias("_bkey")).distinct()
+        dm = dm.join(keys, dm["_dkey"].eqNullSafe(keys["_bkey"]), "left_semi")
     attrs = [c for c in ("cat_id", "dec_cat", "decCatId", "nextBestCat", "nextBest_catId", "nextBest0", "catWt0")
              if c in dm.columns]
-    dm = dm.withColumnRenamed(dkey, "_dkey")
-    # only the map rows of keys present in this batch (a micro-batch touches few keys)
-    keys = valid.select(F.col(join_key).alias("_bkey")).distinct()
-    dm = dm.join(keys, dm["_dkey"].eqNullSafe(keys["_bkey"]), "left_semi")
     per_key = decision_list(dm, ["_dkey", *attrs], tie_col=tie_col)
-    per_txn = valid.join(per_key, valid[join_key].eqNullSafe(per_key["_dkey"]), "left").drop("_dkey")
-    per_txn = per_txn.withColumn("usDecCatId", arrays.empty_if_null(F.col("usDecCatId")))
+    per_txn = flagged.join(per_key, flagged[join_key].eqNullSafe(per_key["_dkey"]) & ok, "left").drop("_dkey")
+    per_txn = per_txn.withColumn("usDecCatId", F.when(ok, arrays.empty_if_null(F.col("usDecCatId"))))
     if "cat_id" not in per_txn.columns:
         per_txn = per_txn.withColumn("cat_id", F.lit(None).cast("string"))
-    cands = candidate_set(per_txn)
+
+    cands = candidate_set(per_txn).withColumns({"usDecCatId": F.when(ok, F.col("usDecCatId")),
+                                                "setNext": F.when(ok, F.col("setNext"))})
     if {"nextBest0", "catWt0"} <= set(cands.columns):
-        cands = cands.withColumn("nextBest0", score_json("nextBest0", "catWt0"))
+        cands = cands.withColumn("nextBest0", F.when(ok, score_json("nextBest0", "catWt0")))
     if "dec_cat" in cands.columns:
         cands = explode_scores(cands)
     # the category id is the tree key (the output rename of cat_id -> catId is then a no-op)
-    enriched = enrich_with_tree(cands.withColumnRenamed("cat_id", "catId"), tree, "catId")
-    return union_invalid(enriched, invalid)
+    return enrich_with_tree(cands.withColumnRenamed("cat_id", "catId"), tree, "catId")
