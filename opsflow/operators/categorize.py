@@ -187,8 +187,9 @@ def categorize(batch: DataFrame, decisions: DataFrame, tree: DataFrame, join_key
     ``join_key`` (left) after one decision list is built per key, scores are
     exploded and the tree is joined.
 
-    Rows that fail the completeness check keep their input columns and get
-    nulls in every derived column, exactly as the split + ``unionByName`` of
+    Every row gets ``Var``, ``tranT1`` (original text) and the normalized
+    ``tranT``; rows that fail the completeness check get nulls in every other
+    derived column, exactly as the split + ``unionByName`` of
     the source job gives, but in one pass: the rules and joins apply only where
     ``Var = 1`` (conditional columns and a conditional join predicate), so the
     input is computed once instead of once per branch.
@@ -204,10 +205,9 @@ def categorize(batch: DataFrame, decisions: DataFrame, tree: DataFrame, join_key
     if dkey not in decisions.columns or join_key not in flagged.columns:
         raise ValueError(f"join keys not found: transactions need {join_key!r}, the decision map {dkey!r}")
 
-    # text rules (valid rows only; set-aside rows keep their text)
-    norm = text.normalize_text("tranT")
-    flagged = flagged.withColumns({"tranT1": F.when(ok, F.col("tranT")),
-                                   "tranT": F.when(ok, norm).otherwise(F.col("tranT"))})
+    # every row keeps its original text and is normalized (before the split, as in
+    # the source job); tokens and rules apply to valid rows only
+    flagged = normalize(flagged)
     parts = F.split(F.col("tranT"), C.TOKEN_SPLIT_PATTERN)
     flagged = flagged.withColumns({f"TT_{i}": F.when(ok, F.get(parts, i)) for i in range(5)})
     flagged = flagged.withColumn("counP_Name_TT", F.when(ok, text.counterparty(

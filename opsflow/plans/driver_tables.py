@@ -278,7 +278,7 @@ def categorize_inputs(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 
 def categorized_view(out: DataFrame) -> DataFrame:
-    return out.select("o_orderkey", "Var", "TT_0", "counP_Name_TT",
+    return out.select("o_orderkey", "Var", "tranT", "TT_0", "counP_Name_TT",
                       F.array_join("usDecCatId", ",").alias("usDecCatId"),
                       arrays.sorted_text(F.col("setNext")).alias("setNext"), "catId", "catN")
 

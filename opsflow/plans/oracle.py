@@ -463,13 +463,14 @@ l AS (
          COALESCE(list(udId ORDER BY udAcc DESC NULLS LAST, event_id) FILTER (WHERE udId IS NOT NULL), []) AS lst
   FROM g GROUP BY user_id, cat_id),
 d AS (SELECT user_id, cat_id, list_concat([cat_id], lst) AS cand, list_distinct(list_concat([cat_id], lst)) AS dset FROM l)
-SELECT cp.o_orderkey, cp.Var, cp.TT_0, cp.counP_Name_TT,
+SELECT cp.o_orderkey, cp.Var, cp.tranT, cp.TT_0, cp.counP_Name_TT,
        COALESCE(array_to_string(list_filter(d.cand, lambda x, i: list_position(d.cand, x) = i), ','), '') AS usDecCatId,
        COALESCE(array_to_string(list_sort(d.dset), ','), '') AS setNext,
        d.cat_id AS catId, n.n_name AS catN{extra.replace('batch_id', 'cp.batch_id')}
 FROM cp LEFT JOIN d ON cp.accIdent = d.user_id LEFT JOIN nation n ON d.cat_id = CAST(n.n_nationkey AS VARCHAR)
 UNION ALL
-SELECT o_orderkey, Var, NULL, NULL, NULL, NULL, NULL, NULL{extra} FROM t WHERE Var = 0"""
+SELECT o_orderkey, Var, regexp_replace(upper(tranT1), '\\s+', ' ', 'g'), NULL, NULL, NULL, NULL, NULL, NULL{extra}
+FROM t WHERE Var = 0"""
 
 
 SQL["categorize_batch"] = _categorize_sql(latest=False)

@@ -135,6 +135,7 @@ def test_categorize_end_to_end(spark):
     assert got["T1"]["usDecCatId"] == ["3", "2"]     # split category ids first, then decisions by accuracy
     assert got["T2"]["counP_Name_TT"] == "C3" and got["T2"]["usDecCatId"] == []
     assert got["T3"]["Var"] == 0 and got["T3"]["catN"] is None
+    assert (got["T3"]["tranT1"], got["T3"]["tranT"], got["T3"]["TT_0"]) == ("zz", "ZZ", None)   # normalized, not split
 
 
 def test_decision_positions_match_list_with_hot_group(spark):
