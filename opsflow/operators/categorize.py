@@ -149,6 +149,8 @@ def candidate_set(df: DataFrame, cat_col: str = "cat_id", decisions_col: str = "
 
     decisions = F.array_distinct(arrays.union_all(F.split(F.col(cat_col), C.CATEGORY_ID_SEPARATOR), arr(decisions_col)))
     out = df.withColumn(decisions_col, decisions)
+    if "nextBestCat" in cols:
+        out = out.withColumn("nextBestCat1", arrays.empty_if_null(F.col("nextBestCat")))
     return out.withColumn("setNext", arrays.union_all(F.col(decisions_col), arr("decCatId"), arr("nextBestCat"),
                                                       arr("nextBest_catId")))
 
@@ -219,8 +221,8 @@ def categorize(batch: DataFrame, decisions: DataFrame, tree: DataFrame, join_key
     if cut_map_to_batch:
         keys = flagged.filter(ok).select(F.col(join_key).alias("_bkey")).distinct()
         dm = dm.join(keys, dm["_dkey"].eqNullSafe(keys["_bkey"]), "left_semi")
-    attrs = [c for c in ("cat_id", "dec_cat", "decCatId", "nextBestCat", "nextBest_catId", "nextBest0", "catWt0")
-             if c in dm.columns]
+    attrs = [c for c in ("cat_id", "dec_cat", "decCatId", "nextBestCat", "nextBest_catId", "nextBest0", "catWt0",
+                         "subT_create", "subT") if c in dm.columns]
     per_key = decision_list(dm, ["_dkey", *attrs], tie_col=tie_col)
     per_txn = flagged.join(per_key, flagged[join_key].eqNullSafe(per_key["_dkey"]) & ok, "left").drop("_dkey")
     per_txn = per_txn.withColumn("usDecCatId", F.when(ok, arrays.empty_if_null(F.col("usDecCatId"))))
