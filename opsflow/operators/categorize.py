@@ -229,8 +229,9 @@ def categorize(batch: DataFrame, decisions: DataFrame, tree: DataFrame, join_key
     if "cat_id" not in per_txn.columns:
         per_txn = per_txn.withColumn("cat_id", F.lit(None).cast("string"))
 
-    cands = candidate_set(per_txn).withColumns({"usDecCatId": F.when(ok, F.col("usDecCatId")),
-                                                "setNext": F.when(ok, F.col("setNext"))})
+    cands = candidate_set(per_txn)
+    cands = cands.withColumns({c: F.when(ok, F.col(c)) for c in ("usDecCatId", "setNext", "nextBestCat1")
+                               if c in cands.columns})
     if {"nextBest0", "catWt0"} <= set(cands.columns):
         cands = cands.withColumn("nextBest0", F.when(ok, score_json("nextBest0", "catWt0")))
     if "dec_cat" in cands.columns:
