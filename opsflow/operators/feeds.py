@@ -90,8 +90,10 @@ def rename_output(df: DataFrame) -> DataFrame:
     return df.withColumn("merchN", F.lit("")).withColumnsRenamed(C.OUTPUT_RENAMES)
 
 
-def default_category(df: DataFrame, amount_col: str = "amount", keep_struct: bool = False) -> DataFrame:
-    """Feed B output: category by sign of the amount, plus the fixed padding columns."""
+def default_category(df: DataFrame, amount_col: str = "amount", keep_struct: bool = True) -> DataFrame:
+    """Feed B output: category by sign of the amount, plus the fixed padding
+    columns; the struct is kept next to its expanded fields unless ``keep_struct``
+    is false."""
     def cat(values: tuple[str, str, str]) -> Column:
         return F.struct(F.lit(values[0]).alias("catId"), F.lit(values[1]).alias("catN"),
                         F.lit(values[2]).alias("catType"))

@@ -96,7 +96,7 @@ def q_sign_flag(spark, sf_dir):
 
 def q_default_category(spark, sf_dir):
     cu = _t(spark, sf_dir, "customer").select("c_custkey", F.col("c_acctbal").alias("amount"))
-    return feeds.default_category(cu, "amount")
+    return feeds.default_category(cu, "amount", keep_struct=False)
 
 
 def q_feed_route(spark, sf_dir):

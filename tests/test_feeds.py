@@ -36,7 +36,8 @@ def test_rename_output(spark):
 
 def test_default_category(spark):
     df = spark.createDataFrame([(-1.0,), (0.0,), (None,)], "amount double")
-    out = feeds.default_category(df)
+    out = feeds.default_category(df, keep_struct=False)
+    assert "catStruct" in feeds.default_category(df).columns
     assert rows(out, "amount", "catId", "catN", "catType", "isCat") == [
         (-1.0, "956", "OP (T)", "Exp", " "), (0.0, "953", "OI", "Exp", " "), (None, "953", "OI", "Exp", " ")]
     assert "catStruct" not in out.columns

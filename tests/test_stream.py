@@ -25,6 +25,7 @@ def test_batch_processor_feed_b(spark):
                                   "tranId string, amount string, tranText string, msg_time int, accId string")
     proc(batch, 0)
     assert len(seen[0]) == 1 and '"catId":"956"' in seen[0][0]["value"] and seen[0][0]["key"] == "acc1"
+    assert '"catStruct":{"catId":"956"' in seen[0][0]["value"]
 
 
 def test_feed_a_stream_end_to_end(spark):
