@@ -86,7 +86,8 @@ def error_rows(errors: DataFrame, table_col: str, time_col: str, message_col: st
 
 @dataclass
 class Destination:
-    """JDBC destination with the audit table; ``audit_folder`` receives the file copy."""
+    """JDBC destination with the audit table; ``audit_folder/<yyyyMMdd of the run>``
+    receives the file copy of the audit rows."""
 
     url: str
     options: dict[str, str]
@@ -111,14 +112,15 @@ def transfer_table(spark: SparkSession, row, dest: Destination, process_name: st
     src = files.read_dated(spark, row.SOURCE_TYPE, row.STORAGE_LOCATION, row.M_INDICATOR, run_date)
     out = project(spark, src, row.COLUMN_LIST, row.WHERE_CLAUSE)
     one = spark.range(1).select(F.lit(row.DEST_TABLE_NAME).alias("TableName"), F.lit(process_name).alias("p"))
+    audit_copy = f"{dest.audit_folder}/{processed_at.strftime('%Y%m%d')}"
     ts = wall_clock(processed_at)
     for status in (C.AUDIT_STARTED,):
         jdbc.write_table(audit_rows(one, status, load_date, ts), dest.url, row.DEST_AUDIT_TABLENAME, "append",
                          options=dest.options)
-        audit_rows(one, status, load_date, ts, process_col="p").write.mode("append").parquet(dest.audit_folder)
+        audit_rows(one, status, load_date, ts, process_col="p").write.mode("append").parquet(audit_copy)
     jdbc.write_table(out, dest.url, row.DEST_TABLE_NAME, row.DEST_WRITE_MODE or "append", dest.batchsize,
                      dest.options)
     jdbc.write_table(audit_rows(one, C.AUDIT_FINISHED, load_date, ts), dest.url, row.DEST_AUDIT_TABLENAME,
                      "append", options=dest.options)
-    audit_rows(one, C.AUDIT_FINISHED, load_date, ts, process_col="p").write.mode("append").parquet(dest.audit_folder)
+    audit_rows(one, C.AUDIT_FINISHED, load_date, ts, process_col="p").write.mode("append").parquet(audit_copy)
     return True

@@ -84,7 +84,7 @@ def test_transfer_table_with_derby(spark):
     assert sorted(r2["STATUS"] if "STATUS" in r2.asDict() else r2["Status"] for r2 in audit.collect()) == ["Finished", "Started"]
     # second run on the same day is gated
     assert not transfer.transfer_table(spark, r, dest, "p~cc~t_out~M", today, dt.datetime(2024, 1, 2, 23, 31))
-    assert spark.read.parquet(dest.audit_folder).count() == 2
+    assert spark.read.parquet(f"{dest.audit_folder}/20240102").count() == 2
 
 
 def test_audit_and_error_rows(spark):
