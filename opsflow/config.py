@@ -100,6 +100,12 @@ REPORT_COLUMNS = [
     "Username", "ClusterId", "NormalizedInstanceHours", "runtime", "State", "idle_pct",
     "idle_pct_12h", "idle_pct_3h", "ApproxCost", "ReadyDateTime", "CreationDateTime", "EndDateTime",
 ]
+# Header names of the written report for the idle columns.
+REPORT_DISPLAY_NAMES = {
+    "idle_pct": "idle%",
+    "idle_pct_12h": "idle% in last 12hours",
+    "idle_pct_3h": "idle% in last 3hours",
+}
 NO_RESPONSE_ELEMENTS = "No responseElements"
 DEFAULT_CLUSTER_STATES = ["WAITING"]
 INFO_DAYS = 30

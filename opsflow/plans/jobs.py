@@ -88,7 +88,8 @@ def cluster_report_run(spark: SparkSession, clusters_path: str, events_path: str
     points = files.read_cluster_docs(spark, metrics_path, "ClusterId string, Timestamp timestamp_ntz, IsIdle double")
     idle = cl.idle_windows(points, now_c, clusters=recent)
     report = cl.cluster_report(recent, creators, idle, rate)
-    sinks.write_report_csv(report.orderBy("position"), out_folder, run_ts)
+    written = report.orderBy("position").drop("position").withColumnsRenamed(C.REPORT_DISPLAY_NAMES)
+    sinks.write_report_csv(written, out_folder, run_ts)
     return report
 
 

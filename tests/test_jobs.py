@@ -53,7 +53,7 @@ def test_cluster_report_run(spark):
     got = [(r["ClusterId"], r["Username"], r["idle_pct_3h"], r["ApproxCost"]) for r in rep.orderBy("position").collect()]
     assert got == [("j-2", None, None, 32.0), ("j-1", "alice", 1.0, 16.0)]
     csv = spark.read.option("header", "true").csv(f"{out_folder}/run_ts=01-30-2024_00-00-00")
-    assert csv.count() == 2 and csv.columns[0] == "Username"
+    assert csv.count() == 2 and csv.columns[0] == "Username" and "idle% in last 3hours" in csv.columns
 
 
 def test_transfer_round_and_ready_loads(spark):
