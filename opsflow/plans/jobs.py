@@ -48,7 +48,10 @@ def _raw_rows(spark: SparkSession, raw_path: str) -> DataFrame:
 
 def dashboard_run(spark: SparkSession, master_path: str, raw_path: str, history_folder: str,
                   snapshot_folder: str, report_date: dt.date, run_ts: str, days: int = 7,
-                  scope: str = "month") -> DashboardOutput:
+                  scope: str = "month", report_folder: str | None = None) -> DashboardOutput:
+    """One dashboard run.  With ``report_folder``, the ordered matrix is written
+    as CSV with the header ``USECASE,SLA,FREQ,MTD,MTD-DL,<yyyyMMdd per day>`` and
+    the failure lines as text, both under ``run_ts=<run_ts>``."""
     master = files.read_positional_csv(spark, master_path, MASTER_FIELDS)
     raw = _raw_rows(spark, raw_path)
     today = status.daily_status(master, raw, "usecase", "category", "line_no").select(
@@ -69,6 +72,12 @@ def dashboard_run(spark: SparkSession, master_path: str, raw_path: str, history_
     report = status.report_rows(ordered, cols)
     failures = status.failure_list(raw.select("line"))
     tally = status.code_tally(long.filter(F.col("report_date").isin(dates)), ["usecase"])
+    if report_folder:
+        header = {"usecase": "USECASE", "MTD_DL": "MTD-DL",
+                  **{status.day_column(d): d.strftime("%Y%m%d") for d in dates}}
+        table = ordered.orderBy("position").select(*cols).withColumnsRenamed(header)
+        sinks.write_report_csv(table, f"{report_folder}/dashboard", run_ts)
+        failures.write.mode("overwrite").text(f"{report_folder}/failures/run_ts={run_ts}")
     # today becomes history (idempotent per day); inputs are kept under the run's time stamp
     status.rollover(today, history_folder)
     sinks.snapshot(raw.select("line"), f"{snapshot_folder}/raw", run_ts)

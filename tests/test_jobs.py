@@ -23,7 +23,11 @@ def test_dashboard_run_two_days(spark):
     _write(f"{root}/raw1", "r.txt", ["uc1,a,b,c,d,e,SUCCESS,OK", "UC2,a,b,c,d,e,FAILED,DLT", "UC1,a,b,c,d,e,x,SRC"])
     jobs.dashboard_run(spark, f"{root}/master", f"{root}/raw1", hist, snap, dt.date(2024, 1, 29), "r1")
     _write(f"{root}/raw2", "r.txt", ["UC1,a,b,c,d,e,FAILED,SRC", "UC3,a,b,c,d,e,SUCCESS,OK"])
-    out = jobs.dashboard_run(spark, f"{root}/master", f"{root}/raw2", hist, snap, dt.date(2024, 1, 30), "r2")
+    rep = scratch_path(spark, "t_dash_rep")
+    out = jobs.dashboard_run(spark, f"{root}/master", f"{root}/raw2", hist, snap, dt.date(2024, 1, 30), "r2",
+                             report_folder=rep)
+    written = spark.read.option("header", "true").csv(f"{rep}/dashboard/run_ts=r2")
+    assert written.columns[:6] == ["USECASE", "SLA", "FREQ", "MTD", "MTD-DL", "20240130"]
     rows = {r["usecase"]: r for r in out.dashboard.collect()}
     assert (rows["UC1"]["d20240130"], rows["UC1"]["d20240129"]) == ("SRC", "OK")
     assert rows["UC1"]["MTD"] == 50 and rows["UC3"]["MTD"] == 100 and rows["UC2"]["MTD_DL"] == 0
