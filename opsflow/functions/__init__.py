@@ -1,11 +1,5 @@
 """Column-level helpers: each returns a ``Column`` built from built-in Spark functions."""
 
-import datetime as _dt
+from .clock import wall_clock
 
-from pyspark.sql import Column as _Column
-from pyspark.sql import functions as _F
-
-
-def wall_clock(v: _dt.datetime) -> _Column:
-    """A TIMESTAMP_NTZ literal from its text, independent of any time zone."""
-    return _F.lit(v.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+__all__ = ["wall_clock"]
