@@ -412,11 +412,11 @@ def _log_fields(ev: DataFrame) -> list[Column]:
 
 
 def land_logs(spark, sf_dir) -> str:
-    """One log folder per process (event type and day of month): a ``~#~`` line
-    per event, plus a completion line for large purchase and click events."""
+    """One log folder per process (one per event type): a ``~#~`` line per event,
+    plus a completion line for large purchase and click events."""
     path = scratch_path(spark, "logs")
     ev = _t(spark, sf_dir, "events")
-    process = F.concat(F.lit("p~cc~"), F.col("event_type"), F.lit("_"), F.date_format("ts", "dd"), F.lit("~M"))
+    process = F.concat(F.lit("p~cc~"), F.col("event_type"), F.lit("~M"))
     lines = ev.select(process.alias("process"), F.concat_ws(C.LOG_SEPARATOR, *_log_fields(ev)).alias("value"))
     done = ev.filter(F.col("event_type").isin("purchase", "click") & (F.col("value") >= 150)).select(
         process.alias("process"),

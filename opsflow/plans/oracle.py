@@ -271,7 +271,7 @@ SELECT {LOG_FIELDS[0]} AS log_id, {LOG_FIELDS[1]} AS source, {LOG_FIELDS[4]} AS
        concat_ws('~', {', '.join(LOG_FIELDS)}) AS export_line
 FROM events""",
     "completed_processes": """
-SELECT DISTINCT 'p~cc~' || event_type || '_' || strftime(ts, '%d') || '~M' AS process FROM events
+SELECT DISTINCT 'p~cc~' || event_type || '~M' AS process FROM events
 WHERE event_type IN ('purchase', 'click') AND value >= 150""",
     "process_key": """
 WITH k AS (
