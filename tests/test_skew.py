@@ -77,3 +77,30 @@ def test_semi_join_skew_split(spark):
         final = out._jdf.queryExecution().executedPlan().toString()
     assert n == df.filter("t = 7 OR (k <> 'hot' AND t = 6)").count()
     assert "skew=true" in final
+
+
+def test_categorize_hot_account(spark):
+    from opsflow.operators import categorize as cat
+    n = 30000
+    batch = spark.range(0, n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 500).cast("string")).alias("accIdent"),
+        F.lit("d").alias("tranDt"), F.lit("1").alias("cost"),
+        F.concat(F.lit("CX/"), (F.col("id") % 11).cast("string")).alias("tranT"),
+        F.col("id").cast("string").alias("tranI"), F.lit("others").alias("payType"))
+    dm = spark.range(0, 3000).select(
+        F.when(F.col("id") % 2 == 0, F.lit("hot")).otherwise((F.col("id") % 500).cast("string")).alias("accIdent"),
+        F.concat(F.lit('{"catIdEdit": "'), (F.col("id") % 9).cast("string"), F.lit('", "accOfDec": "'),
+                 (F.col("id") % 97).cast("string"), F.lit('"}')).alias("udCat"),
+        F.lit("2").alias("cat_id"), F.col("id").alias("t"))
+    tree = spark.createDataFrame([("2", "Food")], "catId string, catN string")
+
+    def run():
+        out = cat.categorize(batch, dm, tree, join_key="accIdent", tie_col="t")
+        return out, sorted((r["tranI"], tuple(r["usDecCatId"] or []), r["catN"]) for r in out.collect())
+
+    _, want = run()
+    with large_input_plan(spark):
+        out, got = run()
+        final = out._jdf.queryExecution().executedPlan().toString()
+    assert got == want and len(got) == n
+    assert "skew=true" in final
