@@ -67,3 +67,30 @@ def number_within_groups(df: DataFrame, group_cols: list[str], order: list[str |
     out = tagged.join(per, cond)
     return out.select(*[tagged[c] for c in df.columns],
                       (F.col("_off") + F.col("_loc") - F.col("_first") + 1).alias(name))
+
+
+def running_sum_within_groups(df: DataFrame, group_cols: list[str], order: list[str | Column], value_col: str,
+                              name: str = "running") -> DataFrame:
+    """Running sum of ``value_col`` within each group following ``order`` (each
+    row includes itself and every row before it).
+
+    A distributed prefix sum: rows are range-partitioned by (group, order) and
+    checkpointed; within a partition the sum runs over that partition's slice
+    of the group only, and each (group, partition) slice is offset by the totals
+    of the group's earlier slices (at most one row per group and partition).
+    """
+    checkpoint_root(df.sparkSession)
+    tagged = (df.orderBy(*[F.col(g) for g in group_cols], *order)
+              .withColumn("_rid", F.monotonically_increasing_id()).checkpoint(eager=True))
+    tagged = tagged.select("*", F.shiftright("_rid", _LOCAL_BITS).alias("_pid"))
+    local = Window.partitionBy("_pid", *group_cols).orderBy("_rid").rowsBetween(Window.unboundedPreceding,
+                                                                                 Window.currentRow)
+    tagged = tagged.withColumn("_local", F.sum(value_col).over(local))
+    gk = [f"_g{i}" for i in range(len(group_cols))]
+    per = tagged.groupBy("_pid", *[F.col(g).alias(k) for g, k in zip(group_cols, gk)]).agg(
+        F.sum(value_col).alias("_tot"))
+    before = Window.partitionBy(*gk).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.select(F.col("_pid").alias("_ppid"), *gk, F.coalesce(F.sum("_tot").over(before), F.lit(0)).alias("_off"))
+    cond = [tagged["_pid"] == per["_ppid"]] + [tagged[g].eqNullSafe(per[k]) for g, k in zip(group_cols, gk)]
+    out = tagged.join(per, cond)
+    return out.select(*[tagged[c] for c in df.columns], (F.col("_off") + F.col("_local")).alias(name))

@@ -14,7 +14,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from .. import config as C
 from ..functions import arrays, text
-from ..functions.ranking import number_within_groups
+from ..functions.ranking import number_within_groups, running_sum_within_groups
 
 DECISION_SCHEMA = StructType([StructField("catIdEdit", StringType()), StructField("accOfDec", StringType())])
 SCORE_SCHEMA = StructType([StructField("catId", StringType()), StructField("score", StringType())])
@@ -124,17 +124,16 @@ def running_decision_count(df: DataFrame, group_cols: list[str], id_col: str = "
     The running list over (accuracy descending, default RANGE frame) at a row is the
     prefix of ``decision_list`` of that length, so the length is the whole answer
     in linear size (the list itself would be quadratic per group).  Counts are
-    first aggregated per (group, accuracy) so the window only sees distinct
-    accuracy values, then joined back.
+    first aggregated per (group, accuracy), then summed as a distributed prefix
+    sum (no group in one task), then joined back on (group, accuracy).
     """
     gnames = [f"_g{i}" for i in range(len(group_cols))]
     per = df.groupBy(*[F.col(g).alias(n) for g, n in zip(group_cols, gnames)], F.col(acc_col).alias("_acc")) \
         .agg(F.count(id_col).alias("_c"))
-    w = (Window.partitionBy(*gnames).orderBy(F.col("_acc").desc_nulls_last())
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    per = per.select(*gnames, "_acc", F.sum("_c").over(w).alias(out))
+    # running total over distinct accuracies, descending with nulls last (peers share a value)
+    per = running_sum_within_groups(per, gnames, [F.col("_acc").desc_nulls_last()], "_c", out)
     cond = [F.col(g).eqNullSafe(F.col(n)) for g, n in zip(group_cols, gnames)] + [F.col(acc_col).eqNullSafe(F.col("_acc"))]
-    return df.join(per, cond, "left").drop(*gnames, "_acc")
+    return df.join(per.drop("_c"), cond, "left").drop(*gnames, "_acc")
 
 
 # ---------------------------------------------------------------- candidates

@@ -98,3 +98,17 @@ def test_number_within_groups_null_keys_and_empty(spark):
     empty = spark.createDataFrame([], "g string, v int")
     assert number_within_groups(empty, ["g"], [F.col("v")]).count() == 0
     assert number_rows(empty, [F.col("v")]).count() == 0
+
+
+def test_running_sum_within_groups_hot_group(spark):
+    from pyspark.sql import Window as W
+
+    from opsflow.functions.ranking import running_sum_within_groups
+    df = spark.range(0, 4000).select(
+        F.when(F.col("id") % 4 == 0, F.lit(None)).when(F.col("id") < 3000, F.lit("hot"))
+        .otherwise((F.col("id") % 5).cast("string")).alias("g"),
+        F.col("id").alias("o"), (F.col("id") % 7).alias("v"))
+    got = running_sum_within_groups(df.repartition(6), ["g"], [F.col("o").desc()], "v", "run")
+    w = W.partitionBy("g").orderBy(F.desc("o")).rowsBetween(W.unboundedPreceding, W.currentRow)
+    want = df.withColumn("run", F.sum("v").over(w))
+    assert sorted(got.collect()) == sorted(want.collect())
