@@ -111,4 +111,6 @@ def test_running_sum_within_groups_hot_group(spark):
     got = running_sum_within_groups(df.repartition(6), ["g"], [F.col("o").desc()], "v", "run")
     w = W.partitionBy("g").orderBy(F.desc("o")).rowsBetween(W.unboundedPreceding, W.currentRow)
     want = df.withColumn("run", F.sum("v").over(w))
-    assert sorted(got.collect()) == sorted(want.collect())
+    def key(t):
+        return (t[0] is None, t[0] or "", t[1])
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(map(tuple, want.collect()), key=key)
