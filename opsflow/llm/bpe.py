@@ -35,7 +35,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,11 +42,11 @@ from pyspark.sql import types as T
 
 from ..session import scratch_path
 from .frames import need, write_and_read
-from .textkernel import text_slices
+from .textkernel import gather, text_slices
 
 LEXICON_WORDS, LEXICON_BYTES, MIN_COUNT = 131_072, 64, 2
-SLICE = 2 << 20
-MEMO_WORDS = 200_000
+SLICE = 1 << 20
+MEMO_WORDS = 100_000
 LETTER, NUMBER, SPACE, OTHER = 1, 2, 3, 0
 # fixed values: white space of the splitting rule (Unicode White_Space)
 WHITE_SPACE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
@@ -376,28 +375,10 @@ def share(spark: SparkSession, content: bytes) -> str:
     return name
 
 
-def _gather(first: np.ndarray, sizes: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """Values of the lists (first, size), one after the other."""
-    total = int(sizes.sum())
-    if not total:
-        return values[:0]
-    step = np.ones(total, np.int64)
-    sizes_, first_ = sizes[sizes > 0], first[sizes > 0]
-    ends = np.cumsum(sizes_)
-    step[0] = first_[0]
-    step[ends[:-1]] = first_[1:] - (first_[:-1] + sizes_[:-1] - 1)
-    return values[np.cumsum(step)]
-
-
-def encode(df: DataFrame, vocabulary: Vocabulary, lexicon: str, text_col: str = "text", name: str = "ids") -> DataFrame:
-    """All columns of ``df`` and the text's ids (array of int) as the last column ``name``."""
-    need(df, text_col)
-    src = df.drop(name) if name != text_col else df
-    schema = T.StructType([*src.schema.fields, T.StructField(name, T.ArrayType(T.IntegerType(), False), False)])
-    shared = df.sparkSession.sparkContext.broadcast((vocabulary, class_table()))
-
+def _encoder(shared, lexicon: str, text_col: str, name: str):
+    """Batch function that adds ids to a batch stream."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (vocabulary, table), added = shared.value, None
+        vocabulary, table = shared.value
         added = {a.encode(): i for a, i in vocabulary.added.items()}
         transducer, memo = Transducer.open(SparkFiles.get(lexicon)), {}
         for batch in batches:
@@ -417,55 +398,78 @@ def encode(df: DataFrame, vocabulary: Vocabulary, lexicon: str, text_col: str =
                     if ids is None:
                         ids = [added[word]] if word in added else vocabulary.merge(word)
                         if len(memo) < MEMO_WORDS and len(word) <= LEXICON_BYTES:
-                            memo[word] = ids
+                            memo[word] = tuple(ids)
                     first[i], size[i] = base + len(new), len(ids)
                     new.extend(ids)
                 values = np.concatenate([transducer.ids, np.array(new, np.int32)])
                 at = coded.indices.to_numpy()
-                flat = _gather(first[at], size[at], values)
+                flat = gather(first[at], size[at], values)
                 ends = np.concatenate([[0], np.cumsum(size[at])])[rows].astype(np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
                 yield pa.RecordBatch.from_arrays([*part.columns, ids], names=[*part.schema.names, name])
 
-    return src.mapInArrow(run, schema)
+    return run
 
 
-def decode(df: DataFrame, vocabulary: Vocabulary, ids_col: str = "ids", name: str = "decoded") -> DataFrame:
-    """All columns of ``df`` and the text of the ids as the last column ``name``; added tokens are written out."""
-    need(df, ids_col)
-    src = df.drop(name) if name != ids_col else df
-    schema = src.select("*", F.lit("").alias(name)).schema
-    shared = df.sparkSession.sparkContext.broadcast(vocabulary.tokens)
+def _lists(column: pa.Array) -> Iterator[np.ndarray]:
+    """Ids of each row; a null list is empty."""
+    values, bounds = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
+    for i, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
+        yield values[a:b] if column.null_count == 0 or column[i].is_valid else values[:0]
+
 
+def _decoder(shared, ids_col: str, name: str):
+    """Batch function that adds the decoded text to a batch stream."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = shared.value.__getitem__
+        tokens = shared.value if isinstance(shared.value, list) else shared.value[0].tokens
+        token = tokens.__getitem__
         for batch in batches:
-            lists = batch.column(ids_col)
-            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-            texts = []
-            for i, n in enumerate(sizes):
-                ids = lists[i].values.to_numpy(zero_copy_only=False).tolist() if n else []
-                texts.append(b"".join(map(token, ids)).decode("utf-8", "replace"))
+            texts = [b"".join(map(token, ids.tolist())).decode("utf-8", "replace") for ids in _lists(batch.column(ids_col))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())],
                                              names=[*batch.schema.names, name])
 
-    return src.mapInArrow(run, schema)
+    return run
+
+
+def _broadcast(df: DataFrame, vocabulary: Vocabulary):
+    """Vocabulary and code point classes, of fixed size."""
+    return df.sparkSession.sparkContext.broadcast((vocabulary, class_table()))
 
 
-def ids_digest(df: DataFrame, ids_col: str = "ids", name: str = "ids_sha256") -> DataFrame:
-    """All columns but ``ids_col``, and SHA-256 of the ids as little-endian unsigned 32-bit integers."""
+def encode(df: DataFrame, vocabulary: Vocabulary, lexicon: str, text_col: str = "text", name: str = "ids") -> DataFrame:
+    """All columns of ``df`` and the text's ids (array of int) as the last column ``name``."""
+    need(df, text_col)
+    src = df.drop(name) if name != text_col else df
+    schema = T.StructType([*src.schema.fields, T.StructField(name, T.ArrayType(T.IntegerType(), False), False)])
+    return src.mapInArrow(_encoder(_broadcast(df, vocabulary), lexicon, text_col, name), schema)
+
+
+def decode(df: DataFrame, vocabulary: Vocabulary, ids_col: str = "ids", name: str = "decoded") -> DataFrame:
+    """All columns of ``df`` and the text of the ids as the last column ``name``; added tokens are written out."""
+    need(df, ids_col)
+    src = df.drop(name) if name != ids_col else df
+    schema = src.select("*", F.lit("").alias(name)).schema
+    return src.mapInArrow(_decoder(df.sparkSession.sparkContext.broadcast(vocabulary.tokens), ids_col, name), schema)
+
+
+def round_trip_digests(df: DataFrame, vocabulary: Vocabulary, lexicon: str, id_col: str, text_col: str = "text") -> DataFrame:
+    """``id``, ``n_tokens``, ``ids_sha256`` (ids as little-endian unsigned 32-bit integers) and ``decoded_sha256`` (decoded
+    text in UTF-8).  Encodes and decodes in one pass, so that ids and texts stay in the task."""
     from hashlib import sha256
 
-    src = df.drop(name)
-    keep = [c for c in src.columns if c != ids_col]
-    schema = src.select(*keep, F.lit("").alias(name)).schema
+    need(df, id_col, text_col)
+    shared = _broadcast(df, vocabulary)
+    encode_, decode_ = _encoder(shared, lexicon, "text", "ids"), _decoder(shared, "ids", "decoded")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column(ids_col)
-            raw = [x.values.to_numpy(zero_copy_only=False).astype("<u4").tobytes() if x.is_valid else b"" for x in lists]
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep],
-                                              pa.array([sha256(r).hexdigest() for r in raw], pa.string())],
-                                             names=[*keep, name])
-
-    return src.mapInArrow(run, schema)
+        for batch in decode_(encode_(batches)):
+            ids = [x.astype("<u4").tobytes() for x in _lists(batch.column("ids"))]
+            yield pa.RecordBatch.from_arrays([
+                batch.column("id"), pa.array([len(x) // 4 for x in ids], pa.int64()),
+                pa.array([sha256(x).hexdigest() for x in ids], pa.string()),
+                pa.array([sha256(x.encode()).hexdigest() for x in batch.column("decoded").to_pylist()], pa.string())],
+                names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    src = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    return src.mapInArrow(run, f"id {src.schema['id'].dataType.simpleString()}, n_tokens bigint, ids_sha256 string, "
+                               "decoded_sha256 string")

@@ -24,10 +24,7 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     vocabulary = bpe.Vocabulary(vocabulary_path())
     lexicon = bpe.build_lexicon(docs, vocabulary)
-    coded = bpe.decode(bpe.encode(docs, vocabulary, lexicon).drop("text"), vocabulary)
-    coded = coded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids",
-                         F.sha2("decoded", 256).alias("decoded_sha256"))
-    return bpe.ids_digest(coded).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    return bpe.round_trip_digests(docs, vocabulary, lexicon, "doc_id").withColumnRenamed("id", "doc_id")
 
 
 def op2_licences(spark: SparkSession, sf_dir: str) -> DataFrame:

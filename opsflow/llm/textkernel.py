@@ -94,6 +94,19 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def gather(first: np.ndarray, sizes: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Values of the lists (first, size), one after the other."""
+    total = int(sizes.sum())
+    if not total:
+        return values[:0]
+    step = np.ones(total, np.int64)
+    first, sizes = first[sizes > 0], sizes[sizes > 0]
+    ends = np.cumsum(sizes)
+    step[0] = first[0]
+    step[ends[:-1]] = first[1:] - (first[:-1] + sizes[:-1] - 1)
+    return values[np.cumsum(step)]
+
+
 def _powers(base: int, n: int) -> np.ndarray:
     p = np.full(n, base, dtype=np.uint64)
     p[0] = 1
