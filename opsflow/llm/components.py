@@ -26,8 +26,12 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionAll(least.select("a", F.col("m").alias("b"))).distinct()
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+def _settled(edges: DataFrame) -> bool:
+    """Whether every node has one smaller neighbour at most and only roots have larger ones."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionAll(
+        edges.select("b", F.lit(0), F.lit(1)))
+    seen = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return seen.filter("up > 1 or (up = 1 and down = 1)").agg(F.count(F.lit(1))).first()[0] == 0
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -40,12 +44,8 @@ def connected_components(links: DataFrame) -> DataFrame:
              .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     loops = edges.filter("a = b").select(F.col("a").alias("node"))
     edges = write_and_read(edges.filter("a > b"), "cc")
-    state = _state(edges)
-    while state[0]:
+    while not _settled(edges):
         edges = write_and_read(_small_star(_large_star(edges)), "cc")
-        before, state = state, _state(edges)
-        if state == before:
-            break
     stars = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     own = stars.select(F.col("component").alias("node")).unionAll(loops).distinct()
     roots = own.join(stars, "node", "left_anti").select("node", F.col("node").alias("component"))

@@ -6,14 +6,16 @@ verification, confirmation on full shingle sets, connected components.
    byte per minimum.
 2. Documents with equal sets form one class, whose smallest id stands for it;
    copies are never paired.
-3. In each band bucket every member is compared with the bucket's leader (an
-   aggregate).  Pairs pass a size bound and signature verification, then the
-   exact test on the full sets of both texts.  Confirmed links give components.
-4. A bucket whose members are still in different components goes on with new
-   leaders (eight times as many in each round) against the members of other
-   components, until every two members of each bucket are in one component or
-   were compared.  So no link between bucket partners is lost, and only pairs
-   that could still join two components are formed.
+3. In each band bucket every member is compared with the bucket's leader, the
+   member with the most bucket partners (in a group of edited copies that is the
+   text they were made from).  Pairs pass a size bound and signature
+   verification, then the exact test on the full sets of both texts.  Confirmed
+   links give components.
+4. Buckets whose other members are still in different components are joined to
+   families.  In each family the texts outside its largest component are
+   compared with all texts of the family on full sets, block by block: a task
+   holds one block of either side and gives out only links that join two
+   components, so no pair list is formed and no link is lost.
 
 With 48 bands of 6 minima a pair at similarity 0.8 shares no bucket with a
 probability of 5e-7; signature verification drops it with one below 1e-7.
@@ -37,13 +39,13 @@ from pyspark.sql import functions as F
 
 from .components import connected_components
 from .frames import need, type_of, write_and_read
-from .textkernel import SpanHasher, byte_table, lower_table, mix, runs, span_bounds, text_buffer, text_slices
+from .textkernel import SpanHasher, byte_table, gather, lower_table, mix, runs, span_bounds, text_buffer, text_slices
 
 BANDS, ROWS = 48, 6
 SEED = 20240607
 SLACK = 0.13          # about 5.5 standard deviations of an estimate from 288 minima at 0.8
 CHUNK_SHINGLES = 200_000
-MORE_LEADERS = 8
+BLOCK_SHINGLES = 400_000
 
 
 def _word_table() -> np.ndarray:
@@ -188,46 +190,98 @@ def _verify(pairs: DataFrame, reps: DataFrame, texts: DataFrame, k: int, percent
             .mapInArrow(_confirmed(k, percent), f"a {kind}, b {kind}").distinct())
 
 
-def _links(docs: DataFrame, id_col: str, text_col: str, members: DataFrame, reps: DataFrame, k: int,
-           percent: int) -> tuple[DataFrame, DataFrame]:
-    """(links, components) among class representatives."""
+def _joining(k: int, percent: int):
+    """Links between a block of queries and a block of a family's texts that join two components."""
+    def compare(key, rows):
+        rows = rows.combine_chunks()
+        sets = list(shingle_sets(rows.column("text").combine_chunks(), k, SpanHasher()))
+        ids, component = rows.column("id").to_pylist(), rows.column("component").to_pylist()
+        asks = rows.column("asks").to_numpy(zero_copy_only=False)
+        others, queries = np.flatnonzero(~asks), np.flatnonzero(asks)
+        sizes = np.array([len(sets[i]) for i in others], np.int64)
+        shingles = np.concatenate([sets[i] for i in others]) if len(others) else np.zeros(0, np.uint64)
+        order = np.argsort(shingles, kind="stable")
+        shingles, owner = shingles[order], np.repeat(np.arange(len(others)), sizes)[order]
+        up: dict = {}
+
+        def root(x):
+            while up.get(x, x) != x:
+                x = up[x]
+            return x
+
+        a, b = [], []
+        for q in queries:
+            s = sets[q]
+            low = np.searchsorted(shingles, s, "left")
+            both = np.bincount(gather(low, np.searchsorted(shingles, s, "right") - low, owner), minlength=len(others))
+            for i in np.flatnonzero(100 * both >= percent * np.maximum(len(s) + sizes - both, 1)):
+                x, y = root(component[q]), root(component[others[i]])
+                if x != y:
+                    up[x] = y
+                    a.append(ids[q])
+                    b.append(ids[others[i]])
+        kind = rows.schema.field("id").type
+        return pa.table({"a": pa.array(a, kind), "b": pa.array(b, kind)})
+
+    return compare
+
+
+def _join_families(open_: DataFrame, sizes: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links that join components within the families of the open buckets (``key``, ``rep``, ``component``)."""
+    kind = type_of(open_, "rep").simpleString()
+    heads = open_.groupBy("key").agg(F.min("rep").alias("b"))
+    families = connected_components(open_.join(heads, "key").select(F.col("rep").alias("a"), "b").distinct())
+    members = (open_.select(F.col("rep").alias("id"), "component").distinct()
+               .join(families.withColumnsRenamed({"node": "id", "component": "family"}), "id").join(sizes, "id"))
+    members = write_and_read(members, "families")
+    largest = (members.groupBy("family", "component").agg(F.count(F.lit(1)).alias("n"))
+               .groupBy("family").agg(F.max_by("component", F.struct("n", "component")).alias("largest")))
+    members = members.join(largest, "family").withColumn("asks", F.col("component") != F.col("largest"))
+    # every row is compared with the queries; a query also stands among the rows
+    blocks = members.groupBy("family").agg(
+        F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("rows"),
+        F.ceil(F.sum(F.when(F.col("asks"), F.col("n")).otherwise(0)) / BLOCK_SHINGLES).cast("int").alias("queries"))
+    members = members.join(blocks, "family")
+    own = F.xxhash64("id")
+    rows = members.select("family", "id", "component", F.lit(False).alias("asks"), F.pmod(own, "rows").alias("i"),
+                          F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("queries").cast("bigint") - 1)).alias("j"))
+    asked = members.filter("asks").select(
+        "family", "id", "component", "asks",
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("rows").cast("bigint") - 1)).alias("i"), F.pmod(own, "queries").alias("j"))
+    return (rows.unionByName(asked).join(texts, "id").groupBy("family", "i", "j")
+            .applyInArrow(_joining(k, percent), f"a {kind}, b {kind}"))
+
+
+def _components(docs: DataFrame, id_col: str, text_col: str, members: DataFrame, reps: DataFrame, k: int,
+                percent: int) -> DataFrame:
+    """Components of the class representatives that have links."""
     entries = reps.select(F.explode("bands").alias("key"), F.col("id").alias("rep"))
-    leaders = entries.groupBy("key").agg(F.min("rep").alias("leader"), F.max("rep").alias("last")).filter("leader < last")
-    entries = write_and_read(entries.join(leaders.select("key", "leader"), "key"), "entries")
-    wanted = entries.select(F.col("rep").alias("id")).distinct()
+    shared = entries.groupBy("key").agg(F.min("rep").alias("x"), F.max("rep").alias("y"), F.count(F.lit(1)).alias("n")).filter("x < y")
+    entries = write_and_read(entries.join(shared.select("key", "n"), "key"), "entries")
+    partners = entries.groupBy("rep").agg(F.sum("n").alias("partners"))
+    leaders = entries.join(partners, "rep").groupBy("key").agg(F.max(F.struct("partners", "rep")).alias("top"))
+    entries = write_and_read(entries.join(leaders.select("key", F.col("top.rep").alias("leader")), "key").select("key", "rep", "leader"),
+                             "entries")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    texts = write_and_read(texts.join(wanted, "id", "left_semi"), "texts")
-    reps = reps.select("id", "n_shingles", "sig")
+    texts = write_and_read(texts.join(partners.select(F.col("rep").alias("id")), "id", "left_semi"), "texts")
+    sizes = reps.select("id", F.col("n_shingles").alias("n"))
 
     same_id = members.groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).filter("a < z").select("id", "a")
     links = members.join(same_id, "id").select("a", F.col("rep").alias("b")).distinct().filter("a < b")
-    compared = write_and_read(entries.filter("rep > leader").select(F.col("leader").alias("a"), F.col("rep").alias("b"))
-                              .distinct(), "pairs")
-    links = write_and_read(links.unionAll(_verify(compared, reps, texts, k, percent)), "links")
+    pairs = entries.filter("rep <> leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
+    links = links.unionAll(_verify(pairs, reps.select("id", "n_shingles", "sig"), texts, k, percent))
     components = write_and_read(connected_components(links), "components")
-    open_ = entries.filter("rep <> leader").select("key", "rep")
-    leaders_now = MORE_LEADERS
-    while True:
-        own = components.select(F.col("node").alias("rep"), "component")
-        placed = open_.join(own, "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("component"))
-        mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y")
-        placed = write_and_read(placed.join(mixed.select("key"), "key", "left_semi"), "open")
-        if placed.isEmpty():
-            return links, components
-        heads = (placed.groupBy("key", F.pmod(F.xxhash64("rep"), F.lit(leaders_now)).alias("slot"))
-                 .agg(F.min(F.struct("rep", "component")).alias("h")).select("key", "h.*")
-                 .withColumnsRenamed({"rep": "leader", "component": "other"}))
-        heads = write_and_read(heads, "heads")
-        pairs = (placed.join(heads, "key").filter("component <> other")
-                 .select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")).distinct()
-                 .join(compared, ["a", "b"], "left_anti"))
-        pairs = write_and_read(pairs, "pairs")
-        found = write_and_read(_verify(pairs, reps, texts, k, percent), "links")
-        compared, links = compared.unionAll(pairs), links.unionAll(found)
-        if not found.isEmpty():
-            components = write_and_read(connected_components(links), "components")
-        open_ = placed.join(heads.select("key", F.col("leader").alias("rep")), ["key", "rep"], "left_anti").select("key", "rep")
-        leaders_now *= MORE_LEADERS
+    # the leaders have met all members of their buckets; what is left is open where it lies in two components
+    left = (entries.filter("rep <> leader").join(components.select(F.col("node").alias("rep"), "component"), "rep", "left")
+            .select("key", "rep", F.coalesce("component", "rep").alias("component")))
+    mixed = left.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y")
+    open_ = write_and_read(left.join(mixed.select("key"), "key", "left_semi"), "open")
+    if open_.count() == 0:
+        return components
+    more = write_and_read(_join_families(open_, sizes, texts, k, percent), "links")
+    if more.count() == 0:
+        return components
+    return connected_components(components.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(more))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80,
@@ -241,7 +295,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = write_and_read(known.select("id", *sets).join(classes, sets).select("id", "n_shingles", "rep"), "members")
     reps = known.join(classes.select(F.col("rep").alias("id"), *sets), ["id", *sets], "left_semi")
     reps = write_and_read(reps.select("id", "n_shingles", "sig", "bands"), "reps")
-    _, components = _links(docs, id_col, text_col, members, reps, k, percent)
+    components = _components(docs, id_col, text_col, members, reps, k, percent)
     placed = (members.join(components.withColumnsRenamed({"node": "rep"}), "rep", "left")
               .select("id", "n_shingles", F.coalesce("component", "rep").alias("component")))
     alone = signed.filter("id is null or n_shingles = 0").select("id", "n_shingles", F.col("id").alias("component"))
