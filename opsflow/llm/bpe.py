@@ -44,9 +44,9 @@ from ..session import scratch_path
 from .frames import need, write_and_read
 from .textkernel import gather, text_slices
 
-LEXICON_WORDS, LEXICON_BYTES, MIN_COUNT = 131_072, 64, 2
+LEXICON_WORDS, LEXICON_BYTES, MIN_COUNT = 262_144, 64, 2
 SLICE = 1 << 20
-MEMO_WORDS = 100_000
+MEMO_WORDS = 250_000
 LETTER, NUMBER, SPACE, OTHER = 1, 2, 3, 0
 # fixed values: white space of the splitting rule (Unicode White_Space)
 WHITE_SPACE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
@@ -74,49 +74,49 @@ class Vocabulary:
         self.byte_ids = [0] * 256
         for c, b in back.items():
             self.byte_ids[b] = ids[c]
-        self.merges = {}
+        self.merges = {}                       # pair of ids as one number -> rank and merged id as one number
         for rank, pair in enumerate(spec["model"]["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
-            self.merges.setdefault((ids[a], ids[b]), (rank, ids[a + b]))
+            self.merges.setdefault(ids[a] << 32 | ids[b], rank << 32 | ids[a + b])
 
     def merge(self, word: bytes) -> list[int]:
         """Exact ids of one word: always the pair of lowest rank, leftmost first."""
-        parts = [self.byte_ids[b] for b in word]
-        if len(parts) > 48:
+        byte_ids, rank_of, none = self.byte_ids, self.merges.get, 1 << 62
+        parts = [byte_ids[b] for b in word]
+        if len(parts) > 100:
             return self._merge_long(parts)
-        merges = self.merges
-        while len(parts) > 1:
-            best = min((merges[p] for p in zip(parts, parts[1:]) if p in merges), default=None)
-            if best is None:
+        ranks = [rank_of(a << 32 | b, none) for a, b in zip(parts, parts[1:])]
+        while ranks:
+            best = min(ranks)
+            if best == none:
                 break
-            rank, new, out, i, n = best[0], best[1], [], 0, len(parts)
-            while i < n:
-                if i + 1 < n and merges.get((parts[i], parts[i + 1]), (-1,))[0] == rank:
-                    out.append(new)
-                    i += 2
-                else:
-                    out.append(parts[i])
-                    i += 1
-            parts = out
+            i = ranks.index(best)
+            parts[i] = best & 0xFFFFFFFF
+            del parts[i + 1], ranks[i]
+            if i:
+                ranks[i - 1] = rank_of(parts[i - 1] << 32 | parts[i], none)
+            if i < len(ranks):
+                ranks[i] = rank_of(parts[i] << 32 | parts[i + 1], none)
         return parts
 
     def _merge_long(self, parts: list) -> list[int]:
         merges, n = self.merges, len(parts)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(merges[p][0], i, p) for i, p in enumerate(zip(parts, parts[1:])) if p in merges]
+        keys = (a << 32 | b for a, b in zip(parts, parts[1:]))
+        heap = [(merges[p], i, p) for i, p in enumerate(keys) if p in merges]
         heapq.heapify(heap)
         while heap:
-            _, i, pair = heapq.heappop(heap)
+            best, i, pair = heapq.heappop(heap)
             j = after[i] if parts[i] is not None else n
-            if j >= n or (parts[i], parts[j]) != pair:
+            if j >= n or parts[i] << 32 | parts[j] != pair:
                 continue
-            parts[i], parts[j] = merges[pair][1], None
+            parts[i], parts[j] = best & 0xFFFFFFFF, None
             after[i] = after[j]
             if after[i] < n:
                 before[after[i]] = i
             for left, right in ((before[i], i), (i, after[i])):
-                if left >= 0 and right < n and (pair := (parts[left], parts[right])) in merges:
-                    heapq.heappush(heap, (merges[pair][0], left, pair))
+                if left >= 0 and right < n and (pair := parts[left] << 32 | parts[right]) in merges:
+                    heapq.heappush(heap, (merges[pair], left, pair))
         return [p for p in parts if p is not None]
 
 
