@@ -66,10 +66,12 @@ def train_counts(docs: DataFrame, text_col: str, lang_col: str, per_language: in
     """``lang``, ``kind`` (0: text, -1: word, n: n-gram), ``feature``, ``n`` over the training sample."""
     labelled = docs.filter(F.col(lang_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"),
                                                               F.col(text_col).cast("string").alias("text"))
-    sizes = labelled.groupBy("lang").count().withColumnRenamed("count", "have")
-    # a hash threshold of the wanted share of each language: no sort, no group in one task
-    pick = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) * F.col("have") < F.lit(float(per_language) * (1 << 30))
-    chosen = labelled.join(sizes, "lang").filter(pick).select("lang", "text")
+    # one row per language; a hash threshold of the wanted share of each: no sort, texts are not shuffled
+    sizes = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    have = F.create_map(*[F.lit(x) for pair in sizes.items() for x in pair]) if sizes else F.create_map()
+    pick = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) * F.try_element_at(have, "lang") < F.lit(float(per_language) * (1 << 30))
+    chosen = labelled.filter(pick) if sizes else labelled.limit(0)
+
     letters = letter_table()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
