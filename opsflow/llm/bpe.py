@@ -31,7 +31,8 @@ import json
 import re
 import unicodedata
 import uuid
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +45,7 @@ from ..session import scratch_path
 from .frames import need, write_and_read
 from .textkernel import gather, text_slices
 
-LEXICON_WORDS, LEXICON_BYTES, MIN_COUNT = 262_144, 64, 2
+LEXICON_WORDS, LEXICON_BYTES, MIN_COUNT = 131_072, 64, 2
 SLICE = 1 << 20
 MEMO_WORDS = 250_000
 LETTER, NUMBER, SPACE, OTHER = 1, 2, 3, 0
@@ -213,9 +214,9 @@ class Transducer:
         self.arcs, self.targets, self.outputs, self.final, self.first, self.ids = (arrays[n] for n in self.NAMES)
 
     @classmethod
-    def build(cls, words: list[bytes], ids: list[list[int]]) -> Transducer:
+    def build(cls, words: list[bytes], ids: Iterable[list[int]]) -> Transducer:
         """From distinct words in byte order and their ids."""
-        nodes: list[list] = []                 # [final, [(byte, child)]]: registered states
+        nodes: list[tuple] = []                # (final, ((byte, child), ...)): registered states
         register: dict[tuple, int] = {}
         path: list[list] = [[False, []]]       # the states of the last word, not yet registered
         last = b""
@@ -226,7 +227,7 @@ class Transducer:
                 key = (final, tuple(arcs))
                 at = register.setdefault(key, len(nodes))
                 if at == len(nodes):
-                    nodes.append([final, arcs])
+                    nodes.append(key)
                 byte = last[len(path) - 1]
                 path[-1][1].append((byte, at))
 
@@ -239,7 +240,7 @@ class Transducer:
             path[-1][0], last = True, word
         close(0)
         root = len(nodes)
-        nodes.append(path[0])
+        nodes.append((path[0][0], tuple(path[0][1])))
         below = [0] * len(nodes)               # words below each state; children come first
         arcs, targets, outputs = [], [], []
         for state, (final, out) in enumerate(nodes):
@@ -250,11 +251,14 @@ class Transducer:
                 outputs.append(count)
                 count += below[child]
             below[state] = count
-        sizes = np.array([len(x) for x in ids], np.int64)
+        flat, sizes = array("i"), array("q")
+        for x in ids:
+            flat.extend(x)
+            sizes.append(len(x))
         return cls({"arcs": np.array(arcs, np.int64), "targets": np.array(targets, np.int32),
                     "outputs": np.array(outputs, np.int32), "final": np.array([n[0] for n in nodes], np.uint8),
                     "first": np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32),
-                    "ids": np.array([i for x in ids for i in x], np.int32)}) if root else cls.empty()
+                    "ids": np.array(flat, np.int32)}) if root else cls.empty()
 
     @classmethod
     def empty(cls) -> Transducer:
@@ -352,14 +356,14 @@ def frequent_words(counts: DataFrame, limit: int = LEXICON_WORDS, longest: int =
         floor = r.step
     if floor is None:
         return []
-    return sorted(bytes(r.word) for r in counts.filter(step >= floor).select("word").collect())
+    return sorted(counts.filter(step >= floor).select("word").toArrow().column("word").to_pylist())
 
 
 def build_lexicon(df: DataFrame, vocabulary: Vocabulary, text_col: str = "text", limit: int = LEXICON_WORDS) -> str:
     """Compile the frequent words and give the file to the executors; returns its name for ``encode``."""
     words = frequent_words(word_counts(df, vocabulary, text_col), limit)
     words = [w for w in words if w.decode("utf-8", "replace") not in vocabulary.added]
-    return share(df.sparkSession, Transducer.build(words, [vocabulary.merge(w) for w in words]).to_bytes())
+    return share(df.sparkSession, Transducer.build(words, map(vocabulary.merge, words)).to_bytes())
 
 
 def share(spark: SparkSession, content: bytes) -> str:
