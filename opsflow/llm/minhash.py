@@ -68,10 +68,10 @@ def shingle_sets(column: pa.Array, k: int, hasher: SpanHasher) -> Iterator[np.nd
         if b - a >= k:
             yield np.unique(rolled[a:b - k + 1])
         elif b > a:
-            whole = words[a]
-            for w in words[a + 1:b]:
-                whole = whole * odd + w
-            yield mix(np.array([whole ^ np.uint64(b - a)], np.uint64))
+            whole = words[a:a + 1]
+            for i in range(a + 1, b):
+                whole = whole * odd + words[i:i + 1]
+            yield mix(whole ^ np.uint64(b - a))
         else:
             yield words[:0]
 

@@ -114,4 +114,23 @@ def op10_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_bpe, op2_licences, op3_minhash, op4_langid, op5_warc, op6_simhash, op7_html, op8_secrets,
                                    op9_decontaminate, op10_urlfilter, simhash_neighbours)}
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op5_warc": """
+        WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+        k AS (SELECT payload_digest, max(page_id) AS keeper FROM p WHERE payload_bytes >= 1000 GROUP BY 1)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN keeper <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN keeper <> page_id THEN keeper END AS refers_to
+        FROM p LEFT JOIN k USING (payload_digest)""",
+    "op10_urlfilter": """
+        WITH r(rule_host, rule_path, verdict) AS (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'),
+             ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+        p AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+        q AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                     regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM p),
+        h AS (SELECT page_id, rule_host || rule_path AS rule, verdict,
+                     row_number() OVER (PARTITION BY page_id ORDER BY length(rule_host || rule_path) DESC) AS n
+              FROM q JOIN r ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path))
+        SELECT q.page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
+        FROM q LEFT JOIN h ON h.page_id = q.page_id AND n = 1""",
+}

@@ -112,7 +112,7 @@ def scan_unseen(docs: DataFrame, ledger: str, id_col: str = "doc_id", text_col:
     texts = rows.alias("r").join(paths.alias("p").hint("shuffle_hash"),
                                  (F.col("r.blob") == F.col("p.blob")) & F.col("r.id").eqNullSafe(F.col("p.id"))).select("r.blob", "r.text")
     found = texts.select("blob", F.lit(version).alias("rules"), findings(F.col("text"), rules).alias("findings"))
-    found.write.mode("append").parquet(ledger)
+    found.dropDuplicates(["blob"]).write.mode("append").parquet(ledger)
     return read_ledger(spark, ledger).filter(F.col("rules") == version)
 
 
