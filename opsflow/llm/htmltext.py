@@ -319,7 +319,7 @@ def with_text(pages: DataFrame, html_col: str = "html", name: str = "text") -> D
     """All columns of ``pages`` and the page's visible text as the last column ``name``."""
     need(pages, html_col)
     src = pages.drop(name) if name != html_col else pages
-    schema = src.select("*", F.lit("").cast("string").alias(name)).schema
+    schema = src.select("*", F.lit(None).cast("string").alias(name)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
