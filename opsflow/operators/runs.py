@@ -32,8 +32,8 @@ def completed_processes(logs: DataFrame, process: Column, line_col: str = "line"
 
 
 def pending(wanted: DataFrame, completed: DataFrame, key: str) -> DataFrame:
-    """Distinct wanted keys without a completed entry."""
-    return wanted.select(key).distinct().join(completed.select(key).distinct(), key, "left_anti")
+    """Distinct wanted keys without a completed entry, in order."""
+    return wanted.select(key).distinct().join(completed.select(key).distinct(), key, "left_anti").orderBy(key)
 
 
 def pending_all(wanted: DataFrame, completed: DataFrame, key: str, chunk: int = 10_000) -> DataFrame:
@@ -107,6 +107,7 @@ def run_status(states: DataFrame, group_cols: list[str], past_deadline: Column)
 
 
 def latest_attempt(df: DataFrame, job_col: str, start_col: str, cols: list[str]) -> DataFrame:
-    """Per job, the attempt with the latest start time (one partial aggregate)."""
-    best = F.max_by(F.struct(*[F.col(c) for c in cols]), F.col(start_col)).alias("_b")
-    return df.groupBy(job_col).agg(F.max(start_col).alias(start_col), best).select(job_col, start_col, "_b.*")
+    """Per job, the attempt with the latest start time, of equal times the one with
+    the largest ``cols`` (one partial aggregate)."""
+    best = F.max(F.struct(F.col(start_col), *[F.col(c) for c in cols])).alias("_b")
+    return df.groupBy(job_col).agg(best).select(job_col, "_b.*")

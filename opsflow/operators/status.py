@@ -83,9 +83,10 @@ def history_unpivot(wide: DataFrame, key_cols: list[str], date_cols: list[str])
 
 def dashboard_order(rows: DataFrame, freq_col: str = "FREQ", mtd_col: str = "mtd",
                     name_col: str = "usecase") -> DataFrame:
-    """Daily use cases first, monthly ones last; within each, success percentage
-    ascending (blank = 0) then name.  Adds ``position`` (1-based)."""
-    monthly = F.col(freq_col).isin(C.MONTHLY_FREQUENCIES).cast("int")
+    """Daily use cases (also those without a frequency) first, monthly ones last;
+    within each, success percentage ascending (blank = 0) then name.  Adds
+    ``position`` (1-based)."""
+    monthly = F.coalesce(F.col(freq_col).isin(C.MONTHLY_FREQUENCIES), F.lit(False)).cast("int")
     return number_rows(rows, [monthly, F.coalesce(F.col(mtd_col), F.lit(0)), F.col(name_col)], "position")
 
 

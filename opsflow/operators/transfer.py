@@ -40,10 +40,13 @@ def project(spark: SparkSession, df: DataFrame, column_list: str | None, where_c
     Null column list = all columns; null filter = no filter.  The text goes
     through the SQL parser, so column pruning and filter pushdown still apply.
     """
-    cols = column_list if column_list and column_list.strip() else "*"
+    def plain(text: str) -> str:      # braces of the manifest text are not frame names
+        return text.replace("{", "{{").replace("}", "}}")
+
+    cols = plain(column_list) if column_list and column_list.strip() else "*"
     sql = f"SELECT {cols} FROM {{src}}"
     if where_clause and where_clause.strip():
-        sql += f" WHERE {where_clause}"
+        sql += f" WHERE {plain(where_clause)}"
     return spark.sql(sql, src=df)
 
 

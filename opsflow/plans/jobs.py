@@ -47,9 +47,9 @@ def _raw_rows(spark: SparkSession, raw_path: str) -> DataFrame:
 
 
 def dashboard_run(spark: SparkSession, master_path: str, raw_path: str, history_folder: str,
-                  snapshot_folder: str, report_date: dt.date, run_ts: str, days: int = 7,
+                  snapshot_folder: str, report_date: dt.date, run_ts: str, days: int | None = None,
                   scope: str = "month", report_folder: str | None = None) -> DashboardOutput:
-    """One dashboard run.  With ``report_folder``, the ordered matrix is written
+    """One dashboard run, over all days of the history or the last ``days``.  With ``report_folder``, the ordered matrix is written
     as CSV with the header ``USECASE,SLA,FREQ,MTD,MTD-DL,<yyyyMMdd per day>`` and
     the failure lines as text, both under ``run_ts=<run_ts>``."""
     master = files.read_positional_csv(spark, master_path, MASTER_FIELDS)
@@ -59,9 +59,15 @@ def dashboard_run(spark: SparkSession, master_path: str, raw_path: str, history_
     try:
         history = spark.read.parquet(history_folder).filter(F.col("report_date") != F.lit(report_date))
         long = history.select("usecase", "report_date", "category").unionByName(today)
-    except AnalysisException:            # first run: no history folder yet
+    except AnalysisException as e:       # first run: no history folder yet
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         long = today
-    dates = [report_date - dt.timedelta(days=i) for i in range(days)]
+    if days is None:                     # every day that the history has, one column each
+        kept = long.select("report_date").distinct().collect()
+        dates = sorted((r.report_date for r in kept if r.report_date is not None), reverse=True)
+    else:
+        dates = [report_date - dt.timedelta(days=i) for i in range(days)]
     mtd = status.mtd_success(long, ["usecase"], report_date, scope)
     matrix = status.status_matrix(long, dates, master=master.select("usecase"))
     wide = (matrix.join(master, "usecase", "left").join(mtd, "usecase", "left")
@@ -116,7 +122,9 @@ def transfer_round(spark: SparkSession, wanted: DataFrame, log_folder: str, mark
     try:
         logs = files.read_logs(spark, log_folder)
         done = runs.completed_processes(logs, _process_of()).withColumnRenamed("process", "process_key")
-    except AnalysisException:            # no log folder yet: nothing completed
+    except AnalysisException as e:       # no log folder yet: nothing completed
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         done = spark.createDataFrame([], "process_key string")
     pend = runs.pending(wanted, done, "process_key").withColumn("pending", F.lit(True))
     state = wanted.select("process_key").distinct().join(pend, "process_key", "left").select(
@@ -165,9 +173,9 @@ def transfer_ready(spark: SparkSession, state: DataFrame, manifest_path: str, de
             lines.append((row.process_key, f"{C.COMPLETION_MARKER}{table}"))
         except Exception as e:  # noqa: BLE001 - recorded, then the next table
             failed.append(table)
-            errors.append((table, processed_at, str(e)[:2000]))
+            errors.append((table, processed_at, str(e)))
             lines.append((row.process_key, _log_line(log_id, source, table, "Data Transfer", "FAILED",
-                                                     str(e).splitlines()[0][:500] if str(e) else "error", processed_at)))
+                                                     " ".join(str(e).replace(C.LOG_SEPARATOR, " ").split()) or "error", processed_at)))
     if log_folder and lines:
         (spark.createDataFrame(lines, "process string, value string")
          .write.mode("append").partitionBy("process").text(log_folder))

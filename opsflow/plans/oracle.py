@@ -319,8 +319,9 @@ SELECT *, CASE WHEN transfer_pending = 0 THEN 'SUCCESS' WHEN ingestion_completed
                ELSE 'RUNNING' END AS status
 FROM a""",
     "latest_attempt": """
-SELECT user_id, max(ts) AS ts, arg_max(event_id, ts) AS event_id, arg_max(event_type, ts) AS event_type
-FROM events GROUP BY user_id""",
+SELECT user_id, ts, event_id, event_type FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC, event_type DESC) AS k FROM events) t
+WHERE k = 1""",
     # ---------------------------------------------------------------- dashboard
     "daily_status": f"""
 WITH raw AS (
@@ -346,7 +347,7 @@ WITH {LONG}, {MTD},
 um AS (SELECT 'UC_' || CAST(c_custkey AS VARCHAR) AS usecase, {FREQ} AS FREQ
        FROM customer JOIN nation ON c_nationkey = n_nationkey)
 SELECT mtd.usecase, um.FREQ, mtd, mtd_dl,
-       row_number() OVER (ORDER BY CAST(um.FREQ IN {MONTHLY} AS INTEGER) NULLS FIRST, COALESCE(mtd, 0), mtd.usecase) AS position
+       row_number() OVER (ORDER BY CAST(COALESCE(um.FREQ IN {MONTHLY}, FALSE) AS INTEGER), COALESCE(mtd, 0), mtd.usecase) AS position
 FROM mtd LEFT JOIN um ON mtd.usecase = um.usecase""",
     "failure_list": f"""
 WITH r AS (

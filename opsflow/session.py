@@ -45,6 +45,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         key = id(spark.sparkContext)
         if key not in _LOCAL_FALLBACK:
             _LOCAL_FALLBACK[key] = tempfile.mkdtemp(prefix="opsflow-ckpt-")

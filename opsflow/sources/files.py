@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -21,10 +22,14 @@ def read_master_csv(spark: SparkSession, path: str, schema: StructType | str | N
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """The transfer manifest: ``|``-delimited CSV with a header, all text."""
-    schema = ", ".join(f"{c} string" for c in C.MANIFEST_COLUMNS)
-    return (spark.read.option("header", "true").option("delimiter", C.MANIFEST_DELIMITER)
-            .schema(schema).csv(path))
+    """The transfer manifest: ``|``-delimited CSV with a header, all text.
+
+    Columns are found by their header names, in any order; a known column that
+    the header lacks is null, further columns follow."""
+    df = spark.read.option("header", "true").option("delimiter", C.MANIFEST_DELIMITER).csv(path)
+    have = {c.strip().upper(): c for c in df.columns}
+    known = [F.col(f"`{have[c]}`").alias(c) if c in have else F.lit(None).cast("string").alias(c) for c in C.MANIFEST_COLUMNS]
+    return df.select(*known, *[F.col(f"`{c}`") for up, c in have.items() if up not in C.MANIFEST_COLUMNS])
 
 
 def read_by_format(spark: SparkSession, fmt: str, path: str, options: dict[str, str] | None = None) -> DataFrame:
@@ -44,24 +49,29 @@ def read_dated(spark: SparkSession, fmt: str, base: str, indicator: str | None,
     """A ``year=/month=/day=`` partitioned folder, read for one day.
 
     Indicator null or ``m``: the base folder as it is.  Otherwise the day's
-    partition, selected by a filter on the partition columns (pruned at
-    planning time, so only that day's files are listed and read); the
-    partition columns are dropped, as when the day folder itself is read.
+    folder alone is listed and read (month and day with or without a leading
+    zero); a day folder that does not exist raises PATH_NOT_FOUND.
     """
-    df = read_by_format(spark, fmt, base, options)
     if indicator is None or indicator.lower() == C.BASE_PATH_INDICATOR:
-        return df
-    day = (F.col("year") == run_date.year) & (F.col("month") == run_date.month) & (F.col("day") == run_date.day)
-    return df.filter(day).drop("year", "month", "day")
+        return read_by_format(spark, fmt, base, options)
+    root, missing = base.rstrip("/"), None
+    for day in (f"month={run_date:%m}/day={run_date:%d}", f"month={run_date.month}/day={run_date.day}"):
+        try:
+            return read_by_format(spark, fmt, f"{root}/year={run_date.year}/{day}", options)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            missing = missing or e
+    raise missing
 
 
 def read_positional_csv(spark: SparkSession, path: str, fields: dict[str, int], sep: str = ",") -> DataFrame:
     """Header-less delimited rows, columns picked by 1-based position
-    (``{"usecase": 1, "category": 8}``); missing positions are null."""
-    df = spark.read.option("header", "false").option("sep", sep).csv(path)
-    width = len(df.columns)
-    return df.select(*[(F.col(f"_c{pos - 1}") if pos <= width else F.lit(None).cast("string")).alias(name)
-                       for name, pos in fields.items()])
+    (``{"usecase": 1, "category": 8}``); positions that a row lacks are null,
+    whatever the width of the first row."""
+    schema = ", ".join(f"_c{i} string" for i in range(max(fields.values())))
+    df = spark.read.option("header", "false").option("sep", sep).schema(schema).csv(path)
+    return df.select(*[F.col(f"_c{pos - 1}").alias(name) for name, pos in fields.items()])
 
 
 def read_wide_history(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:

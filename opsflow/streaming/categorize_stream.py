@@ -60,18 +60,19 @@ def kafka_sink(servers: str, topic: str) -> Callable[[DataFrame, int], None]:
 
 
 def start_feed(spark: SparkSession, feed: feeds.FeedConfig, servers: str, load_masters,
-               sink: Callable[[DataFrame, int], None] | None = None, checkpoint: str | None = None,
+               sink: Callable[[DataFrame, int], None] | None = None, *, checkpoint: str,
                source: DataFrame | None = None, trigger: dict | None = None, **processor_opts) -> StreamingQuery:
     """A feed end to end: raw messages (``timestamp``, ``value``) from the feed's
     Kafka topic, or from ``source`` (any streaming frame with those columns),
     parsed with the feed schema and padded, then the batch processor; the output
-    goes to the feed's output topic unless another sink is given.  A checkpoint
-    is always set; ``trigger`` is passed to ``DataStreamWriter.trigger`` and
+    goes to the feed's output topic unless another sink is given.  The
+    checkpoint folder is required, so that a restarted feed goes on where it
+    stopped; ``trigger`` is passed to ``DataStreamWriter.trigger`` and
     ``processor_opts`` (keys, order, join keys) to ``batch_processor``."""
     src = source if source is not None else messages.read_kafka_stream(spark, servers, feed.input_topic, feed.group_id)
     parsed = feeds.pad_columns(feeds.parse_messages(feeds.raw_messages(src), feed.message_schema), feed.name)
     writer = (parsed.writeStream.outputMode("append")
-              .option("checkpointLocation", checkpoint or scratch_path(spark, f"ckpt-{feed.name}"))
+              .option("checkpointLocation", checkpoint)
               .foreachBatch(batch_processor(feed, sink or kafka_sink(servers, feed.output_topic), load_masters,
                                             **processor_opts)))
     if trigger:

@@ -35,7 +35,7 @@ def test_dated_read_prunes_partitions(spark):
     spark.createDataFrame([(1, 2024, 1, 15)], "id int, year int, month int, day int") \
         .write.partitionBy("year", "month", "day").parquet(path)
     p = plan(files.read_dated(spark, "parquet", path, "d", dt.date(2024, 1, 15)))
-    assert "PartitionFilters: [isnotnull(year" in p
+    assert "year=2024/mont" in p and "PartitionFilters: []" in p      # the day's folder alone is listed
 
 
 def test_numbering_keeps_data_out_of_a_single_partition(spark):
