@@ -109,3 +109,6 @@ REPORT_DISPLAY_NAMES = {
 NO_RESPONSE_ELEMENTS = "No responseElements"
 DEFAULT_CLUSTER_STATES = ["WAITING"]
 INFO_DAYS = 30
+
+# audit event that starts a cluster
+LAUNCH_EVENT = "RunJobFlow"

@@ -9,9 +9,10 @@ from .. import config as C
 
 
 def normalized_code(c: str | Column) -> Column:
-    """Upper-cased code when it is one of the ten status codes, else null."""
-    u = F.upper(F.trim(F.col(c) if isinstance(c, str) else c))
-    return F.when(u.isin(C.STATUS_CODES), u)
+    """The first of the ten status codes that stands in the text as a whole word
+    (``OK (late)`` is OK, ``TOKEN`` is none), upper-cased; null without one."""
+    u = F.upper(F.col(c) if isinstance(c, str) else c)
+    return F.nullif(F.regexp_extract(u, r"\b(" + "|".join(C.STATUS_CODES) + r")\b", 1), F.lit(""))
 
 
 def colour(c: str | Column) -> Column:

@@ -106,6 +106,50 @@ def decision_list(df: DataFrame, group_cols: list[str], id_col: str = "udId", ac
     return grouped.withColumn(out, ordered).drop("_items")
 
 
+def decisions_per_key(df: DataFrame, key: str, id_col: str = "udId", acc_col: str = "udAcc",
+                      tie_col: str | None = None, out: str = "usDecCatId") -> DataFrame:
+    """One row per ``key`` of a prepared decision map, whatever its other columns hold.
+
+    ``out``: the distinct non-null decision ids in ``decision_list`` order (text
+    accuracy descending, then ``tie_col``, then the id).  ``cat_id``: the key's
+    distinct category ids in text order, ``-``-separated like one composite id
+    (a single id stays as it is; none gives null).  Array columns of the map are
+    united (no repeats if there are several), ``nextBest0`` and ``catWt0`` come
+    from the row with the largest weight, ``subT_create`` and ``subT`` are the
+    largest values.  Equal (key, id, accuracy) rows meet in a first aggregate, so
+    a hot key's value holds its distinct ids and accuracies, not its rows.
+    """
+    types = dict(df.dtypes)
+    texts = [c for c in ("cat_id",) if c in types]
+    lists = [c for c in ("dec_cat", "decCatId", "nextBestCat", "nextBest_catId") if c in types]
+    sets = texts + [c for c in lists if types[c].startswith("array")]
+    scalars = [c for c in ("subT_create", "subT", *lists) if c in types and c not in sets]
+    pair = {"nextBest0", "catWt0"} <= set(types)
+    single = {c: F.col(c) for c in (() if pair else ("nextBest0", "catWt0")) if c in types}
+    single |= {c: F.col(c) for c in scalars}
+    if pair:
+        single["_pair"] = F.struct(F.col("catWt0"), F.col("nextBest0"))
+
+    tie = F.col(tie_col) if tie_col else F.lit(0)
+    first = df.groupBy(key, F.col(id_col).alias("_id"), F.col(acc_col).alias("_a")).agg(
+        F.min(tie).alias("_t"), *[F.sort_array(F.collect_set(c)).alias(c) for c in sets],
+        *[F.max(v).alias(c) for c, v in single.items()])
+    item = F.when(F.col("_id").isNotNull(), F.struct(F.col("_a").alias("a"), F.struct("_t", "_id").alias("t"),
+                                                     F.col("_id").alias("id")))
+    per = first.groupBy(key).agg(
+        F.collect_list(item).alias("_items"),
+        *[F.sort_array(F.array_distinct(F.flatten(F.collect_set(c)))).alias(c) for c in sets],
+        *[F.max(c).alias(c) for c in single])
+    ids = F.array_distinct(F.transform(F.array_sort("_items", _by_accuracy(False)), lambda x: x["id"]))
+    cols = {out: ids}
+    for c in sets:
+        several = (F.array_join(c, C.CATEGORY_ID_SEPARATOR) if c in texts else F.array_distinct(F.flatten(c)))
+        cols[c] = F.when(F.size(c) <= 1, F.get(F.col(c), 0)).otherwise(several)
+    if pair:
+        cols |= {"nextBest0": F.col("_pair.nextBest0"), "catWt0": F.col("_pair.catWt0")}
+    return per.withColumns(cols).drop("_items", "_pair")
+
+
 def decision_positions(df: DataFrame, group_cols: list[str], id_col: str = "udId", acc_col: str = "udAcc",
                        tie_col: str | None = None, numeric: bool = False, out: str = "position") -> DataFrame:
     """Long form of ``decision_list``: one row per non-null decision with its
@@ -179,13 +223,14 @@ def enrich_with_tree(df: DataFrame, tree: DataFrame, key: str = "catId") -> Data
 
 def categorize(batch: DataFrame, decisions: DataFrame, tree: DataFrame, join_key: str,
                decision_key: str | None = None, tie_col: str | None = None,
-               cut_map_to_batch: bool = False) -> DataFrame:
+               batch_keys: DataFrame | None = None) -> DataFrame:
     """Full categorization of one batch of transactions.
 
     ``decisions`` is the raw decision map (``udCat`` JSON, ``cat_id``, optional
     ``dec_cat`` / ``decCatId`` / ``nextBestCat`` / ``nextBest_catId`` /
     ``nextBest0`` + ``catWt0``); it is joined to the valid transactions on
-    ``join_key`` (left) after one decision list is built per key, scores are
+    ``join_key`` (left) after it is brought to one row per key
+    (``decisions_per_key``), so a transaction meets one row at most; scores are
     exploded and the tree is joined.
 
     Every row gets ``Var``, ``tranT1`` (original text) and the normalized
@@ -195,10 +240,9 @@ def categorize(batch: DataFrame, decisions: DataFrame, tree: DataFrame, join_key
     ``Var = 1`` (conditional columns and a conditional join predicate), so the
     input is computed once instead of once per branch.
 
-    ``cut_map_to_batch``: first keep only the map rows whose key occurs in the
-    batch (a semi join on the batch's distinct keys).  Worth it when the batch
-    is persisted and small next to the map (micro-batches); for a one-shot
-    batch it would compute the input a second time.
+    ``batch_keys``: a persisted frame with at least the batch's ``join_key``
+    values (the raw micro-batch); only map rows whose key occurs there are kept
+    (a semi join), before anything is aggregated.  Further keys in it do no harm.
     """
     flagged = completeness(batch)
     ok = F.col("Var") == 1
@@ -214,15 +258,13 @@ def categorize(batch: DataFrame, decisions: DataFrame, tree: DataFrame, join_key
     flagged = flagged.withColumn("counP_Name_TT", F.when(ok, text.counterparty(
         [f"TT_{i}" for i in range(5)], "payType", "tranT")))
 
-    # decisions: cut to the batch's keys, one list per key, many-to-one join
+    # decisions: cut to the batch's keys, one row per key, many-to-one join
     dm = prepare_decision_map(decisions)
     dm = dm.withColumn("udId", guard_decision("udId", "cat_id")).withColumnRenamed(dkey, "_dkey")
-    if cut_map_to_batch:
-        keys = flagged.filter(ok).select(F.col(join_key).alias("_bkey")).distinct()
+    if batch_keys is not None:
+        keys = batch_keys.select(F.col(join_key).alias("_bkey")).distinct()
         dm = dm.join(keys, dm["_dkey"].eqNullSafe(keys["_bkey"]), "left_semi")
-    attrs = [c for c in ("cat_id", "dec_cat", "decCatId", "nextBestCat", "nextBest_catId", "nextBest0", "catWt0",
-                         "subT_create", "subT") if c in dm.columns]
-    per_key = decision_list(dm, ["_dkey", *attrs], tie_col=tie_col)
+    per_key = decisions_per_key(dm, "_dkey", tie_col=tie_col)
     per_txn = flagged.join(per_key, flagged[join_key].eqNullSafe(per_key["_dkey"]) & ok, "left").drop("_dkey")
     per_txn = per_txn.withColumn("usDecCatId", F.when(ok, arrays.empty_if_null(F.col("usDecCatId"))))
     if "cat_id" not in per_txn.columns:

@@ -12,7 +12,7 @@ CLUSTER_SCHEMA = (
     "Id string, NormalizedInstanceHours int, Status struct<State: string, "
     "Timeline: struct<CreationDateTime: timestamp_ntz, ReadyDateTime: timestamp_ntz, EndDateTime: timestamp_ntz>>"
 )
-EVENT_SCHEMA = "Username string, CloudTrailEvent string"
+EVENT_SCHEMA = "Username string, CloudTrailEvent string, EventName string, EventTime timestamp_ntz"
 TRAIL_SCHEMA = "responseElements map<string, string>"
 
 
@@ -34,6 +34,12 @@ def filter_clusters(clusters: DataFrame, states: list[str], created_after: Colum
     return clusters.filter(F.col("State").isin(states) & (F.col("CreationDateTime") >= created_after))
 
 
+def launch_events(events: DataFrame, since: Column, time_col: str = "EventTime",
+                  name_col: str = "EventName") -> DataFrame:
+    """Audit events that start a cluster (by event name), at or after ``since``."""
+    return events.filter((F.col(name_col) == C.LAUNCH_EVENT) & (F.col(time_col) >= since))
+
+
 def creator_extract(events: DataFrame) -> DataFrame:
     """Creator user and cluster id from the audit event's embedded JSON text.
     An empty or absent ``responseElements`` gives the text "No responseElements"."""

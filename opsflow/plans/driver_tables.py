@@ -23,7 +23,7 @@ from ..operators import clusters as cl
 from ..operators import envelope as env
 from ..operators import feeds, latest, runs, status, transfer
 from ..session import scratch_path
-from ..sources import files
+from ..sources import files, sinks
 from ..streaming import categorize_stream
 
 # --- fixed binding parameters ---------------------------------------------
@@ -35,7 +35,7 @@ STREAM_SPLIT = dt.datetime(2024, 1, 16)                # first / second stream b
 NOW_CLUSTERS = dt.datetime(2001, 8, 1, 0, 0, 0)        # "now" for cluster documents
 AUDIT_TS = dt.datetime(2024, 1, 30, 23, 30, 0)
 TXN_SPLIT = dt.datetime(1998, 6, 1)                    # first / second transaction batch
-MATRIX_DAYS = [RUN_DATE - dt.timedelta(days=i) for i in range(7)]   # newest first
+MATRIX_DAYS = [RUN_DATE - dt.timedelta(days=i) for i in range(30)]  # every day of the events, newest first
 WANTED_PROCESS = "P~CC~BRAND2"
 COST_RATE = 0.25
 FEEDS = {
@@ -243,24 +243,31 @@ def q_score_json(spark, sf_dir):
 
 
 def land_tree_csv(spark, sf_dir) -> str:
-    """Nations of region 0 landed as a headered CSV master (the category tree)."""
+    """All nations landed as a headered CSV master (the category tree)."""
     path = scratch_path(spark, "tree_csv")
-    tree = _t(spark, sf_dir, "nation").filter(F.col("n_regionkey") == 0).select(
+    tree = _t(spark, sf_dir, "nation").select(
         F.col("n_nationkey").alias("catId"), F.col("n_name").alias("catN"), F.col("n_regionkey").alias("catRegion"))
     tree.write.option("header", "true").csv(path)
     return path
 
 
+def customer_category(spark, sf_dir) -> DataFrame:
+    """Category of every customer: the nation, one that the tree lacks, or null."""
+    key = F.when(F.col("c_custkey") % 5 == 0, F.col("c_nationkey") + 100) \
+        .when(F.col("c_custkey") % 7 != 0, F.col("c_nationkey"))
+    return _t(spark, sf_dir, "customer").select("c_custkey", key.cast("string").alias("catId"))
+
+
 def q_tree_enrich(spark, sf_dir):
     tree = files.read_master_csv(spark, land_tree_csv(spark, sf_dir))
-    cu = _t(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").cast("string").alias("catId"))
+    cu = customer_category(spark, sf_dir)
     return cat.enrich_with_tree(cu, tree, "catId").select("c_custkey", "catId", "catN", "catRegion")
 
 
 def categorize_inputs(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Transactions (orders left-joined to events, some incomplete), the decision
-    map from events keyed by user (category = the user's nation), and the nation
-    tree."""
+    map from events keyed by user (category = the user's nation; every fourth
+    user has a second one), and the nation tree."""
     o = _t(spark, sf_dir, "orders")
     e = _t(spark, sf_dir, "events")
     txn = o.join(e, o["o_orderkey"] == e["event_id"], "left").select(
@@ -271,7 +278,9 @@ def categorize_inputs(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
     cu = _t(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     dm = decision_map(spark, sf_dir).drop("cat_id")
     dm = dm.join(cu, dm["user_id"] == cu["c_custkey"]).select(
-        "event_id", "user_id", "udCat", "m_c", F.col("c_nationkey").cast("string").alias("cat_id"))
+        "event_id", "user_id", "udCat", "m_c",
+        F.when((F.col("user_id") % 4 == 0) & (F.col("event_id") % 2 == 0), F.col("c_nationkey") + 1)
+        .otherwise(F.col("c_nationkey")).cast("string").alias("cat_id"))
     tree = _t(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("string").alias("catId"),
                                                F.col("n_name").alias("catN"))
     return txn, dm, tree
@@ -321,7 +330,7 @@ def q_stream_latest(spark, sf_dir):
 
 def q_stream_enrich(spark, sf_dir):
     tree_path = land_tree_csv(spark, sf_dir)
-    cu = _t(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").cast("string").alias("catId"))
+    cu = customer_category(spark, sf_dir)
     return categorize_stream.run_file_stream_enrich(spark, _t(spark, sf_dir, "events"), _ts(STREAM_SPLIT),
                                                     cu, tree_path)
 
@@ -362,17 +371,28 @@ def q_transfer_project(spark, sf_dir):
     return transfer.project(spark, src, row["COLUMN_LIST"], row["WHERE_CLAUSE"])
 
 
-def q_dated_scan(spark, sf_dir):
+def land_dated_events(spark, sf_dir) -> str:
+    """The events as year= / month= / day= folders."""
     path = scratch_path(spark, "dated")
     ev = _t(spark, sf_dir, "events")
     (ev.withColumns({"year": F.date_format("ts", "yyyy"), "month": F.date_format("ts", "MM"),
                      "day": F.date_format("ts", "dd")})
      .hint("rebalance", "year", "month", "day").write.partitionBy("year", "month", "day").parquet(path))
-    return files.read_dated(spark, "parquet", path, "d", DATED_DAY)
+    return path
+
+
+def q_dated_scan(spark, sf_dir):
+    return files.read_dated(spark, "parquet", land_dated_events(spark, sf_dir), "d", DATED_DAY)
+
+
+def q_previous_day(spark, sf_dir):
+    """The folder read by a process that loads the previous day (A5)."""
+    day = transfer.run_date_for(C.PREVIOUS_DAY_PROCESSES[0].lower(), DATED_DAY)
+    return files.read_dated(spark, "parquet", land_dated_events(spark, sf_dir), "d", day)
 
 
 def audit_from_lineitem(spark, sf_dir) -> DataFrame:
-    li = _t(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == "R")
+    li = _t(spark, sf_dir, "lineitem")
     return li.select(F.concat(F.lit("table"), F.col("l_partkey").cast("string")).alias("TableName"),
                      F.when(F.col("l_linestatus") == "F", F.lit(C.AUDIT_FINISHED)).otherwise(F.lit(C.AUDIT_STARTED)).alias("Status"),
                      F.trunc(F.to_date("l_shipdate"), "year").alias("LoadDate"))
@@ -388,11 +408,22 @@ def q_load_gate(spark, sf_dir):
 
 
 def q_audit_rows(spark, sf_dir):
-    types = _t(spark, sf_dir, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
-    types = types.withColumn("process_name", F.concat(F.lit("p~cc~"), F.col("event_type"), F.lit("~M")))
-    rows = [transfer.audit_rows(types, s, F.lit(RUN_DATE), _ts(AUDIT_TS), "event_type", "process_name")
-            for s in (C.AUDIT_STARTED, C.AUDIT_FINISHED)]
-    return rows[0].unionByName(rows[1])
+    types = _t(spark, sf_dir, "events").select("event_type").distinct()
+    types = types.select("event_type", F.concat(F.lit("p~cc~"), F.col("event_type"), F.lit("~M")).alias("process_name"),
+                         F.explode(F.array(F.lit(C.AUDIT_STARTED), F.lit(C.AUDIT_FINISHED))).alias("s"))
+    return transfer.audit_rows(types, F.col("s"), F.lit(RUN_DATE), _ts(AUDIT_TS), "event_type", "process_name")
+
+
+def q_audit_sink(spark, sf_dir):
+    """Audit rows appended to the run's folder and read back (A14)."""
+    folder = f"{scratch_path(spark, 'audit_rows')}/{RUN_DATE:%Y%m%d}"
+    sinks.append_parquet(q_audit_rows(spark, sf_dir), folder)
+    return spark.read.parquet(folder)
+
+
+def q_finished_count(spark, sf_dir):
+    """Finished audit rows of one table on one day (D1)."""
+    return transfer.finished_count(audit_from_lineitem(spark, sf_dir), "table7", F.lit(dt.date(1997, 1, 1)))
 
 
 def q_error_rows(spark, sf_dir):
@@ -454,8 +485,7 @@ def q_process_key(spark, sf_dir):
 def q_readiness(spark, sf_dir):
     k = process_keys(spark, sf_dir)
     wanted = k.select("p_partkey", "process_key", *runs.parse_process_key("process_key"))
-    li = _t(spark, sf_dir, "lineitem").filter((F.col("l_shipdate") >= _ts(dt.datetime(1998, 1, 1)))
-                                               & (F.col("l_shipdate") < _ts(dt.datetime(1998, 2, 1))))
+    li = _t(spark, sf_dir, "lineitem")
     p = _t(spark, sf_dir, "part").select("p_partkey", "p_type")
     markers = li.join(p, li["l_partkey"] == p["p_partkey"]).select(
         F.concat(F.lit("success-"), F.lower(F.substring("p_type", 1, 2)), F.lit("-cc-table"),
@@ -491,6 +521,29 @@ def q_run_status(spark, sf_dir):
     return runs.run_status(st, ["c_mktsegment"], F.lit(False))
 
 
+def q_run_status_failed(spark, sf_dir):
+    """The run status per nation once the deadline has passed (FAILED branch, D8)."""
+    cu = _t(spark, sf_dir, "customer")
+    done = finished_customers(spark, sf_dir).distinct().withColumn("_done", F.lit(True))
+    st = cu.join(done, "c_custkey", "left").select(
+        "c_nationkey", F.col("_done").isNull().alias("pending"), (F.col("c_acctbal") >= 0).alias("ready"))
+    return runs.run_status(st, ["c_nationkey"], F.lit(True))
+
+
+def q_log_export(spark, sf_dir):
+    """Exported log lines appended to the run date's folder and read back (A19)."""
+    folder = scratch_path(spark, "log_export")
+    sinks.export_log_lines(q_log_parse(spark, sf_dir), folder, RUN_DATE.isoformat())
+    return spark.read.text(f"{folder}/run_date={RUN_DATE.isoformat()}").select(F.col("value").alias("export_line"))
+
+
+def q_error_sink(spark, sf_dir):
+    """Error rows appended to the run's folder and read back (A15)."""
+    folder = f"{scratch_path(spark, 'error_rows')}/{RUN_DATE:%Y%m%d}"
+    sinks.append_parquet(q_error_rows(spark, sf_dir), folder)
+    return spark.read.parquet(folder)
+
+
 def q_latest_attempt(spark, sf_dir):
     ev = _t(spark, sf_dir, "events")
     return runs.latest_attempt(ev, "user_id", "ts", ["event_id", "event_type"])
@@ -505,7 +558,8 @@ def status_long(spark, sf_dir) -> DataFrame:
     """(usecase, report_date, category): per user and day, the code of the day's first event."""
     ev = _t(spark, sf_dir, "events")
     return ev.groupBy(F.concat(F.lit("UC_"), F.col("user_id").cast("string")).alias("usecase"),
-                      F.to_date("ts").alias("report_date")).agg(F.min_by(event_code(), F.col("ts")).alias("category"))
+                      F.to_date("ts").alias("report_date")).agg(
+        F.min_by(event_code(), F.struct("ts", "event_id")).alias("category"))
 
 
 def nation_master(spark, sf_dir) -> DataFrame:
@@ -609,6 +663,24 @@ def q_history_rollover(spark, sf_dir):
     return spark.read.parquet(folder).select("usecase", "category", "report_date")
 
 
+def q_rollover_days(spark, sf_dir):
+    """Two days rolled over one after the other, the first again: both stay, once each (A18)."""
+    folder = scratch_path(spark, "history_days")
+    long = status_long(spark, sf_dir)
+    first = long.filter(F.col("report_date") == F.lit(RAW_DAY))
+    status.rollover(first, folder)
+    status.rollover(long.filter(F.col("report_date") == F.lit(RUN_DATE)), folder)
+    status.rollover(first, folder)
+    return spark.read.parquet(folder).select("usecase", "category", "report_date")
+
+
+def q_snapshot(spark, sf_dir):
+    """The status rows kept under a time-stamped partition and read back (A17)."""
+    folder = scratch_path(spark, "snapshot")
+    sinks.snapshot(status_long(spark, sf_dir), folder, "ts-20240130-2330")
+    return spark.read.parquet(folder).select("usecase", "category", "report_date", "snapshot_ts")
+
+
 # ============================================================ cluster report
 def cluster_docs(spark, sf_dir) -> DataFrame:
     o = _t(spark, sf_dir, "orders")
@@ -642,12 +714,15 @@ def trail_events(spark, sf_dir) -> DataFrame:
            .when(F.col("event_type") == "signup", F.lit('{"responseElements": {"other": "x"}}'))
            .otherwise(F.concat(F.lit('{"eventName": "RunJobFlow", "responseElements": {"jobFlowId": "j-'),
                                F.col("event_id").cast("string"), F.lit('"}}'))))
+    name = F.when(F.col("event_type") == "view", F.lit("TerminateJobFlows")).otherwise(F.lit(C.LAUNCH_EVENT))
     return ev.select(F.concat(F.lit("user"), F.col("user_id").cast("string")).alias("Username"),
-                     doc.alias("CloudTrailEvent"))
+                     doc.alias("CloudTrailEvent"), name.alias("EventName"), F.col("ts").alias("EventTime"))
 
 
 def q_creator_extract(spark, sf_dir):
-    return cl.creator_extract(trail_events(spark, sf_dir))
+    """Launch events of the last 20 days; others stay out."""
+    since = _ts(NOW_EVENTS - dt.timedelta(days=20))
+    return cl.creator_extract(cl.launch_events(trail_events(spark, sf_dir), since))
 
 
 def q_cluster_runtime(spark, sf_dir):
@@ -663,25 +738,36 @@ def q_idle_windows(spark, sf_dir):
 
 
 def q_cluster_report(spark, sf_dir):
+    """Every customer a cluster with its own lifetime (some without an end), idle figures within it."""
+    ready = F.when(F.col("c_custkey") % 11 != 0, F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz")
+                   + F.make_dt_interval(days=(F.col("c_custkey") % 28).cast("int")))
     cu = _t(spark, sf_dir, "customer")
     clusters = cu.select(
         F.concat(F.lit("j-"), F.col("c_custkey").cast("string")).alias("ClusterId"),
         F.floor(F.abs(F.col("c_acctbal")) / 10).cast("int").alias("NormalizedInstanceHours"),
         F.col("c_mktsegment").alias("State"),
-        F.lit(None).cast("timestamp_ntz").alias("ReadyDateTime"),
-        F.lit(None).cast("timestamp_ntz").alias("CreationDateTime"),
-        F.lit(None).cast("timestamp_ntz").alias("EndDateTime"))
+        ready.alias("ReadyDateTime"),
+        (ready - F.make_dt_interval(hours=F.lit(1))).alias("CreationDateTime"),
+        F.when(F.col("c_custkey") % 3 == 0, ready + F.make_dt_interval(days=F.lit(5))).alias("EndDateTime"))
     clusters = cl.with_runtime(clusters, _ts(NOW_EVENTS))
-    o = _t(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "F")
+    o = _t(spark, sf_dir, "orders")
     creators = o.select(F.concat(F.lit("user-"), F.col("o_orderpriority")).alias("Username"),
                         F.concat(F.lit("j-"), F.col("o_custkey").cast("string")).alias("ClusterId"))
     ev = _t(spark, sf_dir, "events").select(F.concat(F.lit("j-"), F.col("user_id").cast("string")).alias("ClusterId"),
                                              F.col("ts").alias("Timestamp"), F.col("value").alias("IsIdle"))
-    idle = cl.idle_windows(ev, _ts(NOW_EVENTS))
+    idle = cl.idle_windows(ev, _ts(NOW_EVENTS), clusters=clusters)
     idle = idle.select("ClusterId", *[F.round(c, 6).alias(c) for c in ("idle_pct", "idle_pct_12h", "idle_pct_3h")])
     return cl.cluster_report(clusters, creators, idle, COST_RATE)
 
 
+def q_report_csv(spark, sf_dir):
+    """The report without its time columns, written as headered CSV and read back as text (A16)."""
+    rep = q_cluster_report(spark, sf_dir).select("Username", "ClusterId", "NormalizedInstanceHours", "runtime", "State",
+                                                 "position")
+    path = sinks.write_report_csv(rep, scratch_path(spark, "report_csv"), "20240130")
+    return spark.read.option("header", "true").csv(path)
+
+
 QUERIES = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

@@ -39,9 +39,11 @@ class DashboardOutput:
 
 
 def _raw_rows(spark: SparkSession, raw_path: str) -> DataFrame:
-    """Raw status lines with their fields and input order (file, then line)."""
-    lines = spark.read.text(raw_path).select(F.col("value").alias("line"),
-                                             F.monotonically_increasing_id().alias("line_no"))
+    """Raw status lines with their fields and input order: file path, start of the
+    block, then the row within it (file splits are not scheduled in path order)."""
+    lines = spark.read.text(raw_path).select(F.col("value").alias("line"), F.struct(
+        F.col("_metadata.file_path"), F.col("_metadata.file_block_start"),
+        F.monotonically_increasing_id().alias("row")).alias("line_no"))
     parts = F.split("line", ",")
     return lines.select("line", "line_no", *[F.get(parts, pos - 1).alias(name) for name, pos in RAW_FIELDS.items()])
 
@@ -69,8 +71,8 @@ def dashboard_run(spark: SparkSession, master_path: str, raw_path: str, history_
     else:
         dates = [report_date - dt.timedelta(days=i) for i in range(days)]
     mtd = status.mtd_success(long, ["usecase"], report_date, scope)
-    matrix = status.status_matrix(long, dates, master=master.select("usecase"))
-    wide = (matrix.join(master, "usecase", "left").join(mtd, "usecase", "left")
+    matrix = status.status_matrix(long, dates, master=master)
+    wide = (matrix.join(mtd, "usecase", "left")
             .select("usecase", "SLA", "FREQ", F.col("mtd").alias("MTD"), F.col("mtd_dl").alias("MTD_DL"),
                     *[status.day_column(d) for d in dates]))
     ordered = status.dashboard_order(wide, "FREQ", "MTD", "usecase")
@@ -96,10 +98,11 @@ def cluster_report_run(spark: SparkSession, clusters_path: str, events_path: str
                        info_days: int = C.INFO_DAYS, rate: float | None = None) -> DataFrame:
     now_c = wall_clock(now)
     flat = cl.flatten_clusters(files.read_cluster_docs(spark, clusters_path, cl.CLUSTER_SCHEMA))
-    recent = cl.filter_clusters(flat, states or C.DEFAULT_CLUSTER_STATES,
-                                now_c - F.make_dt_interval(days=F.lit(info_days)))
+    since = now_c - F.make_dt_interval(days=F.lit(info_days))
+    recent = cl.filter_clusters(flat, states or C.DEFAULT_CLUSTER_STATES, since)
     recent = cl.with_runtime(recent, now_c)
-    creators = cl.creator_extract(files.read_cluster_docs(spark, events_path, cl.EVENT_SCHEMA))
+    events = files.read_cluster_docs(spark, events_path, cl.EVENT_SCHEMA)
+    creators = cl.creator_extract(cl.launch_events(events, since))
     points = files.read_cluster_docs(spark, metrics_path, "ClusterId string, Timestamp timestamp_ntz, IsIdle double")
     idle = cl.idle_windows(points, now_c, clusters=recent)
     report = cl.cluster_report(recent, creators, idle, rate)

@@ -43,7 +43,7 @@ TXN = """t AS (
 
 LONG = f"""lg AS (
   SELECT 'UC_' || CAST(user_id AS VARCHAR) AS usecase, CAST(ts AS DATE) AS report_date,
-         arg_min({CODE}, ts) AS category
+         arg_min({CODE}, row(ts, event_id)) AS category
   FROM events GROUP BY ALL)"""
 
 MTD = f"""mt AS (
@@ -57,7 +57,7 @@ mtd AS (
          CAST(CASE WHEN n > 0 THEN ((n - dlt) * 100) // n END AS BIGINT) AS mtd_dl
   FROM mt)"""
 
-DAYS = [f"2024-01-{d:02d}" for d in range(30, 23, -1)]
+DAYS = [f"2024-01-{d:02d}" for d in range(30, 0, -1)]
 MATRIX = "mx AS (SELECT 'UC_' || CAST(c_custkey AS VARCHAR) AS usecase, " + ", ".join(
     f"max(CASE WHEN lg.report_date = DATE '{d}' THEN category END) AS d{d.replace('-', '')}" for d in DAYS
 ) + " FROM customer LEFT JOIN lg ON lg.usecase = 'UC_' || CAST(c_custkey AS VARCHAR) GROUP BY c_custkey)"
@@ -202,8 +202,10 @@ SELECT event_id, NULL, NULL FROM dm WHERE event_type IN ('error', 'signup')""",
 WITH {DM}
 SELECT event_id, '{{"catId":"' || k || '","score":"' || udAcc || '"}}' AS nextBest0 FROM dm""",
     "tree_enrich": """
-SELECT c_custkey, CAST(c_nationkey AS VARCHAR) AS catId, n.n_name AS catN, CAST(n.n_regionkey AS VARCHAR) AS catRegion
-FROM customer LEFT JOIN (SELECT * FROM nation WHERE n_regionkey = 0) n ON c_nationkey = n.n_nationkey""",
+WITH c AS (SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN c_nationkey + 100 WHEN c_custkey % 7 <> 0 THEN c_nationkey END AS k
+           FROM customer)
+SELECT c_custkey, CAST(k AS VARCHAR) AS catId, n.n_name AS catN, CAST(n.n_regionkey AS VARCHAR) AS catRegion
+FROM c LEFT JOIN nation n ON k = n.n_nationkey""",
     # ---------------------------------------------------------------- envelope
     "envelope": """
 SELECT CAST(user_id AS VARCHAR) AS key,
@@ -232,9 +234,11 @@ WITH l AS (
              rank() OVER (PARTITION BY ts < TIMESTAMP '2024-01-16 00:00:00', trim(CAST(user_id AS VARCHAR)),
                           trim(event_type) ORDER BY CAST(ts AS DATE) DESC) AS r
       FROM events) WHERE r = 1)
-SELECT l.event_id, l.user_id, l.event_type, CAST(c.c_nationkey AS VARCHAR) AS catId, n.n_name AS catN, l.batch_id
-FROM l LEFT JOIN customer c ON l.user_id = c.c_custkey
-LEFT JOIN (SELECT * FROM nation WHERE n_regionkey = 0) n ON c.c_nationkey = n.n_nationkey""",
+SELECT l.event_id, l.user_id, l.event_type, CAST(c.k AS VARCHAR) AS catId, n.n_name AS catN, l.batch_id
+FROM l LEFT JOIN (SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN c_nationkey + 100
+                                         WHEN c_custkey % 7 <> 0 THEN c_nationkey END AS k FROM customer) c
+  ON l.user_id = c.c_custkey
+LEFT JOIN nation n ON c.k = n.n_nationkey""",
     # ---------------------------------------------------------------- transfer
     "manifest_lookup": """
 WITH m AS (
@@ -256,7 +260,7 @@ WHERE o_orderstatus = 'F' AND o_totalprice > 100000""",
     "load_gate": """
 SELECT p_partkey, 'table' || CAST(p_partkey AS VARCHAR) AS DEST_TABLE_NAME FROM part
 WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_linestatus = 'F'
-                  AND l_returnflag = 'R' AND year(l_shipdate) = 1997)""",
+                  AND year(l_shipdate) = 1997)""",
     "audit_rows": """
 SELECT event_type AS TableName, 'p~cc~' || event_type || '~M' AS process_name, DATE '2024-01-30' AS LoadDate,
        s.Status, TIMESTAMP '2024-01-30 23:30:00' AS ProcessDateTime
@@ -291,8 +295,7 @@ w AS (SELECT *, src || '~cc~' || tbl || COALESCE('~' || indicator, '') AS proces
 m AS (
   SELECT DISTINCT 'success-' || lower(substr(p_type, 1, 2)) || '-cc-table' || CAST(l_partkey AS VARCHAR) || '-'
          || strftime(l_shipdate, '%Y%m%d') AS marker
-  FROM lineitem JOIN part ON l_partkey = p_partkey
-  WHERE l_shipdate >= TIMESTAMP '1998-01-01' AND l_shipdate < TIMESTAMP '1998-02-01')
+  FROM lineitem JOIN part ON l_partkey = p_partkey)
 SELECT p_partkey, process_key, indicator,
        CASE WHEN COALESCE(indicator, '') = 't'
             THEN EXISTS (SELECT 1 FROM m WHERE starts_with(m.marker, w.prefix)) ELSE TRUE END AS ready
@@ -333,15 +336,15 @@ SELECT n_name AS usecase, CAST(n_regionkey + 10 AS VARCHAR) || ':00' AS SLA, {FR
 FROM nation LEFT JOIN f ON lower(n_name) = f.k""",
     "code_tally": f"""
 WITH {LONG}
-SELECT COALESCE(CASE WHEN upper(trim(category)) IN ('OK','DBA','DLT','FIN','PRX','SFD','CBS','PRM','SRC','TGT')
-                     THEN upper(trim(category)) END, 'UNCLASSIFIED') AS code, count(*) AS n
+SELECT COALESCE(NULLIF(regexp_extract(upper(category), '\\b(OK|DBA|DLT|FIN|PRX|SFD|CBS|PRM|SRC|TGT)\\b', 1), ''),
+                'UNCLASSIFIED') AS code, count(*) AS n
 FROM lg GROUP BY 1""",
     "mtd_success": f"WITH {LONG}, {MTD} SELECT * FROM mtd",
     "status_matrix": f"WITH {LONG}, {MATRIX} SELECT * FROM mx",
     "history_unpivot": f"""
 WITH {LONG}
 SELECT usecase, category, report_date FROM lg
-WHERE report_date BETWEEN DATE '2024-01-24' AND DATE '2024-01-30' AND category IS NOT NULL""",
+WHERE report_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-30' AND category IS NOT NULL""",
     "dashboard_order": f"""
 WITH {LONG}, {MTD},
 um AS (SELECT 'UC_' || CAST(c_custkey AS VARCHAR) AS usecase, {FREQ} AS FREQ
@@ -383,7 +386,7 @@ WITH d AS (
               WHEN event_type = 'signup' THEN '{"responseElements": {"other": "x"}}'
               ELSE '{"eventName": "RunJobFlow", "responseElements": {"jobFlowId": "j-' || CAST(event_id AS VARCHAR) || '"}}'
          END AS doc
-  FROM events)
+  FROM events WHERE event_type <> 'view' AND ts >= TIMESTAMP '2024-01-10 00:00:00')
 SELECT Username,
        CASE WHEN json_extract(doc, '$.responseElements') IS NULL
               OR json_keys(json_extract(doc, '$.responseElements')) = [] THEN 'No responseElements'
@@ -397,15 +400,26 @@ r AS (SELECT ClusterId, CASE WHEN ReadyDateTime IS NOT NULL
 SELECT *, row_number() OVER (ORDER BY runtime DESC NULLS LAST, ClusterId ASC NULLS FIRST) AS position FROM r""",
     "idle_windows": IDLE.format(cid="user_id"),
     "cluster_report": f"""
-WITH idle AS ({IDLE.format(cid="'j-' || CAST(user_id AS VARCHAR)")}),
-cr AS (SELECT 'user-' || o_orderpriority AS Username, 'j-' || CAST(o_custkey AS VARCHAR) AS ClusterId
-       FROM orders WHERE o_orderstatus = 'F'),
-cl AS (SELECT 'j-' || CAST(c_custkey AS VARCHAR) AS ClusterId, CAST(floor(abs(c_acctbal) / 10) AS INTEGER) AS NormalizedInstanceHours,
-              c_mktsegment AS State FROM customer),
+WITH cl AS (
+  SELECT c_custkey, 'j-' || CAST(c_custkey AS VARCHAR) AS ClusterId, CAST(floor(abs(c_acctbal) / 10) AS INTEGER) AS NormalizedInstanceHours,
+         c_mktsegment AS State, t AS ReadyDateTime, t - INTERVAL 1 HOUR AS CreationDateTime,
+         CASE WHEN c_custkey % 3 = 0 THEN t + INTERVAL 5 DAY END AS EndDateTime
+  FROM (SELECT *, CASE WHEN c_custkey % 11 <> 0 THEN TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(c_custkey % 28 AS INTEGER)) END AS t
+        FROM customer)),
+ev AS (SELECT cl.*, value, ts, TIMESTAMP '2024-01-30 00:00:00' AS now FROM events JOIN cl ON user_id = c_custkey),
+idle AS (
+  SELECT ClusterId,
+         round(avg(value) FILTER (WHERE ts >= ReadyDateTime AND ts <= COALESCE(EndDateTime, now)), 6) AS idle_pct,
+         round(avg(value) FILTER (WHERE ts >= now - INTERVAL 12 HOUR AND ts <= now), 6) AS idle_pct_12h,
+         round(avg(value) FILTER (WHERE ts >= now - INTERVAL 3 HOUR AND ts <= now), 6) AS idle_pct_3h
+  FROM ev GROUP BY 1),
+cr AS (SELECT 'user-' || o_orderpriority AS Username, 'j-' || CAST(o_custkey AS VARCHAR) AS ClusterId FROM orders),
 r AS (
-  SELECT cr.Username, cl.ClusterId, cl.NormalizedInstanceHours, CAST(NULL AS BIGINT) AS runtime, cl.State,
+  SELECT cr.Username, cl.ClusterId, cl.NormalizedInstanceHours,
+         CASE WHEN ReadyDateTime IS NOT NULL THEN date_diff('second', ReadyDateTime,
+              COALESCE(EndDateTime, TIMESTAMP '2024-01-30 00:00:00')) END AS runtime, cl.State,
          idle.idle_pct, idle.idle_pct_12h, idle.idle_pct_3h, CAST(cl.NormalizedInstanceHours * 0.25 AS DOUBLE) AS ApproxCost,
-         CAST(NULL AS TIMESTAMP) AS ReadyDateTime, CAST(NULL AS TIMESTAMP) AS CreationDateTime, CAST(NULL AS TIMESTAMP) AS EndDateTime
+         cl.ReadyDateTime, cl.CreationDateTime, cl.EndDateTime
   FROM cl LEFT JOIN cr ON cl.ClusterId = cr.ClusterId LEFT JOIN idle ON cl.ClusterId = idle.ClusterId)
 SELECT *, row_number() OVER (ORDER BY NormalizedInstanceHours DESC NULLS LAST, ClusterId ASC NULLS FIRST,
                              Username ASC NULLS FIRST) AS position
@@ -456,14 +470,16 @@ cp AS (
   FROM tt),
 m AS (
   SELECT e.event_id, e.user_id, json_extract_string(e.props, '$.k') AS k,
-         CAST(CAST(round(e.value) AS INTEGER) AS VARCHAR) AS udAcc, CAST(c.c_nationkey AS VARCHAR) AS cat_id
+         CAST(CAST(round(e.value) AS INTEGER) AS VARCHAR) AS udAcc,
+         CAST(CASE WHEN e.user_id % 4 = 0 AND e.event_id % 2 = 0 THEN c.c_nationkey + 1 ELSE c.c_nationkey END AS VARCHAR) AS cat_id
   FROM events e JOIN customer c ON e.user_id = c.c_custkey),
 g AS (SELECT *, CASE WHEN k IN {OTHERS} OR ((k IN {IN_CAT}) <> (cat_id IN {IN_CAT})) THEN NULL ELSE k END AS udId FROM m),
 l AS (
-  SELECT user_id, cat_id,
+  SELECT user_id, list_sort(list_distinct(list(cat_id))) AS cats,
          COALESCE(list(udId ORDER BY udAcc DESC NULLS LAST, event_id) FILTER (WHERE udId IS NOT NULL), []) AS lst
-  FROM g GROUP BY user_id, cat_id),
-d AS (SELECT user_id, cat_id, list_concat([cat_id], lst) AS cand, list_distinct(list_concat([cat_id], lst)) AS dset FROM l)
+  FROM g GROUP BY user_id),
+d AS (SELECT user_id, array_to_string(cats, '-') AS cat_id, list_concat(cats, lst) AS cand,
+             list_distinct(list_concat(cats, lst)) AS dset FROM l)
 SELECT cp.o_orderkey, cp.Var, cp.tranT, cp.TT_0, cp.counP_Name_TT,
        COALESCE(array_to_string(list_filter(d.cand, lambda x, i: list_position(d.cand, x) = i), ','), '') AS usDecCatId,
        COALESCE(array_to_string(list_sort(d.dset), ','), '') AS setNext,
@@ -474,5 +490,27 @@ SELECT o_orderkey, Var, regexp_replace(upper(tranT1), '\\s+', ' ', 'g'), NULL, N
 FROM t WHERE Var = 0"""
 
 
+SQL["audit_sink"] = SQL["audit_rows"]
+SQL["error_sink"] = SQL["error_rows"]
+SQL["finished_count"] = """
+SELECT count(*) AS count FROM lineitem WHERE l_partkey = 7 AND l_linestatus = 'F' AND year(l_shipdate) = 1997"""
+SQL["previous_day"] = "SELECT * FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-14'"
+SQL["log_export"] = f"SELECT concat_ws('~', {', '.join(LOG_FIELDS)}) AS export_line FROM events"
+SQL["run_status_failed"] = """
+WITH s AS (
+  SELECT c_nationkey, c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F') AS pending,
+         c_acctbal >= 0 AS ready FROM customer)
+SELECT c_nationkey, CAST(count_if(pending) AS BIGINT) AS transfer_pending,
+       CAST(count_if(pending AND NOT ready) AS BIGINT) AS ingestion_pending,
+       CAST(count_if(pending AND ready) AS BIGINT) AS ingestion_completed,
+       CASE WHEN count_if(pending) = 0 THEN 'SUCCESS' ELSE 'FAILED' END AS status
+FROM s GROUP BY c_nationkey"""
+SQL["rollover_days"] = f"""
+WITH {LONG} SELECT usecase, category, report_date FROM lg WHERE report_date BETWEEN DATE '2024-01-29' AND DATE '2024-01-30'"""
+SQL["snapshot"] = f"WITH {LONG} SELECT usecase, category, report_date, 'ts-20240130-2330' AS snapshot_ts FROM lg"
+SQL["report_csv"] = f"""
+SELECT Username, ClusterId, CAST(NormalizedInstanceHours AS VARCHAR) AS NormalizedInstanceHours,
+       CAST(runtime AS VARCHAR) AS runtime, State, CAST(position AS VARCHAR) AS position
+FROM ({SQL["cluster_report"]})"""
 SQL["categorize_batch"] = _categorize_sql(latest=False)
 SQL["stream_categorize"] = _categorize_sql(latest=True)

@@ -39,7 +39,7 @@ def batch_processor(feed: feeds.FeedConfig, sink: Callable[[DataFrame, int], Non
             if feed.categorized:
                 decisions, tree = load_masters(batch.sparkSession)
                 out = cat.categorize(kept, decisions, tree, join_key=join_key, decision_key=decision_key,
-                                     tie_col=tie_col, cut_map_to_batch=True)
+                                     tie_col=tie_col, batch_keys=batch)
                 out = feeds.rename_output(out)
             else:
                 out = feeds.default_category(kept, "amount")
@@ -146,6 +146,6 @@ def run_file_stream_categorize(spark: SparkSession, transactions: DataFrame, spl
         decisions, tree = load_masters(df.sparkSession)
         kept = latest.latest_messages(df, keys, order)
         out = cat.categorize(kept, decisions, tree, join_key=join_key, decision_key=decision_key, tie_col=tie_col,
-                             cut_map_to_batch=True)
+                             batch_keys=df)
         return project(out)
     return _run_two_batches(spark, transactions, split, per_batch, time_col=order)

@@ -49,7 +49,11 @@ def test_cluster_report_run(spark):
         '{"CreationDateTime": "2024-01-20T00:00:00"}}}',
         '{"Id": "j-3", "NormalizedInstanceHours": 99, "Status": {"State": "TERMINATED", "Timeline": '
         '{"CreationDateTime": "2024-01-20T00:00:00"}}}'])
-    _write(f"{root}/e", "e.json", ['{"Username": "alice", "CloudTrailEvent": "{\\"responseElements\\": {\\"jobFlowId\\": \\"j-1\\"}}"}'])
+    _write(f"{root}/e", "e.json", [
+        '{"Username": "%s", "EventName": "%s", "EventTime": "%s", "CloudTrailEvent": '
+        '"{\\"responseElements\\": {\\"jobFlowId\\": \\"j-1\\"}}"}' % e
+        for e in (("alice", "RunJobFlow", "2024-01-29T00:00:00"), ("eve", "AddTags", "2024-01-29T00:00:00"),
+                  ("old", "RunJobFlow", "2020-01-01T00:00:00"))])
     _write(f"{root}/m", "m.json", ['{"ClusterId": "j-1", "Timestamp": "2024-01-29T23:00:00", "IsIdle": 1.0}'])
     out_folder = scratch_path(spark, "t_clu_out")
     rep = jobs.cluster_report_run(spark, f"{root}/c", f"{root}/e", f"{root}/m", dt.datetime(2024, 1, 30),
