@@ -156,29 +156,36 @@ def transfer_ready(spark: SparkSession, state: DataFrame, manifest_path: str, de
     Returns (tables loaded, tables failed).  The chosen manifest rows are
     configuration and are read to the driver once; each table is its own Spark
     job.  A failure is recorded as an error row (``error_folder/<run date>``)
-    and the other tables go on.  With ``log_folder``, ``~#~`` log lines and the
-    completion marker are appended per process, so the next round sees the
-    process as completed.
+    and the other tables go on.  With ``log_folder``, ``~#~`` log lines (session,
+    started, success or failed) and the completion markers are appended per
+    process; a process with a failed table gets no marker, so the next round
+    sees it as pending and the gate skips its finished tables.
     """
     ready = state.filter(F.col("pending") & F.col("ready")).select(F.lower("process_key").alias("_p"), "process_key")
     manifest = files.read_manifest(spark, manifest_path)
     chosen = manifest.join(ready, F.lower(F.col("PROCESS_NAME")) == F.col("_p")).drop("_p")
-    loaded, failed, lines, errors = [], [], [], []
+    loaded, failed, lines, errors, markers, broken = [], [], [], [], [], set()
+
+    def log(stage: str, state_: str, message: str) -> None:
+        lines.append((row.process_key, _log_line(log_id, source, table, stage, state_, message, processed_at)))
+
     for row in chosen.orderBy("process_key", "DEST_TABLE_NAME").collect():     # configuration rows, one collect
         table = row.DEST_TABLE_NAME
+        log("SPARK_CONNECT", "SUCCESS", "Spark Session Created")
+        log("Data Transfer", "STARTED", "Transfer Started")
         try:
             done = transfer.transfer_table(spark, row, dest, row.process_key, today, processed_at,
                                            previous_day_processes)
             if done:
                 loaded.append(table)
-                lines.append((row.process_key, _log_line(log_id, source, table, "Data Transfer", "SUCCESS",
-                                                         "Data Transfer Completed", processed_at)))
-            lines.append((row.process_key, f"{C.COMPLETION_MARKER}{table}"))
+                log("Data Transfer", "SUCCESS", "Data Transfer Completed")
+            markers.append((row.process_key, f"{C.COMPLETION_MARKER}{table}"))
         except Exception as e:  # noqa: BLE001 - recorded, then the next table
             failed.append(table)
+            broken.add(row.process_key)
             errors.append((table, processed_at, str(e)))
-            lines.append((row.process_key, _log_line(log_id, source, table, "Data Transfer", "FAILED",
-                                                     " ".join(str(e).replace(C.LOG_SEPARATOR, " ").split()) or "error", processed_at)))
+            log("Data Transfer", "FAILED", " ".join(str(e).replace(C.LOG_SEPARATOR, " ").split()) or "error")
+    lines += [m for m in markers if m[0] not in broken]
     if log_folder and lines:
         (spark.createDataFrame(lines, "process string, value string")
          .write.mode("append").partitionBy("process").text(log_folder))

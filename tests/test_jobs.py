@@ -87,17 +87,26 @@ def test_transfer_round_and_ready_loads(spark):
     mpath = scratch_path(spark, "t_tr_manifest")
     cols = transfer.C.MANIFEST_COLUMNS
     spark.createDataFrame([("P~CC~T2~T", "d", "parquet", "OUT2", "append", "AUDIT", "M", src, "id", "v > 4"),
+                           ("p~cc~t4~m", "d", "parquet", "OUT4", "append", "AUDIT", "M", src, "id", None),
+                           ("p~cc~t4~m", "d", "parquet", "OUT5", "append", "AUDIT", "M", "/nonexistent/x", None, None),
                            ("p~cc~t3~t", "d", "parquet", "OUT3", "append", "AUDIT", "M", src, None, None)],
                           ", ".join(f"{c} string" for c in cols)).write.option("header", "true").option("delimiter", "|").csv(mpath)
     dest = transfer.Destination(url, opts, scratch_path(spark, "t_tr_audit"))
     logs2, errs = scratch_path(spark, "t_tr_logs"), scratch_path(spark, "t_tr_err")
     loaded, failed = jobs.transfer_ready(spark, state, mpath, dest, dt.date(2024, 1, 30), dt.datetime(2024, 1, 30, 23, 30),
                                          log_folder=logs2, error_folder=errs)
-    assert loaded == ["OUT2"] and failed == []      # t3 is not ready, t4 has no manifest row
+    assert loaded == ["OUT2", "OUT4"] and failed == ["OUT5"]      # t3 is not ready
     assert sorted(r[0] for r in jdbc.read_table(spark, url, "OUT2", opts).collect()) == [3, 4]
     # next round: the completion line marks t2 as done
     state2, summary2 = jobs.transfer_round(spark, wanted.filter("process_key = 'p~cc~t2~t'"), logs2, None, False)
     assert summary2.first()["status"] == "SUCCESS"
+    # a process with a failed table stays pending
+    state4, _ = jobs.transfer_round(spark, wanted.filter("process_key = 'p~cc~t4~M'"), logs2, None, False)
+    assert state4.first()["pending"]
+    stages = {tuple(r["value"].split(transfer.C.LOG_SEPARATOR)[5:7]) for r in spark.read.text(logs2).collect()
+              if transfer.C.LOG_SEPARATOR in r["value"]}
+    assert stages == {("SPARK_CONNECT", "SUCCESS"), ("Data Transfer", "STARTED"), ("Data Transfer", "SUCCESS"),
+                      ("Data Transfer", "FAILED")}
 
 
 def test_transfer_ready_records_errors(spark):
