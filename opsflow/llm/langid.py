@@ -7,9 +7,10 @@ edges count as a character), and adds their mean.  The language with the
 largest sum plus the log share of the language in training wins; the score is
 its posterior probability.
 
-Training reads at most ``per_language`` texts of each language, the ones with
-the smallest hash of their text (a documented bound; with more than that many
-labelled texts it is a random sample).  Counts come from a Spark aggregate.
+Training reads about ``per_language`` texts of each language, the ones whose
+hash lies under a threshold set by the language's size (a documented bound on
+what is expected; all texts if there are fewer).  Equal texts have equal hashes,
+so copies go in or stay out together.  Counts come from a Spark aggregate.
 The model keeps the ``max_words`` most frequent words and ``max_grams`` most
 frequent n-grams, so what is broadcast has a fixed bound.
 
