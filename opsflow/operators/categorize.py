@@ -40,6 +40,16 @@ def union_invalid(enriched: DataFrame, invalid: DataFrame) -> DataFrame:
     return enriched.unionByName(invalid, allowMissingColumns=True)
 
 
+def join_valid(df: DataFrame, other: DataFrame, key: str, flag: str = "Var") -> DataFrame:
+    """Left join of the rows that continue; set-aside rows keep their place with nulls.
+
+    The rows of ``union_invalid`` over both branches of ``split_valid``, with the
+    input computed once.  The flag is part of the join condition, so set-aside
+    rows are spread by their key."""
+    side = other.withColumnRenamed(key, "_key")
+    return df.join(side, (df[key] == side["_key"]) & (F.col(flag) > 0), "left").drop("_key")
+
+
 # ---------------------------------------------------------------- text rules
 def normalize(df: DataFrame, text_col: str = "tranT", original_col: str = "tranT1") -> DataFrame:
     """Keep the original text, then upper-case it and collapse whitespace runs."""

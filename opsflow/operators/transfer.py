@@ -4,6 +4,7 @@ dynamic projection, audit and error rows, and the per-table job."""
 from __future__ import annotations
 
 import datetime as dt
+import threading
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +14,9 @@ from .. import config as C
 from ..functions import wall_clock
 from ..sources import files, jdbc
 
+#: appends to one folder share its temporary folder, so those of concurrent tables go one at a time
+_AUDIT_COPY = threading.Lock()
+
 
 def select_process(manifest: DataFrame, process_name: str) -> DataFrame:
     """Manifest rows of one process, name compared ignoring case."""
@@ -98,32 +102,44 @@ class Destination:
     batchsize: int | None = None
 
 
+def _audit(spark: SparkSession, row, dest: Destination, process_name: str, status: str, today: dt.date,
+           processed_at: dt.datetime) -> None:
+    """One audit row in the destination's audit table, and its copy in the run's folder."""
+    one = spark.range(1).select(F.lit(row.DEST_TABLE_NAME).alias("TableName"), F.lit(process_name).alias("p"))
+    load_date, ts = F.lit(today), wall_clock(processed_at)
+    jdbc.write_table(audit_rows(one, status, load_date, ts), dest.url, row.DEST_AUDIT_TABLENAME, "append",
+                     options=dest.options)
+    copy = audit_rows(one, status, load_date, ts, process_col="p")
+    with _AUDIT_COPY:
+        copy.write.mode("append").parquet(f"{dest.audit_folder}/{processed_at.strftime('%Y%m%d')}")
+
+
 def transfer_table(spark: SparkSession, row, dest: Destination, process_name: str, today: dt.date,
                    processed_at: dt.datetime,
-                   previous_day_processes: tuple[str, ...] = C.PREVIOUS_DAY_PROCESSES) -> bool:
+                   previous_day_processes: tuple[str, ...] = C.PREVIOUS_DAY_PROCESSES, gate: bool = True) -> bool:
     """Run one manifest row: gate, read, project, audit Started, write, audit Finished.
 
-    Returns False when the table was already finished today.  The gate is a
-    check-then-act: two concurrent runs may both load (at-least-once).
-    Audit rows always append, whatever the table's write mode.
+    Returns False when the table was already finished today (``gate=False``: the
+    caller has asked the audit table).  The gate is a check-then-act: two
+    concurrent runs may both load (at-least-once).  Audit rows always append,
+    whatever the table's write mode.
     """
-    load_date = F.lit(today)
-    audit = jdbc.read_table(spark, dest.url, row.DEST_AUDIT_TABLENAME, dest.options)
-    if finished_count(audit, row.DEST_TABLE_NAME, load_date).first()["count"] > 0:
-        return False
+    if gate:
+        audit = jdbc.read_table(spark, dest.url, row.DEST_AUDIT_TABLENAME, dest.options)
+        if finished_count(audit, row.DEST_TABLE_NAME, F.lit(today)).first()["count"] > 0:
+            return False
     run_date = run_date_for(process_name, today, previous_day_processes)
     src = files.read_dated(spark, row.SOURCE_TYPE, row.STORAGE_LOCATION, row.M_INDICATOR, run_date)
     out = project(spark, src, row.COLUMN_LIST, row.WHERE_CLAUSE)
-    one = spark.range(1).select(F.lit(row.DEST_TABLE_NAME).alias("TableName"), F.lit(process_name).alias("p"))
-    audit_copy = f"{dest.audit_folder}/{processed_at.strftime('%Y%m%d')}"
-    ts = wall_clock(processed_at)
-    for status in (C.AUDIT_STARTED,):
-        jdbc.write_table(audit_rows(one, status, load_date, ts), dest.url, row.DEST_AUDIT_TABLENAME, "append",
-                         options=dest.options)
-        audit_rows(one, status, load_date, ts, process_col="p").write.mode("append").parquet(audit_copy)
+    _audit(spark, row, dest, process_name, C.AUDIT_STARTED, today, processed_at)
     jdbc.write_table(out, dest.url, row.DEST_TABLE_NAME, row.DEST_WRITE_MODE or "append", dest.batchsize,
                      dest.options)
-    jdbc.write_table(audit_rows(one, C.AUDIT_FINISHED, load_date, ts), dest.url, row.DEST_AUDIT_TABLENAME,
-                     "append", options=dest.options)
-    audit_rows(one, C.AUDIT_FINISHED, load_date, ts, process_col="p").write.mode("append").parquet(audit_copy)
+    _audit(spark, row, dest, process_name, C.AUDIT_FINISHED, today, processed_at)
     return True
+
+
+def open_tables(spark: SparkSession, chosen: DataFrame, audit_table: str, dest: Destination, today: dt.date) -> set[str]:
+    """Destination tables of the chosen manifest rows that ``audit_table`` does not show as finished today, in one query."""
+    audit = jdbc.read_table(spark, dest.url, audit_table, dest.options)
+    mine = chosen.filter(F.col("DEST_AUDIT_TABLENAME") == audit_table).select("DEST_TABLE_NAME").distinct()
+    return {r.DEST_TABLE_NAME for r in load_gate(mine, audit, F.lit(today)).collect()}

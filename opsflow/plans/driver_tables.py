@@ -127,14 +127,13 @@ def q_completeness(spark, sf_dir):
 
 
 def q_invalid_union(spark, sf_dir):
-    valid, invalid = cat.split_valid(cat.completeness(transactions(spark, sf_dir)))
+    flagged = cat.completeness(transactions(spark, sf_dir))
     cu = _t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("accIdent"),
                                                F.col("c_nationkey").cast("string").alias("catId"))
     tree = _t(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("string").alias("catId"),
                                                F.col("n_name").alias("catN"))
-    enriched = cat.enrich_with_tree(valid.join(cu, "accIdent", "left"), tree, "catId")
-    out = cat.union_invalid(enriched.select("o_orderkey", "Var", "catId", "catN"), invalid.select("o_orderkey", "Var"))
-    return out
+    enriched = cat.enrich_with_tree(cat.join_valid(flagged, cu, "accIdent"), tree, "catId")
+    return enriched.select("o_orderkey", "Var", "catId", "catN")
 
 
 def part_text(spark, sf_dir) -> DataFrame:

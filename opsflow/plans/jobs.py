@@ -14,8 +14,10 @@
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,11 +55,23 @@ def dashboard_run(spark: SparkSession, master_path: str, raw_path: str, history_
                   scope: str = "month", report_folder: str | None = None) -> DashboardOutput:
     """One dashboard run, over all days of the history or the last ``days``.  With ``report_folder``, the ordered matrix is written
     as CSV with the header ``USECASE,SLA,FREQ,MTD,MTD-DL,<yyyyMMdd per day>`` and
-    the failure lines as text, both under ``run_ts=<run_ts>``."""
+    the failure lines as text, both under ``run_ts=<run_ts>``.  The raw lines and
+    today's status are used several times and are persisted for the run."""
     master = files.read_positional_csv(spark, master_path, MASTER_FIELDS)
-    raw = _raw_rows(spark, raw_path)
+    raw = _raw_rows(spark, raw_path).persist()
     today = status.daily_status(master, raw, "usecase", "category", "line_no").select(
-        "usecase", F.lit(report_date).alias("report_date"), "category")
+        "usecase", F.lit(report_date).alias("report_date"), "category").persist()
+    try:
+        return _dashboard(spark, master, raw, today, history_folder, snapshot_folder, report_date, run_ts, days, scope,
+                          report_folder)
+    finally:      # a later run on the same paths must read them again
+        today.unpersist()
+        raw.unpersist()
+
+
+def _dashboard(spark: SparkSession, master: DataFrame, raw: DataFrame, today: DataFrame, history_folder: str,
+               snapshot_folder: str, report_date: dt.date, run_ts: str, days: int | None, scope: str,
+               report_folder: str | None) -> DashboardOutput:
     try:
         history = spark.read.parquet(history_folder).filter(F.col("report_date") != F.lit(report_date))
         long = history.select("usecase", "report_date", "category").unionByName(today)
@@ -150,41 +164,74 @@ def transfer_ready(spark: SparkSession, state: DataFrame, manifest_path: str, de
                    today: dt.date, processed_at: dt.datetime,
                    previous_day_processes: tuple[str, ...] = C.PREVIOUS_DAY_PROCESSES,
                    log_folder: str | None = None, error_folder: str | None = None,
-                   log_id: str = "0", source: str = "BB") -> tuple[list[str], list[str]]:
+                   log_id: str = "0", source: str = "BB", concurrent: int = 4) -> tuple[list[str], list[str]]:
     """Transfer the manifest rows of every pending, ready process.
 
     Returns (tables loaded, tables failed).  The chosen manifest rows are
-    configuration and are read to the driver once; each table is its own Spark
-    job.  A failure is recorded as an error row (``error_folder/<run date>``)
-    and the other tables go on.  With ``log_folder``, ``~#~`` log lines (session,
-    started, success or failed) and the completion markers are appended per
-    process; a process with a failed table gets no marker, so the next round
-    sees it as pending and the gate skips its finished tables.
+    configuration and are read to the driver once.  The gate is one query per
+    audit table; then each table is its own Spark job, at most ``concurrent`` at
+    a time (the results do not depend on it).  Rows that write to one table run
+    one after the other and ask the audit table again.  A failure is recorded as
+    an error row (``error_folder/<run date>``) and the other tables go on.  With
+    ``log_folder``, ``~#~`` log lines (session, started, success or failed) and
+    the completion markers are appended per process; a process with a failed
+    table gets no marker, so the next round sees it as pending and the gate skips
+    its finished tables.
     """
     ready = state.filter(F.col("pending") & F.col("ready")).select(F.lower("process_key").alias("_p"), "process_key")
     manifest = files.read_manifest(spark, manifest_path)
     chosen = manifest.join(ready, F.lower(F.col("PROCESS_NAME")) == F.col("_p")).drop("_p")
+    rows = chosen.orderBy("process_key", "DEST_TABLE_NAME").collect()         # configuration rows, one collect
+    gates: dict[str, set[str] | Exception] = {}
+    for name in dict.fromkeys(r.DEST_AUDIT_TABLENAME for r in rows):
+        try:
+            gates[name] = transfer.open_tables(spark, chosen, name, dest, today)
+        except Exception as e:  # noqa: BLE001 - recorded for each table that uses this audit table
+            gates[name] = e
+
+    def run(row, again: bool) -> bool | Exception:
+        """Whether the table was loaded, or what kept it from being loaded."""
+        known = gates[row.DEST_AUDIT_TABLENAME]
+        if isinstance(known, Exception):
+            return known
+        if row.DEST_TABLE_NAME not in known:
+            return False
+        try:
+            return transfer.transfer_table(spark, row, dest, row.process_key, today, processed_at,
+                                           previous_day_processes, gate=again)
+        except Exception as e:  # noqa: BLE001 - recorded, the other tables go on
+            return e
+
+    by_table: dict[tuple, list[int]] = {}
+    for i, r in enumerate(rows):
+        by_table.setdefault((r.DEST_AUDIT_TABLENAME, r.DEST_TABLE_NAME), []).append(i)
+
+    @inheritable_thread_target(spark)
+    def run_table(indexes: list[int]) -> list[tuple[int, bool | Exception]]:
+        return [(i, run(rows[i], again=n > 0)) for n, i in enumerate(indexes)]
+
+    with ThreadPoolExecutor(max(1, concurrent)) as pool:
+        results = dict(x for part in pool.map(run_table, by_table.values()) for x in part)
+
     loaded, failed, lines, errors, markers, broken = [], [], [], [], [], set()
+    for i, row in enumerate(rows):
+        table, done = row.DEST_TABLE_NAME, results[i]
 
-    def log(stage: str, state_: str, message: str) -> None:
-        lines.append((row.process_key, _log_line(log_id, source, table, stage, state_, message, processed_at)))
+        def log(stage: str, state_: str, message: str, row=row, table=table) -> None:
+            lines.append((row.process_key, _log_line(log_id, source, table, stage, state_, message, processed_at)))
 
-    for row in chosen.orderBy("process_key", "DEST_TABLE_NAME").collect():     # configuration rows, one collect
-        table = row.DEST_TABLE_NAME
         log("SPARK_CONNECT", "SUCCESS", "Spark Session Created")
         log("Data Transfer", "STARTED", "Transfer Started")
-        try:
-            done = transfer.transfer_table(spark, row, dest, row.process_key, today, processed_at,
-                                           previous_day_processes)
-            if done:
-                loaded.append(table)
-                log("Data Transfer", "SUCCESS", "Data Transfer Completed")
-            markers.append((row.process_key, f"{C.COMPLETION_MARKER}{table}"))
-        except Exception as e:  # noqa: BLE001 - recorded, then the next table
+        if isinstance(done, Exception):
             failed.append(table)
             broken.add(row.process_key)
-            errors.append((table, processed_at, str(e)))
-            log("Data Transfer", "FAILED", " ".join(str(e).replace(C.LOG_SEPARATOR, " ").split()) or "error")
+            errors.append((table, processed_at, str(done)))
+            log("Data Transfer", "FAILED", " ".join(str(done).replace(C.LOG_SEPARATOR, " ").split()) or "error")
+            continue
+        if done:
+            loaded.append(table)
+            log("Data Transfer", "SUCCESS", "Data Transfer Completed")
+        markers.append((row.process_key, f"{C.COMPLETION_MARKER}{table}"))
     lines += [m for m in markers if m[0] not in broken]
     if log_folder and lines:
         (spark.createDataFrame(lines, "process string, value string")

@@ -118,6 +118,17 @@ def test_tree_enrich_and_union(spark):
                                                       (3, None, None, 0)]
 
 
+def test_join_valid_gives_the_rows_of_the_union(spark):
+    df = spark.createDataFrame([(1, "a", 1), (2, "b", 1), (3, "a", 0), (4, None, 0), (5, None, 1), (3, "a", 0)],
+                               "k int, acc string, Var int")
+    side = spark.createDataFrame([("a", "10"), ("a", "11"), (None, "12")], "acc string, catId string")
+    valid, invalid = cat.split_valid(df)
+    want = cat.union_invalid(valid.join(side, "acc", "left").select("k", "Var", "catId"), invalid.select("k", "Var"))
+    got = cat.join_valid(df, side, "acc")
+    assert got.columns == ["k", "acc", "Var", "catId"]
+    assert rows(got, "k", "Var", "catId") == rows(want, "k", "Var", "catId")
+
+
 def test_categorize_end_to_end(spark):
     batch = spark.createDataFrame([
         ("acc1", "2024-01-01", "10.0", "AX/shop/b/c", "T1", "others"),

@@ -2,6 +2,7 @@ import datetime as dt
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from opsflow.operators import transfer
@@ -38,6 +39,10 @@ def test_dashboard_run_two_days(spark):
     # rerun of the same day keeps one copy in the history
     jobs.dashboard_run(spark, f"{root}/master", f"{root}/raw2", hist, snap, dt.date(2024, 1, 30), "r3")
     assert spark.read.parquet(hist).filter(F.col("report_date") == dt.date(2024, 1, 30)).count() == 3
+    # lines that arrive later are seen by the next run on the same path
+    _write(f"{root}/raw2", "s.txt", ["UC2,a,b,c,d,e,SUCCESS,OK"])
+    out = jobs.dashboard_run(spark, f"{root}/master", f"{root}/raw2", hist, snap, dt.date(2024, 1, 30), "r4")
+    assert {r["usecase"]: r["d20240130"] for r in out.dashboard.collect()}["UC2"] == "OK"
 
 
 def test_cluster_report_run(spark):
@@ -109,6 +114,33 @@ def test_transfer_round_and_ready_loads(spark):
                       ("Data Transfer", "FAILED")}
 
 
+@pytest.mark.parametrize("concurrent", [1, 4])
+def test_transfer_ready_gates_once_and_repeats_in_order(spark, concurrent):
+    """Tables finished today are skipped; of two rows for one table the second sees the first as finished."""
+    db = os.path.join(tempfile.mkdtemp(prefix="opsflow-derby-"), "db")
+    url, opts = f"jdbc:derby:{db};create=true", {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    day = dt.date(2024, 1, 30)
+    audit = spark.createDataFrame([("DONE", day, "Finished", dt.datetime(2024, 1, 30)),
+                                   ("N0", day, "Started", dt.datetime(2024, 1, 30))],
+                                  "TableName string, LoadDate date, Status string, ProcessDateTime timestamp")
+    jdbc.write_table(audit, url, "AUDIT", "overwrite",
+                     options={**opts, "createTableColumnTypes": "TableName VARCHAR(128), Status VARCHAR(32)"})
+    src, mpath = scratch_path(spark, "t_gate_src"), scratch_path(spark, "t_gate_manifest")
+    spark.range(3).write.parquet(src)
+    tables = ["N0", "N1", "N2", "N3", "DONE", "TWICE", "TWICE"]
+    spark.createDataFrame([("p", "d", "parquet", t, "append", "AUDIT", "M", src, None, None) for t in tables]
+                          + [("p", "d", "parquet", "LOST", "append", "NO_AUDIT", "M", src, None, None)],
+                          ", ".join(f"{c} string" for c in transfer.C.MANIFEST_COLUMNS)
+                          ).write.option("header", "true").option("delimiter", "|").csv(mpath)
+    state = spark.createDataFrame([("p", True, True)], "process_key string, pending boolean, ready boolean")
+    dest = transfer.Destination(url, opts, scratch_path(spark, "t_gate_audit"))
+    loaded, failed = jobs.transfer_ready(spark, state, mpath, dest, day, dt.datetime(2024, 1, 30, 23, 30), concurrent=concurrent)
+    assert loaded == ["N0", "N1", "N2", "N3", "TWICE"] and failed == ["LOST"]
+    assert jdbc.read_table(spark, url, "TWICE", opts).count() == 3
+    copies = spark.read.parquet(f"{dest.audit_folder}/20240130")
+    assert copies.count() == 10 and copies.filter("Status = 'Finished'").count() == 5
+
+
 def test_transfer_ready_records_errors(spark):
     state = spark.createDataFrame([("p~cc~bad~M", True, True)], "process_key string, pending boolean, ready boolean")
     mpath = scratch_path(spark, "t_err_manifest")
