@@ -1,4 +1,4 @@
-"""Frame helpers shared by the operators: clash-free row keys, tables in shared scratch."""
+"""Frame helpers shared by the operators: column checks, tables in shared scratch."""
 
 from __future__ import annotations
 

@@ -145,16 +145,20 @@ def redact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """All rows and columns of ``docs``, secrets in the text replaced; a null text stays null."""
     ledger = ledger or scratch_path(docs.sparkSession, "ledger")
     seen = (scan_unseen(docs, ledger, id_col, text_col, rules).filter(F.size("findings") > 0)
-            .dropDuplicates(["blob"]).select(F.col("blob").alias("_blob"), F.col("findings").alias("_findings")))
+            .dropDuplicates(["blob"]).select("blob", "findings"))
     # only texts that some rule matches go through the join; the others keep their place
     text = F.col(text_col).cast("string")
     suspect = F.lit(False)
     for r in rules:
         suspect = suspect | text.rlike(r.pattern)
     suspect = F.coalesce(suspect, F.lit(False))
-    joined = docs.filter(suspect).join(seen, F.sha2(text, 256) == F.col("_blob"), "left")
-    clean = F.when(F.col("_findings").isNull(), F.col(text_col)).otherwise(redact(F.col(text_col), F.col("_findings")))
-    return docs.filter(~suspect).unionAll(joined.select(*[clean.alias(c) if c == text_col else F.col(c) for c in docs.columns]))
+    # the row goes as one struct, so its columns may have any name
+    rows = docs.filter(suspect).select(F.struct("*").alias("row"), F.sha2(text, 256).alias("blob"))
+    joined = rows.join(seen, "blob", "left")
+    own = F.col("row")[text_col]
+    clean = F.when(F.col("findings").isNull(), own).otherwise(redact(own, F.col("findings")))
+    return docs.filter(~suspect).unionAll(
+        joined.select(*[clean.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns]))
 
 
 def span_text(found: Column) -> Column:
