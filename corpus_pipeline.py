@@ -7,10 +7,8 @@ result as Parquet and reads it again.  Every stage but the last returns the
 columns of ``documents``.
 
 Nulls: language ID drops rows whose text is null or has no letters.  A row with
-a null id is kept by near-duplicate removal (it cannot stand for a component)
-and judged by decontamination like any other row with a null id: such rows are
-dropped together if one of them is contaminated.  Rows that repeat an id go
-together too.
+a null id is kept by near-duplicate removal (it cannot stand for a component).
+Decontamination judges every row by its own text, whatever its id.
 """
 
 from __future__ import annotations
@@ -45,12 +43,13 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a ten-word window of ``benchmark``."""
+    """Documents without a ten-word window of ``benchmark``; a row goes for its own text, named by its digest."""
     docs = docs.select(*COLUMNS)
-    index = decontaminate.build_index(docs)
+    docs = docs.withColumn("_digest", F.unhex(F.sha2(F.col("text"), 256)))
+    index = decontaminate.build_index(docs, "_digest")
     found = decontaminate.matches(index, table(spark, sf_dir, "benchmark"))
-    hit = found.filter(F.size("spans") > 0).select(F.col("id").alias("_id")).distinct()
-    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti").select(*COLUMNS)
+    hit = found.filter(F.size("spans") > 0).select(F.col("id").alias("_digest")).distinct()
+    return docs.join(hit, "_digest", "left_anti").select(*COLUMNS)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -109,6 +109,18 @@ def test_stages_on_edge_rows(spark):
     assert sorted(map(str, (r.doc_id for r in docs.collect()))) == ["5", "6", "None"]
 
 
+def documents(spark, rows):
+    return spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+
+
+def test_decontamination_judges_rows_not_ids(spark):
+    leaked = spark.read.parquet(f"{DIR}/benchmark.parquet").filter("size(split(trim(text), ' +')) >= 10").first().text
+    clean = [(None, "a clean text without an id"), (None, None), (7, "a clean text under a repeated id"), (8, "a clean text")]
+    docs = documents(spark, [(None, leaked), (7, f"see {leaked} there"), (9, leaked), *clean])
+    got = P.decontamination(spark, docs, DIR).collect()
+    assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted(clean, key=str)
+
+
 @pytest.mark.parametrize("stage", [f for _, f in P.STAGES])
 def test_empty_documents(spark, stage):
     empty = spark.createDataFrame([], "doc_id bigint, text string, lang string, source string, n_chars bigint")
