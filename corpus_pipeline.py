@@ -6,9 +6,12 @@ Each stage works on all rows that its predecessor kept; ``run`` writes each
 result as Parquet and reads it again.  Every stage but the last returns the
 columns of ``documents``.
 
-Nulls: language ID drops rows whose text is null or has no letters.  A row with
-a null id is kept by near-duplicate removal (it cannot stand for a component).
-Decontamination judges every row by its own text, whatever its id.
+Ids: language ID drops rows whose text is null or has no letters.  Near-duplicate
+removal links rows by their texts alone, so rows that repeat an id are linked
+only if their texts are alike.  A row with a null id cannot stand for a
+component that has rows with ids: of each component one row with an id and one
+without are kept, where it has such rows.  Texts without words are linked with
+nothing.  Decontamination judges every row by its own text, whatever its id.
 """
 
 from __future__ import annotations
@@ -34,12 +37,14 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component at a similarity of 0.8 or more over five-word shingles; rows that repeat the kept
-    id and its columns count once."""
-    groups = minhash.near_duplicates(docs, k=5, percent=80)
-    kept = groups.filter("kept and id is not null").select(F.col("id").alias("doc_id")).distinct()
-    unnamed = docs.filter("doc_id is null").select(*COLUMNS)
-    return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS).dropDuplicates(["doc_id"]).unionAll(unnamed)
+    """One row of each component at a similarity of 0.8 or more over five-word shingles, the one with the smallest id;
+    of the rows without an id one more.  Rows are linked by row number, written once so that it stays."""
+    rows = write_and_read(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("_row")), "rows")
+    groups = minhash.near_duplicates(rows, id_col="_row", k=5, percent=80).select(F.col("id").alias("_row"), "component")
+    kept = (rows.select("_row", "doc_id").join(groups, "_row")
+            .groupBy("component", F.col("doc_id").isNull().alias("unnamed"))
+            .agg(F.min(F.struct("doc_id", "_row")).alias("first")).select("first._row"))
+    return rows.join(kept, "_row", "left_semi").select(*COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

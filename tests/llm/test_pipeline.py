@@ -121,6 +121,19 @@ def test_decontamination_judges_rows_not_ids(spark):
     assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted(clean, key=str)
 
 
+def test_near_dedup_links_texts_not_ids(spark):
+    words = [f"w{i}" for i in range(90)]
+    one, two, three, four = (" ".join(f"{x}{w}" for w in words) for x in "abcd")
+    near = one + " tail"
+    rows = [(5, one), (5, two), (5, three), (6, near), (4, two), (4, two), (None, four), (None, four + " tail"), (None, four), (None, "x y"),
+            (9, " ")]
+    got = P.near_dedup(spark, documents(spark, rows), DIR).collect()
+    named = sorted((r.doc_id, r.text) for r in got if r.doc_id is not None)
+    assert named == sorted([(5, one), (5, three), (4, two), (9, " ")])
+    unnamed = [r.text for r in got if r.doc_id is None]
+    assert len(unnamed) == 2 and "x y" in unnamed and any(t.startswith(four) for t in unnamed)
+
+
 @pytest.mark.parametrize("stage", [f for _, f in P.STAGES])
 def test_empty_documents(spark, stage):
     empty = spark.createDataFrame([], "doc_id bigint, text string, lang string, source string, n_chars bigint")
