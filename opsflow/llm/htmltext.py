@@ -9,9 +9,16 @@ them, list items with a mark or number and indented by depth, ``br`` as a line
 break, ``pre`` as it stands, and the cells of a table in aligned columns.
 White space collapses within a line.
 
-Invisible are head, script, style, template, noscript, comments, elements with
-``hidden``, ``aria-hidden="true"``, an inline style of ``display: none`` or
-``visibility: hidden``, and inputs of type hidden.
+Invisible are the elements of ``INVISIBLE`` (head, title, script, style,
+template, noscript, the fallback content of iframe, object, audio, video and
+canvas, datalist, and elements that hold no text), comments, elements with
+``hidden`` or an inline style of ``display: none`` or ``content-visibility:
+hidden``, and inputs of type hidden.  ``visibility: hidden`` is inherited, and a
+child may be ``visible`` again.  ``aria-hidden`` hides from screen readers only.
+The text of svg and math is visible, but not what ``UNDRAWN`` names inside them
+(titles, descriptions, definitions, annotations); in svg the display and
+visibility attributes count as well, and each piece of text with a place of its
+own is set off by a blank.
 
 Defined results: a null page has a null text; an empty page, or one without
 visible text, an empty text; markup of any nesting depth is rendered without
@@ -38,8 +45,11 @@ BLOCK = set("address article aside blockquote body center dd details dialog dir
             "summary table tbody tfoot thead tr ul caption".split())
 SPACED = set("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre hr fieldset figure".split())
 HEAD_ONLY = set("base link meta title style script noscript template".split())
-INVISIBLE = set("head script style template noscript title meta link base iframe object svg math audio video canvas datalist "
+INVISIBLE = set("head script style template noscript title meta link base iframe object audio video canvas datalist "
                 "col colgroup param source track".split())
+#: Not drawn inside svg or math (tags in lower case, as the parser gives them).
+UNDRAWN = set("title desc metadata defs symbol clippath mask pattern marker lineargradient radialgradient filter "
+              "annotation annotation-xml mphantom".split())
 LISTS = {"ul", "ol", "menu", "dir"}
 #: A start tag closes the nearest of these if no boundary is nearer.
 CLOSES = {
@@ -52,7 +62,7 @@ CLOSES = {
     "tbody": ({"tbody", "thead", "tfoot", "caption"}, {"table"}), "thead": ({"tbody", "thead", "tfoot", "caption"}, {"table"}),
     "tfoot": ({"tbody", "thead", "tfoot", "caption"}, {"table"}),
 }
-_HIDES = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+_STYLES = re.compile(r"(?:^|;)\s*(display|visibility|content-visibility)\s*:\s*([a-z-]+)", re.I)
 _BLANK = re.compile(r"[ \t\n\r\f]+")
 
 
@@ -62,10 +72,24 @@ class Node:
     def __init__(self, tag: str, attrs: dict | None = None):
         self.tag, self.attrs, self.children = tag, attrs or {}, []
 
-    def visible(self) -> bool:
-        a = self.attrs
-        return not (self.tag in INVISIBLE or "hidden" in a or (a.get("aria-hidden") or "").lower() == "true"
-                    or (self.tag == "input" and (a.get("type") or "").lower() == "hidden") or _HIDES.search(a.get("style") or ""))
+    def look(self, shown: bool, drawing: bool) -> tuple[bool, bool, bool]:
+        """(in the layout, own text visible, inside svg or math), from the parent's visibility and place."""
+        a, tag = self.attrs, self.tag
+        if (tag in INVISIBLE or "hidden" in a or (drawing and tag in UNDRAWN)
+                or (tag == "input" and (a.get("type") or "").lower() == "hidden")):
+            return False, False, False
+        drawing = (drawing or tag in ("svg", "math")) and tag != "foreignobject"
+        styles = {k: (a.get(k) or "").strip().lower() for k in ("display", "visibility") if drawing and k in a}
+        if a.get("style"):
+            styles.update((k.lower(), v.lower()) for k, v in _STYLES.findall(a["style"]))
+        if styles.get("display") == "none" or styles.get("content-visibility") == "hidden":
+            return False, False, False
+        given = styles.get("visibility")
+        if given in ("hidden", "collapse"):
+            shown = False
+        elif given in ("visible", "initial"):
+            shown = True
+        return True, shown, drawing
 
 
 class TreeBuilder(HTMLParser):
@@ -135,9 +159,19 @@ class TreeBuilder(HTMLParser):
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
-        if tag in ("svg", "path", "math") and self.open[-1].tag == tag:
+        if self.open[-1].tag == tag and self._drawing():
             self._cut(len(self.open) - 1)
 
+    def _drawing(self) -> bool:
+        """Whether the innermost open element is svg or math, or stands inside one."""
+        if self.count.get("svg") or self.count.get("math"):
+            for node in reversed(self.open):
+                if node.tag in ("svg", "math"):
+                    return True
+                if node.tag == "foreignobject" and node is not self.open[-1]:
+                    return False
+        return False
+
     def handle_endtag(self, tag: str) -> None:
         if tag in ("html", "body"):
             return
@@ -227,20 +261,27 @@ class _Flow:
         return "\n".join(self.lines)
 
 
+def _placed(node: Node) -> bool:
+    """Whether an element of a drawing starts text at a place of its own."""
+    return node.tag == "text" or (node.tag == "tspan" and not node.attrs.keys().isdisjoint(("x", "y", "dx", "dy")))
+
+
 def render(root: Node) -> str:
     """Visible text of a tree; an explicit stack, so depth does not matter."""
     flow, pre = _Flow(), 0
     flows: list[_Flow] = []
     tables: list[list[list[str]]] = []
     lists: list[list] = []
-    stack: list = [("in", root)]
+    stack: list = [("in", root, True, False)]
     while stack:
-        step, node = stack.pop()
+        step, node, shown, drawing = stack.pop()
         if step == "in":
             if isinstance(node, str):
-                flow.raw(node) if pre else flow.text(node)
+                if shown:
+                    flow.raw(node) if pre else flow.text(node)
                 continue
-            if not node.visible():
+            laid, shown, drawing = node.look(shown, drawing)
+            if not laid:
                 continue
             tag = node.tag
             if tag == "br":
@@ -248,8 +289,10 @@ def render(root: Node) -> str:
                 flow.break_(1)
                 continue
             if tag == "img":
-                flow.text(node.attrs.get("alt") or "")
+                flow.text(node.attrs.get("alt") or "" if shown else "")
                 continue
+            if drawing and _placed(node):
+                flow.text(" ")
             if tag in ("td", "th") and tables:
                 flows.append(flow)
                 flow = _Flow()
@@ -273,17 +316,20 @@ def render(root: Node) -> str:
                 kind = lists[-1] if lists else ["ul", 1]
                 if not lists:
                     flow.indent += "  "
-                flow.mark = f"{kind[1]}. " if kind[0] == "ol" else "- "
+                if shown:
+                    flow.mark = f"{kind[1]}. " if kind[0] == "ol" else "- "
                 kind[1] += 1
             elif tag in ("blockquote", "dd"):
                 flow.indent += "  "
             elif tag == "hr":
-                flow.text("---")
+                flow.text("---" if shown else "")
                 flow.break_(2)
-            stack.append(("out", node))
-            stack.extend(("in", c) for c in reversed(node.children))
+            stack.append(("out", node, shown, drawing))
+            stack.extend(("in", c, shown, drawing) for c in reversed(node.children))
             continue
         tag = node.tag
+        if drawing and _placed(node):
+            flow.text(" ")
         if tag in ("td", "th") and tables:
             if not tables[-1]:
                 tables[-1].append([])

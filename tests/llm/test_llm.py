@@ -349,6 +349,20 @@ def test_visible_text(html, text):
     assert htmltext.visible_text(html) == text
 
 
+@pytest.mark.parametrize("html, text", [
+    ("<p>a <span aria-hidden=true>b</span><i aria-hidden='TRUE'>c</i>", "a bc"),
+    ("x <math><semantics><mrow><mi>E</mi><mo>=</mo><mi>m</mi></mrow><annotation>E=m</annotation></semantics></math> y", "x E=m y"),
+    ("<svg viewBox='0 0 1 1'><title>t</title><desc>d</desc><defs><text>q</text></defs><rect x=1 /><text x=1>Jan</text><text x=2>Feb"
+     "<tspan>ruary</tspan><tspan dy=1>2</tspan></text><text display=none>z</text><path/></svg><p>end", "Jan February 2\n\nend"),
+    ("<svg><title/><text>a</text><foreignObject><p>b<p>c</foreignObject></svg>", "a\n\nb\n\nc"),
+    ("<div style='visibility:hidden'>a<p>b<b style='VISIBILITY : visible'>c<i>d</i></b><img alt=e></div>f", "cd\n\nf"),
+    ("<ul><li style='visibility: hidden'>a<li>b</ul>", "- b"), ("<p style='backface-visibility:hidden'>a", "a"),
+    ("<svg visibility=hidden><text>a</text><text visibility=visible>b</text></svg>", "b"),
+    ("<div style='color:red; display : none'><b style='visibility:visible'>a</b></div>b", "b")])
+def test_visible_text_of_drawings_and_inherited_visibility(html, text):
+    assert htmltext.visible_text(html) == text
+
+
 def test_visible_text_frames(spark):
     pages = spark.createDataFrame([(1, None, "t"), (2, "<p>x", "t"), (2, "<p>x", "t")], "page_id int, html string, text string")
     assert sorted((r.page_id, r.text) for r in htmltext.with_text(pages).collect()) == [(1, None), (2, "x"), (2, "x")]
