@@ -4,20 +4,21 @@ Words are runs of letters, lower-cased.  A word known from the training texts
 adds its log frequency in each language; an unseen word backs off to its known
 character n-grams of 5 letters, of 4 if it has none, and so on down to 1 (word
 edges count as a character), and adds their mean.  The language with the
-largest sum plus the log share of the language in training wins; the score is
-its posterior probability.
-
-Training reads about ``per_language`` texts of each language, the ones whose
-hash lies under a threshold set by the language's size (a documented bound on
-what is expected; all texts if there are fewer).  Equal texts have equal hashes,
-so copies go in or stay out together.  Counts come from a Spark aggregate.
+largest sum plus the log share of the language among all labelled texts with
+letters wins; the score is its posterior probability.
+
+Word counts come from about ``per_language`` different texts of each language,
+the ones whose hash lies under a threshold set by the language's number of
+different texts (by a sketch; all texts if there are not more rows than that).
+Copies of a chosen text weigh as often as they occur, but are cut into words
+once a batch.  Counts come from a Spark aggregate.
 The model keeps the ``max_words`` most frequent words and ``max_grams`` most
 frequent n-grams, so what is broadcast has a fixed bound.
 
 Defined results: a null text or one without letters is ``und`` with score 0; so
 is every text when no text was learned from; a text with letters but no known
 word or letter gets the most frequent language; ties go to the language first
-in text order; labels that are null are not learned; other columns are kept or
+in text order; labels that are null, and texts without letters, are not learned; other columns are kept or
 ignored, whatever their names.
 """
 
@@ -63,14 +64,19 @@ def grams(word: str, n: int) -> list[str]:
     return [edged[i:i + n] for i in range(len(edged) - n + 1)]
 
 
-def train_counts(docs: DataFrame, text_col: str, lang_col: str, per_language: int = PER_LANGUAGE) -> DataFrame:
-    """``lang``, ``kind`` (0: text, -1: word, n: n-gram), ``feature``, ``n`` over the training sample."""
-    labelled = docs.filter(F.col(lang_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"),
-                                                              F.col(text_col).cast("string").alias("text"))
+def train_counts(docs: DataFrame, text_col: str, lang_col: str, per_language: int = PER_LANGUAGE) -> tuple[DataFrame, dict]:
+    """``lang``, ``kind`` (0: text, -1: word, n: n-gram), ``feature``, ``n`` over the training sample, and the number
+    of labelled rows with letters of each language."""
+    # letters newer than the JVM's tables are unassigned there
+    labelled = (docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).cast("string").rlike(r"[\p{L}\p{Cn}]"))
+                .select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")))
     # one row per language; a hash threshold of the wanted share of each: no sort, texts are not shuffled
-    sizes = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
-    have = F.create_map(*[F.lit(x) for pair in sizes.items() for x in pair]) if sizes else F.create_map()
-    pick = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) * F.try_element_at(have, "lang") < F.lit(float(per_language) * (1 << 30))
+    found = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(F.xxhash64("text"), 0.01).alias("texts"))
+    sizes, below = {}, {}
+    for r in found.collect():
+        sizes[r.lang], below[r.lang] = r.n, float(per_language) * (1 << 30) / max(1, min(r.n, r.texts))
+    limits = F.create_map(*[F.lit(x) for pair in below.items() for x in pair]) if sizes else F.create_map()
+    pick = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < F.try_element_at(limits, "lang")
     chosen = labelled.filter(pick) if sizes else labelled.limit(0)
 
     letters = letter_table()
@@ -79,12 +85,13 @@ def train_counts(docs: DataFrame, text_col: str, lang_col: str, per_language: in
         for batch in batches:
             for part in text_slices(batch, "text"):
                 found: dict[str, Counter] = {}
-                langs = part.column("lang").to_pylist()
-                points, starts, ends, bounds = letter_words(part.column("text").to_pylist(), letters)
-                for lang, a, b in zip(langs, bounds[:-1], bounds[1:], strict=True):
+                copies = Counter(zip(part.column("lang").to_pylist(), part.column("text").to_pylist(), strict=True))
+                points, starts, ends, bounds = letter_words([t for _, t in copies], letters)
+                for ((lang, _), times), a, b in zip(copies.items(), bounds[:-1], bounds[1:], strict=True):
                     words = found.setdefault(lang, Counter())
-                    words[(0, "")] += 1
-                    words.update((-1, _word(points, starts[i], ends[i])) for i in range(a, b))
+                    words[(0, "")] += times
+                    for i in range(a, b):
+                        words[(-1, _word(points, starts[i], ends[i]))] += times
                 for lang, words in found.items():
                     every = Counter(words)
                     for (kind, w), n in words.items():
@@ -97,23 +104,23 @@ def train_counts(docs: DataFrame, text_col: str, lang_col: str, per_language: in
                         names=["lang", "kind", "feature", "n"])
 
     counted = chosen.mapInArrow(count, "lang string, kind int, feature string, n bigint")
-    return counted.groupBy("lang", "kind", "feature").agg(F.sum("n").alias("n"))
+    return counted.groupBy("lang", "kind", "feature").agg(F.sum("n").alias("n")), sizes
 
 
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE,
           max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS) -> dict:
     """Model of bounded size: language names, log shares, and log frequencies of words and n-grams by hash."""
     need(docs, text_col, lang_col)
-    counts = train_counts(docs, text_col, lang_col, per_language).cache()
-    texts = {r.lang: r.n for r in counts.filter("kind = 0").collect()}
-    langs = sorted(texts)
+    counts, sizes = train_counts(docs, text_col, lang_col, per_language)
+    counts = counts.cache()
+    langs = sorted(r.lang for r in counts.filter("kind = 0").select("lang").collect())
     if not langs:
         counts.unpersist()
         return {"langs": []}
     totals = {(r.lang, r.kind): (r.n, r.kinds) for r in
               counts.groupBy("lang", "kind").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds")).collect()}
     per = [F.sum(F.when(F.col("lang") == lang, F.col("n")).otherwise(0)).alias(f"c{i}") for i, lang in enumerate(langs)]
-    model: dict = {"langs": langs, "prior": np.log(np.array([texts[x] for x in langs]) / sum(texts.values()))}
+    model: dict = {"langs": langs, "prior": np.log(np.array([sizes[x] for x in langs]) / sum(sizes[x] for x in langs))}
     hasher = SpanHasher(1 << 16)
     for name, keep, limit in (("words", F.col("kind") == -1, max_words), ("grams", F.col("kind") > 0, max_grams)):
         wide = (counts.filter(keep).groupBy("kind", "feature").agg(F.sum("n").alias("all"), *per)

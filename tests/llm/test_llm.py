@@ -252,6 +252,21 @@ def test_language_id(spark, docs, empty):
     assert {r.lang_pred for r in langid.predict(docs, none).collect()} == {"und"}
 
 
+def test_language_prior_is_the_share_of_all_labelled_texts(spark):
+    # 600 texts of a, 60 of b, above the bound of 50; a third of the rows has no letters; one text of b has 300 copies
+    rows = [(f"alpha w{i:03d}x", "a") for i in range(600)] + [(f"beta v{i:03d}y", "b") for i in range(60)]
+    rows += [(None, "b")] * 300 + [("12 3", "b")] * 30 + [("", "c")] * 5 + [("beta copied", "b")] * 300
+    docs = spark.createDataFrame(rows, "text string, lang string").repartition(3)
+    model = langid.train(docs, per_language=50)
+    assert model["langs"] == ["a", "b"] and np.allclose(np.exp(model["prior"]), [600 / 960, 360 / 960])
+    counts, sizes = langid.train_counts(docs, "text", "lang", 50)
+    assert sizes == {"a": 600, "b": 360}
+    picked = {r.lang: r.n for r in counts.filter("kind = -1 and feature in ('w', 'v', 'copied')").groupBy("lang").agg(F.max("n").alias("n")).collect()}
+    # copies do not thin out the other texts of b: 61 different texts, so about 50 of them
+    assert 30 <= picked["a"] <= 75
+    assert {r.feature: r.n for r in counts.filter("lang = 'b' and kind = -1").collect()}.get("v", 0) >= 35
+
+
 PAGES = [(1, "http://a/", "x" * 1200), (2, "http://b/", "x" * 1200), (3, None, "x" * 1200), (4, "http://c/\r\nX: é", "short"),
          (5, "u", "short"), (6, "u", None), (7, "u", ""), (None, "u", "ünï" * 500), (3, None, "x" * 1200)]
 
