@@ -72,14 +72,16 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def simhash_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ids divisible by 50 against all rows: the number of other fingerprints within 24 of 256 bits, and their least distance."""
+    """Ids divisible by 50 against all rows: a row for each class of equal fingerprints within 24 of 256 bits that has
+    another document, with the class's least id and its number of documents (op6_simhash has the fingerprint of each)."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    prints = simhash.with_fingerprint(docs).select("doc_id", "fingerprint")
+    prints = write_and_read(simhash.with_fingerprint(docs).select("doc_id", "fingerprint"), "prints")
     queries = prints.filter("doc_id % 50 = 0")
-    near = simhash.neighbours(queries, prints, radius=24, spare=2).filter("query <> fingerprint")
-    near = near.groupBy("query").agg(F.count(F.lit(1)).alias("n_near"), F.min("distance").cast("bigint").alias("least"))
-    return (queries.join(near.withColumnRenamed("query", "fingerprint"), "fingerprint", "left")
-            .select("doc_id", F.coalesce("n_near", F.lit(0)).alias("n_near"), "least"))
+    classes = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("n_docs"))
+    near = simhash.neighbours(queries, prints, radius=24, spare=2).join(classes, "fingerprint")
+    near = near.filter("distance > 0 or n_docs > 1").withColumn("distance", F.col("distance").cast("bigint"))
+    return (queries.withColumnRenamed("fingerprint", "query").join(near, "query")
+            .select("doc_id", "class_id", "fingerprint", "distance", "n_docs"))
 
 
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

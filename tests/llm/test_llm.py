@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from opsflow.llm import bpe, components, decontaminate, htmltext, langid, licences, minhash, secrets, simhash, urlfilter, warc
+from opsflow.llm import bpe, components, decontaminate, htmltext, langid, licences, minhash, queries, secrets, simhash, urlfilter, warc
 
 DIR = "/root/testdata/sf0.001"
 SCHEMA = "doc_id bigint, text string, id string, key int, ids string, component string, blob string"
@@ -323,6 +323,23 @@ def test_simhash_edits_and_neighbours(spark, docs, empty):
     assert {(r["query"], r.fingerprint): r.distance for r in near} == {k: v for k, v in brute.items() if v <= 12}
 
 
+def test_simhash_neighbours_report_every_document(spark, tmp_path):
+    words = [f"w{i}" for i in range(300)]
+    text, turned = " ".join(words), " ".join(reversed(words))
+    rows = [(50, text), (7, text), (9, turned), (100, turned), (11, text + " more"), (150, "alone " * 3), (None, text), (13, "far away")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    prints = [(r.doc_id, r.fingerprint) for r in simhash.with_fingerprint(docs).select("doc_id", "fingerprint").collect()]
+    members: dict = {}
+    for i, p in prints:
+        members.setdefault(p, []).append(i)
+    brute = {(i, min(x for x in ids if x is not None), q, d, len(ids)) for i, p in prints if i is not None and i % 50 == 0
+             for q, ids in members.items() if (d := (int(p, 16) ^ int(q, 16)).bit_count()) <= 24 and (d or len(ids) > 1)}
+    got = [tuple(r) for r in queries.simhash_neighbours(spark, str(tmp_path)).collect()]
+    assert len(got) == len(set(got)) and set(got) == brute
+    assert {(i, c, n) for i, c, _, d, n in got if d == 0} == {(50, 7, 5), (100, 7, 5)} and any(c == 11 for _, c, *_ in got)
+
+
 def test_url_filter(spark):
     rules = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"),
              ("com", "/de/", "block"), (None, "/", "block"), ("org", "/", "allow")]
