@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..session import scratch_path
 
+#: Paths of the scratch tables written inside each open ``settled`` call, innermost last.
+_OPEN: list[list[str]] = []
+
 
 def need(df: DataFrame, *columns: str) -> None:
     """Raise for missing columns, with their names."""
@@ -15,12 +20,42 @@ def need(df: DataFrame, *columns: str) -> None:
         raise ValueError(f"missing columns {missing}; the table has {df.columns}")
 
 
-def write_and_read(df: DataFrame, name: str) -> DataFrame:
-    """Write a table under the shared checkpoint folder and read it back: a
-    lineage cut that outlives lost executors."""
+def write_table(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Write a table under the shared checkpoint folder; the table read back, and its path."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    if _OPEN:
+        _OPEN[-1].append(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def write_and_read(df: DataFrame, name: str) -> DataFrame:
+    """Write a table under the shared checkpoint folder and read it back: a
+    lineage cut that outlives lost executors."""
+    return write_table(df, name)[0]
+
+
+def drop_table(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table that nothing reads any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def settled(make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """The result of ``make`` written and read back; the scratch tables that were
+    written for it are deleted, so a job's disk holds what is still read."""
+    _OPEN.append([])
+    try:
+        df = make()
+        spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
+        df.write.parquet(path)
+    finally:
+        made = _OPEN.pop()
+    for p in made:
+        drop_table(spark, p)
+    if _OPEN:
+        _OPEN[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, htmltext, langid, licences, minhash, secrets, simhash, urlfilter, warc
+from . import bpe, centroids, decontaminate, htmltext, langid, licences, minhash, secrets, simhash, urlfilter, warc, whitening
 from .frames import table, write_and_read
 
 # fixed values: the url rules of the contract
@@ -114,9 +114,51 @@ def op10_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 32 whitened components of every vector."""
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    each = found.select("id", "n", "deviation", "identity_error", F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "c"))
+    return each.select(F.col("id").alias("vec_id"), (F.col("at") + 1).cast("int").alias("component"), "n", "deviation",
+                       F.col("c")["whitened"].alias("whitened"), F.col("c")["explained"].alias("explained"), "identity_error")
+
+
+def op13_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact clusters of every vector after ten rounds."""
+    assigned, final = centroids.cluster(table(spark, sf_dir, "embeddings"))
+    return (centroids.with_inertia(assigned, final)
+            .select(F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"))
+
+
+def kmeans_sql(k: int = 8, rounds: int = 10) -> str:
+    """The rounds of op13 written out, with exact integers."""
+    steps = [f"""
+        v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, [CAST(floor(1024 * CAST(e AS DOUBLE)) AS BIGINT) FOR e IN embedding] AS x
+            FROM embeddings WHERE len(embedding) = 64 AND len([e FOR e IN embedding IF e IS NOT NULL AND isfinite(e)]) = 64),
+        c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h, x) - 1 AS j, x AS c
+            FROM (SELECT sha256('3:' || vec_id) AS h, x FROM v ORDER BY h, x LIMIT {k}))"""]
+    for i in range(rounds + 1):
+        steps.append(f"""
+        a{i} AS MATERIALIZED (SELECT r, any_value(vec_id) AS vec_id, any_value(x) AS x, min({{'d': d, 'j': j}}) AS m
+            FROM (SELECT r, vec_id, x, j, list_sum([(p[1] - p[2]) * (p[1] - p[2]) FOR p IN list_zip(x, c)]) AS d FROM v, c{i}) GROUP BY r)""")
+        if i < rounds:
+            steps.append(f"""
+        c{i + 1} AS MATERIALIZED (SELECT c{i}.j, coalesce(n.c, c{i}.c) AS c FROM c{i} LEFT JOIN (
+            SELECT j, list(q ORDER BY dim) AS c FROM (
+                SELECT j, dim, (s - ((s % n) + n) % n) // n AS q FROM (
+                    SELECT j, dim, sum(e) AS s, count(*) AS n
+                    FROM (SELECT m.j AS j, unnest(x) AS e, generate_subscripts(x, 1) AS dim FROM a{i}) GROUP BY j, dim)) GROUP BY j) n USING (j))""")
+    return f"""
+        WITH {",".join(steps)}
+        SELECT vec_id, CAST(m.j AS INTEGER) AS cluster, CAST(m.d AS BIGINT) AS distance,
+               CAST(sum(m.d) OVER (PARTITION BY m.j) AS BIGINT) AS cluster_inertia, CAST(sum(m.d) OVER () AS BIGINT) AS inertia,
+               sha256(array_to_string([CAST(e AS VARCHAR) FOR e IN c], ',')) AS centroid_sha256
+        FROM a{rounds} JOIN c{rounds} ON c{rounds}.j = m.j"""
+
+
 QUERIES = {f.__name__: f for f in (op1_bpe, op2_licences, op3_minhash, op4_langid, op5_warc, op6_simhash, op7_html, op8_secrets,
-                                   op9_decontaminate, op10_urlfilter, simhash_neighbours)}
+                                   op9_decontaminate, op10_urlfilter, op11_whitening, op13_kmeans, simhash_neighbours)}
 SQL: dict[str, str] = {
+    "op13_kmeans": kmeans_sql(),
     "op5_warc": """
         WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
         k AS (SELECT payload_digest, max(page_id) AS keeper FROM p WHERE payload_bytes >= 1000 GROUP BY 1)
