@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, centroids, decontaminate, htmltext, langid, licences, minhash, secrets, simhash, urlfilter, warc, whitening
+from . import bpe, centroids, decontaminate, htmltext, langid, licences, minhash, secrets, simhash, toxicity, urlfilter, warc, whitening
 from .frames import table, write_and_read
 
 # fixed values: the url rules of the contract
@@ -122,6 +122,16 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("c")["whitened"].alias("whitened"), F.col("c")["explained"].alias("explained"), "identity_error")
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole text, learned from the labelled rows that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    learned = ~toxicity.held_out("doc_id")
+    model = toxicity.train(docs.filter(learned), labels.filter(learned), corpus=docs)
+    found = toxicity.predict(docs, model)
+    return found.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
 def op13_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact clusters of every vector after ten rounds."""
     assigned, final = centroids.cluster(table(spark, sf_dir, "embeddings"))
@@ -156,7 +166,7 @@ def kmeans_sql(k: int = 8, rounds: int = 10) -> str:
 
 
 QUERIES = {f.__name__: f for f in (op1_bpe, op2_licences, op3_minhash, op4_langid, op5_warc, op6_simhash, op7_html, op8_secrets,
-                                   op9_decontaminate, op10_urlfilter, op11_whitening, op13_kmeans, simhash_neighbours)}
+                                   op9_decontaminate, op10_urlfilter, op11_whitening, op12_toxicity, op13_kmeans, simhash_neighbours)}
 SQL: dict[str, str] = {
     "op13_kmeans": kmeans_sql(),
     "op5_warc": """
