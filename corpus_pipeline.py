@@ -8,10 +8,14 @@ columns of ``documents``.
 
 Ids: language ID drops rows whose text is null or has no letters.  Near-duplicate
 removal links rows by their texts alone, so rows that repeat an id are linked
-only if their texts are alike.  A row with a null id cannot stand for a
-component that has rows with ids: of each component one row with an id and one
-without are kept, where it has such rows.  Texts without words are linked with
-nothing.  Decontamination judges every row by its own text, whatever its id.
+only if their texts are alike.  Of each component one row is kept, that with
+the smallest id (null ids last; of equal ids any).  Texts without words are
+linked with nothing.  Decontamination judges every row by its own text, whatever
+its id.  Very long texts are handled whole in every stage; repeated rows without
+words stay.
+
+Disk: a stage deletes the scratch tables behind its small results (groups, hits)
+before it returns, so that only what its result still reads is left.
 """
 
 from __future__ import annotations
@@ -20,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opsflow.llm import bpe, decontaminate, langid, minhash, secrets
-from opsflow.llm.frames import table, write_and_read
+from opsflow.llm.frames import settled, table, write_and_read
 from opsflow.llm.queries import vocabulary_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -37,24 +41,30 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each component at a similarity of 0.8 or more over five-word shingles, the one with the smallest id;
-    of the rows without an id one more.  Rows are linked by row number, written once so that it stays."""
+    """One row of each component at a similarity of 0.8 or more over five-word shingles, the one with the smallest id.
+    Rows are linked by row number, written once so that it stays."""
     rows = write_and_read(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("_row")), "rows")
-    groups = minhash.near_duplicates(rows, id_col="_row", k=5, percent=80).select(F.col("id").alias("_row"), "component")
-    kept = (rows.select("_row", "doc_id").join(groups, "_row")
-            .groupBy("component", F.col("doc_id").isNull().alias("unnamed"))
-            .agg(F.min(F.struct("doc_id", "_row")).alias("first")).select("first._row"))
-    return rows.join(kept, "_row", "left_semi").select(*COLUMNS)
+
+    def repeated() -> DataFrame:
+        groups = minhash.near_duplicates(rows, id_col="_row", k=5, percent=80).select(F.col("id").alias("_row"), "component")
+        groups = rows.select("_row", "doc_id").join(groups, "_row")
+        first = groups.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("_row"))).alias("first"))
+        return groups.join(first, "component").filter(F.col("_row") != F.col("first._row")).select("_row")
+
+    return rows.join(settled(repeated, "repeated"), "_row", "left_anti").select(*COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a ten-word window of ``benchmark``; a row goes for its own text, named by its digest."""
+    """Documents without a ten-word window of ``benchmark``; a row goes for its own text, named by its digest.
+    The digests of the texts that are hit are written first, so Spark knows their size and need not shuffle the texts."""
     docs = docs.select(*COLUMNS)
     docs = docs.withColumn("_digest", F.unhex(F.sha2(F.col("text"), 256)))
-    index = decontaminate.build_index(docs, "_digest")
-    found = decontaminate.matches(index, table(spark, sf_dir, "benchmark"))
-    hit = found.filter(F.size("spans") > 0).select(F.col("id").alias("_digest")).distinct()
-    return docs.join(hit, "_digest", "left_anti").select(*COLUMNS)
+
+    def hit() -> DataFrame:
+        found = decontaminate.matches(decontaminate.build_index(docs, "_digest"), table(spark, sf_dir, "benchmark"))
+        return found.filter(F.size("spans") > 0).select(F.col("id").alias("_digest")).distinct()
+
+    return docs.join(settled(hit, "hits"), "_digest", "left_anti").select(*COLUMNS)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
