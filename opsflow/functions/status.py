@@ -15,6 +15,13 @@ def normalized_code(c: str | Column) -> Column:
     return F.nullif(F.regexp_extract(u, r"\b(" + "|".join(C.STATUS_CODES) + r")\b", 1), F.lit(""))
 
 
+def all_codes(c: str | Column) -> Column:
+    """Every status code that stands in the text as a whole word, upper-cased, in order (empty for null)."""
+    u = F.upper(F.col(c) if isinstance(c, str) else c)
+    found = F.regexp_extract_all(u, F.lit(r"\b(" + "|".join(C.STATUS_CODES) + r")\b"), F.lit(1))
+    return F.coalesce(found, F.array().cast("array<string>"))
+
+
 def colour(c: str | Column) -> Column:
     """Cell colour; exact case, unknown codes get none."""
     v = F.col(c) if isinstance(c, str) else c

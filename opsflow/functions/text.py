@@ -45,3 +45,19 @@ def counterparty(tokens: list[str | Column], pay_type: str | Column, text: str |
     chain = reduce(lambda acc, r: acc.when(r[0], r[1]), rules[1:], F.when(first_cond, first_val))
     return chain.otherwise(F.lit(""))
 
+
+
+# A word is a run of letters, digits and underscores of any script.
+WORD = r"[\p{L}\p{N}_]+"
+
+
+def words(c: str | Column) -> Column:
+    """The words of a text, lower-cased, in order."""
+    return F.regexp_extract_all(F.lower(_col(c)), F.lit(WORD), F.lit(0))
+
+
+def has_whole(line: Column, phrase: Column) -> Column:
+    """Whether ``phrase`` (literal, any case) stands in ``line`` with no word character right before or after it."""
+    quoted = F.concat(F.lit(r"\Q"), F.replace(F.lower(phrase), F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
+    edge = r"[\p{L}\p{N}_]"
+    return F.rlike(F.lower(line), F.concat(F.lit(f"(?<!{edge})"), quoted, F.lit(f"(?!{edge})")))

@@ -17,6 +17,12 @@ from ..functions import arrays, text
 from ..functions.ranking import number_within_groups, running_sum_within_groups
 
 DECISION_SCHEMA = StructType([StructField("catIdEdit", StringType()), StructField("accOfDec", StringType())])
+# Columns of the decision map that stay per row, and those that part a key's decisions.
+MAP_LISTS = ["dec_cat", "decCatId", "nextBestCat", "nextBest_catId"]
+MAP_GROUPS = ["subT_create", "subT"]
+MAP_VALUES = ["cat_id", *MAP_LISTS, "nextBest0", "catWt0", *MAP_GROUPS]
+# Those of which one row per key could keep one value only.
+MAP_SINGLES = {"dec_cat", "nextBest0", "catWt0", *MAP_GROUPS}
 SCORE_SCHEMA = StructType([StructField("catId", StringType()), StructField("score", StringType())])
 
 
@@ -160,6 +166,96 @@ def decisions_per_key(df: DataFrame, key: str, id_col: str = "udId", acc_col: st
     return per.withColumns(cols).drop("_items", "_pair")
 
 
+def list_column(df: DataFrame, column: str) -> Column:
+    """A list column of the map as an array of texts; a map read from CSV holds it as JSON text (bad text is null)."""
+    if dict(df.dtypes)[column] == "string":
+        return F.from_json(F.col(column), "array<string>")
+    return F.col(column)
+
+
+def map_rows_per_key(df: DataFrame, key: str, id_col: str = "udId", acc_col: str = "udAcc",
+                     tie_col: str | None = None, out: str = "usDecCatId") -> DataFrame:
+    """Every distinct row of values of a prepared decision map per ``key``, with its decision list.
+
+    Values are those of ``MAP_VALUES`` that the map has.  ``out`` holds the
+    distinct non-null decision ids, in ``decision_list`` order, of the key's rows
+    with the same ``subT_create`` and ``subT`` (the grouping of the source job).
+    Lists are built from distinct (id, accuracy) pairs and are joined back to the
+    distinct value rows, so nothing here holds the rows of a hot key together.
+    """
+    values = [c for c in MAP_VALUES if c in df.columns]
+    by = [key, *[c for c in MAP_GROUPS if c in df.columns]]
+    tie = F.col(tie_col) if tie_col else F.lit(0)
+    pairs = df.filter(F.col(id_col).isNotNull()).groupBy(*by, F.col(id_col).alias("_id"), F.col(acc_col).alias("_a")).agg(
+        F.min(tie).alias("_t"))
+    item = F.struct(F.col("_a").alias("a"), F.struct("_t", "_id").alias("t"), F.col("_id").alias("id"))
+    lists = pairs.groupBy(*by).agg(F.collect_list(item).alias("_items"))
+    ids = F.array_distinct(F.transform(F.array_sort("_items", _by_accuracy(False)), lambda x: x["id"]))
+    lists = lists.select(*[F.col(c).alias(f"_by_{c}") for c in by], ids.alias(out))
+    rows = df.select(key, *values).distinct()
+    same = [rows[c].eqNullSafe(lists[f"_by_{c}"]) for c in by]
+    return rows.join(lists, same, "left").select(key, *values, arrays.empty_if_null(F.col(out)).alias(out))
+
+
+def decision_blocks(df: DataFrame, group_cols: list[str], id_col: str = "udId", acc_col: str = "udAcc",
+                    tie_col: str | None = None, numeric: bool = False, size: int = 1024, out: str = "ids") -> DataFrame:
+    """``decision_list`` in blocks: per group and ``block`` (0, 1, ...) the next ``size`` ids of its list.
+
+    Positions come from one range-sorted pass over all groups, so a group of any
+    size is cut into blocks by many tasks and no value holds more than ``size``
+    ids.  A group without a decision has no block."""
+    placed = decision_positions(df, group_cols, id_col, acc_col, tie_col, numeric, "_at")
+    block = ((F.col("_at") - 1) / F.lit(size)).cast("bigint")
+    item = F.struct(F.col("_at"), F.col(id_col).alias("id"))
+    grouped = placed.groupBy(*group_cols, block.alias("block")).agg(F.collect_list(item).alias("_items"))
+    return grouped.withColumn(out, F.transform(F.array_sort("_items"), lambda x: x["id"])).drop("_items")
+
+
+def list_from_blocks(blocks: DataFrame, group_cols: list[str], ids_col: str = "ids", out: str = "usDecCatId") -> DataFrame:
+    """The whole list of each group from its blocks: only sorted blocks meet, no single rows."""
+    grouped = blocks.groupBy(*group_cols).agg(F.array_sort(F.collect_list(F.struct("block", ids_col))).alias("_blocks"))
+    return grouped.withColumn(out, F.flatten(F.transform("_blocks", lambda b: b[ids_col]))).drop("_blocks")
+
+
+def element_digest(position: Column, value: Column) -> Column:
+    """A number for a value at a 1-based position: the first 32 bits of the MD5 of ``position:value``.
+    Digests of the elements of a list add up to the list's digest."""
+    text = F.concat(position.cast("string"), F.lit(":"), value)
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("bigint")
+
+
+def running_blocks(df: DataFrame, group_cols: list[str], id_col: str = "udId", acc_col: str = "udAcc",
+                   tie_col: str | None = None, size: int = 1024) -> DataFrame:
+    """``decision_blocks`` with ``before``: the digest of all blocks before (a distributed prefix sum), and the
+    elements' own digests, so any prefix of a group's list is some blocks and a slice of one."""
+    blocks = decision_blocks(df, group_cols, id_col, acc_col, tie_col, size=size)
+    marks = F.transform("ids", lambda v, i: element_digest(F.col("block") * size + i + 1, v))
+    blocks = blocks.withColumn("digests", marks)
+    blocks = blocks.withColumn("_total", F.aggregate("digests", F.lit(0).cast("bigint"), lambda a, b: a + b))
+    summed = running_sum_within_groups(blocks, group_cols, [F.col("block")], "_total", "_through")
+    return summed.withColumn("before", F.col("_through") - F.col("_total")).drop("_through", "_total")
+
+
+def running_lists(df: DataFrame, group_cols: list[str], id_col: str = "udId", acc_col: str = "udAcc",
+                  tie_col: str | None = None, size: int = 1024) -> tuple[DataFrame, DataFrame]:
+    """The running list of every row in linear space: (rows, blocks).
+
+    Rows get ``running_len`` and ``block`` (that of the list's last element; null
+    for an empty list) and ``list_digest``; the list is the group's blocks before
+    ``block`` and the first ``running_len - block * size`` ids of that block.
+    Writing the lists out would be quadratic in a group's size."""
+    blocks = running_blocks(df, group_cols, id_col, acc_col, tie_col, size)
+    rows = running_decision_count(df, group_cols, id_col, acc_col)
+    block = F.when(F.col("running_len") > 0, ((F.col("running_len") - 1) / F.lit(size)).cast("bigint"))
+    rows = rows.withColumn("block", block)
+    side = blocks.select(*[F.col(g).alias(f"_g_{g}") for g in group_cols], F.col("block").alias("_b"), "digests", "before")
+    same = [rows[g].eqNullSafe(side[f"_g_{g}"]) for g in group_cols] + [rows["block"] == side["_b"]]
+    used = F.slice("digests", 1, (F.col("running_len") - F.col("block") * size).cast("int"))
+    digest = F.when(F.col("running_len") > 0, F.col("before") + F.aggregate(used, F.lit(0).cast("bigint"), lambda a, b: a + b))
+    joined = rows.join(side, same, "left").withColumn("list_digest", F.coalesce(digest, F.lit(0).cast("bigint")))
+    return joined.drop(*[f"_g_{g}" for g in group_cols], "_b", "digests", "before"), blocks
+
+
 def decision_positions(df: DataFrame, group_cols: list[str], id_col: str = "udId", acc_col: str = "udAcc",
                        tie_col: str | None = None, numeric: bool = False, out: str = "position") -> DataFrame:
     """Long form of ``decision_list``: one row per non-null decision with its
@@ -233,15 +329,17 @@ def enrich_with_tree(df: DataFrame, tree: DataFrame, key: str = "catId") -> Data
 
 def categorize(batch: DataFrame, decisions: DataFrame, tree: DataFrame, join_key: str,
                decision_key: str | None = None, tie_col: str | None = None,
-               batch_keys: DataFrame | None = None) -> DataFrame:
+               batch_keys: DataFrame | None = None, map_rows: bool | None = None) -> DataFrame:
     """Full categorization of one batch of transactions.
 
     ``decisions`` is the raw decision map (``udCat`` JSON, ``cat_id``, optional
     ``dec_cat`` / ``decCatId`` / ``nextBestCat`` / ``nextBest_catId`` /
-    ``nextBest0`` + ``catWt0``); it is joined to the valid transactions on
-    ``join_key`` (left) after it is brought to one row per key
-    (``decisions_per_key``), so a transaction meets one row at most; scores are
-    exploded and the tree is joined.
+    ``nextBest0`` + ``catWt0`` / ``subT_create`` / ``subT``); it is joined to the
+    valid transactions on ``join_key`` (left); scores are exploded and the tree
+    is joined.  A map with any of ``MAP_SINGLES`` gives a transaction one row for
+    every distinct row of values of its key (``map_rows_per_key``); a map whose
+    columns can be united is brought to one row per key (``decisions_per_key``).
+    ``map_rows`` chooses one of the two for any map.
 
     Every row gets ``Var``, ``tranT1`` (original text) and the normalized
     ``tranT``; rows that fail the completeness check get nulls in every other
@@ -274,7 +372,13 @@ def categorize(batch: DataFrame, decisions: DataFrame, tree: DataFrame, join_key
     if batch_keys is not None:
         keys = batch_keys.select(F.col(join_key).alias("_bkey")).distinct()
         dm = dm.join(keys, dm["_dkey"].eqNullSafe(keys["_bkey"]), "left_semi")
-    per_key = decisions_per_key(dm, "_dkey", tie_col=tie_col)
+    if map_rows is None:
+        map_rows = bool(MAP_SINGLES & set(dm.columns))
+    dm = dm.withColumns({c: list_column(dm, c) for c in MAP_LISTS if c in dm.columns})
+    if map_rows:
+        per_key = map_rows_per_key(dm, "_dkey", tie_col=tie_col)
+    else:
+        per_key = decisions_per_key(dm, "_dkey", tie_col=tie_col)
     per_txn = flagged.join(per_key, flagged[join_key].eqNullSafe(per_key["_dkey"]) & ok, "left").drop("_dkey")
     per_txn = per_txn.withColumn("usDecCatId", F.when(ok, arrays.empty_if_null(F.col("usDecCatId"))))
     if "cat_id" not in per_txn.columns:

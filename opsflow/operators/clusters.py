@@ -2,18 +2,25 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..functions import wall_clock
 from ..functions.ranking import number_rows
 
+SECONDS_A_DAY = 86400
+
 CLUSTER_SCHEMA = (
     "Id string, NormalizedInstanceHours int, Status struct<State: string, "
     "Timeline: struct<CreationDateTime: timestamp_ntz, ReadyDateTime: timestamp_ntz, EndDateTime: timestamp_ntz>>"
 )
 EVENT_SCHEMA = "Username string, CloudTrailEvent string, EventName string, EventTime timestamp_ntz"
 TRAIL_SCHEMA = "responseElements map<string, string>"
+CLUSTER_PAGE = f"Clusters array<struct<{CLUSTER_SCHEMA}>>"
+EVENT_PAGE = f"Events array<struct<{EVENT_SCHEMA}>>"
 
 
 def flatten_clusters(docs: DataFrame) -> DataFrame:
@@ -62,29 +69,57 @@ def runtime_order(clusters: DataFrame, tie_cols: list[str] | None = None) -> Dat
     return number_rows(clusters, order, "position")
 
 
+def metric_period(start: Column, end: Column) -> Column:
+    """Seconds of one data point of the metric service for a window: its whole days and four more, at least one day."""
+    days = F.floor(F.timestamp_diff("SECOND", start, end) / F.lit(SECONDS_A_DAY))
+    return F.greatest(days + F.lit(4), F.lit(1)) * F.lit(SECONDS_A_DAY)
+
+
+def single_point(average: Column, first: Column, last: Column, period: Column) -> Column:
+    """``average`` if the points from ``first`` to ``last`` lie in one period, else null.  Periods are tumbling and
+    start at the epoch, so points lie in one if their first and last do."""
+    epoch = wall_clock(dt.datetime(1970, 1, 1))
+
+    def slot(ts: Column) -> Column:
+        return F.floor(F.timestamp_diff("SECOND", epoch, ts) / period)
+
+    return F.when(slot(first) == slot(last), average)
+
+
 def idle_windows(points: DataFrame, now: Column, clusters: DataFrame | None = None, id_col: str = "ClusterId",
                  ts_col: str = "Timestamp", value_col: str = "IsIdle") -> DataFrame:
     """Average idle value per cluster over its lifetime, the last 12 h and the last 3 h
-    (windows ``[start, now]``).  No point in a window gives null.
-
-    One pass: conditional averages in a single aggregate.  With ``clusters`` the
-    lifetime is ``[ready, end or now]`` (one equi-join on the id, no range join);
-    without, every point counts.
+    (windows ``[start, now]``), as the metric service gives it: it answers with one
+    average for each period (``metric_period``, aligned to the epoch) that holds
+    points, and only a single answer counts.  Points in two periods, or none,
+    give null.
+
+    One pass: conditional averages, first and last times in a single aggregate.
+    With ``clusters`` the lifetime is ``[ready, end or now]`` (one equi-join on
+    the id, no range join); without, it is ``[first point, now]``.
     """
     ts, v = F.col(ts_col), F.col(value_col)
     if clusters is not None:
         bounds = clusters.select(F.col("ClusterId").alias("_cid"), F.col("ReadyDateTime").alias("_ready"),
                                  F.coalesce(F.col("EndDateTime"), now).alias("_end"))
         points = points.join(bounds, points[id_col] == bounds["_cid"])
-        life = F.col("_ready").isNotNull() & (ts >= F.col("_ready")) & (ts <= F.col("_end"))
     else:
-        life = F.lit(True)
-    last = lambda hours: (ts >= now - F.make_dt_interval(hours=F.lit(hours))) & (ts <= now)
-    return points.groupBy(id_col).agg(
-        F.avg(F.when(life, v)).alias("idle_pct"),
-        F.avg(F.when(last(12), v)).alias("idle_pct_12h"),
-        F.avg(F.when(last(3), v)).alias("idle_pct_3h"),
-    )
+        points = points.withColumns({"_ready": F.lit(None).cast("timestamp_ntz"), "_end": now})
+    within = F.col("_ready").isNotNull() & (ts >= F.col("_ready")) & (ts <= F.col("_end"))
+    windows = {"idle_pct": within if clusters is not None else F.lit(True)}
+    for name, hours in (("idle_pct_12h", 12), ("idle_pct_3h", 3)):
+        windows[name] = (ts >= now - F.make_dt_interval(hours=F.lit(hours))) & (ts <= now)
+    aggs = [F.max("_ready").alias("_from"), F.max("_end").alias("_to")]
+    for name, inside in windows.items():
+        aggs += [F.avg(F.when(inside, v)).alias(name), F.min(F.when(inside & v.isNotNull(), ts)).alias(f"{name}_first"),
+                 F.max(F.when(inside & v.isNotNull(), ts)).alias(f"{name}_last")]
+    got = points.groupBy(id_col).agg(*aggs)
+    start = F.col("_from") if clusters is not None else F.col("idle_pct_first")
+    period = {"idle_pct": metric_period(start, F.col("_to"))}
+    for name, hours in (("idle_pct_12h", 12), ("idle_pct_3h", 3)):
+        period[name] = metric_period(now - F.make_dt_interval(hours=F.lit(hours)), now)
+    return got.select(id_col, *[single_point(F.col(name), F.col(f"{name}_first"), F.col(f"{name}_last"), period[name]).alias(name)
+                                for name in windows])
 
 
 def cluster_report(clusters: DataFrame, creators: DataFrame, idle: DataFrame | None = None,

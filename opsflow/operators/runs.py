@@ -26,9 +26,9 @@ def parse_log_lines(lines: DataFrame, line_col: str = "line") -> DataFrame:
 
 
 def completed_processes(logs: DataFrame, process: Column, line_col: str = "line") -> DataFrame:
-    """Distinct processes with a completion line (marker matched ignoring case)."""
+    """Distinct processes with a completion line (marker matched ignoring case), in order."""
     done = logs.filter(F.lower(F.col(line_col)).contains(C.COMPLETION_MARKER.lower()))
-    return done.select(process.alias("process")).distinct()
+    return done.select(process.alias("process")).distinct().orderBy("process")
 
 
 def pending(wanted: DataFrame, completed: DataFrame, key: str) -> DataFrame:
@@ -71,18 +71,20 @@ def readiness(wanted: DataFrame, markers: DataFrame, marker_col: str = "marker")
     indicators are ready at once.
 
     The prefix test is an equi-join: each marker name is cut to the prefix
-    lengths that occur among the wanted keys (a set bounded by the longest key)
-    and joined on equality, so no marker x key pairs are formed.
+    lengths that occur among the keys that need one (a set bounded by the longest
+    key), so no marker x key pairs are formed.  Cuts that no such key has are
+    dropped by a semi join first; Spark broadcasts those keys if they are few.
     """
     w = wanted.withColumn("_prefix", marker_prefix(F.col("src"), F.col("db"), F.col("tbl")))
-    lengths = sorted(r[0] for r in w.select(F.length("_prefix")).distinct().collect() if r[0] is not None)
+    needs = F.coalesce(F.col("indicator"), F.lit("")) == C.READY_ON_MARKER_INDICATOR     # exact case
+    asked = w.filter(needs).select("_prefix").distinct()
+    lengths = sorted(r[0] for r in asked.select(F.length("_prefix")).distinct().collect() if r[0] is not None)
     m = markers.select(F.col(marker_col).alias("_m"))
     cuts = F.filter(F.array(*[F.lit(n) for n in lengths]) if lengths else F.array().cast("array<int>"),
                     lambda n: n <= F.length("_m"))
     found = (m.select(F.explode(F.transform(cuts, lambda n: F.left(F.col("_m"), n))).alias("_prefix"))
-             .distinct().withColumn("_hit", F.lit(True)))
+             .join(asked, "_prefix", "left_semi").distinct().withColumn("_hit", F.lit(True)))
     joined = w.join(found, "_prefix", "left")
-    needs = F.coalesce(F.col("indicator"), F.lit("")) == C.READY_ON_MARKER_INDICATOR     # exact case
     ready = F.when(needs, F.coalesce(F.col("_hit"), F.lit(False))).otherwise(F.lit(True))
     return joined.withColumn("ready", ready).drop("_prefix", "_hit")
 

@@ -24,7 +24,7 @@ from ..operators import envelope as env
 from ..operators import feeds, latest, runs, status, transfer
 from ..session import scratch_path
 from ..sources import files, sinks
-from ..streaming import categorize_stream
+from . import feed_runs
 
 # --- fixed binding parameters ---------------------------------------------
 NOW_EVENTS = dt.datetime(2024, 1, 30, 0, 0, 0)       # "now" for event-time windows
@@ -203,9 +203,21 @@ def q_decision_positions(spark, sf_dir):
     return cat.decision_positions(g, ["user_id"], tie_col="event_id")
 
 
+LIST_BLOCK = 4                                          # small, so that lists have several blocks
+
+
 def q_running_list(spark, sf_dir):
+    """The running list of every row as its length and digest, from blocks and a slice."""
+    g = guarded_decisions(spark, sf_dir).select("event_id", "user_id", "udId", "udAcc")
+    rows, _ = cat.running_lists(g, ["user_id"], tie_col="event_id", size=LIST_BLOCK)
+    return rows.select("event_id", "user_id", "udAcc", "running_len", "list_digest")
+
+
+def q_decision_blocks(spark, sf_dir):
+    """Every user's decision list in blocks (D2 for groups of any size)."""
     g = guarded_decisions(spark, sf_dir).select("event_id", "user_id", "udId", "udAcc")
-    return cat.running_decision_count(g, ["user_id"]).select("event_id", "user_id", "udAcc", "running_len")
+    blocks = cat.decision_blocks(g, ["user_id"], tie_col="event_id", size=LIST_BLOCK)
+    return blocks.select("user_id", "block", F.array_join("ids", ",").alias("ids"))
 
 
 def q_candidate_set(spark, sf_dir):
@@ -297,6 +309,38 @@ def q_categorize_batch(spark, sf_dir):
     return categorized_view(out)
 
 
+def scored_map(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``categorize_inputs`` with the whole decision map: several scored rows per user, lists as JSON text as a CSV map
+    has them, decisions parted by ``subT``."""
+    txn, dm, tree = categorize_inputs(spark, sf_dir)
+    et = _t(spark, sf_dir, "events").select(F.col("event_id").alias("_e"), F.col("event_type").alias("et"))
+    j = dm.join(et, dm["event_id"] == et["_e"])
+    own = F.col("cat_id")
+    scores = (F.when(F.col("et") == "click", F.array(cat.score_json(own, F.lit("0.9")), cat.score_json(F.lit("3"), F.lit("0.5"))))
+              .when(F.col("et") == "purchase", F.array(cat.score_json(own, F.lit("0.4"))))
+              .when(F.col("et") == "error", F.array().cast("array<string>")))
+    # a JSON array of objects, as text
+    as_text = F.concat(F.lit("["), F.array_join(scores, ","), F.lit("]"))
+    return txn, j.select(
+        "event_id", "user_id", "udCat", "m_c", "cat_id", as_text.alias("dec_cat"),
+        F.when(F.col("et") == "click", F.array(own, F.lit("42"))).alias("decCatId"),
+        F.when(F.col("et") == "view", F.array(F.lit("11"), F.lit("12"))).alias("nextBestCat"),
+        F.when(F.col("et") == "signup", F.array(F.lit("77"), own)).alias("nextBest_catId"),
+        F.when(F.col("et") != "view", own).alias("nextBest0"),
+        F.when(F.col("et") == "purchase", F.lit("0.75")).when(F.col("et") == "click", F.lit("0.25")).alias("catWt0"),
+        F.substring("et", 1, 1).alias("subT_create"),
+        F.when(F.col("et").isin("purchase", "click"), F.lit("P")).otherwise(F.lit("O")).alias("subT")), tree
+
+
+def q_categorize_map_rows(spark, sf_dir):
+    """The whole J1 batch: every transaction with each of its account's map rows, scores exploded, next best."""
+    txn, dm, tree = scored_map(spark, sf_dir)
+    out = cat.categorize(txn, dm, tree, join_key="accIdent", decision_key="user_id", tie_col="event_id")
+    return out.select("o_orderkey", "Var", "subT_create", "subT", F.array_join("usDecCatId", ",").alias("usDecCatId"),
+                      arrays.sorted_text(F.col("setNext")).alias("setNext"), F.array_join("nextBestCat1", ",").alias("nextBestCat1"),
+                      "nextBest0", "cat", "catId", "cat_wt", "catN")
+
+
 def q_stream_categorize(spark, sf_dir):
     """Transactions arrive in two micro-batches (orders before / from mid-1998)."""
     txn, _, _ = categorize_inputs(spark, sf_dir)
@@ -305,7 +349,7 @@ def q_stream_categorize(spark, sf_dir):
         _, dm, tree = categorize_inputs(s, sf_dir)
         return dm, tree
 
-    return categorize_stream.run_file_stream_categorize(
+    return feed_runs.run_file_stream_categorize(
         spark, txn, _ts(TXN_SPLIT), masters, keys=["tranI", "cost", "tranT"], order="tranDt",
         join_key="accIdent", decision_key="user_id", tie_col="event_id",
         project=lambda out: categorized_view(out))
@@ -324,16 +368,46 @@ def q_envelope_structured(spark, sf_dir):
 
 # ============================================================ streams
 def q_stream_latest(spark, sf_dir):
-    return categorize_stream.run_file_stream_latest(spark, _t(spark, sf_dir, "events"), _ts(STREAM_SPLIT))
+    return feed_runs.run_file_stream_latest(spark, _t(spark, sf_dir, "events"), _ts(STREAM_SPLIT))
 
 
 def q_stream_enrich(spark, sf_dir):
     tree_path = land_tree_csv(spark, sf_dir)
     cu = customer_category(spark, sf_dir)
-    return categorize_stream.run_file_stream_enrich(spark, _t(spark, sf_dir, "events"), _ts(STREAM_SPLIT),
+    return feed_runs.run_file_stream_enrich(spark, _t(spark, sf_dir, "events"), _ts(STREAM_SPLIT),
                                                     cu, tree_path)
 
 
+def feed_messages(spark, sf_dir) -> dict[str, DataFrame]:
+    """The events as raw messages of their feed: time and JSON payload.  A user's messages of one kind and amount are one
+    transaction; every fifth lacks its text and is set aside."""
+    ev = _t(spark, sf_dir, "events")
+    user = F.col("user_id").cast("string")
+    payload = F.to_json(F.struct(
+        F.concat(F.lit("t"), user).alias("tranId"), F.col("event_type").alias("tranText"), user.alias("accId"),
+        (F.floor(F.col("value") / 50) - 1).cast("int").alias("amount"), user.alias("accIdent"), F.to_date("ts").cast("string").alias("tranDt"),
+        F.lit("1").alias("cost"), F.when(F.col("event_id") % 5 != 0, F.concat(F.lit("AX/"), F.col("event_type"))).alias("tranT"),
+        F.lit("i").alias("tranI"), F.lit("others").alias("payType")))
+    rows = ev.select(_map(F.col("event_type"), EVENT_FEED).alias("feed"), F.col("ts").cast("timestamp_ntz").alias("timestamp"),
+                     payload.alias("value"))
+    return {name: rows.filter(F.col("feed") == name).drop("feed") for name in FEEDS}
+
+
+def q_feed_stream(spark, sf_dir):
+    """Feeds A, B and C from raw message to envelope, through a failed batch and a restart from the checkpoint (H1)."""
+    def masters(s):
+        _, dm, tree = categorize_inputs(s, sf_dir)
+        return dm.withColumn("user_id", F.col("user_id").cast("string")), tree
+
+    out = feed_runs.run_feeds_with_restart(spark, feed_messages(spark, sf_dir), _ts(STREAM_SPLIT), FEEDS, masters,
+                                           join_key="accIdent", decision_key="user_id", tie_col="event_id")
+    row = F.from_json("value", "tranId string, amount string, tranText string, msg_time string, isCat string, catId string, "
+                               "catN string, Output string, usDecCatId array<string>, counP_Name_TT string")
+    return out.select("feed", "batch_id", "key", row.alias("r")).select(
+        "feed", "batch_id", "key", "r.tranId", F.col("r.amount").cast("double").cast("int").alias("amount"), "r.tranText", F.substring("r.msg_time", 1, 19).alias("msg_time"),
+        "r.isCat", "r.catId", "r.catN", F.array_join("r.usDecCatId", ",").alias("usDecCatId"), "r.counP_Name_TT")
+
+
 # ============================================================ transfer
 def manifest_from_parts(spark, sf_dir) -> DataFrame:
     p = _t(spark, sf_dir, "part")
@@ -586,6 +660,31 @@ def q_daily_status(spark, sf_dir):
     return status.daily_status(master, raw_rows, "usecase", "category", "line_no")
 
 
+def raw_words(spark, sf_dir) -> DataFrame:
+    """Raw status lines of one day as landed text: the use case stands in the first field, or in a remark with another
+    one, in any case, also glued to other characters."""
+    ev = _t(spark, sf_dir, "events").filter(F.to_date("ts") == F.lit(RAW_DAY))
+    cu = _t(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    n = _t(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    j = ev.join(cu, ev["user_id"] == cu["c_custkey"]).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+    name = F.col("n_name")
+    first = (F.when(F.col("event_id") % 4 == 0, F.lower(name)).when(F.col("event_id") % 4 == 1, F.lit("job"))
+             .when(F.col("event_id") % 4 == 2, F.concat(name, F.lit("_x"))).otherwise(name))
+    remark = (F.when(F.col("event_id") % 4 == 1, F.concat(F.lit("late for "), F.initcap(name), F.lit("!")))
+              .when(F.col("event_id") % 4 == 2, F.concat(F.lit("x"), name)).otherwise(F.lit("-")))
+    path = scratch_path(spark, "raw_words")
+    line = F.concat_ws(",", F.format_string("%010d", "event_id"), first, F.lit("DLY"), F.date_format("ts", "yyyy-MM-dd"),
+                       F.date_format("ts", "HH:mm:ss"), F.col("event_id").cast("string"), remark, event_code())
+    j.select(line.alias("value")).write.text(path)
+    return spark.read.text(path).withColumnRenamed("value", "line")
+
+
+def q_daily_status_words(spark, sf_dir):
+    """Today's category by whole words anywhere in the raw line (C2, C3)."""
+    lines = raw_words(spark, sf_dir).withColumn("line_no", status.line_field("line", 1))
+    return status.daily_status_words(nation_master(spark, sf_dir), lines, "line_no")
+
+
 def q_code_tally(spark, sf_dir):
     return status.code_tally(status_long(spark, sf_dir), [], "category")
 
@@ -630,6 +729,19 @@ def q_dashboard_order(spark, sf_dir):
     return status.dashboard_order(rows).select("usecase", "FREQ", "mtd", "mtd_dl", "position")
 
 
+def q_dashboard_lines(spark, sf_dir):
+    """The matrix order with repeated use cases: equal names are told apart by the whole line (F1)."""
+    mtd = status.mtd_success(status_long(spark, sf_dir), ["usecase"], RUN_DATE)
+    cu = _t(spark, sf_dir, "customer").select(F.concat(F.lit("UC_"), F.col("c_custkey").cast("string")).alias("usecase"),
+                                              "c_nationkey", "c_mktsegment")
+    n = _t(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    rows = (mtd.join(cu, "usecase").join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+            .select(F.col("n_name").alias("usecase"), F.concat((F.col("n_regionkey") + 10).cast("string"), F.lit(":00")).alias("SLA"),
+                    _map(F.col("n_regionkey"), REGION_FREQ, F.lit("DLY")).alias("FREQ"), "mtd", "mtd_dl",
+                    F.col("c_mktsegment").alias("owner")))
+    return status.dashboard_order(rows, line_cols=["usecase", "SLA", "FREQ", "mtd", "mtd_dl", "owner"])
+
+
 def raw_lines(spark, sf_dir) -> DataFrame:
     ev = _t(spark, sf_dir, "events")
     code = event_code()
@@ -680,15 +792,55 @@ def q_snapshot(spark, sf_dir):
     return spark.read.parquet(folder).select("usecase", "category", "report_date", "snapshot_ts")
 
 
+SNAPSHOT_DAYS = {"20240110_2330": dt.date(2024, 1, 10), "20240120_2330": dt.date(2024, 1, 20),
+                 "20240130_2330": dt.date(2024, 1, 30)}
+SNAPSHOT_AS_OF = "20240125_0000"
+
+
+def q_snapshot_as_of(spark, sf_dir):
+    """Raw lines, master and result kept by three runs; what the dashboard knew at a time between two of them (A17)."""
+    root = scratch_path(spark, "snapshots")
+    long = status_long(spark, sf_dir)
+    for ts, day in SNAPSHOT_DAYS.items():
+        known = long.filter(F.col("report_date") <= F.lit(day))
+        sinks.snapshot(raw_lines(spark, sf_dir).filter(status.line_field("line", 4) == F.lit(day.isoformat())).select("line"), f"{root}/raw", ts)
+        sinks.snapshot(nation_master(spark, sf_dir), f"{root}/master", ts)
+        sinks.snapshot(status.mtd_success(known, ["usecase"], day), f"{root}/matrix", ts)
+    parts = {"raw": F.col("line"), "master": F.concat_ws(",", "usecase", "SLA", "FREQ"),
+             "matrix": F.concat_ws(",", "usecase", F.coalesce(F.col("mtd").cast("string"), F.lit("")), F.coalesce(F.col("mtd_dl").cast("string"), F.lit("")))}
+    out = None
+    for kind, line in parts.items():
+        one = files.read_snapshot_as_of(spark, f"{root}/{kind}", SNAPSHOT_AS_OF).select(
+            F.lit(kind).alias("kind"), line.alias("line"), "snapshot_ts")
+        out = one if out is None else out.unionAll(one)
+    return out
+
+
+def q_marker_listing(spark, sf_dir):
+    """Zero-length marker files of one load date, listed and matched with the processes that wait for them (A10)."""
+    su = _t(spark, sf_dir, "supplier")
+    key = F.concat(F.lit("s"), F.col("s_nationkey").cast("string"), F.lit("~cc~supplier"), F.col("s_suppkey").cast("string"),
+                   F.when(F.col("s_suppkey") % 3 != 0, F.lit("~t")).otherwise(F.lit("~M")))
+    root = scratch_path(spark, "status_dir")
+    for day in (RAW_DAY, RUN_DATE):
+        done = su.filter((F.col("s_suppkey") + day.day) % 2 == 0).select(F.concat(
+            F.lit("success-s"), F.col("s_nationkey").cast("string"), F.lit("-cc-supplier"), F.col("s_suppkey").cast("string"),
+            F.lit(f"-{day:%Y%m%d}")).alias("marker"))
+        files.touch_markers(spark, f"{root}/year={day:%Y}/month={day:%m}/day={day:%d}", done)
+    markers = files.list_markers(spark, f"{root}/year={RUN_DATE:%Y}/month={RUN_DATE:%m}/day={RUN_DATE:%d}")
+    wanted = su.select("s_suppkey", key.alias("process_key")).select("s_suppkey", "process_key", *runs.parse_process_key("process_key"))
+    return runs.readiness(wanted, markers).select("s_suppkey", "process_key", "indicator", "ready")
+
+
 # ============================================================ cluster report
-def cluster_docs(spark, sf_dir) -> DataFrame:
+def cluster_docs(spark, sf_dir, *keep: str) -> DataFrame:
     o = _t(spark, sf_dir, "orders")
     state = _map(F.col("o_orderstatus"), {"F": "TERMINATED", "O": "WAITING", "P": "RUNNING"})
     ready = F.when((F.col("o_orderstatus") == "P") & (F.col("o_totalprice") < 100000), F.lit(None)) \
         .otherwise(F.col("o_orderdate") + F.expr("INTERVAL 1 HOUR"))
     end = F.when(F.col("o_orderstatus") == "F", F.col("o_orderdate") + F.expr("INTERVAL 3 DAYS"))
     cid = F.when(F.col("o_orderpriority") != "5-LOW", F.concat(F.lit("j-"), F.col("o_orderkey").cast("string")))
-    return o.select(cid.alias("Id"), F.floor(F.col("o_totalprice") / 1000).cast("int").alias("NormalizedInstanceHours"),
+    return o.select(*keep, cid.alias("Id"), F.floor(F.col("o_totalprice") / 1000).cast("int").alias("NormalizedInstanceHours"),
                     F.struct(state.alias("State"), F.struct(F.col("o_orderdate").alias("CreationDateTime"),
                                                             ready.alias("ReadyDateTime"),
                                                             end.alias("EndDateTime")).alias("Timeline")).alias("Status"))
@@ -706,7 +858,41 @@ def q_cluster_flatten(spark, sf_dir):
     return cl.filter_clusters(flat, ["WAITING", "RUNNING"], after)
 
 
-def trail_events(spark, sf_dir) -> DataFrame:
+PAGE_ROWS = 1000                                        # keys per landed result page
+
+
+def land_pages(docs: DataFrame, key: Column, items: str, token: str, name: str) -> str:
+    """Rows as result pages: pretty JSON documents of at most ``PAGE_ROWS`` consecutive keys under ``request=<token>``."""
+    spark = docs.sparkSession
+    page = F.floor(key / PAGE_ROWS)
+    pages = docs.select(page.alias("_page"), F.struct("*").alias("_item")).groupBy("_page").agg(F.collect_list("_item").alias(items))
+    low, high = docs.agg(F.min(page), F.max(page)).first()
+
+    def name_of(p: Column) -> Column:
+        return F.when(p == low, F.lit("first")).otherwise(F.concat(F.lit("t"), p.cast("string")))
+
+    request, follow = name_of(F.col("_page")), F.when(F.col("_page") < high, name_of(F.col("_page") + 1))
+    path = scratch_path(spark, name)
+    doc = F.to_json(F.struct(F.col(items), follow.alias(token)), {"pretty": "true"})
+    pages.select(doc.alias("value"), request.alias("request")).write.partitionBy("request").text(path)
+    return path
+
+
+def q_cluster_pages(spark, sf_dir):
+    """Cluster result pages with markers, landed as documents, to flat rows (A11, G2)."""
+    path = land_pages(cluster_docs(spark, sf_dir, "o_orderkey"), F.col("o_orderkey"), "Clusters", "Marker", "cluster_pages")
+    return cl.flatten_clusters(files.read_pages(spark, path, cl.CLUSTER_PAGE, "Clusters", "Marker"))
+
+
+def q_event_pages(spark, sf_dir):
+    """Audit-event result pages with tokens to the creators of clusters (A11, G2)."""
+    ev = trail_events(spark, sf_dir, "event_id")
+    path = land_pages(ev, F.col("event_id"), "Events", "NextToken", "event_pages")
+    found = files.read_pages(spark, path, cl.EVENT_PAGE, "Events", "NextToken")
+    return cl.creator_extract(cl.launch_events(found, _ts(NOW_EVENTS - dt.timedelta(days=20))))
+
+
+def trail_events(spark, sf_dir, *keep: str) -> DataFrame:
     ev = _t(spark, sf_dir, "events")
     doc = (F.when(F.col("event_type") == "error", F.lit("{}"))
            .when(F.col("event_type") == "view", F.lit('{"responseElements": {}}'))
@@ -714,7 +900,7 @@ def trail_events(spark, sf_dir) -> DataFrame:
            .otherwise(F.concat(F.lit('{"eventName": "RunJobFlow", "responseElements": {"jobFlowId": "j-'),
                                F.col("event_id").cast("string"), F.lit('"}}'))))
     name = F.when(F.col("event_type") == "view", F.lit("TerminateJobFlows")).otherwise(F.lit(C.LAUNCH_EVENT))
-    return ev.select(F.concat(F.lit("user"), F.col("user_id").cast("string")).alias("Username"),
+    return ev.select(*keep, F.concat(F.lit("user"), F.col("user_id").cast("string")).alias("Username"),
                      doc.alias("CloudTrailEvent"), name.alias("EventName"), F.col("ts").alias("EventTime"))
 
 
@@ -760,11 +946,13 @@ def q_cluster_report(spark, sf_dir):
 
 
 def q_report_csv(spark, sf_dir):
-    """The report without its time columns, written as headered CSV and read back as text (A16)."""
-    rep = q_cluster_report(spark, sf_dir).select("Username", "ClusterId", "NormalizedInstanceHours", "runtime", "State",
-                                                 "position")
+    """The whole report under its display names, written as headered CSV and read back as text (A16)."""
+    rep = q_cluster_report(spark, sf_dir)
+    times = {c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("ReadyDateTime", "CreationDateTime", "EndDateTime")}
+    rep = rep.withColumns(times).withColumnsRenamed(C.REPORT_DISPLAY_NAMES)
     path = sinks.write_report_csv(rep, scratch_path(spark, "report_csv"), "20240130")
-    return spark.read.option("header", "true").csv(path)
+    back = spark.read.option("header", "true").csv(path)
+    return back.withColumnsRenamed({v: k for k, v in C.REPORT_DISPLAY_NAMES.items()})
 
 
 QUERIES = {

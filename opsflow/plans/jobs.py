@@ -52,18 +52,24 @@ def _raw_rows(spark: SparkSession, raw_path: str) -> DataFrame:
 
 def dashboard_run(spark: SparkSession, master_path: str, raw_path: str, history_folder: str,
                   snapshot_folder: str, report_date: dt.date, run_ts: str, days: int | None = None,
-                  scope: str = "month", report_folder: str | None = None) -> DashboardOutput:
+                  scope: str = "month", report_folder: str | None = None, whole_line: bool = False,
+                  collation: str | None = None) -> DashboardOutput:
     """One dashboard run, over all days of the history or the last ``days``.  With ``report_folder``, the ordered matrix is written
     as CSV with the header ``USECASE,SLA,FREQ,MTD,MTD-DL,<yyyyMMdd per day>`` and
-    the failure lines as text, both under ``run_ts=<run_ts>``.  The raw lines and
-    today's status are used several times and are persisted for the run."""
+    the failure lines as text, both under ``run_ts=<run_ts>``.  ``whole_line``
+    finds a use case as whole words anywhere in a raw line instead of in its
+    first field; ``collation`` orders the lines (see ``dashboard_order``).  Raw
+    lines, master and the ordered matrix are kept as snapshots of the run.  The
+    raw lines and today's status are used several times and are persisted for
+    the run."""
     master = files.read_positional_csv(spark, master_path, MASTER_FIELDS)
     raw = _raw_rows(spark, raw_path).persist()
-    today = status.daily_status(master, raw, "usecase", "category", "line_no").select(
-        "usecase", F.lit(report_date).alias("report_date"), "category").persist()
+    found = (status.daily_status_words(master, raw, "line_no") if whole_line
+             else status.daily_status(master, raw, "usecase", "category", "line_no"))
+    today = found.select("usecase", F.lit(report_date).alias("report_date"), "category").persist()
     try:
         return _dashboard(spark, master, raw, today, history_folder, snapshot_folder, report_date, run_ts, days, scope,
-                          report_folder)
+                          report_folder, collation)
     finally:      # a later run on the same paths must read them again
         today.unpersist()
         raw.unpersist()
@@ -71,7 +77,7 @@ def dashboard_run(spark: SparkSession, master_path: str, raw_path: str, history_
 
 def _dashboard(spark: SparkSession, master: DataFrame, raw: DataFrame, today: DataFrame, history_folder: str,
                snapshot_folder: str, report_date: dt.date, run_ts: str, days: int | None, scope: str,
-               report_folder: str | None) -> DashboardOutput:
+               report_folder: str | None, collation: str | None) -> DashboardOutput:
     try:
         history = spark.read.parquet(history_folder).filter(F.col("report_date") != F.lit(report_date))
         long = history.select("usecase", "report_date", "category").unionByName(today)
@@ -89,8 +95,8 @@ def _dashboard(spark: SparkSession, master: DataFrame, raw: DataFrame, today: Da
     wide = (matrix.join(mtd, "usecase", "left")
             .select("usecase", "SLA", "FREQ", F.col("mtd").alias("MTD"), F.col("mtd_dl").alias("MTD_DL"),
                     *[status.day_column(d) for d in dates]))
-    ordered = status.dashboard_order(wide, "FREQ", "MTD", "usecase")
     cols = ["usecase", "SLA", "FREQ", "MTD", "MTD_DL", *[status.day_column(d) for d in dates]]
+    ordered = status.dashboard_order(wide, "FREQ", "MTD", "usecase", line_cols=cols, collation=collation)
     report = status.report_rows(ordered, cols)
     failures = status.failure_list(raw.select("line"))
     tally = status.code_tally(long.filter(F.col("report_date").isin(dates)), ["usecase"])
@@ -100,7 +106,11 @@ def _dashboard(spark: SparkSession, master: DataFrame, raw: DataFrame, today: Da
         table = ordered.orderBy("position").select(*cols).withColumnsRenamed(header)
         sinks.write_report_csv(table, f"{report_folder}/dashboard", run_ts)
         failures.write.mode("overwrite").text(f"{report_folder}/failures/run_ts={run_ts}")
-    # today becomes history (idempotent per day); inputs are kept under the run's time stamp
+    # inputs and result are kept under the run's time stamp; today becomes history (idempotent per day)
+    result = ordered.select(F.lit(report_date).alias("report_date"), "position", "usecase", "SLA", "FREQ", "MTD", "MTD_DL",
+                            F.map_from_arrays(F.array(*[F.lit(d) for d in dates]),
+                                              F.array(*[F.col(status.day_column(d)) for d in dates])).alias("days"))
+    sinks.snapshot(result, f"{snapshot_folder}/matrix", run_ts)
     status.rollover(today, history_folder)
     sinks.snapshot(raw.select("line"), f"{snapshot_folder}/raw", run_ts)
     sinks.snapshot(master, f"{snapshot_folder}/master", run_ts)
@@ -109,13 +119,18 @@ def _dashboard(spark: SparkSession, master: DataFrame, raw: DataFrame, today: Da
 
 def cluster_report_run(spark: SparkSession, clusters_path: str, events_path: str, metrics_path: str,
                        now: dt.datetime, out_folder: str, run_ts: str, states: list[str] | None = None,
-                       info_days: int = C.INFO_DAYS, rate: float | None = None) -> DataFrame:
+                       info_days: int = C.INFO_DAYS, rate: float | None = None, paged: bool = False) -> DataFrame:
+    """The report over landed documents.  ``paged``: cluster and event documents are result pages
+    (``files.read_pages``); else there is one cluster or event per line."""
     now_c = wall_clock(now)
-    flat = cl.flatten_clusters(files.read_cluster_docs(spark, clusters_path, cl.CLUSTER_SCHEMA))
+    clusters = (files.read_pages(spark, clusters_path, cl.CLUSTER_PAGE, "Clusters", "Marker") if paged
+                else files.read_cluster_docs(spark, clusters_path, cl.CLUSTER_SCHEMA))
+    flat = cl.flatten_clusters(clusters)
     since = now_c - F.make_dt_interval(days=F.lit(info_days))
     recent = cl.filter_clusters(flat, states or C.DEFAULT_CLUSTER_STATES, since)
     recent = cl.with_runtime(recent, now_c)
-    events = files.read_cluster_docs(spark, events_path, cl.EVENT_SCHEMA)
+    events = (files.read_pages(spark, events_path, cl.EVENT_PAGE, "Events", "NextToken") if paged
+              else files.read_cluster_docs(spark, events_path, cl.EVENT_SCHEMA))
     creators = cl.creator_extract(cl.launch_events(events, since))
     points = files.read_cluster_docs(spark, metrics_path, "ClusterId string, Timestamp timestamp_ntz, IsIdle double")
     idle = cl.idle_windows(points, now_c, clusters=recent)

@@ -72,10 +72,21 @@ CLUSTERS = """cd AS (
          CASE o_orderstatus WHEN 'F' THEN 'TERMINATED' WHEN 'O' THEN 'WAITING' WHEN 'P' THEN 'RUNNING' ELSE '' END AS State
   FROM orders)"""
 
-IDLE = """SELECT {cid} AS ClusterId,
-         round(avg(value), 6) AS idle_pct,
-         round(avg(CASE WHEN ts >= TIMESTAMP '2024-01-29 12:00:00' AND ts <= TIMESTAMP '2024-01-30 00:00:00' THEN value END), 6) AS idle_pct_12h,
-         round(avg(CASE WHEN ts >= TIMESTAMP '2024-01-29 21:00:00' AND ts <= TIMESTAMP '2024-01-30 00:00:00' THEN value END), 6) AS idle_pct_3h
+NOW = "TIMESTAMP '2024-01-30 00:00:00'"
+
+
+def _one_point(inside: str, days: str, value: str = "value") -> str:
+    """Average of the points inside a window if the first and the last lie in one period of ``days`` + 4 days."""
+    period = f"(greatest({days} + 4, 1) * 86400)"
+    return (f"CASE WHEN floor(epoch(min(ts) FILTER (WHERE {inside})) / {period}) = floor(epoch(max(ts) FILTER (WHERE {inside})) / {period}) "
+            f"THEN round(avg({value}) FILTER (WHERE {inside}), 6) END")
+
+
+LAST_12, LAST_3 = (f"ts >= {NOW} - INTERVAL {h} HOUR AND ts <= {NOW}" for h in (12, 3))
+IDLE = f"""SELECT user_id AS ClusterId,
+         {_one_point("TRUE", f"floor((epoch({NOW}) - epoch(min(ts))) / 86400)")} AS idle_pct,
+         {_one_point(LAST_12, "0")} AS idle_pct_12h,
+         {_one_point(LAST_3, "0")} AS idle_pct_3h
   FROM events GROUP BY 1"""
 
 LOG_FIELDS = ("CAST(event_id AS VARCHAR)", "'BB'", "''", "''", "'table' || CAST(user_id AS VARCHAR)",
@@ -172,10 +183,21 @@ SELECT event_id, user_id, udId, udAcc,
        row_number() OVER (PARTITION BY user_id ORDER BY udAcc DESC NULLS LAST, event_id ASC NULLS FIRST) AS position
 FROM g WHERE udId IS NOT NULL""",
     "running_list": f"""
-WITH {DM}
-SELECT event_id, user_id, udAcc,
-       count(udId) OVER (PARTITION BY user_id ORDER BY udAcc DESC NULLS LAST) AS running_len
-FROM g""",
+WITH {DM},
+r AS (SELECT event_id, user_id, udAcc, udId, dense_rank() OVER (PARTITION BY user_id ORDER BY udAcc DESC NULLS LAST) AS a FROM g),
+w AS (SELECT event_id, user_id, udAcc, count(udId) OVER peers AS running_len,
+             list({{'a': a, 'e': event_id, 'i': udId}}) OVER peers AS l
+      FROM r WINDOW peers AS (PARTITION BY user_id ORDER BY a)),
+i AS (SELECT event_id, user_id, udAcc, running_len,
+             [x.i FOR x IN list_sort(l) IF x.i IS NOT NULL] AS ids FROM w)
+SELECT event_id, user_id, udAcc, running_len,
+       CAST(COALESCE(list_sum(list_transform(ids, lambda x, n: CAST('0x' || substr(md5(n || ':' || x), 1, 8) AS BIGINT))), 0) AS BIGINT) AS list_digest
+FROM i""",
+    "decision_blocks": f"""
+WITH {DM},
+p AS (SELECT user_id, udId, row_number() OVER (PARTITION BY user_id ORDER BY udAcc DESC NULLS LAST, event_id) AS n
+      FROM g WHERE udId IS NOT NULL)
+SELECT user_id, CAST((n - 1) // 4 AS BIGINT) AS block, string_agg(udId, ',' ORDER BY n) AS ids FROM p GROUP BY ALL""",
     "candidate_set": f"""
 WITH {DM},
 u AS (
@@ -398,7 +420,7 @@ r AS (SELECT ClusterId, CASE WHEN ReadyDateTime IS NOT NULL
                   THEN date_diff('second', ReadyDateTime, COALESCE(EndDateTime, TIMESTAMP '2001-08-01 00:00:00')) END AS runtime
       FROM cd)
 SELECT *, row_number() OVER (ORDER BY runtime DESC NULLS LAST, ClusterId ASC NULLS FIRST) AS position FROM r""",
-    "idle_windows": IDLE.format(cid="user_id"),
+    "idle_windows": IDLE,
     "cluster_report": f"""
 WITH cl AS (
   SELECT c_custkey, 'j-' || CAST(c_custkey AS VARCHAR) AS ClusterId, CAST(floor(abs(c_acctbal) / 10) AS INTEGER) AS NormalizedInstanceHours,
@@ -409,9 +431,10 @@ WITH cl AS (
 ev AS (SELECT cl.*, value, ts, TIMESTAMP '2024-01-30 00:00:00' AS now FROM events JOIN cl ON user_id = c_custkey),
 idle AS (
   SELECT ClusterId,
-         round(avg(value) FILTER (WHERE ts >= ReadyDateTime AND ts <= COALESCE(EndDateTime, now)), 6) AS idle_pct,
-         round(avg(value) FILTER (WHERE ts >= now - INTERVAL 12 HOUR AND ts <= now), 6) AS idle_pct_12h,
-         round(avg(value) FILTER (WHERE ts >= now - INTERVAL 3 HOUR AND ts <= now), 6) AS idle_pct_3h
+         {_one_point("ts >= ReadyDateTime AND ts <= COALESCE(EndDateTime, now)",
+                     "floor((epoch(max(COALESCE(EndDateTime, now))) - epoch(max(ReadyDateTime))) / 86400)")} AS idle_pct,
+         {_one_point("ts >= now - INTERVAL 12 HOUR AND ts <= now", "0")} AS idle_pct_12h,
+         {_one_point("ts >= now - INTERVAL 3 HOUR AND ts <= now", "0")} AS idle_pct_3h
   FROM ev GROUP BY 1),
 cr AS (SELECT 'user-' || o_orderpriority AS Username, 'j-' || CAST(o_custkey AS VARCHAR) AS ClusterId FROM orders),
 r AS (
@@ -427,6 +450,20 @@ FROM r""",
 }
 
 
+DECISIONS = f"""m AS (
+  SELECT e.event_id, e.user_id, e.event_type AS et, json_extract_string(e.props, '$.k') AS k,
+         CAST(CAST(round(e.value) AS INTEGER) AS VARCHAR) AS udAcc,
+         CAST(CASE WHEN e.user_id % 4 = 0 AND e.event_id % 2 = 0 THEN c.c_nationkey + 1 ELSE c.c_nationkey END AS VARCHAR) AS cat_id
+  FROM events e JOIN customer c ON e.user_id = c.c_custkey),
+g AS (SELECT *, CASE WHEN k IN {OTHERS} OR ((k IN {IN_CAT}) <> (cat_id IN {IN_CAT})) THEN NULL ELSE k END AS udId FROM m)"""
+PER_ACCOUNT = """l AS (
+  SELECT user_id, list_sort(list_distinct(list(cat_id))) AS cats,
+         COALESCE(list(udId ORDER BY udAcc DESC NULLS LAST, event_id) FILTER (WHERE udId IS NOT NULL), []) AS lst
+  FROM g GROUP BY user_id),
+d AS (SELECT user_id, array_to_string(cats, '-') AS cat_id, list_concat(cats, lst) AS cand,
+             list_distinct(list_concat(cats, lst)) AS dset FROM l)"""
+
+
 def _categorize_sql(latest: bool) -> str:
     """The categorization pipeline on orders left-joined to events; with
     ``latest``, rows arrive in two batches and the latest message per key is kept
@@ -468,18 +505,8 @@ cp AS (
                  WHEN lower(payType) = 'others' AND regexp_matches(tranT, '^(C|I|S)') THEN TT_0
                  ELSE '' END AS counP_Name_TT
   FROM tt),
-m AS (
-  SELECT e.event_id, e.user_id, json_extract_string(e.props, '$.k') AS k,
-         CAST(CAST(round(e.value) AS INTEGER) AS VARCHAR) AS udAcc,
-         CAST(CASE WHEN e.user_id % 4 = 0 AND e.event_id % 2 = 0 THEN c.c_nationkey + 1 ELSE c.c_nationkey END AS VARCHAR) AS cat_id
-  FROM events e JOIN customer c ON e.user_id = c.c_custkey),
-g AS (SELECT *, CASE WHEN k IN {OTHERS} OR ((k IN {IN_CAT}) <> (cat_id IN {IN_CAT})) THEN NULL ELSE k END AS udId FROM m),
-l AS (
-  SELECT user_id, list_sort(list_distinct(list(cat_id))) AS cats,
-         COALESCE(list(udId ORDER BY udAcc DESC NULLS LAST, event_id) FILTER (WHERE udId IS NOT NULL), []) AS lst
-  FROM g GROUP BY user_id),
-d AS (SELECT user_id, array_to_string(cats, '-') AS cat_id, list_concat(cats, lst) AS cand,
-             list_distinct(list_concat(cats, lst)) AS dset FROM l)
+{DECISIONS},
+{PER_ACCOUNT}
 SELECT cp.o_orderkey, cp.Var, cp.tranT, cp.TT_0, cp.counP_Name_TT,
        COALESCE(array_to_string(list_filter(d.cand, lambda x, i: list_position(d.cand, x) = i), ','), '') AS usDecCatId,
        COALESCE(array_to_string(list_sort(d.dset), ','), '') AS setNext,
@@ -510,7 +537,97 @@ WITH {LONG} SELECT usecase, category, report_date FROM lg WHERE report_date BETW
 SQL["snapshot"] = f"WITH {LONG} SELECT usecase, category, report_date, 'ts-20240130-2330' AS snapshot_ts FROM lg"
 SQL["report_csv"] = f"""
 SELECT Username, ClusterId, CAST(NormalizedInstanceHours AS VARCHAR) AS NormalizedInstanceHours,
-       CAST(runtime AS VARCHAR) AS runtime, State, CAST(position AS VARCHAR) AS position
+       CAST(runtime AS VARCHAR) AS runtime, State, CAST(idle_pct AS VARCHAR) AS idle_pct, CAST(idle_pct_12h AS VARCHAR) AS idle_pct_12h,
+       CAST(idle_pct_3h AS VARCHAR) AS idle_pct_3h, CAST(ApproxCost AS VARCHAR) AS ApproxCost,
+       strftime(ReadyDateTime, '%Y-%m-%d %H:%M:%S') AS ReadyDateTime, strftime(CreationDateTime, '%Y-%m-%d %H:%M:%S') AS CreationDateTime,
+       strftime(EndDateTime, '%Y-%m-%d %H:%M:%S') AS EndDateTime, CAST(position AS VARCHAR) AS position
 FROM ({SQL["cluster_report"]})"""
+SQL["cluster_pages"] = f"WITH {CLUSTERS} SELECT * FROM cd"
+SQL["event_pages"] = SQL["creator_extract"]
+SQL["daily_status_words"] = f"""
+WITH raw AS (
+  SELECT e.event_id, {CODE.replace('event_type', 'e.event_type')} AS category,
+         lower(concat_ws(',', printf('%010d', e.event_id),
+           CASE e.event_id % 4 WHEN 0 THEN lower(n_name) WHEN 1 THEN 'job' WHEN 2 THEN n_name || '_x' ELSE n_name END,
+           CASE e.event_id % 4 WHEN 1 THEN 'late for ' || n_name || '!' WHEN 2 THEN 'x' || n_name ELSE '-' END)) AS line
+  FROM events e JOIN customer c ON e.user_id = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+  WHERE CAST(e.ts AS DATE) = DATE '2024-01-29'),
+f AS (SELECT n_name AS k, arg_min(category, event_id) AS category
+      FROM nation JOIN raw ON regexp_matches(line, '(^|[^a-z0-9_])' || lower(n_name) || '($|[^a-z0-9_])') GROUP BY 1)
+SELECT n_name AS usecase, CAST(n_regionkey + 10 AS VARCHAR) || ':00' AS SLA, {FREQ} AS FREQ, f.category
+FROM nation LEFT JOIN f ON n_name = f.k"""
+SQL["dashboard_lines"] = f"""
+WITH {LONG}, {MTD},
+r AS (SELECT n_name AS usecase, CAST(n_regionkey + 10 AS VARCHAR) || ':00' AS SLA, {FREQ} AS FREQ, mtd, mtd_dl, c_mktsegment AS owner
+      FROM mtd JOIN customer ON usecase = 'UC_' || CAST(c_custkey AS VARCHAR) JOIN nation ON c_nationkey = n_nationkey)
+SELECT *, row_number() OVER (ORDER BY CAST(COALESCE(FREQ IN {MONTHLY}, FALSE) AS INTEGER), COALESCE(mtd, 0),
+       concat_ws(',', usecase, SLA, FREQ, COALESCE(CAST(mtd AS VARCHAR), ''), COALESCE(CAST(mtd_dl AS VARCHAR), ''), owner)) AS position
+FROM r"""
+SQL["snapshot_as_of"] = f"""
+WITH {LONG.replace("FROM events GROUP BY ALL", "FROM events WHERE CAST(ts AS DATE) <= DATE '2024-01-20' GROUP BY ALL")}, {MTD}
+SELECT 'raw' AS kind, concat_ws(',', 'UC_' || CAST(user_id AS VARCHAR), '10:00', 'DLY', strftime(ts, '%Y-%m-%d'),
+         strftime(ts, '%H:%M:%S'), CAST(event_id AS VARCHAR),
+         CASE WHEN event_type = 'click' THEN 'SUCCESS' WHEN event_type = 'purchase' THEN 'Success' ELSE 'FAILED' END, {CODE}) AS line,
+       '20240120_2330' AS snapshot_ts
+FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-20'
+UNION ALL
+SELECT 'master', concat_ws(',', n_name, CAST(n_regionkey + 10 AS VARCHAR) || ':00', {FREQ}), '20240120_2330' FROM nation
+UNION ALL
+SELECT 'matrix', concat_ws(',', usecase, COALESCE(CAST(mtd AS VARCHAR), ''), COALESCE(CAST(mtd_dl AS VARCHAR), '')), '20240120_2330' FROM mtd"""
+SQL["marker_listing"] = """
+WITH k AS (SELECT s_suppkey, 's' || s_nationkey AS src, 'supplier' || s_suppkey AS tbl,
+                  CASE WHEN s_suppkey % 3 <> 0 THEN 't' ELSE 'M' END AS indicator FROM supplier),
+m AS (SELECT 'success-s' || s_nationkey || '-cc-supplier' || s_suppkey || '-20240130' AS marker FROM supplier WHERE s_suppkey % 2 = 0)
+SELECT s_suppkey, src || '~cc~' || tbl || '~' || indicator AS process_key, indicator,
+       indicator = 'M' OR EXISTS (SELECT 1 FROM m WHERE starts_with(marker, 'success-' || src || '-cc-' || tbl)) AS ready
+FROM k"""
+SQL["categorize_map_rows"] = f"""
+WITH t AS (
+  SELECT o.o_orderkey, o.o_custkey, CASE WHEN e.event_id IS NULL OR e.props IS NULL OR o.o_custkey IS NULL OR o.o_orderdate IS NULL
+                                              OR o.o_totalprice IS NULL THEN 0 ELSE 1 END AS Var
+  FROM orders o LEFT JOIN events e ON o.o_orderkey = e.event_id),
+{DECISIONS},
+l AS (SELECT user_id, et, COALESCE(list(udId ORDER BY udAcc DESC NULLS LAST, event_id) FILTER (WHERE udId IS NOT NULL), []) AS lst
+      FROM g GROUP BY user_id, et),
+v AS (SELECT DISTINCT user_id, et, cat_id FROM g),
+r AS (
+  SELECT v.*, list_concat([cat_id], lst) AS cand,
+         CASE et WHEN 'click' THEN [cat_id, '42'] ELSE [] END AS decCat,
+         CASE et WHEN 'view' THEN ['11', '12'] ELSE [] END AS best,
+         CASE et WHEN 'signup' THEN ['77', cat_id] ELSE [] END AS bestId,
+         CASE et WHEN 'view' THEN '{{}}'
+                 WHEN 'purchase' THEN '{{"catId":"' || cat_id || '","score":"0.75"}}'
+                 WHEN 'click' THEN '{{"catId":"' || cat_id || '","score":"0.25"}}'
+                 ELSE '{{"catId":"' || cat_id || '"}}' END AS nextBest0,
+         CASE et WHEN 'click' THEN [{{'i': cat_id, 's': '0.9'}}, {{'i': '3', 's': '0.5'}}]
+                 WHEN 'purchase' THEN [{{'i': cat_id, 's': '0.4'}}] ELSE [NULL] END AS scores
+  FROM v JOIN l USING (user_id, et)),
+x AS (SELECT r.*, unnest(scores) AS score FROM r)
+SELECT t.o_orderkey, t.Var, substr(et, 1, 1) AS subT_create,
+       CASE WHEN et IN ('purchase', 'click') THEN 'P' WHEN et IS NOT NULL THEN 'O' END AS subT,
+       CASE WHEN Var = 1 THEN COALESCE(array_to_string(list_filter(cand, lambda c, i: list_position(cand, c) = i), ','), '') END AS usDecCatId,
+       CASE WHEN Var = 1 THEN COALESCE(array_to_string(list_sort(list_distinct(
+            list_concat(list_concat(list_concat(cand, decCat), best), bestId))), ','), '') END AS setNext,
+       CASE WHEN Var = 1 THEN COALESCE(array_to_string(best, ','), '') END AS nextBestCat1,
+       CASE WHEN Var = 1 THEN COALESCE(x.nextBest0, '{{}}') END AS nextBest0,
+       '{{"catId":"' || score.i || '","score":"' || score.s || '"}}' AS cat, score.i AS catId, score.s AS cat_wt, n_name AS catN
+FROM t LEFT JOIN x ON t.o_custkey = x.user_id AND Var = 1 LEFT JOIN nation ON score.i = CAST(n_nationkey AS VARCHAR)"""
+SQL["feed_stream"] = f"""
+WITH b AS (
+  SELECT CASE event_type WHEN 'view' THEN 'B' WHEN 'signup' THEN 'C' WHEN 'error' THEN 'C' ELSE 'A' END AS feed,
+         CAST(CASE WHEN ts < TIMESTAMP '2024-01-16' THEN 0 ELSE 1 END AS BIGINT) AS batch_id,
+         event_id, user_id, event_type, ts, CAST(floor(value / 50) AS INTEGER) - 1 AS amount FROM events),
+t AS (SELECT *, event_id % 5 <> 0 AS ok FROM b
+      QUALIFY rank() OVER (PARTITION BY feed, batch_id, user_id, event_type, amount ORDER BY ts DESC) = 1),
+{DECISIONS},
+{PER_ACCOUNT}
+SELECT feed, batch_id, CAST(t.user_id AS VARCHAR) AS key, 't' || t.user_id AS tranId, amount, event_type AS tranText,
+       strftime(ts, '%Y-%m-%d %H:%M:%S') AS msg_time,
+       CASE WHEN feed = 'B' THEN ' ' WHEN ok THEN '1' ELSE '0' END AS isCat,
+       CASE WHEN feed <> 'B' THEN CASE WHEN ok THEN d.cat_id END WHEN amount < 0 THEN '956' ELSE '953' END AS catId,
+       CASE WHEN feed <> 'B' THEN CASE WHEN ok THEN n_name END WHEN amount < 0 THEN 'OP (T)' ELSE 'OI' END AS catN,
+       CASE WHEN feed <> 'B' AND ok THEN COALESCE(array_to_string(list_filter(d.cand, lambda x, i: list_position(d.cand, x) = i), ','), '') END AS usDecCatId,
+       CASE WHEN feed <> 'B' AND ok THEN upper(event_type) END AS counP_Name_TT
+FROM t LEFT JOIN d ON t.user_id = d.user_id LEFT JOIN nation ON d.cat_id = CAST(n_nationkey AS VARCHAR)"""
 SQL["categorize_batch"] = _categorize_sql(latest=False)
 SQL["stream_categorize"] = _categorize_sql(latest=True)

@@ -4,6 +4,7 @@ success markers and landed cluster documents."""
 from __future__ import annotations
 
 import datetime as dt
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -89,9 +90,78 @@ def read_logs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def list_markers(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
-    """Names of the marker files in a folder (file content is never read)."""
-    return (spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
-            .select(F.element_at(F.split("path", "/"), -1).alias("marker")))
+    """Names of the marker files in a folder, zero-length ones included (a scan would skip those).
+
+    Only the listing is used; Spark lists many folders in parallel.  Names come
+    to the driver: a load date has one marker per table.  A folder that does not
+    exist raises PATH_NOT_FOUND."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder).inputFiles()
+    names = [(unquote(p.rsplit("/", 1)[-1]),) for p in found]
+    return spark.createDataFrame(names, "marker string")
+
+
+def touch_markers(spark: SparkSession, folder: str, names: DataFrame, name_col: str = "marker") -> int:
+    """Create the zero-length marker files ``folder/<name>`` that ``list_markers`` finds; the number created.
+
+    Names come to the driver one partition at a time; a run has one marker per loaded table."""
+    conf = spark._jsc.hadoopConfiguration()
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    base = make(folder)
+    fs = base.getFileSystem(conf)
+    fs.mkdirs(base)
+    n = 0
+    for row in names.select(name_col).distinct().toLocalIterator():
+        if row[0]:
+            fs.create(make(base, row[0]), True).close()
+            n += 1
+    return n
+
+
+def read_pages(spark: SparkSession, path: str, page_schema: StructType | str, items: str, token: str,
+               request: str = "request") -> DataFrame:
+    """The items of landed result pages, one row each, as columns of their own.
+
+    A page is one JSON document (it may span lines) with the list ``items`` and,
+    if another page follows, the text ``token``; it lies under
+    ``<request>=<token it was asked with>``, the first page under
+    ``<request>=first``.  Pages without items give no rows; a page that is not
+    such a document fails the read.  The chain of tokens
+    must be whole: a token whose page is missing, or a page that no token leads
+    to, raises ValueError (names of a few) instead of losing rows."""
+    schema = f"{page_schema}, {token} string, {request} string" if isinstance(page_schema, str) else \
+        StructType([*page_schema.fields]).add(token, "string").add(request, "string")
+    pages = spark.read.schema(schema).option("multiLine", "true").option("mode", "FAILFAST").json(path)
+    check_page_chain(pages, token, request)
+    return pages.select(F.inline(items))
+
+
+def check_page_chain(pages: DataFrame, token: str, request: str, first: str = "first") -> None:
+    """Raise if a page's token has no page, if a page is reached by no token, or if the first page is missing."""
+    asked = pages.select(F.col(request).alias("t")).distinct()
+    led = (pages.select(F.col(token).alias("t")).filter("t is not null and t <> ''")
+           .unionAll(pages.sparkSession.createDataFrame([(first,)], "t string")).distinct())
+    lost, stray = led.join(asked, "t", "left_anti").limit(5).collect(), asked.join(led, "t", "left_anti").limit(5).collect()
+    if lost or stray:
+        raise ValueError(f"broken page chain: pages missing for {sorted(r.t for r in lost)}, "
+                         f"pages that no page leads to {sorted(str(r.t) for r in stray)}")
+
+
+def snapshot_times(spark: SparkSession, folder: str, column: str = "snapshot_ts") -> list[str]:
+    """Time stamps of the snapshots in a folder, in order (folder names only, no file is read)."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    found = where.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(where)
+    names = [f.getPath().getName() for f in found if f.isDirectory()]
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{column}="))
+
+
+def read_snapshot_as_of(spark: SparkSession, folder: str, as_of: str, column: str = "snapshot_ts") -> DataFrame:
+    """The latest snapshot at or before ``as_of`` (time stamps compare as text), its time stamp as last column.
+
+    Only that partition's folder is read.  Without such a snapshot: ValueError."""
+    known = [t for t in snapshot_times(spark, folder, column) if t <= as_of]
+    if not known:
+        raise ValueError(f"no snapshot at or before {as_of} in {folder}")
+    return spark.read.parquet(f"{folder}/{column}={known[-1]}").withColumn(column, F.lit(known[-1]))
 
 
 def read_cluster_docs(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:

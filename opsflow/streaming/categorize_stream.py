@@ -12,15 +12,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import categorize as cat
 from ..operators import envelope as env
 from ..operators import feeds, latest
-from ..session import scratch_path
-from ..sources import files, messages
+from ..sources import messages
 
 TXN_KEYS = ["tranId", "amount", "tranText"]
 
@@ -88,64 +87,3 @@ def partition_sink(folder: str) -> Callable[[DataFrame, int], None]:
          .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(folder))
 
     return sink
-
-
-def _run_two_batches(spark: SparkSession, events: DataFrame, split: Column,
-                     per_batch: Callable[[DataFrame], DataFrame], time_col: str = "ts") -> DataFrame:
-    """Land rows in two steps (before / from ``split`` on ``time_col``) and run an
-    ``availableNow`` file stream after each, so the two halves arrive as two
-    micro-batches of one query."""
-    root = scratch_path(spark, "stream")
-    src, out, ckpt = f"{root}/in", f"{root}/out", f"{root}/ckpt"
-    sink = partition_sink(out)
-
-    def run_batch(df: DataFrame, epoch_id: int) -> None:
-        df.persist()                     # the batch is read several times (H2)
-        try:
-            sink(per_batch(df), epoch_id)
-        finally:
-            df.unpersist()
-
-    for part in (events.filter(F.col(time_col) < split), events.filter(F.col(time_col) >= split)):
-        part.write.mode("append").parquet(src)
-        stream = messages.read_file_stream(spark, src, events.schema, glob="part-*.parquet")
-        q = (stream.writeStream.option("checkpointLocation", ckpt).trigger(availableNow=True)
-             .foreachBatch(run_batch).start())
-        q.awaitTermination()
-        if q.exception() is not None:
-            raise q.exception()
-    return spark.read.parquet(out).withColumn("batch_id", F.col("batch_id").cast("bigint"))
-
-
-def run_file_stream_latest(spark: SparkSession, events: DataFrame, split: Column) -> DataFrame:
-    """Latest message per (user, event type) and day, per micro-batch."""
-    def per_batch(df: DataFrame) -> DataFrame:
-        return latest.latest_messages(df, ["user_id", "event_type"], F.to_date("ts"))
-    return _run_two_batches(spark, events, split, per_batch)
-
-
-def run_file_stream_enrich(spark: SparkSession, events: DataFrame, split: Column, accounts: DataFrame,
-                           tree_path: str) -> DataFrame:
-    """Per micro-batch: latest message, account lookup, then the category tree
-    (a CSV master re-read for every batch: a stream-static join)."""
-    def per_batch(df: DataFrame) -> DataFrame:
-        tree = files.read_master_csv(df.sparkSession, tree_path)
-        kept = latest.latest_messages(df, ["user_id", "event_type"], F.to_date("ts"))
-        j = kept.join(accounts, kept["user_id"] == accounts["c_custkey"], "left").drop("c_custkey")
-        return cat.enrich_with_tree(j, tree, "catId").select("event_id", "user_id", "event_type", "catId", "catN")
-    return _run_two_batches(spark, events, split, per_batch)
-
-
-def run_file_stream_categorize(spark: SparkSession, transactions: DataFrame, split: Column,
-                               load_masters: Callable[[SparkSession], tuple[DataFrame, DataFrame]],
-                               keys: list[str], order: str, join_key: str, decision_key: str,
-                               tie_col: str | None, project: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Per micro-batch: latest message per transaction key, then the full
-    categorization with masters re-read for the batch; ``project`` shapes the output."""
-    def per_batch(df: DataFrame) -> DataFrame:
-        decisions, tree = load_masters(df.sparkSession)
-        kept = latest.latest_messages(df, keys, order)
-        out = cat.categorize(kept, decisions, tree, join_key=join_key, decision_key=decision_key, tie_col=tie_col,
-                             batch_keys=df)
-        return project(out)
-    return _run_two_batches(spark, transactions, split, per_batch, time_col=order)

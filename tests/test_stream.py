@@ -3,6 +3,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from opsflow.plans import feed_runs
 from opsflow.streaming import categorize_stream as cs
 
 
@@ -12,7 +13,7 @@ def test_two_batches_do_not_deduplicate_across_batches(spark):
         (1, T(2024, 1, 1, 10), 7, "click", 1.0, "{}"), (2, T(2024, 1, 2, 10), 7, "click", 1.0, "{}"),
         (3, T(2024, 1, 20, 10), 7, "click", 1.0, "{}"), (4, T(2024, 1, 20, 11), 7, "click", 1.0, "{}"),
     ], "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string")
-    out = cs.run_file_stream_latest(spark, ev, wall_clock(T(2024, 1, 16)))
+    out = feed_runs.run_file_stream_latest(spark, ev, wall_clock(T(2024, 1, 16)))
     got = sorted((r["event_id"], r["batch_id"]) for r in out.collect())
     assert got == [(2, 0), (3, 1), (4, 1)]      # same key kept again in the later batch; ties by day kept
 
@@ -129,3 +130,28 @@ def test_start_feed_c_from_raw_payloads(spark):
     assert by_id["t1"]["counP_Name_TT"] == "SX" and by_id["t1"]["paperNum"] == "" and by_id["t1"]["amtId"] == 0
     assert by_id["t2"]["isCat"] == 0 and by_id["t2"]["amtId"] == 1     # incomplete: set aside, still sent
     assert len(out) == 3                                               # the malformed payload is kept as all-null
+
+
+def test_feeds_survive_a_failed_batch(spark):
+    """A batch that is written but not committed is replayed after a restart, and its output is there once."""
+    from pyspark.sql import functions as F
+
+    from opsflow.operators import feeds
+
+    def message(i, at, account="a1"):
+        return (T(2024, 1, at), f'{{"tranId": "t{i}", "tranText": "x", "accId": "{account}", "amount": {i}, "accIdent": "{account}", '
+                                '"tranDt": "d", "cost": "1", "tranT": "AX/shop", "tranI": "i", "payType": "p"}')
+
+    landed = {n: spark.createDataFrame([message(1, 1), message(1, 2), message(2, 3), message(1, 20), message(-3, 21)],
+                                       feed_runs.MESSAGE_SCHEMA) for n in "AB"}
+    configs = {n: feeds.FeedConfig(n, "in", "out", "g") for n in "AB"}
+
+    def masters(s):
+        return (s.createDataFrame([("a1", '{"catIdEdit": "9", "accOfDec": "1"}', "7")], "acc string, udCat string, cat_id string"),
+                s.createDataFrame([("7", "Food")], "catId string, catN string"))
+
+    out = feed_runs.run_feeds_with_restart(spark, landed, wall_clock(T(2024, 1, 16)), configs, masters, join_key="accIdent", decision_key="acc")
+    got = sorted((r.feed, r.batch_id, r.key, r.t, r.c) for r in out.select(
+        "feed", "batch_id", "key", F.get_json_object("value", "$.tranId").alias("t"), F.get_json_object("value", "$.catN").alias("c")).collect())
+    assert got == [("A", 0, "a1", "t1", "Food"), ("A", 0, "a1", "t2", "Food"), ("A", 1, "a1", "t-3", "Food"), ("A", 1, "a1", "t1", "Food"),
+                   ("B", 0, "a1", "t1", "OI"), ("B", 0, "a1", "t2", "OI"), ("B", 1, "a1", "t-3", "OP (T)"), ("B", 1, "a1", "t1", "OI")]
