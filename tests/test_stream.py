@@ -134,6 +134,8 @@ def test_start_feed_c_from_raw_payloads(spark):
 
 def test_feeds_survive_a_failed_batch(spark):
     """A batch that is written but not committed is replayed after a restart, and its output is there once."""
+    from datetime import datetime as T
+
     from pyspark.sql import functions as F
 
     from opsflow.operators import feeds
