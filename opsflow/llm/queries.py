@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, centroids, decontaminate, htmltext, langid, licences, minhash, secrets, simhash, toxicity, urlfilter, warc, whitening
+from ..session import scratch_path
 from .frames import table, write_and_read
 
 # fixed values: the url rules of the contract
@@ -97,6 +98,18 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         secrets.span_text(F.col("findings")).alias("spans"))
 
 
+def secret_ledger_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs on one ledger: half of the documents with the base rules, then all of them with every rule.  Per document
+    the runs that scanned its text, the (text, rule) pairs scanned in all, and its findings."""
+    docs, ledger = table(spark, sf_dir, "documents").select("doc_id", "text"), scratch_path(spark, "ledger")
+    secrets.scan_unseen(docs.filter("doc_id % 2 = 0"), ledger, rules=secrets.BASE_RULES)
+    found = secrets.scan(docs, ledger=ledger)
+    runs = secrets.read_ledger(spark, ledger).groupBy("blob").agg(
+        F.count(F.lit(1)).alias("n_runs"), F.sum(F.size("rules")).cast("bigint").alias("n_pairs"))
+    return found.join(write_and_read(runs, "runs"), "blob").select(
+        F.col("id").alias("doc_id"), "n_runs", "n_pairs", F.size("findings").cast("bigint").alias("n_findings"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten-word windows of the benchmark in every whole text."""
     index = decontaminate.build_index(table(spark, sf_dir, "documents"))
@@ -166,7 +179,7 @@ def kmeans_sql(k: int = 8, rounds: int = 10) -> str:
 
 
 QUERIES = {f.__name__: f for f in (op1_bpe, op2_licences, op3_minhash, op4_langid, op5_warc, op6_simhash, op7_html, op8_secrets,
-                                   op9_decontaminate, op10_urlfilter, op11_whitening, op12_toxicity, op13_kmeans, simhash_neighbours)}
+                                   op9_decontaminate, op10_urlfilter, op11_whitening, op12_toxicity, op13_kmeans, simhash_neighbours, secret_ledger_runs)}
 SQL: dict[str, str] = {
     "op13_kmeans": kmeans_sql(),
     "op5_warc": """
