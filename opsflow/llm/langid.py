@@ -12,8 +12,8 @@ the ones whose hash lies under a threshold set by the language's number of
 different texts (by a sketch; all texts if there are not more rows than that).
 Copies of a chosen text weigh as often as they occur, but are cut into words
 once a batch.  Counts come from a Spark aggregate.
-The model keeps the ``max_words`` most frequent words and ``max_grams`` most
-frequent n-grams, so what is broadcast has a fixed bound.
+The model keeps every word and n-gram of the sample, as sorted 64-bit hashes
+with one number for each language; the bound on the sample is the only one.
 
 Defined results: a null text or one without letters is ``und`` with score 0; so
 is every text when no text was learned from; a text with letters but no known
@@ -34,10 +34,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .frames import need
-from .textkernel import SpanHasher, runs, span_bounds, text_slices
+from .textkernel import SpanHasher, gather, mix, runs, span_bounds, text_slices
 
 PER_LANGUAGE = 4000
-MAX_WORDS, MAX_GRAMS, ORDER = 200_000, 200_000, 5
+ORDER = 5
 UND = "und"
 
 
@@ -55,18 +55,30 @@ def letter_words(texts: list, letters: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return points, starts, ends, span_bounds(starts, offsets)
 
 
-def _word(points: np.ndarray, a: int, b: int) -> str:
-    return points[a:b].tobytes().decode("utf-32-le")
-
-
-def grams(word: str, n: int) -> list[str]:
-    edged = f" {word} " if n > 1 else word
-    return [edged[i:i + n] for i in range(len(edged) - n + 1)]
+def gram_hashes(points: np.ndarray, starts: np.ndarray, ends: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(word, hash) of every n-gram of the words; a space at both ends of a word counts if ``n`` is over 1."""
+    sizes = ends - starts
+    if not len(sizes):
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    edge = 1 if n > 1 else 0
+    places = np.cumsum(sizes + 2 * edge) - (sizes + 2 * edge)
+    text = np.full(int(sizes.sum()) + 2 * edge * len(sizes), 0x20, np.uint64)
+    letters = np.ones(len(text), bool)
+    if edge:
+        letters[places] = letters[places + sizes + 1] = False
+    text[letters] = gather(starts, sizes, points).astype(np.uint64)
+    first = np.maximum(sizes + 2 * edge - n + 1, 0)
+    word = np.repeat(np.arange(len(sizes)), first)
+    at = gather(places, first, np.arange(len(text)))
+    h = np.zeros(len(at), np.uint64)
+    for k in range(n):
+        h = h * np.uint64(0x9E3779B97F4A7C15) + mix(text[at + k] + np.uint64(1))
+    return word, mix(h + np.uint64(n))
 
 
 def train_counts(docs: DataFrame, text_col: str, lang_col: str, per_language: int = PER_LANGUAGE) -> tuple[DataFrame, dict]:
-    """``lang``, ``kind`` (0: text, -1: word, n: n-gram), ``feature``, ``n`` over the training sample, and the number
-    of labelled rows with letters of each language."""
+    """``lang``, ``kind`` (0: text, -1: word, n: n-gram), ``feature`` (hash), ``n`` over the training sample, and the
+    number of labelled rows with letters of each language."""
     # letters newer than the JVM's tables are unassigned there
     labelled = (docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).cast("string").rlike(r"[\p{L}\p{Cn}]"))
                 .select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")))
@@ -82,95 +94,97 @@ def train_counts(docs: DataFrame, text_col: str, lang_col: str, per_language: in
     letters = letter_table()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = SpanHasher(1 << 16)
         for batch in batches:
             for part in text_slices(batch, "text"):
-                found: dict[str, Counter] = {}
                 copies = Counter(zip(part.column("lang").to_pylist(), part.column("text").to_pylist(), strict=True))
+                langs = sorted({lang for lang, _ in copies})
+                own = np.array([langs.index(lang) for lang, _ in copies])
+                times = np.array(list(copies.values()), np.int64)
                 points, starts, ends, bounds = letter_words([t for _, t in copies], letters)
-                for ((lang, _), times), a, b in zip(copies.items(), bounds[:-1], bounds[1:], strict=True):
-                    words = found.setdefault(lang, Counter())
-                    words[(0, "")] += times
-                    for i in range(a, b):
-                        words[(-1, _word(points, starts[i], ends[i]))] += times
-                for lang, words in found.items():
-                    every = Counter(words)
-                    for (kind, w), n in words.items():
-                        for size in range(1, ORDER + 1) if kind else ():
-                            for g in grams(w, size):
-                                every[(size, g)] += n
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array([lang] * len(every)), pa.array([k for k, _ in every], pa.int32()),
-                        pa.array([f for _, f in every]), pa.array(list(every.values()), pa.int64())],
-                        names=["lang", "kind", "feature", "n"])
-
-    counted = chosen.mapInArrow(count, "lang string, kind int, feature string, n bigint")
+                words, first, each = np.unique(hasher.hashes(points, starts, ends), return_index=True, return_inverse=True)
+                row = np.repeat(np.arange(len(copies)), np.diff(bounds))
+                starts, ends = starts[first], ends[first]
+                grams = [(n, *gram_hashes(points, starts, ends, n)) for n in range(1, ORDER + 1)]
+                found = [(-1, np.arange(len(words)), words), *grams]
+                for k, lang in enumerate(langs):
+                    mine = own[row] == k
+                    weight = np.bincount(each[mine], weights=times[row[mine]], minlength=len(words))
+                    yield rows_for(lang, 0, np.zeros(1, np.uint64), np.array([times[own == k].sum()]))
+                    for kind, word, h in found:
+                        used = weight[word] > 0
+                        keys, where = np.unique(h[used], return_inverse=True)
+                        yield rows_for(lang, kind, keys, np.bincount(where, weights=weight[word[used]], minlength=len(keys)))
+
+    def rows_for(lang: str, kind: int, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([lang]).take(pa.array(np.zeros(len(keys), np.int32))), pa.array(np.full(len(keys), kind, np.int32)),
+                                           pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], names=["lang", "kind", "feature", "n"])
+
+    counted = chosen.mapInArrow(count, "lang string, kind int, feature bigint, n bigint")
     return counted.groupBy("lang", "kind", "feature").agg(F.sum("n").alias("n")), sizes
 
 
-def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE,
-          max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS) -> dict:
-    """Model of bounded size: language names, log shares, and log frequencies of words and n-grams by hash."""
+def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE) -> dict:
+    """Language names, log shares, and log frequencies of every word and n-gram of the sample by hash."""
     need(docs, text_col, lang_col)
     counts, sizes = train_counts(docs, text_col, lang_col, per_language)
-    counts = counts.cache()
-    langs = sorted(r.lang for r in counts.filter("kind = 0").select("lang").collect())
+    langs = sorted(sizes)
     if not langs:
-        counts.unpersist()
         return {"langs": []}
-    totals = {(r.lang, r.kind): (r.n, r.kinds) for r in
-              counts.groupBy("lang", "kind").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds")).collect()}
-    per = [F.sum(F.when(F.col("lang") == lang, F.col("n")).otherwise(0)).alias(f"c{i}") for i, lang in enumerate(langs)]
+    number = F.array_position(F.array(*[F.lit(x) for x in langs]), F.col("lang")) - 1
+    seen = counts.filter("kind <> 0").select(number.cast("int").alias("lang"), "kind", "feature", "n").toArrow()
+    lang, kind, feature, n = (seen.column(c).to_numpy() for c in ("lang", "kind", "feature", "n"))
+    # a language without a word in the sample can't be compared
+    have = np.unique(lang[kind == -1])
+    if not len(have):
+        return {"langs": []}
+    langs, lang = [langs[i] for i in have], np.searchsorted(have, lang)
     model: dict = {"langs": langs, "prior": np.log(np.array([sizes[x] for x in langs]) / sum(sizes[x] for x in langs))}
-    hasher = SpanHasher(1 << 16)
-    for name, keep, limit in (("words", F.col("kind") == -1, max_words), ("grams", F.col("kind") > 0, max_grams)):
-        wide = (counts.filter(keep).groupBy("kind", "feature").agg(F.sum("n").alias("all"), *per)
-                .orderBy(F.col("all").desc(), "kind", "feature").limit(limit).toArrow())
-        kinds = wide.column("kind").to_numpy()
-        seen = np.stack([wide.column(f"c{i}").to_numpy() for i in range(len(langs))], axis=1).astype(float)
-        total = np.array([[totals.get((x, int(k)), (0, 0)) for x in langs] for k in np.unique(kinds)], float)
-        row = np.searchsorted(np.unique(kinds), kinds)
-        logs = np.log((seen + 0.5) / (total[row, :, 0] + 0.5 * total[row, :, 1] + 1)).astype(np.float32)
-        texts_ = wide.column("feature").to_pylist()
-        if name == "grams":
-            model[name] = dict(zip(texts_, logs, strict=True))
-            continue
-        points = np.frombuffer("".join(texts_).encode("utf-32-le"), np.uint32)
-        ends = np.cumsum([len(t) for t in texts_], dtype=np.int64)
-        keys = hasher.hashes(points, ends - [len(t) for t in texts_], ends) if texts_ else np.zeros(0, np.uint64)
-        order = np.argsort(keys)
-        model[name] = (keys[order], logs[order])
-    counts.unpersist()
+    for k in (-1, *range(1, ORDER + 1)):
+        mine = kind == k
+        keys, at = np.unique(feature[mine].view(np.uint64), return_inverse=True)
+        wide = np.zeros((len(keys), len(langs)))
+        wide[at, lang[mine]] = n[mine]
+        total, kinds = wide.sum(axis=0), (wide > 0).sum(axis=0)
+        model[k] = (keys, np.log((wide + 0.5) / (total + 0.5 * kinds + 1)).astype(np.float32))
     return model
 
 
-def _backoff(word: str, table: dict, zero: np.ndarray) -> np.ndarray:
-    for n in range(ORDER, 0, -1):
-        known = [table[g] for g in grams(word, n) if g in table]
-        if known:
-            return np.mean(known, axis=0)
-    return zero
+def _known(table: tuple[np.ndarray, np.ndarray], hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(whether each hash is in the table, its place)."""
+    keys = table[0]
+    if not len(keys):
+        return np.zeros(len(hashes), bool), np.zeros(len(hashes), np.int64)
+    at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
+    return keys[at] == hashes, at
 
 
-def _score(texts: list, model: dict, letters: np.ndarray, hasher: SpanHasher, seen: dict) -> tuple[list, np.ndarray]:
-    langs, (keys, logs) = model["langs"], model["words"]
+def _backoff(points: np.ndarray, starts: np.ndarray, ends: np.ndarray, model: dict) -> np.ndarray:
+    """Of each word the mean of its known n-grams of the largest size that has any (0 without)."""
+    value = np.zeros((len(starts), len(model["langs"])))
+    left = np.arange(len(starts))
+    for n in range(ORDER, 0, -1):
+        if not len(left):
+            break
+        word, h = gram_hashes(points, starts[left], ends[left], n)
+        known, at = _known(model[n], h)
+        word, logs = word[known], model[n][1][at[known]]
+        count = np.bincount(word, minlength=len(left))
+        for k in range(value.shape[1]):
+            value[left, k] = np.bincount(word, weights=logs[:, k], minlength=len(left)) / np.maximum(count, 1)
+        left = left[count == 0]
+    return value
+
+
+def _score(texts: list, model: dict, letters: np.ndarray, hasher: SpanHasher) -> tuple[list, np.ndarray]:
+    langs = model["langs"]
     points, starts, ends, bounds = letter_words(texts, letters)
     words, first, each = np.unique(hasher.hashes(points, starts, ends), return_index=True, return_inverse=True)
     value = np.zeros((len(words), len(langs)), np.float64)
-    if len(keys) and len(words):
-        at = np.minimum(np.searchsorted(keys, words), len(keys) - 1)
-        known = keys[at] == words
-        value[known] = logs[at[known]]
-    else:
-        known = np.zeros(len(words), bool)
-    zero = np.zeros(len(langs))
-    for i in np.flatnonzero(~known):
-        w = _word(points, starts[first[i]], ends[first[i]])
-        v = seen.get(w)
-        if v is None:
-            v = _backoff(w, model["grams"], zero)
-            if len(seen) < 200_000:
-                seen[w] = v
-        value[i] = v
+    known, at = _known(model[-1], words)
+    value[known] = model[-1][1][at[known]]
+    unseen = first[~known]
+    value[~known] = _backoff(points, starts[unseen], ends[unseen], model)
     total = np.zeros((len(starts) + 1, len(langs)))
     np.cumsum(value[each], axis=0, out=total[1:])
     sums = total[bounds[1:]] - total[bounds[:-1]] + model["prior"]
@@ -190,11 +204,11 @@ def predict(df: DataFrame, model: dict, text_col: str = "text", lang_name: str =
     shared = df.sparkSession.sparkContext.broadcast((model, letter_table()))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (model, letters), hasher, seen = shared.value, SpanHasher(1 << 18), {}
+        (model, letters), hasher = shared.value, SpanHasher(1 << 18)
         for batch in batches:
             for part in text_slices(batch, text_col, 1 << 21):
                 if model["langs"]:
-                    langs, scores = _score(part.column(text_col).to_pylist(), model, letters, hasher, seen)
+                    langs, scores = _score(part.column(text_col).to_pylist(), model, letters, hasher)
                 else:
                     langs, scores = [UND] * part.num_rows, np.zeros(part.num_rows)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(langs, pa.string()), pa.array(scores)],

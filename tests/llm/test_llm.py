@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from opsflow.llm.textkernel import SpanHasher
 from opsflow.llm import bpe, components, decontaminate, htmltext, langid, licences, minhash, queries, secrets, simhash, urlfilter, warc
 
 DIR = "/root/testdata/sf0.001"
@@ -291,6 +292,27 @@ def test_language_id(spark, docs, empty):
     assert {r.lang_pred for r in langid.predict(docs, none).collect()} == {"und"}
 
 
+def test_every_word_of_the_sample_is_learned(spark):
+    """Rare words of a rare language count as well, however many others there are."""
+    rng = np.random.default_rng(3)
+    names = ["".join(rng.choice(list("abcdefghij"), 7)) for _ in range(30_000)]
+    rows = [(" ".join(names[i:i + 100]), "many") for i in range(0, 30_000, 100)] + [("quorx zyzzyva", "few"), ("quorx", "few")]
+    model = langid.train(spark.createDataFrame(rows, "text string, lang string"))
+    assert len(model[-1][0]) == len(set(names)) + 2
+    got = {r.text: r.lang_pred for r in langid.predict(spark.createDataFrame([("zyzzyva zyzzyva",), ("zyzzyvas quorxes zyzzy",)], "text string"), model).collect()}
+    assert got == {"zyzzyva zyzzyva": "few", "zyzzyvas quorxes zyzzy": "few"}
+
+
+def test_grams_of_words():
+    points = np.frombuffer("abca".encode("utf-32-le"), np.uint32)
+    # " abc " and " a " share one pair; alone, their letters are 3
+    for n, want, distinct in ((1, [0, 0, 0, 1], 3), (2, [0] * 4 + [1] * 2, 5), (3, [0] * 3 + [1], 4), (5, [0], 1)):
+        word, h = langid.gram_hashes(points, np.array([0, 3]), np.array([3, 4]), n)
+        assert word.tolist() == want and len(set(h.tolist())) == distinct
+    one, two = (langid.gram_hashes(np.frombuffer(w.encode("utf-32-le"), np.uint32), np.array([0]), np.array([len(w)]), 3)[1] for w in ("xabc", "abcy"))
+    assert len(set(one.tolist()) & set(two.tolist())) == 1
+
+
 def test_language_prior_is_the_share_of_all_labelled_texts(spark):
     # 600 texts of a, 60 of b, above the bound of 50; a third of the rows has no letters; one text of b has 300 copies
     rows = [(f"alpha w{i:03d}x", "a") for i in range(600)] + [(f"beta v{i:03d}y", "b") for i in range(60)]
@@ -300,10 +322,12 @@ def test_language_prior_is_the_share_of_all_labelled_texts(spark):
     assert model["langs"] == ["a", "b"] and np.allclose(np.exp(model["prior"]), [600 / 960, 360 / 960])
     counts, sizes = langid.train_counts(docs, "text", "lang", 50)
     assert sizes == {"a": 600, "b": 360}
-    picked = {r.lang: r.n for r in counts.filter("kind = -1 and feature in ('w', 'v', 'copied')").groupBy("lang").agg(F.max("n").alias("n")).collect()}
+    hashes = [int(SpanHasher().hashes(np.frombuffer(w.encode("utf-32-le"), np.uint32), np.array([0]), np.array([len(w)])).view(np.int64)[0])
+              for w in ("w", "v", "copied")]
+    picked = {r.lang: r.n for r in counts.filter(F.col("kind") == -1).filter(F.col("feature").isin(hashes)).groupBy("lang").agg(F.max("n").alias("n")).collect()}
     # copies do not thin out the other texts of b: 61 different texts, so about 50 of them
     assert 30 <= picked["a"] <= 75
-    assert {r.feature: r.n for r in counts.filter("lang = 'b' and kind = -1").collect()}.get("v", 0) >= 35
+    assert {r.feature: r.n for r in counts.filter("lang = 'b' and kind = -1").collect()}.get(hashes[1], 0) >= 35
 
 
 PAGES = [(1, "http://a/", "x" * 1200), (2, "http://b/", "x" * 1200), (3, None, "x" * 1200), (4, "http://c/\r\nX: é", "short"),

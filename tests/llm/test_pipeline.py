@@ -19,7 +19,7 @@ from test_llm import brute_components, brute_hits, tokenizer  # noqa: F401
 DIR = "/root/testdata/sf0.001"
 CLASHING = ("_id", "_lang", "_score", "_blob", "items", "spans", "component", "kept", "ids", "n_tokens")
 SECRETS = [(r"(?i:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 2, 12),
-           (r"AKIA[A-Z0-9]+", 0, 18), (r"[0-9a-f]+", 0, 16), (r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 0),
+           (r"AKIA[A-Z0-9]+", 0, 18), (r"[0-9a-f]+", 0, 16), (r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:.|\n)*?-----END [A-Z ]*PRIVATE KEY-----", 0, 0),
            (r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+", 0, 0)]
 
 
