@@ -39,7 +39,7 @@ from .textkernel import SpanHasher, byte_table, lower_table, runs, span_bounds,
 
 WIDTH = 10
 WINDOW_BLOCK = 100_000
-SEGMENT_BYTES = 8 << 20
+SEGMENT_BYTES = 4 << 20
 
 
 def _is_word_byte(b: int) -> bool:

@@ -105,13 +105,13 @@ def train_counts(docs: DataFrame, text_col: str, lang_col: str, per_language: in
                 words, first, each = np.unique(hasher.hashes(points, starts, ends), return_index=True, return_inverse=True)
                 row = np.repeat(np.arange(len(copies)), np.diff(bounds))
                 starts, ends = starts[first], ends[first]
-                grams = [(n, *gram_hashes(points, starts, ends, n)) for n in range(1, ORDER + 1)]
-                found = [(-1, np.arange(len(words)), words), *grams]
+                weights = [np.bincount(each[own[row] == k], weights=times[row[own[row] == k]], minlength=len(words)) for k in range(len(langs))]
                 for k, lang in enumerate(langs):
-                    mine = own[row] == k
-                    weight = np.bincount(each[mine], weights=times[row[mine]], minlength=len(words))
                     yield rows_for(lang, 0, np.zeros(1, np.uint64), np.array([times[own == k].sum()]))
-                    for kind, word, h in found:
+                # one kind at a time, so that only its n-grams are held
+                for kind in (-1, *range(1, ORDER + 1)):
+                    word, h = (np.arange(len(words)), words) if kind < 0 else gram_hashes(points, starts, ends, kind)
+                    for lang, weight in zip(langs, weights, strict=True):
                         used = weight[word] > 0
                         keys, where = np.unique(h[used], return_inverse=True)
                         yield rows_for(lang, kind, keys, np.bincount(where, weights=weight[word[used]], minlength=len(keys)))

@@ -32,7 +32,10 @@ def lower_table() -> np.ndarray:
 
 
 def text_slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Contiguous parts of a batch with at most ``limit`` bytes of text each (one row at least)."""
+    """Contiguous parts of a batch with at most ``limit`` bytes of text each (one row at least).
+
+    After the last part, Arrow's unused memory goes back to the system: a worker
+    process outlives its task, and what it keeps is missing in the next stage."""
     n = batch.num_rows
     if n == 0:
         return
@@ -43,6 +46,7 @@ def text_slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) ->
         j = max(i + 1, int(np.searchsorted(total, total[i] + limit, "right")) - 1)
         yield batch.slice(i, j - i)
         i = j
+    pa.default_memory_pool().release_unused()
 
 
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
