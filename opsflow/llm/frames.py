@@ -36,6 +36,24 @@ def write_and_read(df: DataFrame, name: str) -> DataFrame:
     return write_table(df, name)[0]
 
 
+#: Bounds of an Arrow batch of whole texts: a task holds a batch in the JVM and in its Python worker.
+BATCH_BYTES, BATCH_ROWS = 8 << 20, 2000
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Lower this session's bounds on Arrow batches to ``BATCH_BYTES`` and ``BATCH_ROWS``; smaller ones stay.
+
+    Spark's own bounds (64 MB, 10,000 rows) suit narrow rows; with several text
+    stages in one application the batches of long texts fill the memory that
+    executors have beside their heap.  Results do not depend on it."""
+    for key, most in (("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES), ("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)):
+        now = spark.conf.get(key, None)
+        digits = "".join(c for c in now or "" if c.isdigit() or c == "-")
+        plain = int(digits) if now and digits and now.rstrip("b") == digits else 0
+        if plain <= 0 or plain > most:
+            spark.conf.set(key, str(most))
+
+
 def drop_table(spark: SparkSession, path: str) -> None:
     """Delete a scratch table that nothing reads any more."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
