@@ -15,7 +15,8 @@ its id.  Very long texts are handled whole in every stage; repeated rows without
 words stay.
 
 Disk: a stage deletes the scratch tables behind its small results (groups, hits)
-before it returns, so that only what its result still reads is left.
+before it returns, so that only what its result still reads is left.  Memory:
+every stage bounds the session's Arrow batches (``frames.bound_batches``).
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opsflow.llm import bpe, decontaminate, langid, minhash, secrets
-from opsflow.llm.frames import settled, table, write_and_read
+from opsflow.llm.frames import bound_batches, settled, table, write_and_read
 from opsflow.llm.queries import vocabulary_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -34,6 +35,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a recognised language; ``lang`` becomes the predicted one.
 
     Learns from the labelled rows that are not held out; rejects ``und``."""
+    bound_batches(spark)
     docs = docs.select(*COLUMNS)
     model = langid.train(docs.filter(~langid.held_out("doc_id")))
     found = langid.predict(docs, model, lang_name="_lang", score_name="_score").filter(F.col("_lang") != langid.UND)
@@ -43,6 +45,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each component at a similarity of 0.8 or more over five-word shingles, the one with the smallest id.
     Rows are linked by row number, written once so that it stays."""
+    bound_batches(spark)
     rows = write_and_read(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("_row")), "rows")
 
     def repeated() -> DataFrame:
@@ -57,6 +60,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a ten-word window of ``benchmark``; a row goes for its own text, named by its digest.
     The digests of the texts that are hit are written first, so Spark knows their size and need not shuffle the texts."""
+    bound_batches(spark)
     docs = docs.select(*COLUMNS)
     docs = docs.withColumn("_digest", F.unhex(F.sha2(F.col("text"), 256)))
 
@@ -69,12 +73,14 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents; secrets in the text become a mark, and ``n_chars`` follows."""
+    bound_batches(spark)
     clean = secrets.redact_copies(docs.select(*COLUMNS))
     return clean.withColumn("n_chars", F.length("text").cast("bigint")).select(*COLUMNS)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id``, ``lang``, ``source``, ``n_tokens`` and ``ids`` of every document."""
+    bound_batches(spark)
     vocabulary = bpe.Vocabulary(vocabulary_path())
     lexicon = bpe.build_lexicon(docs, vocabulary)
     coded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), vocabulary, lexicon)
