@@ -54,11 +54,24 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archives of every page, written and read back."""
     rows = warc.with_revisits(table(spark, sf_dir, "pages"))
     archives = write_and_read(warc.write_archives(rows), "archives")
-    found = warc.read_archives(archives).filter("kind = 'record'")
+    found = warc.read_archives(archives)  # a gap, if any, is seen as a row without a page
     return found.select(F.col("id").cast("bigint").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
                         F.col("refers_to").cast("bigint").alias("refers_to"))
 
 
+def warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives of every page, each overwritten with 16 bytes at a third and cut by its last 20: what the salvage reader
+    recovers, and the gaps that it logs."""
+    rows = warc.with_revisits(table(spark, sf_dir, "pages"))
+    archives = write_and_read(warc.write_archives(rows, archive_bytes=1 << 18), "archives")
+    size = F.octet_length("content")
+    hurt = F.expr("overlay(content PLACING X'00112233445566778899AABBCCDDEEFF' FROM octet_length(content) div 3 FOR 16)")
+    hurt = F.when(size > 60, F.substring(hurt, F.lit(1), size - 20)).otherwise(F.col("content"))
+    found = warc.read_archives(archives.select("archive", hurt.alias("content")))
+    return found.select("archive", "start", "end", "kind", F.col("id").cast("bigint").alias("page_id"), "record_type",
+                        "payload_bytes", "payload_digest", "reason")
+
+
 def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Visible text of every page."""
     found = htmltext.with_text(table(spark, sf_dir, "pages").select("page_id", "html"))
@@ -179,7 +192,8 @@ def kmeans_sql(k: int = 8, rounds: int = 10) -> str:
 
 
 QUERIES = {f.__name__: f for f in (op1_bpe, op2_licences, op3_minhash, op4_langid, op5_warc, op6_simhash, op7_html, op8_secrets,
-                                   op9_decontaminate, op10_urlfilter, op11_whitening, op12_toxicity, op13_kmeans, simhash_neighbours, secret_ledger_runs)}
+                                   op9_decontaminate, op10_urlfilter, op11_whitening, op12_toxicity, op13_kmeans, simhash_neighbours,
+                                   secret_ledger_runs, warc_salvage)}
 SQL: dict[str, str] = {
     "op13_kmeans": kmeans_sql(),
     "op5_warc": """

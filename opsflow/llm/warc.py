@@ -9,9 +9,14 @@ source gives for files.
 
 ``read_archives`` takes such rows (members or plain records).  A record is
 taken if its member inflates with a right checksum, its version line, headers
-and length parse, and its block digest agrees.  After a failed check the reader
-looks for the next member or version line that passes them all, goes on there,
-and logs the bytes between as a quarantined gap.
+and length parse, and its block digest agrees (MD5 or SHA, hex or base 32; one
+with another label is not checked).  After a failed check the reader looks for
+the next member or version line that passes them all, goes on there, and logs
+the bytes between as a quarantined gap.  A member may hold many records, which
+are salvaged alike inside it; of a member that is cut or fails its checksum the
+records with an agreeing block digest are recovered.  Header lines may be folded.
+Each search for a mark is kept until it is passed, so false marks cost no second
+reading.
 
 Defined results: a null or empty payload is an empty payload; a null url gives
 no target; control characters, blanks and non-ASCII in a url are
@@ -39,10 +44,13 @@ LEAST_REVISIT = 1000
 ARCHIVE_BYTES = 8 << 20
 GZIP_LEVEL = 6
 MEMBER = b"\x1f\x8b\x08"
+VERSIONS = (b"WARC/1.0\r\n", b"WARC/1.1\r\n")
 VERSION = re.compile(rb"WARC/1\.[01]\r\n")
+#: Digest labels that are checked; a record with any other label is taken by its other checks.
+ALGORITHMS = ("md5", "sha1", "sha224", "sha256", "sha384", "sha512")
 #: What a record's date says where the row has none: archives of equal rows are equal.
 DATE = "2024-01-01T00:00:00Z"
-RECORD_SCHEMA = ("archive string, start bigint, end bigint, kind string, id string, record_type string, url string, "
+RECORD_SCHEMA = ("archive string, start bigint, end bigint, kind string, inner_start bigint, inner_end bigint, id string, record_type string, url string, "
                  "refers_to string, payload binary, payload_bytes bigint, payload_digest string, reason string")
 
 
@@ -51,11 +59,24 @@ def _sha1(data: bytes) -> str:
 
 
 def _bare(digest: str | None) -> str | None:
-    """Lower-case hex of a labelled base-32 (or hex) SHA-1."""
-    value = (digest or "").partition(":")[2]
-    if len(value) == 40:
+    """Lower-case hex of a labelled hex or base-32 digest; null for labels that are not known and values of another form."""
+    label, _, value = (digest or "").partition(":")
+    label = label.strip().lower().replace("-", "")
+    if label not in ALGORITHMS:
+        return None
+    size, value = hashlib.new(label).digest_size, value.strip().rstrip("=")
+    if len(value) == 2 * size:
         return value.lower()
-    return base64.b32decode(value.upper()).hex() if len(value) == 32 else None
+    try:
+        return base64.b32decode(value.upper() + "=" * (-len(value) % 8)).hex()
+    except ValueError:
+        return None
+
+
+def agrees(digest: str | None, block: bytes) -> bool | None:
+    """Whether a block has a labelled digest; None if there is none or its label is not known."""
+    label = (digest or "").partition(":")[0].strip().lower().replace("-", "")
+    return _bare(digest) == hashlib.new(label, block).hexdigest() if label in ALGORITHMS else None
 
 
 def _uri(url: str) -> str:
@@ -125,75 +146,113 @@ def write_archives(rows: DataFrame, compress: bool = True, archive_bytes: int =
     return text.mapInArrow(write, "archive string, content binary")
 
 
-def parse_record(data: bytes, at: int = 0) -> tuple[dict, bytes, int]:
+class Marks:
+    """Next places of byte marks; each search is kept until it is passed, so all of them read the data once."""
+
+    def __init__(self, data: bytes):
+        self.data, self.places = data, {}
+
+    def next(self, mark: bytes, at: int) -> int:
+        """First place of the mark from ``at`` on (which never falls), the data's length if there is none."""
+        place = self.places.get(mark, -1)
+        if place < at:
+            place = self.data.find(mark, at)
+            place = self.places[mark] = len(self.data) if place < 0 else place
+        return place
+
+
+def parse_headers(data: bytes, at: int, stop: int) -> dict:
+    """Named fields between two places; a line that starts with a blank goes on with the field before it."""
+    headers, name = {}, None
+    while at < stop:
+        end = data.find(b"\r\n", at, stop)
+        end = stop if end < 0 else end
+        line, at = data[at:end], end + 2
+        if line[:1] in (b" ", b"\t") and name is not None:
+            headers[name] = f"{headers[name]} {line.strip().decode('utf-8', 'replace')}".strip()
+            continue
+        field, colon, value = line.partition(b":")
+        if not colon:
+            raise ValueError("bad header line")
+        name = field.strip().lower().decode("latin-1")
+        headers[name] = value.strip().decode("utf-8", "replace")
+    return headers
+
+
+def parse_record(data: bytes, at: int = 0, marks: Marks | None = None) -> tuple[dict, bytes, int]:
     """(headers, block, end) of the record at a place; raises ValueError with the failed check."""
     version = VERSION.match(data, at)
     if not version:
         raise ValueError("no version line")
-    stop = data.find(b"\r\n\r\n", at)
-    if stop < 0:
+    stop = (marks or Marks(data)).next(b"\r\n\r\n", at)
+    if stop == len(data):
         raise ValueError("headers do not end")
-    headers = {}
-    for line in data[version.end():stop].split(b"\r\n"):
-        name, colon, value = line.partition(b":")
-        if not colon:
-            raise ValueError("bad header line")
-        headers[name.strip().lower().decode("latin-1")] = value.strip().decode("utf-8", "replace")
-    if "warc-type" not in headers or not headers.get("content-length", "").isdigit():
+    headers = parse_headers(data, version.end(), stop)
+    if "warc-type" not in headers or not re.fullmatch("[0-9]{1,18}", headers.get("content-length", "")):
         raise ValueError("no type or length")
     end = stop + 4 + int(headers["content-length"])
-    block = data[stop + 4:end]
     if data[end:end + 4] != b"\r\n\r\n":
         raise ValueError("block has another length")
-    try:
-        if "warc-block-digest" in headers and _bare(headers["warc-block-digest"]) != hashlib.sha1(block).hexdigest():
-            raise ValueError("block digest differs")
-    except (ValueError, base64.binascii.Error) as e:
-        raise ValueError("block digest differs") from e
+    block = data[stop + 4:end]
+    if agrees(headers.get("warc-block-digest"), block) is False:
+        raise ValueError("block digest differs")
     return headers, block, end + 4
 
 
-def inflate(data: memoryview, at: int) -> tuple[bytes, int]:
-    """(content, end) of the gzip member at a place; raises ValueError for a bad or cut member."""
+def inflate(data: memoryview, at: int) -> tuple[bytes, int, str | None]:
+    """(content, end, failed check or None) of the gzip member at a place; of a bad or cut member what came before."""
     member = zlib.decompressobj(wbits=31)
-    out, place, step = [], at, 1 << 16
-    try:
-        while not member.eof:
-            if place >= len(data):
-                raise ValueError("member is cut")
+    out, place, step, failed = [], at, 1 << 16, None
+    while not member.eof:
+        if place >= len(data):
+            failed = "member is cut"
+            break
+        before = member.copy()
+        try:
             out.append(member.decompress(data[place:place + step]))
             place += step
-    except zlib.error as e:
-        raise ValueError(f"member: {e}") from e
-    return b"".join(out), min(place, len(data)) - len(member.unused_data)
-
-
-def salvage(data: bytes) -> Iterator[tuple]:
-    """("record", start, end, headers, block) of each good record and ("gap", start, end, reason) of the rest, in order."""
-    at, gap, reason, view = 0, None, "", memoryview(data)
+        except zlib.error as e:  # smaller steps bring out what stands before the bad byte
+            failed, member = f"member: {e}", before
+            if step == 1:
+                break
+            failed, step = None, step >> 4
+    return b"".join(out), min(place, len(data)) - len(member.unused_data), failed
+
+
+def salvage(data: bytes, members: bool = True) -> Iterator[tuple]:
+    """("record", start, end, inner, headers, block) of each good record and ("gap", start, end, inner, reason) of the
+    rest, in order.  ``inner`` is the place inside the inflated member for members that hold not just one record, else
+    None.  Of a member that fails, those records are taken whose block digest agrees; the member itself is in a gap."""
+    at, gap, reason, view, marks = 0, None, "", memoryview(data), Marks(data)
     while at < len(data):
-        try:
-            if data[at:at + 3] == MEMBER:
-                content, end = inflate(view, at)
-                headers, block, used = parse_record(content)
-                if used != len(content):
-                    raise ValueError("more than one record in a member")
-            else:
-                headers, block, end = parse_record(data, at)
-        except ValueError as e:
-            if gap is None:
-                gap, reason = at, str(e)
-            version = VERSION.search(data, at + 1)
-            places = [p for p in (data.find(MEMBER, at + 1), version.start() if version else -1) if p >= 0]
-            at = min(places, default=len(data))
-            continue
-        if gap is not None:
-            yield "gap", gap, at, reason
+        found, failed = [], None
+        if members and data[at:at + 3] == MEMBER:
+            content, end, failed = inflate(view, at)
+            found = [(kind, at, end, (a, b), *rest) for kind, a, b, _, *rest in salvage(content, members=False)]
+            if failed is not None:
+                found = [f for f in found if f[0] == "record" and agrees(f[4].get("warc-block-digest"), f[5])]
+            elif not any(f[0] == "record" for f in found):
+                found, failed = [], found[0][4] if found else "empty member"
+            elif len(found) == 1:
+                found = [(*found[0][:3], None, *found[0][4:])]
+        else:
+            try:
+                headers, block, end = parse_record(data, at, marks)
+                found = [("record", at, end, None, headers, block)]
+            except ValueError as e:
+                failed = str(e)
+        if failed is None and gap is not None:
+            yield "gap", gap, at, None, reason
             gap = None
-        yield "record", at, end, headers, block
-        at = end
+        yield from found
+        if failed is None:
+            at = end
+            continue
+        if gap is None:
+            gap, reason = at, failed
+        at = min(marks.next(mark, at + 1) for mark in VERSIONS + (MEMBER,) * members)
     if gap is not None:
-        yield "gap", gap, len(data), reason
+        yield "gap", gap, len(data), None, reason
 
 
 def _id(header: str | None) -> str | None:
@@ -203,7 +262,8 @@ def _id(header: str | None) -> str | None:
 
 
 def read_archives(archives: DataFrame, name_col: str = "archive", content_col: str = "content") -> DataFrame:
-    """Records (``kind`` record) and quarantined gaps (``kind`` gap, with ``reason``) of every archive, with byte places.
+    """Records (``kind`` record) and quarantined gaps (``kind`` gap, with ``reason``) of every archive, with byte places
+    (``inner_start`` and ``inner_end``: inside the inflated member, if it holds not just one record).
 
     ``payload`` is the block after its HTTP header (null for revisits); ``payload_bytes`` and ``payload_digest`` are
     those of the full payload, for revisits as the HTTP header and the record say."""
@@ -212,15 +272,17 @@ def read_archives(archives: DataFrame, name_col: str = "archive", content_col: s
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types = pa.schema([("archive", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string()),
-                           ("id", pa.string()), ("record_type", pa.string()), ("url", pa.string()), ("refers_to", pa.string()),
+                           ("inner_start", pa.int64()), ("inner_end", pa.int64()), ("id", pa.string()), ("record_type", pa.string()), ("url", pa.string()), ("refers_to", pa.string()),
                            ("payload", pa.binary()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
                            ("reason", pa.string())])
         out: list[dict] = []
         for batch in batches:
             for name, content in zip(batch.column("archive"), batch.column("content"), strict=True):
                 size = 0
-                for kind, start, end, *rest in salvage(content.as_py() or b""):
+                for kind, start, end, inner, *rest in salvage(content.as_py() or b""):
                     row = {"archive": name.as_py(), "start": start, "end": end, "kind": kind}
+                    if inner is not None:
+                        row["inner_start"], row["inner_end"] = inner
                     if kind == "gap":
                         row["reason"] = rest[0]
                     else:
