@@ -497,6 +497,149 @@ def test_licence_sentences(spark, empty):
     assert licences.scan(empty).count() == 0
 
 
+MIT_TEXT = """The MIT License (MIT)
+
+Copyright (c) 2021 A. Body
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+GPL_TEXT = """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+    GNU General Public License for more details.
+"""
+APACHE_TEXT = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+"""
+BSD2_TEXT = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+BSD_NAMES = """3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+MPL_TEXT = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.
+"""
+ISC_TEXT = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+"""
+FULL = [(MIT_TEXT, "MIT"), (GPL_TEXT, "GPL-or-later-3"), (APACHE_TEXT, "Apache-2.0"), (BSD2_TEXT, "BSD-2-Clause"),
+        (BSD2_TEXT + BSD_NAMES, "BSD-3-Clause"), (MPL_TEXT, "MPL-2.0"), (ISC_TEXT, "ISC"),
+        (GPL_TEXT.replace("General", "Lesser General"), "LGPL-or-later-3"), (GPL_TEXT.replace("General", "Affero General"), "AGPL-or-later-3"),
+        (GPL_TEXT.replace("software: you", "software; you").replace("Foundation, either version 3", "Foundation; either version 2"),
+         "GPL-or-later-2")]
+
+
+def commented(text, mark):
+    if mark == "/*":
+        return "/*\n" + "".join(f" * {line}".rstrip() + "\n" for line in text.splitlines()) + " */\nint main;\n"
+    return "".join(f"{mark} {line}".rstrip() + "\n" for line in text.splitlines())
+
+
+@pytest.mark.parametrize("mark", ["", "#", "//", "/*", "--", ";;", "dnl"])
+def test_licences_of_wrapped_headers(spark, mark):
+    texts = [commented(t, mark) if mark else t for t, _ in FULL]
+    one_line = [" ".join(t.split()) for t, _ in FULL[:3]]
+    rows = list(enumerate(texts + [t.replace("\n", "\r\n") for t in texts] + one_line + ["code a = 1\n" + t + "\nother words" for t in texts]))
+    names = [n for _, n in FULL]
+    got = {r.id: (r.licences, r.n_unknown) for r in licences.scan(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
+    want = names + names + names[:3] + names
+    assert {i: v[0] for i, v in got.items()} == {i: [n] for i, n in enumerate(want)}
+    # on one line, MIT's title and grant run into the copyright line, Apache's address into the sentences around it
+    assert {i: v[1] for i, v in got.items() if v[1]} == {2 * len(names): 2, 2 * len(names) + 2: 1}
+
+
+def brute_licences(text):
+    """Words of every run of lines and sentences, compared with the published sentences' words."""
+    def words(t):
+        return [w.strip(".") for w in re.findall(r"[a-z0-9.]+", t.lower().replace("licenc", "licens")) if w.strip(".")]
+
+    def shape(ws):
+        return tuple("0" if re.fullmatch(r"[0-9.]+", w) else w for w in ws)
+
+    known = {shape(words(s)): name for name, s in licences.SENTENCES}
+    out = []
+    for block in re.split(r"(?<=[.:!?])\s|\n\s*\n", text):
+        lines = [words(x) for x in block.split("\n") if words(x)]
+        i = 0
+        while i < len(lines):
+            ends = [j for j in range(len(lines), i, -1) if shape(sum(lines[i:j], [])) in known]
+            if ends:
+                out.append(known[shape(sum(lines[i:ends[0]], []))])
+                i = ends[0]
+            else:
+                i += 1
+    return out
+
+
+def test_licence_sentences_match_brute_force(spark):
+    rng = np.random.default_rng(4)
+    pool = [s for _, s in licences.SENTENCES if not re.search("either|http|v[.]", s)]
+    texts = []
+    for _ in range(150):
+        parts = []
+        for _ in range(int(rng.integers(1, 9))):
+            s = str(rng.choice(pool)) if rng.random() < 0.7 else "some free words of a license in between"
+            if rng.random() < 0.5:
+                s = " ".join(w + ("\n" if rng.random() < 0.15 else "") for w in s.rstrip(".;:,").split(" ")).replace("\n ", "\n") + "."
+            parts.append(s.upper() if rng.random() < 0.2 else s)
+        texts.append(str(rng.choice(["\n", " \n", "\n\n"])).join(parts))
+    texts += [r.text for r in spark.read.parquet(f"{DIR}/documents.parquet").collect()]
+    got = licences.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")).collect()
+    found = {r.id: [x.id for x in r.sentences if x.id != "?"] for r in got}
+    assert found == {i: brute_licences(t or "") for i, t in enumerate(texts)} and sum(map(len, found.values())) > 300
+
+
+def test_licence_edge_rows(spark):
+    one = "Released under the MIT License."
+    texts = [one, one, None, "", " \n", "license " * 50_000, "\n \t" * 50_000 + one, "x " * 200_000 + "\n" + one, "İ licence\n" + one,
+             BSD2_TEXT.replace("2. Redis", "Something else stands here.\n2. Redis"), "*\n" * 30_000 + one]
+    rows = [(None, t, "s", ["l"], 7) for t in texts]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, sentences string, licences array<string>, n_unknown int")
+    got = licences.scan(docs).collect()
+    assert len(got) == len(texts) and all(r.id is None for r in got)
+    assert sorted((r.licences, r.n_unknown) for r in got) == sorted([(["MIT"], 0)] * 5 + [(["MIT"], 1)] + [([], 0)] * 4 + [([], 1)])
+
+
 @pytest.mark.parametrize("html, text", [
     ("", ""), ("<p>a<p>b <b>c</b>d<br>e", "a\n\nb cd\ne"), ("<ul><li>x<li>y<ol><li>q<li>r</ol></ul>z", "- x\n- y\n  1. q\n  2. r\n\nz"),
     ("<table><tr><th>Name<th>N<tr><td>Al<td>1<tr><td>Barbara<td>20</table>", "Name     N\nAl       1\nBarbara  20"),
