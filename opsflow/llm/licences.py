@@ -169,11 +169,12 @@ SEQUENCE = "array<struct<id:string,version:string>>"
 
 
 def hint(sentences: tuple = SENTENCES) -> str:
-    """Pattern of a few words, at least one of which stands in every known sentence."""
+    """Pattern of a few words, at least one of which stands in every known sentence; long words first, as prose has fewer
+    of those."""
     left, words = [set(known_form(s).split()) for _, s in sentences], []
     while left:
         count = Counter(w for s in left for w in s if not w[0].isdigit())
-        words.append(min(count, key=lambda w: (-count[w], -len(w), w)))
+        words.append(min(count, key=lambda w: (len(w) < 7, -count[w], -len(w), w)))
         left = [s for s in left if words[-1] not in s]
     return "(?iu)" + "|".join(w.replace("licens", "licen[cs]") for w in words)
 
