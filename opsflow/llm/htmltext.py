@@ -6,8 +6,12 @@ table rows and cells ...), opens tbody and tr, and ignores end tags without a
 start.  ``render`` emits the text of every visible node: blocks on lines of
 their own, paragraphs, headings, lists and tables with a blank line around
 them, list items with a mark or number and indented by depth, ``br`` as a line
-break, ``pre`` as it stands, and the cells of a table in aligned columns.
-White space collapses within a line.
+break, ``pre`` and ``textarea`` as they stand, the value or placeholder of an
+input and the cells of a table in aligned columns.  A cell stands in the columns
+that its ``colspan`` and the ``rowspan`` of cells above it give; widths are those
+of a terminal (wide characters take two places, combining ones none).  An end
+tag of an inline element closes no block that was opened in it.  White space
+collapses within a line.
 
 Invisible are the elements of ``INVISIBLE`` (head, title, script, style,
 template, noscript, the fallback content of iframe, object, audio, video and
@@ -29,7 +33,9 @@ result; other columns are kept, and a column named like the result is replaced.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
+from html import unescape
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -50,6 +56,11 @@ INVISIBLE = set("head script style template noscript title meta link base iframe
 #: Not drawn inside svg or math (tags in lower case, as the parser gives them).
 UNDRAWN = set("title desc metadata defs symbol clippath mask pattern marker lineargradient radialgradient filter "
               "annotation annotation-xml mphantom".split())
+FORMATTING = set("a b big code em font i nobr s small strike strong tt u".split())
+#: Inputs that show no text.
+TEXTLESS = set("hidden checkbox radio password file color range".split())
+#: The most columns and rows that a cell spans, as the HTML standard has it.
+SPANS = {"colspan": 1000, "rowspan": 65534}
 LISTS = {"ul", "ol", "menu", "dir"}
 #: A start tag closes the nearest of these if no boundary is nearer.
 CLOSES = {
@@ -106,15 +117,41 @@ class TreeBuilder(HTMLParser):
             self.count[node.tag] -= 1
         del self.open[at:]
 
-    def _close(self, tags: set, bounds: set) -> None:
+    def _nearest(self, tags: set, bounds: set) -> int | None:
+        """Place of the innermost open element of these, if no boundary is nearer."""
         if not any(self.count.get(t) for t in tags):
-            return
+            return None
         for i in range(len(self.open) - 1, 0, -1):
             if self.open[i].tag in tags:
-                self._cut(i)
-                return
+                return i
             if self.open[i].tag in bounds:
-                return
+                return None
+        return None
+
+    def _close(self, tags: set, bounds: set) -> None:
+        at = self._nearest(tags, bounds)
+        if at is not None:
+            self._cut(at)
+
+    def _end_inline(self, at: int) -> None:
+        """Close an inline element; the first block opened in it stays open beside it, with a copy of the element around
+        what it holds so far and copies of the elements between around itself."""
+        block = next((i for i in range(at + 1, len(self.open)) if self.open[i].tag in BLOCK), None)
+        if block is None:
+            self._cut(at)
+            return
+        ended, node, parent, between = self.open[at], self.open[block], self.open[at - 1], []
+        self.open[block - 1].children.pop()
+        for old in self.open[at + 1:block]:
+            between.append(Node(old.tag, old.attrs))
+            parent.children.append(between[-1])
+            parent = between[-1]
+        parent.children.append(node)
+        if node.children:
+            held = Node(ended.tag, ended.attrs)
+            held.children, node.children = node.children, [held]
+        self.open[at:block] = between
+        self.count[ended.tag] -= 1
 
     def _push(self, tag: str, attrs: dict | None = None) -> None:
         node = Node(tag, attrs)
@@ -156,6 +193,8 @@ class TreeBuilder(HTMLParser):
         self._push(tag, given)
         if tag in VOID:
             self._cut(len(self.open) - 1)
+        elif tag == "textarea" and not self._drawing():
+            self.set_cdata_mode(tag)
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
@@ -183,16 +222,41 @@ class TreeBuilder(HTMLParser):
             self.handle_starttag("br", [])
             return
         bounds = {"td", "th", "table"} if tag not in ("td", "th", "tr", "table", "tbody", "thead", "tfoot") else {"table"} - {tag}
-        self._close({tag}, bounds - {tag})
+        at = self._nearest({tag}, bounds - {tag})
+        if at is not None:
+            self._end_inline(at) if tag in FORMATTING else self._cut(at)
+
+    def close(self) -> None:
+        if self.cdata_elem == "textarea" and self.rawdata:  # never closed: the rest of the page is its text
+            rest, self.rawdata = self.rawdata, ""
+            self.handle_data(rest)
+        super().close()
 
     def handle_data(self, data: str) -> None:
         if not self.body and self.open[-1].tag in ("html", "head"):
             if not data.strip():
                 return
             self._enter_body()
+        if self.cdata_elem == "textarea" and not hasattr(HTMLParser, "RCDATA_CONTENT_ELEMENTS"):
+            data = unescape(data)
         self.open[-1].children.append(data)
 
 
+def places(text: str) -> int:
+    """Width of a text on a terminal."""
+    if text.isascii():
+        return len(text)
+    return sum(0 if unicodedata.combining(c) or unicodedata.category(c) == "Cf" else 1 + (unicodedata.east_asian_width(c) in "WF")
+               for c in text)
+
+
+def _span(node: Node, name: str) -> int:
+    """Columns or rows of a cell; 0 rows are all that follow."""
+    given = re.match(r"[ \t\n\f\r]*\+?([0-9]{1,9})", node.attrs.get(name) or "")
+    n = int(given[1]) if given else 1
+    return SPANS[name] if name == "rowspan" and n == 0 else min(max(n, 1), SPANS[name])
+
+
 class _Flow:
     """Lines of text; ``gap`` is the number of line ends owed before the next word."""
 
@@ -238,22 +302,38 @@ class _Flow:
                 self._open()
                 self.line += part
 
-    def table(self, rows: list[list[str]]) -> None:
-        widths: list[int] = []
-        for row in rows:
-            for i, cell in enumerate(row):
-                wide = max(map(len, cell.split("\n")), default=0)
-                if i < len(widths):
-                    widths[i] = max(widths[i], wide)
-                else:
-                    widths.append(wide)
+    def table(self, rows: list[list[tuple[str, int, int]]]) -> None:
+        """Aligned cells (text, columns, rows); a cell goes to the first column that no cell from above still takes."""
+        taken: dict[int, int] = {}          # column: rows that a cell from above still takes there
+        placed: list[list[tuple[int, int, list[str]]]] = []
         for row in rows:
-            parts = [c.split("\n") for c in row]
-            for k in range(max(map(len, parts), default=0)):
-                line = "  ".join((p[k] if k < len(p) else "").ljust(widths[i]) for i, p in enumerate(parts)).rstrip()
-                if line:
+            line, at, below = [], 0, {c: n - 1 for c, n in taken.items() if n > 1}
+            for text, across, down in row:
+                while at in taken:
+                    at += 1
+                line.append((at, across, text.split("\n")))
+                if down > 1:
+                    below.update(dict.fromkeys(range(at, at + across), down - 1))
+                at += across
+            placed.append(line)
+            taken = below
+        widths = [0] * max((at + across for row in placed for at, across, _ in row), default=0)
+        for at, across, lines in sorted((c for row in placed for c in row), key=lambda c: c[1]):
+            have = sum(widths[at:at + across]) + 2 * (across - 1)
+            widths[at + across - 1] += max(0, max(map(places, lines)) - have)
+        starts = [0]
+        for wide in widths:
+            starts.append(starts[-1] + wide + 2)
+        for row in placed:
+            for k in range(max((len(lines) for _, _, lines in row), default=0)):
+                line, end = "", 0
+                for at, _, lines in row:
+                    if k < len(lines) and lines[k]:
+                        line += " " * (starts[at] - end) + lines[k]
+                        end = starts[at] + places(lines[k])
+                if line.strip():
                     self._open()
-                    self.line += line
+                    self.line += line.rstrip()
                     self.break_(1)
 
     def result(self) -> str:
@@ -270,7 +350,7 @@ def render(root: Node) -> str:
     """Visible text of a tree; an explicit stack, so depth does not matter."""
     flow, pre = _Flow(), 0
     flows: list[_Flow] = []
-    tables: list[list[list[str]]] = []
+    tables: list[list[list[tuple[str, int, int]]]] = []
     lists: list[list] = []
     stack: list = [("in", root, True, False)]
     while stack:
@@ -291,6 +371,11 @@ def render(root: Node) -> str:
             if tag == "img":
                 flow.text(node.attrs.get("alt") or "" if shown else "")
                 continue
+            if tag == "input":
+                kind = (node.attrs.get("type") or "").lower()
+                value = node.attrs.get("alt" if kind == "image" else "value") or node.attrs.get("placeholder")
+                flow.text(f" {value} " if shown and value and kind not in TEXTLESS else "")
+                continue
             if drawing and _placed(node):
                 flow.text(" ")
             if tag in ("td", "th") and tables:
@@ -306,7 +391,7 @@ def render(root: Node) -> str:
             elif tag in BLOCK:
                 nested = tag in LISTS and bool(lists)
                 flow.break_(2 if tag in SPACED and not nested else 1)
-            if tag == "pre":
+            if tag in ("pre", "textarea"):
                 pre += 1
             elif tag in LISTS:
                 start = node.attrs.get("start") or ""
@@ -334,14 +419,14 @@ def render(root: Node) -> str:
             if not tables[-1]:
                 tables[-1].append([])
             cell, flow = flow.result(), flows.pop()
-            tables[-1][-1].append(cell)
+            tables[-1][-1].append((cell, _span(node, "colspan"), _span(node, "rowspan")))
         elif tag == "table":
             flow.table(tables.pop())
             flow.break_(2)
         elif tag in BLOCK and tag != "tr":
             nested = tag in LISTS and len(lists) > 1
             flow.break_(2 if tag in SPACED and not nested else 1)
-        if tag == "pre":
+        if tag in ("pre", "textarea"):
             pre -= 1
         elif tag in LISTS:
             flow.indent = flow.indent[:-3 if lists.pop()[0] == "ol" else -2]

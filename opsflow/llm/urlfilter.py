@@ -42,16 +42,17 @@ def _labels(host: Column) -> Column:
     return F.length(host) - F.length(F.replace(host, F.lit("."), F.lit(""))) + 1
 
 
-def expressions(host: Column, path: Column, shapes: list[tuple[int, int]]) -> Column:
-    """Structs of ``expr`` and ``digest``: each host suffix of so many labels with each path prefix of so many characters."""
-    def one(labels: int, size: int) -> Column:
-        suffix = F.substring_index(host, ".", -labels)
-        expr = F.concat(suffix, F.substring(path, 1, size))
-        fits = (_labels(host) >= labels) & (F.length(path) >= size) & (host != "")
-        return F.when(fits, F.struct(F.length(suffix).alias("host_size"), expr.alias("expr"), F.sha2(expr, 256).alias("digest")))
+def expressions(host: Column, path: Column, shapes: Column) -> Column:
+    """Structs of ``expr`` and ``digest``: each host suffix of so many labels with each path prefix of so many characters,
+    for the shapes (array of structs ``labels``, ``size``) that the host and path are long enough for."""
+    labels, length = _labels(host), F.length(path)
 
-    kind = "array<struct<host_size:int,expr:string,digest:string>>"
-    return F.array_compact(F.array(*[one(n, size) for n, size in shapes]).cast(kind))
+    def one(shape: Column) -> Column:
+        suffix = F.call_function("substring_index", host, F.lit("."), -shape["labels"])
+        expr = F.concat(suffix, F.substring(path, F.lit(1), shape["size"]))
+        return F.struct(F.length(suffix).alias("host_size"), expr.alias("expr"), F.sha2(expr, 256).alias("digest"))
+
+    return F.transform(F.filter(shapes, lambda s: (s["labels"] <= labels) & (s["size"] <= length)), one)
 
 
 def compile_rules(rules: DataFrame) -> DataFrame:
@@ -69,18 +70,23 @@ def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col:
     """Per row: ``id``, ``host``, ``path``, ``rule`` (host and path of the rule that holds, or null) and ``verdict``."""
     need(pages, id_col, url_col)
     compiled = compile_rules(rules)
-    shape = compiled.select(_labels(F.col("host")).alias("labels"), F.length("path").alias("size")).distinct()
-    shapes = sorted((r.labels, r.size) for r in shape.collect())          # bounded by the longest rule
+    # one row, bounded by the longest rule; a subquery of the job, so nothing is collected
+    shapes = compiled.select(F.struct(_labels(F.col("host")).alias("labels"), F.length("path").alias("size")).alias("shape"))
+    shapes = shapes.agg(F.collect_set("shape")).scalar()
     host, path = url_parts(F.col("url"))
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"))
     rows = rows.select("id", host.alias("host"), path.alias("path"))
-    distinct = rows.select("host", "path").distinct()
-    asked = distinct.select("host", "path", F.explode(expressions(F.col("host"), F.col("path"), shapes)).alias("e"))
+    # rows without a host fit no rule: each gets a key of its own, so they do not meet in one task
+    rows = rows.withColumn("alone", F.when(F.col("host") == "", F.monotonically_increasing_id()).otherwise(F.lit(-1)))
+    distinct = rows.filter("host <> ''").select("host", "path").distinct()
+    asked = distinct.select("host", "path", shapes.alias("shapes"))
+    asked = asked.select("host", "path", F.explode(expressions(F.col("host"), F.col("path"), F.col("shapes"))).alias("e"))
     asked = asked.select("host", "path", "e.*", F.substring("e.digest", 1, PREFIX_DIGITS).alias("prefix"))
     known = compiled.select("prefix", F.col("digest").alias("full"), F.length("host").alias("rule_host"), "rule", "verdict")
     hits = (asked.join(known, "prefix").filter((F.col("digest") == F.col("full")) & (F.col("host_size") == F.col("rule_host")))
             .groupBy("host", "path")
-            .agg(F.max(F.struct(F.length("rule").alias("size"), "rule_host", "verdict", "rule")).alias("best")))
-    return (rows.join(hits, ["host", "path"], "left")
+            .agg(F.max(F.struct(F.length("rule").alias("size"), "rule_host", "verdict", "rule")).alias("best"))
+            .withColumn("alone", F.lit(-1).cast("bigint")))
+    return (rows.join(hits, ["alone", "host", "path"], "left")
             .select("id", "host", "path", F.col("best.rule").alias("rule"),
                     F.coalesce("best.verdict", F.lit(default)).alias("verdict")))

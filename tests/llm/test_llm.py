@@ -481,10 +481,23 @@ def test_url_filter(spark):
         best = max(fits, key=lambda r: len(r[0] + r[1]), default=None)
         assert got[i] == (host, path, best and best[0] + best[1], best[2] if best else "allow"), u
     none = spark.createDataFrame([], urlfilter.RULE_SCHEMA)
+    long = spark.createDataFrame([(1, "http://" + "a." * 50_000 + "org/" + "p/" * 50_000), (2, "http://" + "b" * 100_000)], "page_id int, url string")
+    assert {(r.id, r.rule) for r in urlfilter.judge(long, spark.createDataFrame(rules, urlfilter.RULE_SCHEMA)).collect()} == {(1, "org/"), (2, None)}
     assert {r.verdict for r in urlfilter.judge(pages, none).collect()} == {"allow"}
     assert urlfilter.judge(pages.limit(0), none).count() == 0
 
 
+def test_url_filter_with_many_shapes_and_no_hosts(spark):
+    rules = [("x.org", "/" + "p" * i, "block") for i in range(300)]
+    urls = ["http://a.x.org/" + "p" * i for i in range(0, 400, 50)] + ["no host"] * 500 + [None] * 500 + ["http:///p"] * 100
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id int, url string").repartition(4)
+    judged = urlfilter.judge(pages, spark.createDataFrame(rules, urlfilter.RULE_SCHEMA))
+    got = {r.id: (r.rule, r.verdict) for r in judged.collect()}
+    assert got == {i: ("x.org/" + "p" * min(299, 50 * i), "block") if i < 8 else (None, "allow") for i in range(len(urls))}
+    assert len(judged._jdf.queryExecution().optimizedPlan().toString()) < 20_000     # does not grow with the rules
+
+
+
 def test_licence_sentences(spark, empty):
     texts = [None, "", "Prose. Licensed under the Apache License, Version 2.0. More.", "Released under the MIT License.\nx",
              "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License "
@@ -663,6 +676,54 @@ def test_visible_text_of_drawings_and_inherited_visibility(html, text):
     assert htmltext.visible_text(html) == text
 
 
+@pytest.mark.parametrize("html, text", [
+    ("<table><tr><th colspan=2>Name<th>N<tr><td>Al<td>Bo<td>1</table>", "Name    N\nAl  Bo  1"),
+    ("<table><tr><td rowspan=2>A<td>b<td>c<tr><td>d<td>e<tr><td>f<td>g<td>h</table>", "A  b  c\n   d  e\nf  g  h"),
+    ("<table><tr><td rowspan=0>A<td>b<tr><td>c<tr><td>d</table>", "A  b\n   c\n   d"),
+    ("<table><tr><td colspan=2>a wide heading<td>x<tr><td>1<td>2<td>3</table>", "a wide heading  x\n1  2            3"),
+    ("<table><tr><td colspan=99999999999>a<td colspan=x>b<td rowspan=-1>c</table>", None),
+    ("<table><tr><td rowspan=2 colspan=2>A<td>b<tr><td>c<td>d</table>", "A   b\n    c  d"),
+    ("<table><tr><td>中文<td>x<tr><td>abcde<td>y<tr><td>e\u0301<td>z</table>", "中文   x\nabcde  y\ne\u0301      z"),
+    ("a<textarea><b>x</b> &amp; y\nz</textarea>b", "a<b>x</b> & y\nzb"), ("<textarea>open <p>", "open <p>"),
+    ("<input type=submit value='Go on'>x<input value=v><input type=hidden value=h><input type=password value=p>", "Go on x v"),
+    ("<input type=checkbox value=1>yes <input placeholder=Search> <input type=image alt=pic value=w>", "yes Search pic"),
+    ("<b>one<p>two</b>three</p>", "one\n\ntwothree"), ("<b style='visibility:hidden'>one<p>two</b>three</p>four", "three\n\nfour"),
+    ("<a><i>one<div>two</a>three</i>four</div>five", "one\ntwothreefour\nfive"), ("<b><p></b>x</p>y", "x\n\ny"),
+    ("<b>" * 3000 + "<p>x" + "</b>" * 3000 + "y</p>z", "xy\n\nz")])
+def test_visible_text_of_spans_controls_and_crossed_tags(html, text):
+    got = htmltext.visible_text(html)
+    assert got == text if text is not None else got.split() == ["a", "b", "c"]
+
+
+def test_table_grid_matches_brute_force():
+    rng = np.random.default_rng(8)
+    for _ in range(200):
+        n_rows, rows, cells, html = int(rng.integers(1, 6)), {}, [], "<table>"
+        for r in range(n_rows):
+            html += "<tr>"
+            for _ in range(int(rng.integers(0, 5))):
+                across, down, word = int(rng.integers(1, 4)), int(rng.integers(1, 4)), "w" * int(rng.integers(1, 9)) + str(len(cells))
+                html += f"<td colspan={across} rowspan={down}>{word}"
+                # the first free column right of this row's own cells
+                at = next(c for c in range(99) if (r, c) not in rows and not any(rows.get((r, k), -1) >= r * 1000 for k in range(c, 99)))
+                for y in range(r, r + down):
+                    for x in range(at, at + across):
+                        rows[y, x] = r * 1000 + len(cells)
+                cells.append((r, at, word))
+        lines = htmltext.visible_text(html + "</table>").split("\n")
+        found = {}
+        for line in lines:
+            for m in re.finditer(r"w+[0-9]+", line):
+                found[m[0]] = m.start()
+        assert set(found) == {w for _, _, w in cells}
+        by_column = {}
+        for _, at, word in cells:
+            by_column.setdefault(at, set()).add(found[word])
+        assert all(len(v) == 1 for v in by_column.values())                # a column begins at one place in every row
+        order = [by_column[c].copy().pop() for c in sorted(by_column)]
+        assert order == sorted(set(order))
+
+
 def test_visible_text_frames(spark):
     pages = spark.createDataFrame([(1, None, "t"), (2, "<p>x", "t"), (2, "<p>x", "t")], "page_id int, html string, text string")
     assert sorted((r.page_id, r.text) for r in htmltext.with_text(pages).collect()) == [(1, None), (2, "x"), (2, "x")]
