@@ -50,7 +50,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     def repeated() -> DataFrame:
         groups = minhash.near_duplicates(rows, id_col="_row", k=5, percent=80).select(F.col("id").alias("_row"), "component")
-        groups = rows.select("_row", "doc_id").join(groups, "_row")
+        groups = write_and_read(rows.select("_row", "doc_id").join(groups, "_row"), "groups")
         first = groups.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("_row"))).alias("first"))
         return groups.join(first, "component").filter(F.col("_row") != F.col("first._row")).select("_row")
 

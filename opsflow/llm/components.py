@@ -3,7 +3,9 @@
 No neighbour list is ever collected: the smallest neighbour of a node is a
 partial aggregate, and the edges are rewired by a join with it, so a node with
 a third of all edges stays spread (AQE splits the join; the aggregate combines
-before the shuffle).  Every round is written to shared scratch.
+before the shuffle).  The links are evaluated once, and every star is written to
+shared scratch by itself, so no plan holds more than one self-join: the driver
+plans and keeps little, however many rounds there are.
 """
 
 from __future__ import annotations
@@ -42,10 +44,12 @@ def connected_components(links: DataFrame) -> DataFrame:
     """
     edges = (links.filter("a is not null and b is not null")
              .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    edges = write_and_read(edges, "cc")
     loops = edges.filter("a = b").select(F.col("a").alias("node"))
-    edges = write_and_read(edges.filter("a > b"), "cc")
+    edges = edges.filter("a > b")
     while not _settled(edges):
-        edges = write_and_read(_small_star(_large_star(edges)), "cc")
+        edges = write_and_read(_large_star(edges), "cc")
+        edges = write_and_read(_small_star(edges), "cc")
     stars = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     own = stars.select(F.col("component").alias("node")).unionAll(loops).distinct()
     roots = own.join(stars, "node", "left_anti").select("node", F.col("node").alias("component"))

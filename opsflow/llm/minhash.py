@@ -241,7 +241,7 @@ def _join_families(open_: DataFrame, sizes: DataFrame, texts: DataFrame, k: int,
     blocks = members.groupBy("family").agg(
         F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("rows"),
         F.ceil(F.sum(F.when(F.col("asks"), F.col("n")).otherwise(0)) / BLOCK_SHINGLES).cast("int").alias("queries"))
-    members = members.join(blocks, "family")
+    members = write_and_read(members.join(blocks, "family"), "families")
     own = F.xxhash64("id")
     rows = members.select("family", "id", "component", F.lit(False).alias("asks"), F.pmod(own, "rows").alias("i"),
                           F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("queries").cast("bigint") - 1)).alias("j"))

@@ -110,6 +110,20 @@ def test_components_match_brute_force(spark):
     assert got == {x: root(x) for x in list(up)}
 
 
+def test_components_read_their_links_once(spark, tmp_path):
+    seen = str(tmp_path)
+
+    def read(batches):
+        for batch in batches:
+            with open(f"{seen}/{os.urandom(8).hex()}", "w"):
+                yield batch
+
+    links = spark.createDataFrame([(i, i + 1) for i in range(20)] + [(50, 50)], "a bigint, b bigint").coalesce(1).mapInArrow(read, "a bigint, b bigint")
+    got = {r.node: r.component for r in components.connected_components(links).collect()}
+    assert got == {**dict.fromkeys(range(21), 0), 50: 50}
+    assert len(os.listdir(seen)) == 1
+
+
 def brute_hits(docs, items, width=10):
     pattern = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
     windows = {}
