@@ -4,8 +4,11 @@ success markers and landed cluster documents."""
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterator
 from urllib.parse import unquote
 
+import pyarrow as pa
+from pyarrow import fs as pafs
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -103,18 +106,34 @@ def list_markers(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame
 def touch_markers(spark: SparkSession, folder: str, names: DataFrame, name_col: str = "marker") -> int:
     """Create the zero-length marker files ``folder/<name>`` that ``list_markers`` finds; the number created.
 
-    Names come to the driver one partition at a time; a run has one marker per loaded table."""
-    conf = spark._jsc.hadoopConfiguration()
+    Tasks create the files, so the time is shared by all cores and no name comes
+    to the driver.  The folder must be one that all executors reach, as with any
+    result.  A store that pyarrow cannot open (``viewfs``, say) is written by the
+    driver through Hadoop, with the names coming one partition at a time."""
     make = spark._jvm.org.apache.hadoop.fs.Path
     base = make(folder)
-    fs = base.getFileSystem(conf)
+    fs = base.getFileSystem(spark._jsc.hadoopConfiguration())
     fs.mkdirs(base)
-    n = 0
-    for row in names.select(name_col).distinct().toLocalIterator():
-        if row[0]:
+    names = names.select(F.col(name_col).cast("string").alias("name")).filter("name <> ''").distinct()
+    uri = fs.makeQualified(base).toUri()
+    try:
+        store, root = (pafs.LocalFileSystem(), uri.getPath()) if uri.getScheme() == "file" else pafs.FileSystem.from_uri(uri.toString())
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
+        n = 0
+        for row in names.toLocalIterator():
             fs.create(make(base, row[0]), True).close()
             n += 1
-    return n
+        return n
+
+    def create(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name in batch.column("name").to_pylist():
+                if "/" in name:
+                    store.create_dir(f"{root}/{name}".rpartition("/")[0])
+                store.open_output_stream(f"{root}/{name}").close()
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
+
+    return names.mapInArrow(create, "n bigint").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
 
 def read_pages(spark: SparkSession, path: str, page_schema: StructType | str, items: str, token: str,

@@ -106,6 +106,22 @@ def test_markers_of_a_date(spark):
         files.list_markers(spark, f"{root}/day=31")
 
 
+def test_markers_are_created_by_tasks(spark, monkeypatch):
+    root = scratch_path(spark, "t_markers")
+    names = spark.range(3000).selectExpr("concat('success-a-b-t', id % 2000) as marker").unionAll(spark.sql("select '' as marker"))
+
+    def refuse(*a, **k):
+        raise AssertionError("names came to the driver")
+
+    with monkeypatch.context() as m:
+        for f in ("toLocalIterator", "toPandas", "toArrow"):
+            m.setattr(type(names), f, refuse)
+        assert files.touch_markers(spark, f"{root}/day=30", names) == 2000
+        assert files.touch_markers(spark, f"{root}/day=31", names.limit(0)) == 0
+    assert rows(files.list_markers(spark, f"{root}/day=30")) == sorted((f"success-a-b-t{i}",) for i in range(2000))
+    assert all(os.path.getsize(f"{local(root)}/day=30/success-a-b-t{i}") == 0 for i in range(2000))
+
+
 def test_snapshot_as_of(spark):
     root = scratch_path(spark, "t_snapshots")
     for ts in ("20240103_2330", "20240101_2330", "20240102_2330"):
