@@ -72,18 +72,20 @@ def readiness(wanted: DataFrame, markers: DataFrame, marker_col: str = "marker")
 
     The prefix test is an equi-join: each marker name is cut to the prefix
     lengths that occur among the keys that need one (a set bounded by the longest
-    key), so no marker x key pairs are formed.  Cuts that no such key has are
-    dropped by a semi join first; Spark broadcasts those keys if they are few.
+    key), so no marker x key pairs are formed.  Names are first cut to the longest
+    of these lengths, which drops their dates, and only the distinct ones are cut
+    on; repeated names and cuts are combined before they are shuffled, so neither
+    the number of loads of a table nor a short prefix of many names grows a task.
     """
     w = wanted.withColumn("_prefix", marker_prefix(F.col("src"), F.col("db"), F.col("tbl")))
     needs = F.coalesce(F.col("indicator"), F.lit("")) == C.READY_ON_MARKER_INDICATOR     # exact case
     asked = w.filter(needs).select("_prefix").distinct()
     lengths = sorted(r[0] for r in asked.select(F.length("_prefix")).distinct().collect() if r[0] is not None)
-    m = markers.select(F.col(marker_col).alias("_m"))
+    m = markers.select(F.left(F.col(marker_col), F.lit(lengths[-1] if lengths else 0)).alias("_m")).distinct()
     cuts = F.filter(F.array(*[F.lit(n) for n in lengths]) if lengths else F.array().cast("array<int>"),
                     lambda n: n <= F.length("_m"))
     found = (m.select(F.explode(F.transform(cuts, lambda n: F.left(F.col("_m"), n))).alias("_prefix"))
-             .join(asked, "_prefix", "left_semi").distinct().withColumn("_hit", F.lit(True)))
+             .distinct().join(asked, "_prefix", "left_semi").withColumn("_hit", F.lit(True)))
     joined = w.join(found, "_prefix", "left")
     ready = F.when(needs, F.coalesce(F.col("_hit"), F.lit(False))).otherwise(F.lit(True))
     return joined.withColumn("ready", ready).drop("_prefix", "_hit")

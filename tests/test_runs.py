@@ -26,6 +26,20 @@ def test_readiness_prefix_semantics(spark):
                    ("q", "table1", True), ("q", "table5", True)]      # only lower-case t waits for a marker
 
 
+def test_readiness_combines_names_before_cutting_them(spark):
+    wanted = spark.createDataFrame([("p", "cc", f"table{i}", "t") for i in (1, 2, 33, 444)], "src string, db string, tbl string, indicator string")
+    markers = spark.range(20_000).selectExpr("concat('success-p-cc-table1', id % 3, '-', 20240000 + id) as marker").unionAll(
+        spark.sql("select cast(null as string) union all select 'success-p-cc-table33'"))
+    out = runs.readiness(wanted, markers)
+    assert rows(out, "tbl", "ready") == [("table1", True), ("table2", False), ("table33", True), ("table444", False)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depth = [len(x) - len(x.lstrip(" :+-")) for x in plan]
+    cut = next(i for i, x in enumerate(plan) if "Generate explode" in x)
+    end = next((i for i in range(cut + 1, len(plan)) if depth[i] <= depth[cut]), len(plan))
+    below = plan[cut + 1:end]
+    assert any("Aggregate" in x for x in below), "names are distinct before they are cut to every length"
+
+
 def test_list_markers_reads_names_only(spark):
     folder = scratch_path(spark, "t_markers")
     spark.createDataFrame([("x",)], "v string").write.text(folder)
