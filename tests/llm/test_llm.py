@@ -479,6 +479,24 @@ def test_simhash_neighbours_report_every_document(spark, tmp_path):
     assert {(i, c, n) for i, c, _, d, n in got if d == 0} == {(50, 7, 5), (100, 7, 5)} and any(c == 11 for _, c, *_ in got)
 
 
+def test_simhash_search_does_not_write_a_row_for_each_table(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    words = rng.integers(0, 1 << 63, 300, dtype=np.uint64)
+    words = [int(w) ^ sum(1 << int(b) for b in set(rng.integers(0, 64, n))) for w in words[:60] for n in range(0, 20, 2)] + [int(w) for w in words]
+    values = sorted({f"{w:016x}" for w in words})
+    prints = spark.createDataFrame([(v,) for v in [*values, values[0], None]], "fingerprint string")
+    queries_ = prints.filter("fingerprint < '8'")
+    brute = {(a, b, d) for a in values if a < "8" for b in values if (d := (int(a, 16) ^ int(b, 16)).bit_count()) <= 10}
+    for block, pairs in ((32_768, 1 << 20), (50, 7)):
+        monkeypatch.setattr(simhash, "PRINT_BLOCK", block, raising=False)
+        monkeypatch.setattr(simhash, "QUERY_BLOCK", block, raising=False)
+        monkeypatch.setattr(simhash, "PAIRS", pairs, raising=False)
+        near = simhash.neighbours(queries_, prints, radius=10, bits=64, spare=2)
+        got = [tuple(r) for r in near.collect()]
+        assert len(got) == len(set(got)) and set(got) == brute
+        assert "posexplode" not in near._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_url_filter(spark):
     rules = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"),
              ("com", "/de/", "block"), (None, "/", "block"), ("org", "/", "allow")]
